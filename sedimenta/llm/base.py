@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that a Python worker handles at once.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,24 +80,32 @@ LETTERS[97:123] = np.arange(97, 123)
 LETTERS[128:] = np.arange(128, 256)
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n; base is odd."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) < n:
-        size = max(n, 1 << 16)
-        inverse = pow(base, -1, 1 << 64)
-        both = []
-        for b in (base, inverse):
-            x = np.full(size, b, np.uint64)
-            x[0] = 1
-            both.append(np.cumprod(x, dtype=np.uint64))
-        have = (both[0], both[1])
-        if size <= 4 * CHUNK_BYTES:
-            _powers[base] = have
-    return have[0][:n], have[1][:n]
+_BASE = 0xD6E8FEB86659FD93
+_powers: list[np.ndarray] = []
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """_BASE**i and _BASE**-i modulo 2**64 for i < n. Kept for a chunk's length; a longer text gets its own."""
+    if _powers and len(_powers[0]) >= n:
+        return _powers[0][:n], _powers[1][:n]
+    both = []
+    for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+        x = np.full(max(n, CHUNK_BYTES + 2), b, np.uint64)
+        x[0] = 1
+        both.append(np.cumprod(x, out=x))
+    if n <= CHUNK_BYTES + 2:
+        _powers[:] = both
+    return both[0][:n], both[1][:n]
+
+
+def _sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of values[i] * _BASE**i, from 0; the inverse powers."""
+    power, inverse = powers(len(values) + 1)
+    total = np.empty(len(values) + 1, np.uint64)
+    total[0] = 0
+    np.multiply(values, power[:-1], out=total[1:])
+    np.cumsum(total, out=total)
+    return total, inverse
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -147,29 +155,23 @@ class Words:
         """A 64-bit hash of each word's bytes."""
         if not len(self):
             return np.empty(0, np.uint64)
-        power, inverse = powers(len(self.data) + 1, 0x9E3779B97F4A7C15 + 2 * (7919 * seed + 1))
-        total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_values(seed)[self.data] * power[:-1], out=total[1:])
+        total, inverse = _sums(_values(seed)[self.data])
         value = (total[self.end] - total[self.start]) * inverse[self.start]
         return mixed(value + (self.end - self.start).astype(np.uint64) * _ODD)
 
 
-def runs(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
+def runs(hashes: np.ndarray, width: int) -> np.ndarray:
     """A 64-bit hash of each `width` consecutive entries; one for each place where that many follow."""
     n = len(hashes) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    power, inverse = powers(len(hashes) + 1, 0xD6E8FEB86659FD93 + 2 * (104729 * seed))
-    total = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * power[:-1], out=total[1:])
+    total, inverse = _sums(hashes)
     return mixed((total[width:] - total[:n]) * inverse[:n])
 
 
-def spans(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+def spans(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the entries of each span [start, end)."""
-    power, inverse = powers(len(hashes) + 1, 0xD6E8FEB86659FD93 + 2 * (104729 * seed))
-    total = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * power[:-1], out=total[1:])
+    total, inverse = _sums(hashes)
     return mixed((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64) * _ODD)
 
 

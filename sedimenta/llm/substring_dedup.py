@@ -65,8 +65,8 @@ def _paths(window: int, node: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     _signed(nodes[chosen[first]]),
-                    _signed(spans(h1, at, at + n + window - 1, 1)),
-                    _signed(spans(h2, at, at + n + window - 1, 2)),
+                    _signed(spans(h1, at, at + n + window - 1)),
+                    _signed(spans(h2, at, at + n + window - 1)),
                     batch.column("doc_id").take(pa.array(document)),
                     batch.column("copy").take(pa.array(document)),
                     pa.array((at - words.first[document]).astype(np.int32)),
@@ -93,8 +93,8 @@ def _windows(window: int):
             placed = start + words.first[row]
             yield pa.RecordBatch.from_arrays(
                 [
-                    _signed(spans(h1, placed, placed + window, 3)),
-                    _signed(spans(h2, placed, placed + window, 4)),
+                    _signed(spans(h1, placed, placed + window)),
+                    _signed(spans(h2, placed, placed + window)),
                     batch.column("doc_id").take(pa.array(row)),
                     batch.column("copy").take(pa.array(row)),
                     pa.array(start.astype(np.int32)),
