@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .base import table
 
 
+def public_tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import substring_dedup
 
@@ -21,11 +27,32 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shard
+
+    return shard(table(spark, sf_dir, "documents"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    from .token_files import token_digests
+
+    return token_digests(table(spark, sf_dir, "documents"), tokenizer or public_tokenizer("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_substring_dedup,
         op3_simhash,
+        op6_secrets,
+        op9_sharding,
+        op10_token_files,
     )
 }
 

@@ -4,9 +4,11 @@ Rows are dealt into ranges of doc_id and sorted, tokenised where they lie and wr
 with its range, the ids before it in the range and its own. Readers split by stripes and prune stripes and row groups
 by doc_id.
 
-Tokenising keeps, for each Python worker, a bounded memory of encoded pieces of text. A text is cut only where the
-tokenizer's own rules always cut: at ASCII white space, and between an ASCII letter and an ASCII character that is no
-letter and no apostrophe. Texts with the mark of a special token go to the tokenizer whole.
+Tokenising keeps, for each Python worker, a bounded memory of encoded pieces of text. For tokenizers that drop white
+space and split letters from the rest, a text is cut where their rules always cut: at ASCII white space, and between an
+ASCII letter and an ASCII character that is no letter and no apostrophe; runs of lower-case Latin letters then go to
+the tokenizer's model itself, other pieces through all of its steps. Other tokenizers, and texts with the mark of a
+special token, get whole texts.
 
 Defined results. Null text: as empty, so the end id alone. Null doc_ids come first. Ties in doc_id are ordered by the
 text's CRC-32. Repeated rows are all written. Extra columns are ignored. An empty table gives an empty result.
@@ -14,6 +16,8 @@ text's CRC-32. Repeated rows are all written. Extra columns are ignored. An empt
 
 from __future__ import annotations
 
+import itertools
+import json
 import os
 import zlib
 
@@ -27,10 +31,13 @@ from .base import binary, chunks, ranges, shared_dir
 
 END_ID = 1
 #: Pieces that a worker remembers before it starts anew.
-REMEMBERED = 400_000
-#: Pieces of text that go to the tokenizer in one string.
+REMEMBERED = 1_000_000
+#: Pieces of text that go to the tokenizer in one call.
 JOINED = 4096
 
+#: Bytes of text that a worker tokenises at once.
+TEXT_BYTES = 8 << 20
+
 _SCHEMA = "doc_id long, range int, before long, n_tokens long, ids array<int>"
 
 
@@ -93,42 +100,65 @@ _KIND[97:123] = 1
 _KIND[65:91] = 1
 _KIND[39] = 0
 
+#: Steps before the model in tokenizers whose texts may be cut.
+_NORMALISERS = ["NFC", "Replace", "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 _tokenizers: dict[str, tuple] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level tokenizers put for each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+def _cuttable(own) -> bool:
+    spec = json.loads(own.to_str())
+    steps = (spec["normalizer"] or {}).get("normalizers", [])
+    split = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    return [x["type"] for x in steps] == _NORMALISERS and split[0].get("pattern") == {"Regex": _SPLIT} and split[0].get("behavior") == "Removed" and [x["type"] for x in split] == ["Split", "ByteLevel"] and not split[1]["add_prefix_space"]
+
+
 def _tokenizer(path: str):
     if path not in _tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         own = Tokenizer.from_file(path)
-        special = {i: t.content for i, t in own.get_added_tokens_decoder().items() if t.special}
-        mark, text = next(iter(special.items()), (None, None))
+        special = [t.content.encode() for t in own.get_added_tokens_decoder().values()]
+        model, letters = own.model, _byte_letters()
 
         def encode(pieces: list[bytes]):
-            out, sizes = [], []
-            for at in range(0, len(pieces), JOINED):
-                part = pieces[at : at + JOINED]
-                if text is None:
-                    ids = [e.ids for e in own.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)]
-                    out.append(np.fromiter((i for x in ids for i in x), np.int32))
-                    sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-                    continue
-                ids = np.array(own.encode_batch_fast([text.join([p.decode() for p in part])], add_special_tokens=False)[0].ids, np.int32)
-                cut = np.flatnonzero(ids == mark)
-                if len(cut) != len(part) - 1:
-                    raise ValueError("a piece holds the mark of a special token")
-                out.append(np.delete(ids, cut))
-                sizes.append(np.diff(np.r_[-1, cut, len(ids)]) - 1)
-            return np.concatenate(out), np.concatenate(sizes)
-
-        _tokenizers[path] = own, Pool(encode), [t.encode() for t in special.values()]
+            out: list = [None] * len(pieces)
+            others = []
+            for k, piece in enumerate(pieces):
+                text = piece.decode()
+                if text.isalpha() and text.islower() and max(text) < "\u0250":
+                    if not text.isascii():
+                        text = piece.decode("latin-1").translate(letters)
+                    out[k] = [t.id for t in model.tokenize(text)]
+                else:
+                    others.append((k, text))
+            for at in range(0, len(others), JOINED):
+                part = others[at : at + JOINED]
+                for (k, _), e in zip(part, own.encode_batch_fast([t for _, t in part], add_special_tokens=False), strict=True):
+                    out[k] = e.ids
+            sizes = np.fromiter(map(len, out), np.int64, len(out))
+            return np.fromiter(itertools.chain.from_iterable(out), np.int32, int(sizes.sum())), sizes
+
+        _tokenizers[path] = own, Pool(encode) if _cuttable(own) else None, special
     return _tokenizers[path]
 
 
 def tokenise(column: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each with end_id behind it, and the offsets of the texts in them."""
     own, pool, special = _tokenizer(path)
+    if pool is None:
+        ids = [[*e.ids, end_id] for e in own.encode_batch_fast([t or "" for t in column.to_pylist()], add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(sizes.sum())), np.r_[0, np.cumsum(sizes)]
     data, offsets = binary(column)
     whole: dict[int, list[int]] = {}
     raw = data.tobytes()
@@ -175,7 +205,7 @@ def write_ids(documents: DataFrame, to: str, tokenizer: str, end_id: int = END_I
 
     def run(batches):
         before, part = 0, TaskContext.get().partitionId()
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", TEXT_BYTES):
             ids, offsets = tokenise(batch.column("text"), tokenizer, end_id)
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
