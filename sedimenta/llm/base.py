@@ -81,6 +81,8 @@ LETTERS[128:] = np.arange(128, 256)
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
+#: Powers that stay in memory.
+_KEPT = (4 << 20) + 2
 _powers: list[np.ndarray] = []
 
 
@@ -90,10 +92,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         return _powers[0][:n], _powers[1][:n]
     both = []
     for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-        x = np.full(max(n, CHUNK_BYTES + 2), b, np.uint64)
+        x = np.full(max(n, _KEPT), b, np.uint64)
         x[0] = 1
         both.append(np.cumprod(x, out=x))
-    if n <= CHUNK_BYTES + 2:
+    if n <= _KEPT:
         _powers[:] = both
     return both[0][:n], both[1][:n]
 

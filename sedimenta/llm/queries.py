@@ -15,6 +15,12 @@ def public_tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import substring_dedup
 
@@ -27,12 +33,36 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import embedding_top_k
+
+    return embedding_top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    from .pieces import digests
+
+    return digests(table(spark, sf_dir, "documents"), model or public_tokenizer("piece_bpe_32k.model"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import scan
 
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontamination import leaks
+
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import license_scan
+
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import shard
 
@@ -48,9 +78,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_quality,
         op2_substring_dedup,
         op3_simhash,
+        op4_topk,
+        op5_pieces,
         op6_secrets,
+        op7_decontamination,
+        op8_licenses,
         op9_sharding,
         op10_token_files,
     )
@@ -67,5 +102,12 @@ w AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM
 k AS (SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.i) FILTER (WHERE gone.i IS NULL) AS kept, count(gone.i) AS n FROM w LEFT JOIN gone ON w.doc_id = gone.doc_id AND w.i = gone.i GROUP BY w.doc_id)
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+""",
+    "op4_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS "rank", vec_id, score FROM r WHERE n <= 5
 """,
 }

@@ -149,3 +149,10 @@ def simhash_dedup(documents: DataFrame, radius: int = RADIUS, width: int = SHING
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(documents: DataFrame, radius: int = RADIUS, width: int = SHINGLE) -> DataFrame:
+    """The documents, with all their columns, that have their component's smallest doc_id; one row where it repeats. Rows without a doc_id stay."""
+    classed = simhash_dedup(documents, radius, width).where("doc_id = component_id").select("doc_id").distinct()
+    stays = documents.join(classed, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return stays.unionByName(documents.where("doc_id is null"))
