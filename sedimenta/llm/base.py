@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.durable import materialize, shared_dir  # noqa: F401
+
 #: Bytes of text that a Python worker handles at once.
 CHUNK_BYTES = 2 << 20
 
@@ -19,24 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A fresh path below spark.checkpoint.dir; a local folder stands in only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="sedimenta-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Writes df below the shared folder and reads it back: lineage ends there and survives lost executors."""
-    spark, path = df.sparkSession, shared_dir(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets (from 0) of a string or binary column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -28,6 +28,10 @@ from .token_files import Pool, pieces_of
 
 SPACE = "▁"
 _NEVER = float("inf")
+#: Bytes of new units that are indexed at once; a longer unit is indexed alone.
+INDEXED_BYTES = 512 << 10
+#: Units and pairs of pieces that a worker remembers before it starts anew.
+UNITS, PAIRS = 400_000, 500_000
 
 
 class Model:
@@ -68,7 +72,7 @@ class Model:
         self.slots = 1 << 20
         self.key, self.value = np.full(self.slots, -1, np.int64), np.zeros(self.slots, bool)
         self.n = n
-        self.pool = Pool(self.encode)
+        self.pool = Pool(self.encode, UNITS)
 
     def merge(self, text: str, halves: dict | None = None) -> list[str]:
         """Byte-pair merging step by step: the earliest formed neighbour pair first, then the leftmost."""
@@ -178,7 +182,7 @@ class Model:
                 if v is None:
                     a, b = divmod(x, self.n)
                     v = True if a not in self.text or b not in self.text else self.compatible(a, b)
-                    if len(self.known) > 2_000_000:
+                    if len(self.known) > PAIRS:
                         self.known.clear()
                     self.known[x] = v
                 said[k] = v
@@ -190,7 +194,16 @@ class Model:
         """Ids of all units, one after another, and how many each has. A unit starts with one space at most, as U+2581."""
         odd = {k: self.stepwise(u) for k, u in enumerate(units) if u.startswith(b"\xe2\x96\x81\xe2\x96\x81")}
         plain = [u for k, u in enumerate(units) if k not in odd]
-        ids, sizes = self._lattice(plain) if plain else (np.empty(0, np.int32), np.empty(0, np.int64))
+        parts, group, held = [(np.empty(0, np.int32), np.empty(0, np.int64))], [], 0
+        for u in plain:
+            group.append(u)
+            held += len(u)
+            if held >= INDEXED_BYTES:
+                parts.append(self._lattice(group))
+                group, held = [], 0
+        if group:
+            parts.append(self._lattice(group))
+        ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
         if not odd:
             return ids, sizes
         parts, out, k = np.split(ids, np.cumsum(sizes)[:-1]) if len(sizes) else [], [], 0
@@ -314,7 +327,7 @@ def model(path: str) -> Model:
 
 
 #: Bytes of text that a worker encodes at once.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 
 
 def encode(documents: DataFrame, path: str, column: str = "text", to: str = "ids") -> DataFrame:
