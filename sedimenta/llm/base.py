@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,15 @@ def binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def trim() -> None:
+    """Gives freed memory back to the system; Python workers outlive their tasks and share an executor's limit."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that a piece holds at most `limit` bytes of `column`, or one row."""
     for batch in batches:
@@ -47,6 +57,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
             upto = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
             yield batch.slice(at, upto - at)
             at = upto
+    trim()
 
 
 # ---------------------------------------------------------------- words
