@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,17 +36,26 @@ def collapse_whitespace(c: Column) -> Column:
     return strip(F.array_join(F.transform(F.split(c, "\n", -1), strip), "\n"))
 
 
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def remove_repeated_lines(c: Column, least: int = REPEATS, longest: int = LINE_LENGTH) -> Column:
     """Without the short lines that stand `least` times or more; blank and long lines stay."""
-    lines = F.split(c, "\n", -1)
-    sorted_lines = F.array_sort(F.transform(lines, strip))
-    n = F.size(sorted_lines)
-    run = F.filter(
-        F.transform(F.when(n >= least, F.sequence(F.lit(1), n - least + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.when(F.element_at(sorted_lines, i) == F.element_at(sorted_lines, i + least - 1), F.element_at(sorted_lines, i))),
-        lambda x: x.isNotNull() & (x != "") & (F.length(x) <= longest),
-    )
-    repeated = F.array_distinct(run)
-    return F.array_join(F.filter(lines, lambda x: ~F.array_contains(repeated, strip(x))), "\n")
+
+    def often(s: Column) -> Column:
+        """Lines that stand as far as `least` - 1 places on in sorted order as well."""
+        n = F.size(s)
+        ahead = F.slice(s, least, F.greatest(n - least + 1, F.lit(0)))
+        pairs = F.filter(F.zip_with(ahead, F.slice(s, 1, F.greatest(n - least + 1, F.lit(0))), lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull() & (x != "") & (F.length(x) <= longest))
+        return F.array_distinct(pairs)
+
+    def kept(lines: Column) -> Column:
+        repeated = _let(F.array_sort(F.transform(lines, strip)), often)
+        return _let(repeated, lambda r: F.when(F.size(r) == 0, F.array_join(lines, "\n")).otherwise(F.array_join(F.filter(lines, lambda x: ~F.array_contains(r, strip(x))), "\n")))
+
+    return _let(F.split(c, "\n", -1), kept)
 
 
 def line_count(c: Column) -> Column:
