@@ -75,14 +75,14 @@ def ocr_confidence(spark, sf_dir):
 
 @query(
     """
-WITH b AS (SELECT l_orderkey AS doc_id, l_linenumber % 2 AS page, l_linenumber AS ordinal, l_quantity / 7 AS y, l_tax * 100 AS x, CASE WHEN l_linenumber % 6 = 0 THEN '  ' ELSE ' ' || l_partkey || ' ' END AS t FROM lineitem),
-p AS (SELECT doc_id, page, coalesce(string_agg(trim(t), chr(10) ORDER BY round(y, 1), round(x, 1), ordinal) FILTER (WHERE trim(t) <> ''), '') AS t FROM b GROUP BY ALL)
+WITH b AS (SELECT l_orderkey AS doc_id, l_linenumber % 2 AS page, l_linenumber AS ordinal, l_quantity % 7 + 0.04 AS y, CAST(l_partkey % 9 AS DOUBLE) + 0.03 AS x, CASE WHEN l_linenumber % 6 = 0 THEN '  ' ELSE ' ' || l_partkey || ' ' END AS t FROM lineitem),
+p AS (SELECT doc_id, page, coalesce(string_agg(trim(t), chr(10) ORDER BY round(y, 1), round(x, 1), ordinal, trim(t)) FILTER (WHERE trim(t) <> ''), '') AS t FROM b GROUP BY ALL)
 SELECT doc_id, string_agg(t, chr(10) || chr(10) ORDER BY page) AS text FROM p GROUP BY doc_id
 """
 )
 def layout_reading_order(spark, sf_dir):
     text = F.when(F.col("l_linenumber") % 6 == 0, "  ").otherwise(F.concat(F.lit(" "), F.col("l_partkey").cast("string"), F.lit(" ")))
-    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), (F.col("l_linenumber") % 2).alias("page"), F.col("l_linenumber").alias("ordinal"), (F.col("l_quantity") / 7).alias("y0"), (F.col("l_tax") * 100).alias("x0"), text.alias("text"))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), (F.col("l_linenumber") % 2).alias("page"), F.col("l_linenumber").alias("ordinal"), (F.col("l_quantity") % 7 + 0.04).alias("y0"), ((F.col("l_partkey") % 9).cast("double") + 0.03).alias("x0"), text.alias("text"))
     return op.reading_order(rows)
 
 
