@@ -94,10 +94,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS at FROM d WHERE len(ws) >= 50),
-h AS (SELECT doc_id, at, md5(array_to_string(ws[at:at + 49], ' ')) AS h FROM p),
-c AS (SELECT doc_id, at, min(doc_id) OVER (PARTITION BY h) AS least FROM h),
-gone AS (SELECT DISTINCT doc_id, unnest(range(at, at + 50)) AS i FROM c WHERE least < doc_id),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS pos FROM d WHERE len(ws) >= 50),
+h AS (SELECT doc_id, pos, md5(array_to_string(ws[pos:pos + 49], ' ')) AS h FROM p),
+c AS (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY h) AS least FROM h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS i FROM c WHERE least < doc_id),
 w AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d),
 k AS (SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.i) FILTER (WHERE gone.i IS NULL) AS kept, count(gone.i) AS n FROM w LEFT JOIN gone ON w.doc_id = gone.doc_id AND w.i = gone.i GROUP BY w.doc_id)
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256

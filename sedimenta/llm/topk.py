@@ -45,7 +45,8 @@ def choose_pivots(rows: list[list[int]], n: int = PIVOTS) -> dict[int, np.ndarra
     """Farthest-first vectors of each length, from a sample."""
     out = {}
     for d in sorted({len(r) for r in rows}):
-        have = np.array([r for r in rows if len(r) == d], np.float64).reshape(-1, d)
+        own = [r for r in rows if len(r) == d]
+        have = np.array(own, np.float64).reshape(len(own), d)
         chosen, far = [0], np.linalg.norm(have - have[0], axis=1)
         while len(chosen) < min(n, len(have)) and far.max() > 0:
             chosen.append(int(far.argmax()))
