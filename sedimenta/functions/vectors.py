@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,45 +53,71 @@ def sparse_positive(v: Column) -> Column:
     return F.transform_keys(F.map_filter(v, lambda k, w: w > 0), lambda k, w: k.cast("int"))
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, k: int, by: str = "l2", block_rows: int = 4096) -> DataFrame:
-    """(query_id, vec_id, score, rank): each query's k nearest by squared distance ('l2') or inner product ('dot'). Ties: smaller vec_id.
+def _blocks(queries: DataFrame, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of the queries, in blocks of about `rows`, which bounds what goes to the driver and the executors at once."""
+    n = max(1, -(-queries.count() // rows))
+    for b in range(n):
+        own = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == b).orderBy("query_id").collect()
+        yield np.array([r["query_id"] for r in own], np.int64), np.array([r["q"] for r in own], np.float64)
 
-    queries: (query_id, q), a stated set that is cut into blocks of at most block_rows, each small enough to broadcast
-    and matched with all vectors in a pass of its own; every task keeps its own k best, which one shuffle merges.
-    """
-    n = queries.count()
+
+def _each_block(queries: DataFrame, vectors: DataFrame, rows: int, score: Callable) -> DataFrame:
     found = None
-    for b in range(max(1, -(-n // block_rows))):
-        rows = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(max(1, -(-n // block_rows)))) == b).collect()
-        part = vectors.select("vec_id", "embedding").mapInPandas(_best(rows, k, by), "query_id long, vec_id long, score double")
+    for ids, q in _blocks(queries, rows):
+        part = vectors.select("vec_id", "embedding").where("embedding is not null").mapInPandas(score(ids, q), "query_id long, vec_id long, score double")
         found = part if found is None else found.unionByName(part)
-    order = F.asc("score") if by == "l2" else F.desc("score")
-    from pyspark.sql import Window
+    return found
 
-    return found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(order, "vec_id"))).where(F.col("rank") <= k)
 
+def similarities(queries: DataFrame, vectors: DataFrame, block_rows: int = 4096) -> DataFrame:
+    """(query_id, vec_id, score): inner products of a stated set of queries (query_id, q) with all vectors (vec_id, embedding)."""
+
+    def score(ids: np.ndarray, q: np.ndarray) -> Callable:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for at in range(0, len(pdf), 512):
+                    part = pdf[at : at + 512]
+                    if len(ids):
+                        s = np.stack(part["embedding"].to_numpy()).astype(np.float64) @ q.T
+                        yield pd.DataFrame({"query_id": np.tile(ids, len(part)), "vec_id": np.repeat(part["vec_id"].to_numpy(), len(ids)), "score": s.ravel()})
+
+        return run
+
+    return _each_block(queries, vectors, block_rows, score)
 
-def _best(rows: list, k: int, by: str) -> Callable:
-    ids = np.array([r["query_id"] for r in rows], np.int64)
-    q = np.array([r["q"] for r in rows], np.float64)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept_ids = [np.empty(0, np.int64)] * len(ids)
-        kept = [np.empty(0)] * len(ids)
-        for pdf in batches:
-            pdf = pdf[pdf["embedding"].notna()]
-            if not len(pdf):
-                continue
-            v, names = np.stack(pdf["embedding"].to_numpy()).astype(np.float64), pdf["vec_id"].to_numpy()
-            for i in range(len(ids)):
-                score = np.round(((v - q[i]) ** 2).sum(1) if by == "l2" else v @ q[i], 6)
-                all_ids, all_scores = np.r_[kept_ids[i], names], np.r_[kept[i], score]
-                best = np.lexsort((all_ids, all_scores if by == "l2" else -all_scores))[:k]
-                kept_ids[i], kept[i] = all_ids[best], all_scores[best]
-        if len(ids):
-            yield pd.DataFrame({"query_id": np.repeat(ids, [len(x) for x in kept]), "vec_id": np.concatenate(kept_ids), "score": np.concatenate(kept)})
-
-    return run
+
+def nearest(queries: DataFrame, vectors: DataFrame, k: int, by: str = "l2", block_rows: int = 4096) -> DataFrame:
+    """(query_id, vec_id, score, rank): each query's k nearest by squared distance ('l2') or inner product ('dot'). Ties: smaller vec_id.
+
+    Blocks of the stated queries meet all vectors, a pass for each block; every task keeps its own k best, which one
+    shuffle merges. Scores count to six digits.
+    """
+
+    def score(ids: np.ndarray, q: np.ndarray) -> Callable:
+        squares = (q * q).sum(1) if len(ids) else None
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best = [(np.empty(0), np.empty(0, np.int64))] * len(ids)
+            for pdf in batches:
+                for at in range(0, len(pdf) if len(ids) else 0, 2048):
+                    part = pdf[at : at + 2048]
+                    v, names = np.stack(part["embedding"].to_numpy()).astype(np.float64), part["vec_id"].to_numpy()
+                    dots = q @ v.T
+                    cost = np.round(squares[:, None] + (v * v).sum(1)[None] - 2 * dots if by == "l2" else -dots, 6)
+                    for i in range(len(ids)):
+                        near = np.flatnonzero(cost[i] <= np.partition(cost[i], k - 1)[k - 1]) if len(names) > k else np.arange(len(names))
+                        c, n = np.r_[best[i][0], cost[i][near]], np.r_[best[i][1], names[near]]
+                        order = np.lexsort((n, c))[:k]
+                        best[i] = c[order], n[order]
+            if len(ids):
+                cost = np.concatenate([b[0] for b in best])
+                yield pd.DataFrame({"query_id": np.repeat(ids, [len(b[0]) for b in best]), "vec_id": np.concatenate([b[1] for b in best]), "score": cost if by == "l2" else -cost})
+
+        return run
+
+    order = F.asc("score") if by == "l2" else F.desc("score")
+    found = _each_block(queries, vectors, block_rows, score)
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(order, "vec_id"))).where(F.col("rank") <= k)
 
 
 # ---------------------------------------------------------------- encoders

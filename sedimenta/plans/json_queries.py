@@ -53,14 +53,18 @@ def json_harvest_meta(spark, sf_dir):
 
 @query(
     f"""
-WITH b AS (SELECT doc_id, source, {_T} AS t FROM documents WHERE doc_id % 4 = 0)
-SELECT doc_id, CAST(0 AS INTEGER) AS ord, 'other' AS role, 'title' AS path, 'T' || doc_id AS text FROM b UNION ALL
-SELECT doc_id, CAST(1 AS INTEGER), 'blob', 'body_text', t FROM b
+WITH {_S}, n AS (
+  SELECT doc_id, 1 AS o, 'other' AS role, 'title' AS path, 'T' || doc_id AS text FROM b WHERE k = 0 UNION ALL
+  SELECT doc_id, 2, 'blob', CASE k WHEN 0 THEN 'body_text' WHEN 1 THEN 'body' ELSE '[0].content' END, t FROM b WHERE k <> 2 AND NOT junk AND t <> '' UNION ALL
+  SELECT doc_id, 3, 'blob', 'body_paragraphs[0].text', t FROM b WHERE k = 1 AND NOT junk AND t <> '' UNION ALL
+  SELECT doc_id, 3, 'other', '[1].title', 'fin' FROM b WHERE k = 3)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY o) - 1 AS INTEGER) AS ord, role, path, text FROM n
 """
 )
 def json_harvest_nodes(spark, sf_dir):
+    """The first tier's strings of every document: a table function in SQL."""
     spark.udtf.register("harvest_json_nodes", jh.HarvestNodes)
-    _articles(spark, sf_dir).where("doc_id % 4 = 0").createOrReplaceTempView("sedimenta_articles")
+    _articles(spark, sf_dir).createOrReplaceTempView("sedimenta_articles")
     return spark.sql("SELECT a.doc_id, n.ord, n.role, n.path, n.text FROM sedimenta_articles a, LATERAL harvest_json_nodes(a.raw) n")
 
 

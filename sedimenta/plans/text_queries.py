@@ -131,10 +131,10 @@ def text_line_count(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", tx.line_count(text).alias("num_lineas"), encoding.alias("codificacion"))
 
 
-@query(f"WITH l AS (SELECT doc_id, {s_strip('unnest(string_split(text, chr(10)))')} AS line FROM documents) SELECT doc_id, line, count(*) AS n FROM l WHERE line <> '' GROUP BY ALL HAVING count(*) > 1")
+@query(f"WITH l AS (SELECT doc_id, {s_strip('unnest(string_split(text, chr(10)))')} AS line FROM documents) SELECT doc_id, line, count(*) AS n FROM l WHERE line <> '' GROUP BY ALL")
 def line_frequency(spark, sf_dir):
     lines = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("l")).select("doc_id", tx.strip(F.col("l")).alias("line"))
-    return lines.where("line <> ''").groupBy("doc_id", "line").agg(F.count("*").alias("n")).where("n > 1")
+    return lines.where("line <> ''").groupBy("doc_id", "line").agg(F.count("*").alias("n"))
 
 
 _LISTS = ", ".join(f"('{k}', string_split('{v}', ' '))" for k, v in tu.FREQUENT.items())
