@@ -140,19 +140,22 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW, node: int = NODE)
     texts = documents.select("doc_id", "text", (F.crc32("text") - F.lit(1 << 31)).cast("int").alias("copy")).where("doc_id is not null and text is not null")
     paths = materialize(texts.mapInArrow(_paths(window, node), _PATHS))
     shared = paths.groupBy("node").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("node")
+    shared = materialize(shared)  # joins of two plain shuffles are ones that Spark can split where a key is frequent
     paths = materialize(paths.join(shared, "node", "left_semi"))
     key = ["node", "path1", "path2"]
-    firsts = paths.groupBy(*key).agg(F.min("doc_id").alias("least"))
+    firsts = materialize(paths.groupBy(*key).agg(F.min("doc_id").alias("least")))
     placed = materialize(paths.join(firsts, key))
     whole = placed.where("least < doc_id").select("doc_id", "copy", "at", "n")
     branching = (
         placed.groupBy("node").agg(F.min(F.struct("path1", "path2")).alias("a"), F.max(F.struct("path1", "path2")).alias("b")).where("a < b").select("node")
     )
+    branching = materialize(branching)
     wanted = (
         placed.where("least = doc_id").join(branching, "node", "left_semi").groupBy("doc_id", "copy").agg(F.collect_list(F.struct("at", "n")).alias("wanted"))
     )
     windows = materialize(texts.join(wanted, ["doc_id", "copy"]).select("doc_id", "copy", "text", "wanted").mapInArrow(_windows(window), _WINDOWS))
     least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
+    least = materialize(least)
     single = windows.join(least, ["w1", "w2"]).where("least < doc_id").select("doc_id", "copy", "at", F.lit(1).alias("n"))
     return whole.unionByName(single)
 
