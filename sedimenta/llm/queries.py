@@ -75,6 +75,93 @@ def op10_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
     return token_digests(table(spark, sf_dir, "documents"), tokenizer or public_tokenizer("word_bpe_49k.json"))
 
 
+# ---------------------------------------------------------------- SQL counterparts that are composed
+
+
+def _quote(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _secrets_sql() -> str:
+    from .secrets import ALLOWED, BASE, CLASSES
+
+    kinds = [*BASE, *CLASSES]
+    finds = []
+    for n, (pattern, group, least) in enumerate(BASE.values()):
+        finds.append((n, pattern, f"length(regexp_extract(m, {_quote(pattern)}, {group})) >= {least}"))
+    for n, (alphabet, width, _, needs) in enumerate(CLASSES.values(), len(BASE)):
+        inside = "".join("\\" + c if c in "+/-_" else c for c in alphabet)
+        tests = [f"regexp_matches(m, {_quote(p)})" for p in needs] + [f"NOT regexp_matches(m, {_quote(p)})" for p in ALLOWED]
+        finds.append((n, f"[{inside}]{{{width},}}", " AND ".join(tests)))
+    raw = " UNION ALL ".join(
+        f"SELECT * FROM (SELECT doc_id, {n} AS kind, unnest(regexp_extract_all(text, {_quote(p)})) AS m, unnest(regexp_split_to_array(text, {_quote(p)})[:-2]) AS gap, generate_subscripts(regexp_extract_all(text, {_quote(p)}), 1) AS i FROM d)" for n, p, _ in finds
+    )
+    keep = " OR ".join(f"(kind = {n} AND {test})" for n, _, test in finds)
+    widths = " ".join(f"WHEN {n} THEN {c[1]}" for n, c in enumerate(CLASSES.values(), len(BASE)))
+    bits = " ".join(f"WHEN {n} THEN {c[2]}" for n, c in enumerate(CLASSES.values(), len(BASE)))
+    names = "[" + ", ".join(_quote(k) for k in kinds) + "]"
+    told = f"string_agg({names}[kind + 1] || ':' || s || ':' || e, ',' ORDER BY s, kind)"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = {n}) AS n_{k}" for n, k in enumerate(BASE))
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+raw AS ({raw}),
+placed AS (SELECT doc_id, kind, m, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT) AS e FROM raw),
+good AS (SELECT doc_id, kind, m, e - length(m) AS s, e FROM placed WHERE {keep}),
+base AS (SELECT doc_id, kind, s, e FROM good WHERE kind < {len(BASE)}),
+wins AS (SELECT doc_id, kind, s, m, CASE kind {widths} END AS w, CASE kind {bits} END AS bits, unnest(range(0, length(m) - CASE kind {widths} END + 1)) AS at0 FROM good WHERE kind >= {len(BASE)}),
+hot AS (SELECT doc_id, kind, s + at0 AS a, s + at0 + w AS b, s FROM wins WHERE list_aggregate(string_split(substr(m, at0 + 1, w), ''), 'entropy') >= bits - 1e-9),
+more AS (SELECT doc_id, kind, min(a) AS s, max(b) AS e FROM hot GROUP BY doc_id, kind, hot.s),
+added AS (SELECT * FROM more WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = more.doc_id AND base.s <= more.s AND more.e <= base.e)),
+b AS (SELECT doc_id, {counts}, {told} AS spans FROM base GROUP BY doc_id),
+a AS (SELECT doc_id, {told} AS spans, count(*) FILTER (WHERE kind >= {len(BASE)}) AS n_added FROM (SELECT * FROM base UNION ALL SELECT * FROM added) GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)}, sha256(coalesce(b.spans, '')) AS base_sha256, coalesce(a.spans, '') AS spans, coalesce(n_added, 0) AS n_added
+FROM d LEFT JOIN b ON d.doc_id = b.doc_id LEFT JOIN a ON d.doc_id = a.doc_id
+"""
+
+
+def _licenses_sql() -> str:
+    from .licenses import BLOCK, PHRASES, STRIDE, TEMPLATES, THRESHOLD
+
+    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    places = " UNION ALL ".join(
+        f"SELECT doc_id, {_quote(label)} AS label, unnest(list_filter(range(1, len(ws) + 1), lambda i: {' AND '.join(f'ws[i + {k}] = {_quote(w)}' for k, w in enumerate(p.split()))})) - 1 AS pos FROM d" for p, label in PHRASES.items()
+    )
+    templates = ", ".join(f"({_quote(label)}, {sorted(set(t.split()))})" for label, texts in TEMPLATES.items() for t in texts)
+    return f"""
+WITH l AS (SELECT doc_id, translate(coalesce(text, ''), '{upper}', '{upper.lower()}') AS t FROM documents),
+d AS (SELECT doc_id, regexp_extract_all(t, {word}) AS ws FROM l),
+p AS ({places}),
+b AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p GROUP BY doc_id),
+lines AS (SELECT doc_id, regexp_extract_all(line, {word}) AS ws FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM l)),
+blocks AS (SELECT doc_id, ws[s + 1:s + {BLOCK}] AS ws FROM (SELECT doc_id, ws, unnest(range(0, greatest(1, len(ws) - {BLOCK - STRIDE}), {STRIDE})) AS s FROM lines)),
+templates(label, own) AS (VALUES {templates}),
+shares AS (SELECT doc_id, label, len(list_intersect(own, ws)) / len(own) AS share FROM blocks CROSS JOIN templates),
+found AS (SELECT doc_id, label, max(share) AS share FROM shares WHERE share >= {THRESHOLD} - 1e-9 GROUP BY ALL),
+labels AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM found UNION ALL SELECT doc_id, label FROM p) GROUP BY doc_id),
+scores AS (SELECT doc_id, max(share) AS score FROM found GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN b ON d.doc_id = b.doc_id LEFT JOIN labels ON d.doc_id = labels.doc_id LEFT JOIN scores ON d.doc_id = scores.doc_id
+"""
+
+
+def _sharding_sql() -> str:
+    def jump(shards: int) -> str:
+        step = "(s[1] * 2862933555777941757 + 1) % 18446744073709551616"
+        jumped = f"CAST(floor(CAST(s[3] + 1 AS DOUBLE) * (2147483648.0 / CAST((({step}) // 8589934592) + 1 AS DOUBLE))) AS HUGEINT)"
+        walk = f"list_reduce(list_transform(range({shards + 1}), lambda x: [CAST(0 AS HUGEINT)]), lambda s, x: CASE WHEN s[3] >= {shards} THEN s ELSE [{step}, s[3], {jumped}] END, [CAST(key AS HUGEINT), CAST(-1 AS HUGEINT), CAST(0 AS HUGEINT)])"
+        return f"CAST(({walk})[2] AS INTEGER)"
+
+    return f"""
+WITH t AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS crc),
+d AS (SELECT doc_id, encode(coalesce(text, '')) AS raw, (coalesce(doc_id, 0) + CAST(18446744073709551616 AS HUGEINT)) % 18446744073709551616 AS key FROM documents),
+r AS (SELECT doc_id, CAST(octet_length(raw) + 1 AS BIGINT) AS size,
+  xor(list_reduce(list_transform(regexp_extract_all(hex(raw), '..'), lambda x: CAST(CAST('0x' || x AS INTEGER) AS BIGINT)), lambda c, b: xor(c >> 8, t.crc[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS text_crc32,
+  {jump(8)} AS shard, {jump(9)} AS grown_shard FROM d, t)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, grown_shard FROM r
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -110,4 +197,7 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS "rank", vec_id, score FROM r WHERE n <= 5
 """,
+    "op6_secrets": _secrets_sql(),
+    "op8_licenses": _licenses_sql(),
+    "op9_sharding": _sharding_sql(),
 }

@@ -299,7 +299,7 @@ def test_queries_are_registered():
     assert names == {"pipeline", *(f"op{n}_" for n in range(1, 11))}
 
 
-@pytest.mark.parametrize("name", ["op2_substring_dedup", "op4_topk"])
+@pytest.mark.parametrize("name", ["op2_substring_dedup", "op4_topk", "op6_secrets", "op8_licenses", "op9_sharding"])
 def test_oracles(spark, name):
     from compare import differences
     from sedimenta.llm.queries import ORACLES, QUERIES
