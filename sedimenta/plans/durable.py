@@ -24,3 +24,9 @@ def materialize(df: DataFrame) -> DataFrame:
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt out to all cores if it comes in fewer pieces than there are; a table of some size stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import json_harvest as jh
 from ..functions.text_udf import normalize_key
 from ..operators import corpus as op
+from .durable import spread
 from .registry import query, table
 from .text_queries import s_strip, s_words
 
@@ -19,7 +20,7 @@ def _articles(spark, sf_dir):
     link = F.to_json(F.struct(F.array(F.struct(F.col("text").alias("alt"))).alias("images"), F.col("doc_id").alias("id")))
     lines = F.concat(F.to_json(F.struct(F.col("text").alias("content"))), F.lit("\n"), F.to_json(F.struct(F.lit("fin").alias("title"))))
     raw = F.when(k == 0, flat).when(k == 1, both).when(k == 2, link).otherwise(lines)
-    return table(spark, sf_dir, "documents").select("doc_id", raw.alias("raw"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")).select("doc_id", raw.alias("raw"))
 
 
 def _harvested(spark, sf_dir):

@@ -9,6 +9,7 @@ from ..functions import text as tx
 from ..functions import text_udf as tu
 from ..operators.corpus import chunk_words as chunks_of
 from ..operators.corpus import ocr_choice
+from .durable import spread
 from .registry import query, table
 
 NBSP, ZWSP, BELL, WIDE, ACUTE = " ", "​", "\x07", "　", "́"
@@ -59,7 +60,7 @@ S_CLEAN = f"{S_DIRTY}, ready AS (SELECT doc_id, nfc_normalize({s_control('text')
 
 
 def _dirty_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "source", dirty(F.col("text")).alias("text"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).withColumn("text", dirty(F.col("text")))
 
 
 # ---------------------------------------------------------------- queries
@@ -151,7 +152,7 @@ SELECT doc_id, CASE WHEN n < 20 OR score = 0 THEN 'und' ELSE code END AS idioma
 """
 )
 def lang_detect(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", tu.detect_language("text").alias("idioma"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", tu.detect_language("text").alias("idioma"))
 
 
 @query(f"SELECT doc_id, length({s_strip('substr(text, 1, 2000)')}) < 20 AS und FROM documents")
@@ -221,7 +222,7 @@ SELECT doc_id, CAST(s // 40 AS INTEGER) AS chunk_ix, array_to_string(ws[s + 1:s
 """
 )
 def chunk_words(spark, sf_dir):
-    return chunks_of(table(spark, sf_dir, "documents").select("doc_id", "text"), size=50, overlap=10)
+    return chunks_of(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), size=50, overlap=10)
 
 
 @query("SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text")
@@ -254,7 +255,7 @@ SELECT page_id, array_to_string(list_transform(regexp_extract_all(h, '<[^>]*>|[^
 """
 )
 def html_to_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", tu.html_to_text("html").alias("text"))
+    return spread(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", tu.html_to_text("html").alias("text"))
 
 
 @query("SELECT c_custkey, 'c_custkey: ' || c_custkey || ' | c_name: ' || c_name || CASE WHEN c_custkey % 3 = 0 THEN '' ELSE ' | seg: ' || c_mktsegment END AS text FROM customer")
