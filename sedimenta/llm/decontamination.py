@@ -11,7 +11,8 @@ What collides is verified exactly, so no result is wrong; recall at the full edi
 Windows are drawn only where the text shares enough runs of g words with an item: each of e edits breaks g runs at
 most, so at least n - g + 1 - e * g of them start within a matching window. No match is lost by this.
 
-Items go to all executors in groups of at most ITEM_GROUP items, one pass over the documents for each group.
+Items go to all executors in groups of about ITEM_GROUP items or ITEM_BYTES bytes at most, one pass over the documents
+for each group.
 
 Defined results. Null and empty texts and items without words match nothing. A null doc_id is reported as null; a null
 item_id too. Repeated documents are each reported; a repeated item is reported for each of its ids. Extra columns are
@@ -34,6 +35,7 @@ from .base import LETTERS, Words, binary, chunks, mixed, ranges, runs
 SIMILARITY = 0.8
 WALKS, TABLES, PLACES = 6, 8, 3
 ITEM_GROUP = 20_000
+ITEM_BYTES = 8 << 20
 #: Bytes of text that a worker searches at once.
 TEXT_BYTES = 4 << 20
 #: Words of the runs that are counted, where an item is long enough.
@@ -204,8 +206,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
 def _each_group(documents: DataFrame, benchmark: DataFrame, similarity: float, clean: bool) -> DataFrame:
     spark = documents.sparkSession
     rows = benchmark.select("item_id", "text").where("text is not null")
-    n = rows.count()
-    groups = max(1, -(-n // ITEM_GROUP))
+    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    groups = max(1, -(-n // ITEM_GROUP), -(-size // ITEM_BYTES))
     numbered = rows.withColumn("g", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)))
     out = None
     for g in range(groups):
