@@ -82,8 +82,11 @@ def first_of_each(df: DataFrame, keys: list[str], order: list[Column | str]) ->
 def dedupe_features(features: DataFrame) -> DataFrame:
     """One feature for each layer and identity in a root: fid, id or FID if set and neither 0 nor empty, else all attributes.
 
-    features: (root, path, ordinal, layer, attrs map<string,string>); the first by path, then ordinal, stays.
+    features: (root, path, ordinal, layer, attrs map<string,string>); the first by path, then ordinal, stays. A column
+    `key`, where there is one, is the identity.
     """
+    if "key" in features.columns:
+        return first_of_each(features, ["root", "layer", "key"], [path_order(F.col("path")), F.col("ordinal")])
 
     def given(name: str) -> Column:
         v = F.try_element_at("attrs", F.lit(name))

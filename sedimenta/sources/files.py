@@ -16,7 +16,7 @@ from ..operators.corpus import dedupe_features, path_order
 from .adapters import ADAPTERS, FORMATS, Options, tile_features
 
 EXTRACTED = "fuente string, formato string, texto string, meta map<string,string>, error string, traceback string"
-FEATURE = "root string, path string, ordinal int, layer string, attrs map<string,string>, text string"
+FEATURE = "root string, path string, ordinal int, layer string, key string, attrs map<string,string>, text string"
 
 
 def extension(path: Column) -> Column:
@@ -61,6 +61,14 @@ def extract(files: DataFrame, options: Options | None = None) -> DataFrame:
     return files.select("fuente", "formato", "content").mapInPandas(run, EXTRACTED)
 
 
+def identity(attrs: dict) -> str:
+    """What makes two features of a layer the same: the first of fid, id and FID that is set and neither zero, false nor empty, else all attributes."""
+    given = next((v for name in ("fid", "id", "FID") if (v := attrs.get(name))), None)
+    if given is None:
+        return json.dumps(sorted(attrs.items()), ensure_ascii=False)
+    return f"n{float(given)!r}" if isinstance(given, (int, float)) and float(given) == given else f"s{given}"
+
+
 def features(tiles: DataFrame) -> DataFrame:
     """FEATURE of (fuente, content): all features of all tiles; a tile that can't be decoded is passed over."""
 
@@ -74,8 +82,8 @@ def features(tiles: DataFrame) -> DataFrame:
                     continue
                 for k, (layer, attrs) in enumerate(found):
                     pairs = [f"{a}: {v}" for a, v in attrs.items() if v is not None and str(v).strip()]
-                    rows.append((root, path, k, layer, {a: None if v is None else str(v) for a, v in attrs.items()}, " | ".join([f"capa: {layer}", *pairs])))
-            yield pd.DataFrame(rows, columns=["root", "path", "ordinal", "layer", "attrs", "text"])
+                    rows.append((root, path, k, layer, identity(attrs), {a: None if v is None else str(v) for a, v in attrs.items()}, " | ".join([f"capa: {layer}", *pairs])))
+            yield pd.DataFrame(rows, columns=["root", "path", "ordinal", "layer", "key", "attrs", "text"])
 
     return tiles.select(tileset_root(F.col("fuente")).alias("root"), "fuente", "content").mapInPandas(run, FEATURE)
 
