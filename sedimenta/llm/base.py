@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..plans.durable import materialize, shared_dir  # noqa: F401
 
 #: Bytes of text that a Python worker handles at once.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,7 +75,7 @@ LETTERS[128:] = np.arange(128, 256)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
 #: Powers that stay in memory.
-_KEPT = (4 << 20) + 2
+_KEPT = (2 << 20) + 2
 _powers: list[np.ndarray] = []
 
 

@@ -127,7 +127,7 @@ class Model:
         key = np.zeros(n + 8 * self.words, np.uint64)
         for k in range(8):
             key[:n] |= padded[k : n + k].astype(np.uint64) << np.uint64(56 - 8 * k)
-        order = np.argsort(key[:n], kind="stable")
+        order = np.argsort(key[:n])
         reach = 8
         rank = np.zeros(n + 1, np.int64)
         sorted_key = key[order]
@@ -136,7 +136,7 @@ class Model:
             after = np.zeros(n, np.int64)
             after[: n - reach] = rank[reach:n] if reach < n else 0
             both = rank[:n] * (n + 1) + after
-            order = np.argsort(both, kind="stable")
+            order = np.argsort(both)
             s = both[order]
             rank[order] = np.r_[1, 1 + np.cumsum(s[1:] != s[:-1])]
             reach *= 2
@@ -146,17 +146,23 @@ class Model:
         """(piece number, position) of every place where a piece stands, by a binary search for each piece's range."""
         order, key = self.suffixes(data)
         n, found = len(data), []
+        leading = key[order]
+        bounds = np.searchsorted(leading, self.piece[:, 0]), np.searchsorted(leading, self.piece[:, 0] | ~self.mask[:, 0], "right")
         for upper in (False, True):
-            low, high = np.zeros(len(self.ids), np.int64), np.full(len(self.ids), n, np.int64)
-            open_ = np.arange(len(self.ids))
+            low, high = bounds[0].copy(), bounds[1].copy()
+            if upper:
+                low[self.size <= 8] = high[self.size <= 8]
+            open_ = np.flatnonzero((self.size > 8) & (low < high))
             while len(open_):
                 mid = (low[open_] + high[open_]) // 2
                 at = order[mid]
                 less, equal = np.zeros(len(open_), bool), np.ones(len(open_), bool)
-                for w in range(self.words):
-                    have, want = key[at + 8 * w] & self.mask[open_, w], self.piece[open_, w]
-                    less |= equal & (have < want)
-                    equal &= have == want
+                for w in range(1, self.words):
+                    sub = np.flatnonzero(equal & (self.size[open_] > 8 * w))
+                    if not len(sub):
+                        break
+                    have, want = key[at[sub] + 8 * w] & self.mask[open_[sub], w], self.piece[open_[sub], w]
+                    less[sub], equal[sub] = have < want, have == want
                 right = less | equal if upper else less
                 low[open_[right]] = mid[right] + 1
                 high[open_[~right]] = mid[~right]
@@ -243,7 +249,7 @@ class Model:
         unit_of = np.repeat(begins, lengths)
         end = start + size
         level = end - unit_of[start]
-        by = np.argsort(level.astype(np.int32), kind="stable")
+        by = np.argsort(level.astype(np.uint16 if level.max() < 1 << 16 else np.int64), kind="stable")
         start, end, token, size, level = start[by], end[by], token[by], size[by], level[by]
         first = start == unit_of[start]
         last, step = np.full(len(data) + 1, -1, np.int64), np.zeros(len(data) + 1, np.int64)
