@@ -39,7 +39,7 @@ def listing(spark: SparkSession, root: str, glob: str | None = None, recursive:
     base = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toString().rstrip("/") + "/"
     plain = base.split(":", 1)[-1].lstrip("/")
     relative = F.regexp_replace(F.col("path"), "^[a-z0-9]+:/*", "")
-    return reader.load(root).select(F.substring(F.url_decode(F.replace(relative, F.lit("+"), F.lit("%2B"))), F.lit(len(plain) + 1), F.length("path")).alias("fuente"), "length", "content")
+    return reader.load(root).select(F.substring(relative, F.lit(len(plain) + 1), F.length("path")).alias("fuente"), "length", "content")
 
 
 def extract(files: DataFrame, options: Options | None = None) -> DataFrame:

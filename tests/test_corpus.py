@@ -140,3 +140,25 @@ def test_stream_remembers(spark, tmp_path):
         spark.createDataFrame([(k, f" t{k} ")], "doc_id long, text string").coalesce(1).write.mode("append").parquet(source)
         ingest(spark, source, target, mark, 1)
     assert sorted(r.texto_limpio for r in spark.read.parquet(target).collect()) == ["t0", "t1"]
+
+
+def test_listing_takes_names_as_they_are(spark, tmp_path):
+    names = ["a b.txt", "ñandú.txt", "100%.txt", "x+y.TXT", "p%20q.txt", "sub dir/#1.txt", ".hidden/x", "no_ending"]
+    for name in names:
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_text("x")
+    rows = {r.fuente: r.e for r in files.listing(spark, f"{tmp_path}/in").select("fuente", files.extension(F.col("fuente")).alias("e")).collect()}
+    assert {k: v for k, v in rows.items() if not k.startswith(".")} == {k: ("" if k == "no_ending" else ".txt") for k in names if not k.startswith(".")}
+
+
+def test_feature_identity():
+    assert files.identity({"fid": 7}) == files.identity({"id": 7.0, "fid": 0}) != files.identity({"fid": "7"})
+    assert files.identity({"fid": 0, "a": 1}) != files.identity({"fid": "", "a": 1})
+
+
+def test_numbering_is_global(spark):
+    rows = spark.createDataFrame([(f"{k % 7}/{k}",) for k in range(300)], "p string").repartition(5)
+    got = [(r.p, r.n) for r in op.numbered(rows, op.path_order(F.col("p")), first=5).collect()]
+    order = sorted((p for p, _ in got), key=lambda p: p.split("/"))
+    assert sorted(got, key=lambda x: x[1]) == [(p, k) for k, p in enumerate(order, 5)]
+    assert op.numbered(rows.limit(0), "p").count() == 0

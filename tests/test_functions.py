@@ -117,3 +117,16 @@ def test_encoder(spark):
     assert got[1].n_tokens == 4 and sorted(got[1].sparse.values()) == [1.0, 1.0, 2.0]
     with pytest.raises(ValueError):
         vx.encode_texts(F.col("t"), "none")
+
+
+def test_cleaning_on_random_texts(spark):
+    """Column expressions and the Arrow function agree on texts made of everything that cleaning looks at."""
+    import random
+
+    draw = random.Random(8)
+    parts = ["a", "B", "é", "e\u0301", " ", "  ", "\t", "\n", "\n\n\n", "\r", "\x00", "\x0b", "\x1c", "\x7f", "\x85", "\xa0", "\u200b", "\u3000", "\ufeff", "Menu\n", " Menu\n", "x" * 81 + "\n", "中", "😀"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 60))) for _ in range(400)]
+    steps = column(spark, texts, lambda c: tx.collapse_whitespace(tx.remove_repeated_lines(tu.normalize_nfc(tx.remove_control_chars(c)))))
+    assert column(spark, texts, tu.clean_text) == steps == [tu.clean(t) for t in texts]
+    assert column(spark, texts, tx.word_count) == [len(t.split()) for t in texts]
+    assert column(spark, texts, tx.strip) == [t.strip() for t in texts]
