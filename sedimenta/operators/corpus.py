@@ -165,3 +165,15 @@ def ocr_choice(text: Column, ocr: Column, least: int = 50) -> Column:
     from ..functions.text import strip
 
     return F.when((F.length(strip(text)) < least) & (F.length(ocr) > F.length(text)), ocr).otherwise(text)
+
+
+def patch_outcomes(listed: DataFrame, changes: DataFrame, least: int = 50) -> DataFrame:
+    """(fuente, outcome) of each listed source: ok, still_empty (under `least` characters), error, or missing.
+
+    listed: (fuente), changes: (fuente, texto, error).
+    """
+    from ..functions.text import strip
+
+    rows = listed.select("fuente").distinct().join(changes.select("fuente", "texto", "error", F.lit(True).alias("_hit")), "fuente", "left")
+    outcome = F.when(F.col("_hit").isNull(), "missing").when(F.col("error").isNotNull(), "error").when(F.length(strip(F.coalesce("texto", F.lit("")))) >= least, "ok").otherwise("still_empty")
+    return rows.select("fuente", outcome.alias("outcome"))

@@ -111,3 +111,19 @@ def jsonl_roundtrip(spark, sf_dir):
     where = f"{shared_dir(spark)}/out.jsonl"
     sinks.write_jsonl(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto"), F.when(F.col("doc_id") % 2 != 0, F.col("lang")).alias("idioma")), where)
     return files.load_records(spark, where).select("doc_id", "texto", "idioma")
+
+
+@query(
+    """
+WITH listed AS (SELECT doc_id FROM documents UNION SELECT doc_id + 1000000 FROM documents)
+SELECT l.doc_id AS fuente, CASE WHEN d.doc_id IS NULL THEN 'missing' WHEN b.toxic = 1 THEN 'error' WHEN length(trim(substr(d.text, 1, 60 - d.doc_id % 30))) >= 50 THEN 'ok' ELSE 'still_empty' END AS outcome
+FROM listed l LEFT JOIN documents d ON l.doc_id = d.doc_id LEFT JOIN labels b ON l.doc_id = b.doc_id
+"""
+)
+def patch_log(spark, sf_dir):
+    """What became of each listed source when its text was read again."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.substring("text", F.lit(1), (60 - F.col("doc_id") % 30).cast("int"))
+    changes = docs.join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id", "left").select(F.col("doc_id").alias("fuente"), F.trim(text).alias("texto"), F.when(F.col("toxic") == 1, "broken").alias("error"))
+    ids = docs.select(F.col("doc_id").alias("fuente"))
+    return op.patch_outcomes(ids.unionByName(ids.select((F.col("fuente") + 1000000).alias("fuente"))), changes)

@@ -162,3 +162,35 @@ def test_numbering_is_global(spark):
     order = sorted((p for p, _ in got), key=lambda p: p.split("/"))
     assert sorted(got, key=lambda x: x[1]) == [(p, k) for k, p in enumerate(order, 5)]
     assert op.numbered(rows.limit(0), "p").count() == 0
+
+
+def test_stream_gives_lasting_ids(spark, tmp_path):
+    from sedimenta.streaming.ingest import ingest_with_ids
+
+    where = [f"{tmp_path}/{x}" for x in ("in", "out", "registry", "mark")]
+    for k in range(2):
+        rows = [(f"F1_a/{k}{j}.txt", "txt", f" text {k}{j} ") for j in range(2)] + [("F1_a/00.txt", "txt", "again")]
+        spark.createDataFrame(rows, "fuente string, formato string, text string").coalesce(1).write.mode("append").parquet(where[0])
+        ingest_with_ids(spark, *where)
+    got = sorted((r.doc_id, r.fuente) for r in spark.read.parquet(where[1]).select("doc_id", "fuente").distinct().collect())
+    assert got == [("DOC-0001", "F1_a/00.txt"), ("DOC-0002", "F1_a/01.txt"), ("DOC-0003", "F1_a/10.txt"), ("DOC-0004", "F1_a/11.txt")]
+    assert spark.read.parquet(where[2]).count() == 4
+
+
+def test_commands(spark, folder, tmp_path, capsys):
+    from sedimenta.__main__ import main
+
+    out = f"{tmp_path}/docs.jsonl"
+    main(["corpus", folder, out, "--registry", f"{tmp_path}/reg", "--errors", f"{tmp_path}/err"])
+    assert spark.read.json(out).count() == 10 and spark.read.json(f"{tmp_path}/err").count() == 2
+    main(["corpus", folder, out, "--registry", f"{tmp_path}/reg", "--resume"])
+    assert spark.read.json(out).count() == 10
+    assert sinks.read_registry(spark, f"{tmp_path}/reg/now").count() == 10
+    main(["harvest", folder, f"{tmp_path}/log", "--texts", f"{tmp_path}/texts", "--catalog", "broken.json"])
+    tiers = {r.archivo: r.tier for r in spark.read.json(f"{tmp_path}/log").collect()}
+    assert tiers == {"a/y.json": 1, "a/broken.json": 0}
+    assert [(r.doc_id, r.fenomeno, r.org) for r in spark.read.json(f"{tmp_path}/texts").collect()] == [("DOC-0000", 0, "a")]
+    main(["census", f"{tmp_path}/log"])
+    assert "body" in capsys.readouterr().out
+    main(["encode", f"{tmp_path}/texts", f"{tmp_path}/vec", "--encoder", "hash64", "--text-field", "texto"])
+    assert len(spark.read.parquet(f"{tmp_path}/vec").first().dense) == 64
