@@ -230,13 +230,12 @@ def write_ids(documents: DataFrame, to: str, tokenizer: str, end_id: int = END_I
 def read_ids(spark: SparkSession, where: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of the files that write_ids has left; filters on doc_id prune stripes and row groups."""
     rows = spark.read.schema(_SCHEMA).orc(where)
-    totals = {r["range"]: r["n"] for r in rows.groupBy("range").agg(F.sum("n_tokens").alias("n")).collect()}  # a row a file
-    starts, before = [], 0
-    for k in range(max(totals, default=-1) + 1):
-        starts.append(before)
-        before += totals.get(k, 0)
-    offset = F.element_at(F.array(*[F.lit(x).cast("long") for x in starts or [0]]), F.col("range") + 1)
-    return rows.select("doc_id", (F.col("before") + offset).alias("start"), "n_tokens", "ids")
+    offsets, before = [], 0
+    for r in sorted(rows.groupBy("range").agg(F.sum("n_tokens").alias("n")).collect()):  # a row a file
+        offsets.append((r["range"], before))
+        before += r["n"]
+    starts = spark.createDataFrame(offsets, "range int, offset long")
+    return rows.join(F.broadcast(starts), "range").select("doc_id", (F.col("before") + F.col("offset")).alias("start"), "n_tokens", "ids")
 
 
 def token_digests(documents: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
