@@ -25,14 +25,13 @@ def numbered(df: DataFrame, *order: Column | str, first: int = 1, to: str = "n")
     named = df.withColumns({f"_o{k}": c for k, c in enumerate(keys)})
     names = [f"_o{k}" for k in range(len(keys))]
     ranged = materialize(named.repartitionByRange(parts, *names).withColumn("_range", F.spark_partition_id()))
-    counts = {r["_range"]: r["count"] for r in ranged.groupBy("_range").count().collect()}  # a row a range
     offsets, before = [], first
-    for k in range(max(counts, default=0) + 1):
-        offsets.append(before)
-        before += counts.get(k, 0)
+    for r in sorted(ranged.groupBy("_range").count().collect()):  # a row a range
+        offsets.append((r["_range"], before))
+        before += r["count"]
+    starts = df.sparkSession.createDataFrame(offsets, "_range int, _before long")
     within = F.row_number().over(Window.partitionBy("_range").orderBy(*names)) - 1
-    offset = F.element_at(F.array(*[F.lit(x).cast("long") for x in offsets]), F.col("_range") + 1)
-    return ranged.select(*kept, (within + offset).alias(to))
+    return ranged.withColumn("_within", within).join(F.broadcast(starts), "_range").select(*kept, (F.col("_within") + F.col("_before")).alias(to))
 
 
 def doc_name(n: Column) -> Column:
