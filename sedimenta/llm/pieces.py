@@ -29,9 +29,9 @@ from .token_files import Pool, pieces_of
 SPACE = "▁"
 _NEVER = float("inf")
 #: Bytes of new units that are indexed at once; a longer unit is indexed alone.
-INDEXED_BYTES = 512 << 10
+INDEXED_BYTES = 128 << 10
 #: Units and pairs of pieces that a worker remembers before it starts anew.
-UNITS, PAIRS = 400_000, 500_000
+UNITS, PAIRS = 250_000, 300_000
 
 
 class Model:
@@ -333,7 +333,7 @@ def model(path: str) -> Model:
 
 
 #: Bytes of text that a worker encodes at once.
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 
 
 def encode(documents: DataFrame, path: str, column: str = "text", to: str = "ids") -> DataFrame:
