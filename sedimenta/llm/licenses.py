@@ -7,6 +7,11 @@ looked at; blocks with fewer than c words are passed over (length filter), and s
 this order leaves fewer than c words behind it, in the template or in the block (positional filter). What remains is
 counted.
 
+Notices are often wrapped, so a template is also contained if at least the threshold's share of its distinct words is in
+as many consecutive words of the text as the template has, line feeds or not. These runs are looked for around prefix
+words too. Longer ones over line feeds do not count: words of neighbouring lines would add up to short templates. The
+SQL counterpart knows only the lines.
+
 Defined results. Null text: as empty, no words, score 0. Repeated rows and null doc_ids are scanned like any other. Extra
 columns are ignored. An empty table gives an empty result.
 """
@@ -107,8 +112,13 @@ class Matcher:
             need = math.ceil(threshold * len(own) - 1e-9)
             self.templates.append((label, own, need))
         self.prefix = np.zeros(len(counts), bool)
-        for _, own, need in self.templates:
+        #: By prefix word: label, distinct words, how many are needed, and in how many words, of the templates it may begin.
+        self.runs: dict[int, list[tuple[str, frozenset[int], int, int]]] = {}
+        for (label, own, need), (_, text) in zip(self.templates, templates, strict=True):
             self.prefix[own[: len(own) - need + 1]] = True
+            most = len(text.split())
+            for r in own[: len(own) - need + 1]:
+                self.runs.setdefault(r, []).append((label, frozenset(own), need, most))
 
     def places(self, numbers: np.ndarray, text_of: np.ndarray) -> list[tuple[int, str]]:
         out = []
@@ -149,6 +159,19 @@ class Matcher:
         return out
 
 
+    def wrapped(self, ranks: np.ndarray, first: int, last: int, hits: np.ndarray):
+        """Templates, with their share, that a text's runs of consecutive words around its prefix words contain."""
+        for h in hits.tolist():
+            for label, own, need, most in self.runs[int(ranks[h])]:
+                a = max(first, h - most + 1)
+                here = ranks[a : min(last, h + most)].tolist()
+                if len(own.intersection(here)) < need:
+                    continue
+                shared = max(len(own.intersection(here[s : s + most])) for s in range(h - a + 1))
+                if shared >= need:
+                    yield label, shared / len(own)
+
+
 def license_scan(documents: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str, tuple[str, ...]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score (the largest share of a contained template, 0 if none)."""
     flat = [(label, t) for label, texts in templates.items() for t in texts]
@@ -174,6 +197,7 @@ def license_scan(documents: DataFrame, phrases: dict[str, str] = PHRASES, templa
                 lines = breaks[np.searchsorted(breaks, a) : np.searchsorted(breaks, b)]
                 for s, e in matcher.blocks(a, b, lines, own):
                     found.setdefault(d, []).extend(matcher.contained(ranks[s:e], e - s))
+                found.setdefault(d, []).extend(matcher.wrapped(ranks, a, b, own))
             rows = range(batch.num_rows)
             base = [sorted({label for _, label in places.get(d, [])}) for d in rows]
             yield pa.RecordBatch.from_arrays(

@@ -206,6 +206,21 @@ def test_licenses(spark, rows):
     assert got == sorted((license_row(i, t, None) for i, t in every), key=repr)
 
 
+def test_licenses_over_line_feeds(spark):
+    notices = {
+        "bsd": " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:\n",
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\n",
+        "lgpl": "# This library is free software; you can redistribute it and/or\r\n# modify it under the terms of the GNU Lesser General Public\r\n# License as published by the Free Software Foundation\r\n",
+        "mpl": "rem This Source Code Form is subject to the terms of the Mozilla Public\nrem License, v. 2.0. If a copy of the MPL was not distributed\n",
+    }
+    texts = [before + notice + "some more words\n" * 30 for before in ("", "a line before\n" * 100) for notice in notices.values()]
+    texts += ["\n".join(notice.split()) for notice in notices.values()] + ["word\n" * 90 + "released word\n" * 9 + "under\nthe word word word word\nlicense"]
+    got = {r.doc_id: r for r in licenses.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for k in range(12):
+        assert [*notices][k % 4] in got[k].labels.split(",") and got[k].score >= licenses.THRESHOLD
+    assert (got[12].labels, got[12].score) == ("", 0.0)
+
+
 def test_licenses_edges(clashing, empty, rows):
     assert licenses.license_scan(empty).count() == 0
     assert told(licenses.license_scan(clashing)) == sorted((license_row(r[0], r[1], None) for r in rows), key=repr)
