@@ -5,6 +5,10 @@ over the counts of vote patterns estimates how often each labeller says what of
 posterior for each pattern. On a hash-drawn sample of about SAMPLE documents the posteriors train a linear scorer over
 hashed features: trigrams of character shapes, repeated words, variety. Every document is scored by it.
 
+Repetition is measured in the same way at every length, over the whole text: the share of words that repeat one of the
+same stretch, over equal consecutive stretches of at most STRETCH words, or the share of PASSAGE-word runs that the text
+has had before, whichever is larger. The first does not grow with the text, the second sees passages of any length.
+
 The driver gets a row for each vote pattern (3**labellers at most) and the sample's features, nothing that grows.
 
 Defined results. Documents on which no labeller has an opinion, null and empty texts among them, are scored but kept. Repeated rows score alike. Null doc_ids are scored like any other. Extra columns are ignored by score() and
@@ -19,10 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import Words, binary, chunks
+from .base import Words, binary, chunks, mixed, runs
 
 SAMPLE = 8192
 BUCKETS = 1024
+#: Words of a stretch at most, and of a run, for measuring repetition.
+STRETCH, PASSAGE = 1000, 8
 #: Documents that the scorer gives less than this are rejected.
 THRESHOLD = 0.5
 
@@ -65,10 +71,22 @@ class Texts:
         before = np.where(words.end - words.start > 1, self.data[words.end - 2], 97)
         self.bare = self._per_text(_POINT[last] & (words.end - words.start == 1), words.first)
         self.decorated = self._per_text(_POINT[last] & (_ODD[last] | _ODD[before]) & (words.end - words.start > 1), words.first)
-        order = np.lexsort((h, text))
-        fresh = np.ones(len(h), bool)
-        fresh[1:] = (h[order][1:] != h[order][:-1]) | (text[order][1:] != text[order][:-1])
-        self.distinct = np.bincount(text[order][fresh], minlength=len(self.n)).astype(np.float64)
+        parts = np.maximum(-(-np.diff(words.first) // STRETCH), 1)
+        stretch = (np.arange(len(h)) - words.first[text]) * parts[text] // np.maximum(np.diff(words.first), 1)[text]
+        fresh = self._fresh(h, text * (1 << 32) + stretch)
+        whole = np.flatnonzero(text[PASSAGE - 1 :] == text[: len(text) - PASSAGE + 1]) if len(h) >= PASSAGE else np.empty(0, np.int64)
+        seen = whole[~self._fresh(runs(h, PASSAGE)[whole], text[whole])] if len(whole) else whole
+        again = np.bincount(text[seen], minlength=len(self.n)) / np.maximum(self.n - PASSAGE + 1, 1)
+        self.repetition = np.maximum(1 - np.bincount(text[fresh], minlength=len(self.n)) / np.maximum(self.n, 1), again)
+
+    @staticmethod
+    def _fresh(hashes: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Whether each hash is the first of its kind in its group."""
+        key = mixed(hashes ^ mixed(group.astype(np.uint64)))
+        order = np.argsort(key, kind="stable")
+        out = np.ones(len(key), bool)
+        out[order[1:]] = key[order[1:]] != key[order[:-1]]
+        return out
 
     @staticmethod
     def _per_text(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -87,7 +105,7 @@ class Texts:
             (self.again / n, 0.03, 0.2),
             (self.bare / n, 0.02, 0.15),
             (self.decorated / n, 0.03, 0.25),
-            (np.where(self.n < 5000, 1 - self.distinct / n, 0.6), 0.55, 0.8),
+            (self.repetition, 0.55, 0.8),
             (self.n / np.maximum(self.stops, 1), 60, 150),
             (self.solid / n, 10, 16),
         ]
@@ -108,7 +126,7 @@ class Texts:
             out[:, :BUCKETS] = np.sqrt(out[:, :BUCKETS] / np.maximum(out[:, :BUCKETS].sum(1, keepdims=True), 1))
         n = np.maximum(self.n, 1)
         out[:, BUCKETS] = np.sqrt(self.again / n)
-        out[:, BUCKETS + 1] = np.sqrt(np.where(self.n < 5000, 1 - self.distinct / n, 0.6))
+        out[:, BUCKETS + 1] = np.sqrt(self.repetition)
         out[:, BUCKETS + 2] = 1
         return out
 

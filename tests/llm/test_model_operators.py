@@ -68,6 +68,22 @@ def test_quality_votes_follow_their_texts():
     assert np.allclose(together.features(), np.concatenate([a.features() for a in alone]))
 
 
+@pytest.mark.parametrize("passage", [40, 700, 2500])
+def test_quality_sees_repetition_at_every_length(passage):
+    import pyarrow as pa
+
+    from sedimenta.llm.base import binary
+
+    draw = random.Random(4)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(5))
+    own = [word() for _ in range(passage)]
+    texts = [" ".join((own * 1000)[:n]) for n in (13 * passage, 4999 + 8 * passage, 5000 + 8 * passage, 60000)]
+    texts += [" ".join(word() for _ in range(n)) for n in (4999, 5000, 60000)]
+    got = quality.Texts(*binary(pa.array(texts)))
+    assert (got.votes()[:4, 5] == 0).all() and (got.votes()[4:, 5] == 1).all()
+    assert (got.repetition[:4] > 0.85).all() and (got.repetition[4:] < 0.1).all()
+
+
 def best(rows, k):
     out = []
     good = [(i, [int(np.floor(256 * np.float64(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
