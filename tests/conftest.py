@@ -8,8 +8,6 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 os.environ["PYTHONPATH"] = f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"
 
-DATA = Path("/root/testdata")
-
 
 @pytest.fixture(scope="session")
 def spark():

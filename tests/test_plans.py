@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import DATA
+from compare import DATA
 from sedimenta.plans.catalogue import QUERIES
 
 SF = str(DATA / "sf0.001")

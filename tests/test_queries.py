@@ -2,8 +2,7 @@
 
 import pytest
 
-from compare import differences
-from conftest import DATA
+from compare import DATA, differences
 from sedimenta.plans.catalogue import ORACLES, QUERIES
 
 
