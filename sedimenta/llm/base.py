@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.durable import materialize, shared_dir  # noqa: F401
@@ -74,6 +76,8 @@ LETTERS[128:] = np.arange(128, 256)
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
+#: Words of more bytes are hashed by XXH3: sums of powers modulo 2**64 have known collisions from about 1000 terms on.
+_SUMMED = 64
 #: Powers that stay in memory.
 _KEPT = (2 << 20) + 2
 _powers: list[np.ndarray] = []
@@ -152,11 +156,28 @@ class Words:
             return np.empty(0, np.uint64)
         total, inverse = _sums(_values(seed)[self.data])
         value = (total[self.end] - total[self.start]) * inverse[self.start]
-        return mixed(value + (self.end - self.start).astype(np.uint64) * _ODD)
+        size = self.end - self.start
+        out = mixed(value + size.astype(np.uint64) * _ODD)
+        for k in np.flatnonzero(size > _SUMMED).tolist():
+            out[k] = xxhash.xxh3_64_intdigest(self.data[self.start[k] : self.end[k]], seed)
+        return out
+
+    def digests(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """(spans, 2): 128 bits of BLAKE2 of the bytes of the words first..last-1 of each span, joined by one space, as signed integers."""
+        size = self.end - self.start
+        ends = np.cumsum(size + 1) - 1
+        joined = np.full(int(ends[-1]) if len(ends) else 0, 32, np.uint8)
+        solid = self.data[self.data != 32]
+        joined[np.arange(len(solid)) + np.repeat(np.arange(len(size)), size)] = solid
+        whole = memoryview(joined)
+        begin, end = (ends - size)[first].tolist(), ends[last - 1].tolist()
+        digest = hashlib.blake2b
+        raw = b"".join([digest(whole[a:b], digest_size=16).digest() if a < b else bytes(16) for a, b in zip(begin, end, strict=True)])
+        return np.frombuffer(raw, "<i8").reshape(-1, 2)
 
 
 def runs(hashes: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit hash of each `width` consecutive entries; one for each place where that many follow."""
+    """A 64-bit hash of each `width` consecutive entries (some dozens at most); one for each place where that many follow."""
     n = len(hashes) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
@@ -164,12 +185,6 @@ def runs(hashes: np.ndarray, width: int) -> np.ndarray:
     return mixed((total[width:] - total[:n]) * inverse[:n])
 
 
-def spans(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the entries of each span [start, end)."""
-    total, inverse = _sums(hashes)
-    return mixed((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64) * _ODD)
-
-
 def ranges(counts: np.ndarray) -> np.ndarray:
     """0..c-1 for each c, one after another."""
     ends = np.cumsum(counts)

@@ -4,7 +4,8 @@ Nodes are token k-mers (25 words), edges the 50-word windows. A node is kept whe
 in a window (a minimiser), so equal windows keep the same node; consecutive windows on one node form one compacted
 nonbranching path. Spark joins find the nodes that documents share, and the paths that they share whole. Where a
 shared node has several paths it branches: there the windows themselves, fetched again by their source coordinates,
-decide. Paths and windows are compared by 128 bits over all of their words.
+decide. Node hashes only bring candidates together: what is removed is verified on the words that stand at the source
+coordinates, by a cryptographic digest (BLAKE2, 128 bits) of their bytes.
 
 Defined results. Null text: no words. A null doc_id is neither smaller nor larger than another: such a row loses
 nothing and takes nothing. Repeated rows with one doc_id don't take from each other. Fewer than 50 words: nothing is
@@ -20,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Words, binary, chunks, materialize, ranges, runs, spans
+from .base import Words, binary, chunks, materialize, ranges, runs
 
 WINDOW = 50
 NODE = 25
 
-_PATHS = "node long, path1 long, path2 long, doc_id long, copy int, at int, n int"
-_WINDOWS = "w1 long, w2 long, doc_id long, copy int, at int"
+_PATHS = "node long, path1 long, path2 long, doc_id long, copy long, at int, n int"
+_WINDOWS = "w1 long, w2 long, doc_id long, copy long, at int"
 
 
 def _smallest(values: np.ndarray, width: int) -> np.ndarray:
@@ -37,11 +38,6 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(have[: len(have) - (width - reach)], have[width - reach :]) if reach < width else have
 
 
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
-
-
-
 def _paths(window: int, node: int):
     def cut(batches):
         for batch in chunks(batches, "text"):
@@ -49,24 +45,24 @@ def _paths(window: int, node: int):
             words = Words(data, offsets)
             if len(words) < window:
                 continue
-            h1, h2 = words.hashes(0), words.hashes(1)
-            nodes = runs(h1, node)
+            nodes = runs(words.hashes(), node)
             counts = np.maximum(np.diff(words.first) - window + 1, 0)
             start = np.repeat(words.first[:-1], counts) + ranges(counts)
             if not len(start):
                 continue
-            low = np.uint64((1 << max(24, len(words).bit_length())) - 1)
+            low = np.uint64((1 << 32) - 1)
             keyed = (nodes & ~low) | np.arange(len(nodes), dtype=np.uint64)
             chosen = (_smallest(keyed, window - node + 1)[start] & low).astype(np.int64)
             first = np.flatnonzero(np.r_[True, (np.diff(start) != 1) | (np.diff(chosen) != 0)])
             n = np.diff(np.r_[first, len(start)])
             at = start[first]
             document = np.searchsorted(words.first, at, "right") - 1
+            path = words.digests(at, at + n + window - 1)
             yield pa.RecordBatch.from_arrays(
                 [
-                    _signed(nodes[chosen[first]]),
-                    _signed(spans(h1, at, at + n + window - 1)),
-                    _signed(spans(h2, at, at + n + window - 1)),
+                    pa.array(nodes[chosen[first]].view(np.int64)),
+                    pa.array(path[:, 0]),
+                    pa.array(path[:, 1]),
                     batch.column("doc_id").take(pa.array(document)),
                     batch.column("copy").take(pa.array(document)),
                     pa.array((at - words.first[document]).astype(np.int32)),
@@ -83,7 +79,6 @@ def _windows(window: int):
         for batch in chunks(batches, "text"):
             data, offsets = binary(batch.column("text"))
             words = Words(data, offsets)
-            h1, h2 = words.hashes(0), words.hashes(1)
             wanted = batch.column("wanted")
             per_row = np.diff(wanted.offsets.to_numpy())
             flat = wanted.flatten()
@@ -91,10 +86,11 @@ def _windows(window: int):
             row = np.repeat(np.repeat(np.arange(batch.num_rows), per_row), n)
             start = np.repeat(at, n) + ranges(n)
             placed = start + words.first[row]
+            own = words.digests(placed, placed + window)
             yield pa.RecordBatch.from_arrays(
                 [
-                    _signed(spans(h1, placed, placed + window)),
-                    _signed(spans(h2, placed, placed + window)),
+                    pa.array(own[:, 0]),
+                    pa.array(own[:, 1]),
                     batch.column("doc_id").take(pa.array(row)),
                     batch.column("copy").take(pa.array(row)),
                     pa.array(start.astype(np.int32)),
@@ -136,8 +132,8 @@ def _kept(window: int, with_text: bool):
 
 
 def repeated_spans(documents: DataFrame, window: int = WINDOW, node: int = NODE) -> DataFrame:
-    """(doc_id, copy, at, n): windows at..at+n-1 of the document also start in one with a smaller doc_id. copy: the text's CRC-32, less 2**31."""
-    texts = documents.select("doc_id", "text", (F.crc32("text") - F.lit(1 << 31)).cast("int").alias("copy")).where("doc_id is not null and text is not null")
+    """(doc_id, copy, at, n): windows at..at+n-1 of the document also start in one with a smaller doc_id. copy: the text's XXH64."""
+    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("copy")).where("doc_id is not null and text is not null")
     paths = materialize(texts.mapInArrow(_paths(window, node), _PATHS))
     shared = paths.groupBy("node").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("node")
     shared = materialize(shared)  # joins of two plain shuffles are ones that Spark can split where a key is frequent
@@ -163,6 +159,6 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW, node: int = NODE)
 def substring_dedup(documents: DataFrame, window: int = WINDOW, node: int = NODE, with_text: bool = True) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text (kept words joined by one space)."""
     found = repeated_spans(documents, window, node).groupBy("doc_id", "copy").agg(F.collect_list(F.struct("at", "n")).alias("found"))
-    texts = documents.select("doc_id", "text", (F.crc32("text") - F.lit(1 << 31)).cast("int").alias("copy"))
+    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("copy"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")
     return texts.join(found, ["doc_id", "copy"], "left").select("doc_id", "text", "found").mapInArrow(_kept(window, with_text), schema)

@@ -48,6 +48,17 @@ def test_substring_dedup_random(spark):
     assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in got.collect())
 
 
+def test_substring_dedup_tells_like_hashes_apart(spark):
+    """A Thue-Morse word and its complement have the same sum of powers modulo 2**64, whatever the base; so have such runs of words."""
+    bits = [bin(k).count("1") & 1 for k in range(2048)]
+    word, other = ("".join("ab"[b ^ c] for b in bits) for c in (0, 1))
+    same = " ".join(f"w{k}" for k in range(49))
+    texts = [f"{same} {word}", f"{same} {other}", " ".join("ab"[b] for b in bits), " ".join("ba"[b] for b in bits), f"{same} {word} end"]
+    rows = list(enumerate(texts))
+    got = told(substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"), with_text=False))
+    assert got == removed(rows, 50) and got[1][2] == 0 and got[4][2] == 50
+
+
 def test_substring_dedup_edges(clashing, empty, rows):
     assert told(substring_dedup(clashing, with_text=False)) == removed(rows, 50)
     assert substring_dedup(empty).count() == 0
