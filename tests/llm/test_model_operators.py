@@ -1,5 +1,6 @@
 """Quality, top-k, SentencePiece, decontamination, sharding, token files, pipeline."""
 
+import math
 import random
 import re
 import zlib
@@ -86,14 +87,12 @@ def test_quality_sees_repetition_at_every_length(passage):
 
 def best(rows, k):
     out = []
-    good = [(i, [int(np.floor(256 * np.float64(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
-    queries = {}
-    for i, v in good:
+    whole = lambda x: math.floor(256 * np.float64(np.float32(x)))
+    good = [(n, i, [whole(x) for x in v]) for n, (i, v) in enumerate(rows) if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    for n, i, q in good:
         if i % 50 == 0:
-            queries[i] = min(queries.get(i, v), v)
-    for i, q in queries.items():
-        scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in good if j != i and len(v) == len(q))
-        out += [(i, n, j, -s) for n, (s, j) in enumerate(scores[:k], 1)]
+            scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for m, j, v in good if m != n and len(v) == len(q))
+            out += [(i, r, j, -s) for r, (s, j) in enumerate(scores[:k], 1)]
     return sorted(out, key=repr)
 
 
@@ -101,7 +100,8 @@ def best(rows, k):
 def test_top_k(spark, k, blocks):
     draw = random.Random(k)
     rows = [(i, [round(draw.uniform(-1, 1), 3) for _ in range(6)]) for i in range(180)]
-    rows += [(200 + i, rows[50][1]) for i in range(40)] + [(300, [0.0] * 6), (350, [1.0]), (351, [-1.0]), (352, []), (None, [0.5] * 6), (400, None), (401, [float("nan")] * 6), (402, [None, 1.0]), (403, [float("inf")] * 6), (50, rows[50][1]), (450, [900.0, -900.0, 1e-9, 0.5, 0.25, 3.0])]
+    rows += [(200 + i, rows[50][1]) for i in range(40)] + [(300, [0.0] * 6), (350, [1.0]), (351, [-1.0]), (352, []), (None, [0.5] * 6), (400, None), (401, [float("nan")] * 6), (402, [None, 1.0]), (403, [float("inf")] * 6), (450, [900.0, -900.0, 1e-9, 0.5, 0.25, 3.0])]
+    rows += [(50, rows[50][1]), (50, rows[50][1]), (50, [0.5] * 6), (100, [2.0] * 6), (101, [2.0] * 6), (101, [2.0] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("v", F.lit("x")).repartition(3)
     vectors = df.where(F.col("vec_id").isNotNull() & topk.usable(F.col("embedding"))).select("vec_id", topk.whole_numbers(F.col("embedding")).alias("v"))
     got = topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k, 4, *blocks)
@@ -109,6 +109,22 @@ def test_top_k(spark, k, blocks):
     assert told(topk.embedding_top_k(df, k)) == best(rows, k)
 
 
+def test_top_k_of_large_components(spark):
+    """Finite components of any size take part; scores are exact beyond 53 bits, and an error where they leave a long."""
+    schema = "vec_id long, embedding array<float>"
+    draw = random.Random(2)
+    rows = [(1, [1.0, 2.0]), (50, [300000.0, 1.0]), (2, [3.0, 1.0])]
+    rows += [(100 + k, [draw.choice((1.0, 2.0**22, 2.0**23 + 1, -(2.0**21))) * draw.uniform(-1, 1) for _ in range(2)]) for k in range(120)]
+    assert told(topk.embedding_top_k(spark.createDataFrame(rows, schema))) == best(rows, 5)
+    far = [(k, [draw.uniform(-1, 1), 2.0**26]) for k in range(1, 40)] + [(50, [1.0, 0.0]), (100, [0.0, 0.5])]
+    assert told(topk.embedding_top_k(spark.createDataFrame(far, schema))) == best(far, 5)
+    over = spark.createDataFrame([(50, [2.0**40]), (51, [2.0**40])], schema)
+    with pytest.raises(Exception, match="doesn't fit a long"):
+        topk.embedding_top_k(over).collect()
+    own = [(50, [2.0**40]), (51, [0.0]), (52, [1.0])]
+    assert told(topk.embedding_top_k(spark.createDataFrame(own, schema))) == best(own, 5)
+
+
 def test_top_k_empty(spark):
     assert topk.embedding_top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
