@@ -22,6 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets (from 0) of a string or binary column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

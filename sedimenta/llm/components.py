@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import materialize
+from .base import fresh, materialize
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(node, root): each node that has an edge, with the smallest node that it reaches. Null ends are ignored.
 
     Each round writes its edges to the shared folder. Nodes with many edges: their minimum is pre-aggregated before the
-    shuffle, and the join that hands it out is one that Spark splits where it is skewed.
+    shuffle and written, so that the join that hands it out is one of two plain shuffles, which Spark splits where it
+    is skewed.
     """
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct()
     now = materialize(now)
@@ -20,7 +21,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     for _ in range(rounds):
         # large star: each node's larger neighbours go to its smallest neighbour
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
         # small star: each node and its smaller neighbours go to the smallest of them
         large = materialize(large)
@@ -35,3 +36,34 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def dealt(keyed: DataFrame, keys: list[str], by: str, block: int) -> DataFrame:
+    """Rows of keyed whose key stands more than once, each with (i, j): a key of over `block` rows is dealt out in pairs of blocks."""
+    shared = materialize(keyed.groupBy(*keys).count().where("count > 1").select(*keys, F.ceil(F.col("count") / block).cast("int").alias("n")))
+    split = keyed.join(shared, keys).withColumn("p", F.pmod(F.xxhash64(by), F.col("n")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda x: F.struct(F.least(x, "p").alias("i"), F.greatest(x, "p").alias("j")))
+    return split.select(*keyed.columns, F.explode(pairs).alias("b")).select(*keyed.columns, "b.i", "b.j")
+
+
+def heads(classed: DataFrame) -> DataFrame:
+    """(doc_id, digest, n) of each class's head, with its number of rows, of (doc_id, digest, head struct<doc_id, digest>); written."""
+    own = classed.where((F.col("doc_id") == F.col("head.doc_id")) & (F.col("digest") == F.col("head.digest")))
+    return materialize(own.groupBy("doc_id", "digest").agg(F.count("*").alias("n")))
+
+
+def keep_heads(documents: DataFrame, heads: DataFrame) -> DataFrame:
+    """The documents, with all their columns, that are (doc_id, digest) of a head, and those without a doc_id.
+
+    Of rows that repeat a head's doc_id and text, the one with the least hash of all columns stays.
+    """
+    digest, n = fresh(documents, "digest"), fresh(documents, "n")
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    named = heads.select("doc_id", F.col("digest").alias(digest), F.col("n").alias(n))
+    stays = documents.withColumn(digest, F.xxhash64("text")).join(named, ["doc_id", digest])
+    out = stays.where(F.col(n) == 1).select(*columns)
+    if not heads.where("n > 1").isEmpty():
+        row = F.struct(*columns)
+        first = stays.where(F.col(n) > 1).groupBy("doc_id", digest).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("row"))
+        out = out.unionByName(first.select("row.*"))
+    return out.unionByName(documents.where("doc_id is null"))

@@ -8,7 +8,8 @@ the edges of a spanning forest, never all pairs; a bucket over BLOCK fingerprint
 
 Defined results. Null and empty texts have fingerprint zero and link like any other. Fewer words than a shingle: the
 whole sequence is one shingle. A null doc_id is kept and never the smallest unless its component has no other. Repeated
-rows are classed alike. Extra columns are ignored. An empty table gives an empty result.
+rows are classed alike; so are rows that share a doc_id but not a text, each by its own text. Extra columns are ignored by
+simhash_dedup() and kept by one_of_each(). An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,11 +19,11 @@ import random
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .base import chunks, materialize
-from .components import components
+from .components import components, dealt, heads, keep_heads
 
 RADIUS = 4
 SHINGLE = 4
@@ -51,14 +52,27 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
 
 
 def fingerprints(documents: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint of each row's text as a signed 64-bit integer."""
+    """(doc_id, digest, fp): the fingerprint of each row's text as a signed 64-bit integer; digest tells the texts of one doc_id apart."""
 
     def run(batches):
         for batch in chunks(batches, "text"):
             values = np.array([fingerprint(t, width) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(values.view(np.int64))], names=["doc_id", "digest", "fp"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return documents.select("doc_id", "text", F.xxhash64("text").alias("digest")).mapInArrow(run, "doc_id long, digest long, fp long")
+
+
+def majority(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The fingerprint of each text whose shingles' hashes stand between its offsets; zero without any."""
+    n = np.diff(offsets)
+    text = np.repeat(np.arange(len(n)), n)
+    counts = np.zeros((len(n), 64), np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        own = text[at : at + (1 << 16)]
+        bits = np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1)
+        cuts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        counts[own[cuts]] += np.add.reduceat(bits, cuts, axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > n[:, None], axis=1).view(np.uint64)[:, 0]
 
 
 def masks(radius: int = RADIUS, seed: int = 42) -> list[int]:
@@ -133,26 +147,33 @@ def _bucket_edges(radius: int):
 def links(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """(a, b): edges that join what is linked among the distinct values of nodes.fp: a spanning forest for each bucket of each table."""
     keyed = nodes.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks(radius)])).alias("t", "k"))
-    large = keyed.groupBy("t", "k").count().where(F.col("count") > block).select("t", "k", F.ceil(F.col("count") / block).cast("int").alias("n"))
-    split = keyed.join(large, ["t", "k"], "left").withColumn("p", F.when(F.col("n").isNull(), 0).otherwise(F.pmod(F.xxhash64("fp"), F.col("n"))).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.coalesce("n", F.lit(1)) - 1), lambda x: F.struct(F.least(x, "p").alias("i"), F.greatest(x, "p").alias("j")))
-    dealt = split.select("t", "k", "fp", F.explode(pairs).alias("b")).select("t", "k", "b.i", "b.j", "fp")
-    return dealt.repartition("t", "k", "i", "j").sortWithinPartitions("t", "k", "i", "j").mapInArrow(_bucket_edges(radius), "a long, b long")
+    rows = dealt(keyed, ["t", "k"], "fp", block).repartition("t", "k", "i", "j").sortWithinPartitions("t", "k", "i", "j")
+    return rows.mapInArrow(_bucket_edges(radius), "a long, b long")
 
 
-def simhash_dedup(documents: DataFrame, radius: int = RADIUS, width: int = SHINGLE, block: int = BLOCK) -> DataFrame:
-    """Per document: doc_id, fingerprint (16 hexadecimal digits), component_id (the smallest doc_id that it reaches by links)."""
+def least_row() -> Column:
+    """The smallest doc_id of a group, with the text's digest; null where no row has one."""
+    return F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "digest")))
+
+
+def classes(documents: DataFrame, radius: int = RADIUS, width: int = SHINGLE, block: int = BLOCK) -> DataFrame:
+    """Per document: doc_id, digest, fp and head, the (doc_id, digest) of the smallest doc_id that it reaches by links."""
     prints = materialize(fingerprints(documents, width))
-    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    nodes = materialize(prints.groupBy("fp").agg(least_row().alias("least")))
     found = components(links(nodes, radius, block)).withColumnsRenamed({"node": "fp"})
     rooted = materialize(nodes.join(found, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    smallest = materialize(rooted.groupBy("root").agg(F.min("least").alias("head")))  # a frequent root: a join that Spark can split
+    named = materialize(rooted.join(smallest, "root").select("fp", "head"))
+    return prints.join(named, "fp").select("doc_id", "digest", "fp", "head")
+
+
+def simhash_dedup(documents: DataFrame, radius: int = RADIUS, width: int = SHINGLE, block: int = BLOCK) -> DataFrame:
+    """Per document: doc_id, fingerprint (16 hexadecimal digits), component_id (the smallest doc_id that it reaches by links)."""
+    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return classes(documents, radius, width, block).select("doc_id", fingerprint, F.col("head.doc_id").alias("component_id"))
 
 
 def one_of_each(documents: DataFrame, radius: int = RADIUS, width: int = SHINGLE) -> DataFrame:
-    """The documents, with all their columns, that have their component's smallest doc_id; one row where it repeats. Rows without a doc_id stay."""
-    classed = simhash_dedup(documents, radius, width).where("doc_id = component_id").select("doc_id").distinct()
-    stays = documents.join(classed, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stays.unionByName(documents.where("doc_id is null"))
+    """The documents, with all their columns, that are their component's head: the smallest doc_id, of several with that the
+    text with the least digest, of repetitions of that one row. Rows without a doc_id stay."""
+    return keep_heads(documents, heads(classes(documents, radius, width)))

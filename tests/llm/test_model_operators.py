@@ -308,14 +308,14 @@ def test_token_files_of_another_tokenizer(spark):
 
 def test_pipeline(spark):
     import corpus_pipeline as cp
-    from sedimenta.llm import secrets, simhash
+    from sedimenta.llm import near_copies, secrets
 
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [n for n, _ in cp.STAGES] == ["quality_classifier", "near_duplicates", "benchmark_decontamination", "secret_scan", "piece_ids"]
     kept = {r.doc_id for r in quality.score(docs).where("keep").collect()}
     after = docs.where(F.col("doc_id").isin(sorted(kept)))
-    heads = {r.doc_id for r in simhash.simhash_dedup(after).where("doc_id = component_id").collect()}
+    heads = {r.doc_id for r in near_copies.near_copies(after).where("doc_id = group_id").collect()}
     after = after.where(F.col("doc_id").isin(sorted(heads)))
     leaked = {r.doc_id for r in dc.leaks(after, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).collect()}
     out = {r.doc_id: r for r in cp.run(spark, sf_dir).collect()}

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 from llm_helpers import told
-from sedimenta.llm import licenses, secrets, simhash
+from sedimenta.llm import licenses, near_copies, secrets, simhash
 from sedimenta.llm.components import components
 from sedimenta.llm.substring_dedup import substring_dedup
 
@@ -71,7 +71,8 @@ def print_of(text, width):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def classes(rows, radius, width):
+def linked(rows, radius, width):
+    """Each row's fingerprint and class, and each class's smallest doc_id."""
     prints = [print_of(t, width) for _, t, *_ in rows]
     root = list(range(len(rows)))
 
@@ -87,7 +88,12 @@ def classes(rows, radius, width):
     for k, (i, *_) in enumerate(rows):
         if i is not None:
             least[find(k)] = min(least.get(find(k), i), i)
-    return sorted(((i, f"{p:016x}", least.get(find(k))) for k, ((i, *_), p) in enumerate(zip(rows, prints))), key=repr)
+    return prints, [find(k) for k in range(len(rows))], least
+
+
+def classes(rows, radius, width):
+    prints, own, least = linked(rows, radius, width)
+    return sorted(((i, f"{p:016x}", least.get(r)) for (i, *_), p, r in zip(rows, prints, own)), key=repr)
 
 
 @pytest.mark.parametrize("radius, block", [(4, 8192), (8, 8192), (7, 2), (0, 8192)])
@@ -100,8 +106,20 @@ def test_simhash_edges(clashing, empty, rows):
     assert simhash.simhash_dedup(empty).count() == 0
     kept = simhash.one_of_each(clashing)
     assert kept.columns == clashing.columns
-    ids = [r.doc_id for r in kept.where("doc_id is not null").collect()]
-    assert sorted(ids) == sorted({i for i, _, c in classes(rows, 4, 4) if i is not None and i == c})
+    stays = [tuple(r)[:5] for r in kept.collect()]
+    assert sorted(r[0] for r in stays if r[0] is not None) == sorted(linked(rows, 4, 4)[2].values())
+    assert sum(r[0] is None for r in stays) == sum(r[0] is None for r in rows) and set(stays) <= set(rows)
+
+
+def test_one_of_each_keeps_texts_that_share_an_id(spark):
+    """Each row is judged by its own text; of equal rows one stays, whatever their order."""
+    texts = [" ".join(f"{c}{k}" for k in range(60)) for c in "abc"]
+    rows = [(1, texts[0], "x"), (1, texts[1], "x"), (1, texts[1], "y"), (2, texts[0], "x"), (2, texts[2], "x"), (None, texts[2], "x"), (None, texts[2], "x")]
+    for of in (simhash, near_copies):
+        found = {tuple(told(of.one_of_each(spark.createDataFrame(some, "doc_id long, text string, lang string").repartition(2)))) for some in (rows, rows[::-1])}
+        assert len(found) == 1
+        got = [r[:2] for r in found.pop()]
+        assert sorted(got, key=repr) == sorted([rows[0][:2], rows[1][:2], rows[4][:2], (None, texts[2]), (None, texts[2])], key=repr)
 
 
 @pytest.mark.parametrize("radius", [1, 3, 4])
