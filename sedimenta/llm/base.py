@@ -184,6 +184,43 @@ class Words:
         return np.frombuffer(raw, "<i8").reshape(-1, 2)
 
 
+class Vocabulary:
+    """Known words, numbered in the order of their bytes, which must be as the form of the texts leaves them."""
+
+    def __init__(self, words: set[str], form: np.ndarray = LETTERS):
+        self.words = sorted(words)
+        raw = [w.encode() for w in self.words]
+        self.number = {w: k for k, w in enumerate(self.words)}
+        found = Words(*binary(pa.array(raw, pa.binary())), form)
+        if len(found) != len(raw):
+            raise ValueError("not single words of this form")
+        self.data, self.start, self.size = found.data, found.start, found.end - found.start
+        h = found.hashes()
+        self.order = np.argsort(h, kind="stable")
+        self.sorted = h[self.order]
+
+    def of(self, words: Words, at: np.ndarray | None = None, hashes: np.ndarray | None = None) -> np.ndarray:
+        """The number of each word, or of those at some indexes, -1 for those outside. Equal hashes are verified on the words' bytes."""
+        at = np.arange(len(words)) if at is None else at
+        out = np.full(len(at), -1, np.int64)
+        if not len(at) or not len(self.words):
+            return out
+        h = (words.hashes() if hashes is None else hashes)[at]
+        place = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
+        hit = np.flatnonzero(self.sorted[place] == h)
+        number, begin = self.order[place[hit]], words.start[at[hit]]
+        same = words.end[at[hit]] - begin == self.size[number]
+        hit, number, begin = hit[same], number[same], begin[same]
+        for k in range(0, len(hit), 1 << 18):
+            n = number[k : k + (1 << 18)]
+            size = self.size[n]
+            step = ranges(size)
+            equal = words.data[np.repeat(begin[k : k + (1 << 18)], size) + step] == self.data[np.repeat(self.start[n], size) + step]
+            good = np.logical_and.reduceat(equal, np.cumsum(size) - size)
+            out[hit[k : k + (1 << 18)][good]] = n[good]
+        return out
+
+
 def runs(hashes: np.ndarray, width: int) -> np.ndarray:
     """A 64-bit hash of each `width` consecutive entries (some dozens at most); one for each place where that many follow."""
     n = len(hashes) - width + 1

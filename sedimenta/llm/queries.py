@@ -83,16 +83,16 @@ def _quote(text: str) -> str:
 
 
 def _secrets_sql() -> str:
-    from .secrets import ALLOWED, BASE, CLASSES
+    from .secrets import ALLOWED, BASE, CLASSES, CUT
 
     kinds = [*BASE, *CLASSES]
-    finds = []
+    finds, held = [], []
     for n, (pattern, group, least) in enumerate(BASE.values()):
         finds.append((n, pattern, f"length(regexp_extract(m, {_quote(pattern)}, {group})) >= {least}"))
     for n, (alphabet, width, _, needs) in enumerate(CLASSES.values(), len(BASE)):
         inside = "".join("\\" + c if c in "+/-_" else c for c in alphabet)
-        tests = [f"regexp_matches(m, {_quote(p)})" for p in needs] + [f"NOT regexp_matches(m, {_quote(p)})" for p in ALLOWED]
-        finds.append((n, f"[{inside}]{{{width},}}", " AND ".join(tests)))
+        finds.append((n, f"[{inside}]{{{width},}}", " AND ".join(f"NOT regexp_matches(m, {_quote(p)})" for p in ALLOWED)))
+        held.append(f"(kind = {n} AND " + " AND ".join(f"regexp_matches(m, {_quote(p)})" for p in needs) + ")")
     raw = " UNION ALL ".join(
         f"SELECT * FROM (SELECT doc_id, {n} AS kind, unnest(regexp_extract_all(text, {_quote(p)})) AS m, unnest(regexp_split_to_array(text, {_quote(p)})[:-2]) AS gap, generate_subscripts(regexp_extract_all(text, {_quote(p)}), 1) AS i FROM d)" for n, p, _ in finds
     )
@@ -108,7 +108,10 @@ raw AS ({raw}),
 placed AS (SELECT doc_id, kind, m, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT) AS e FROM raw),
 good AS (SELECT doc_id, kind, m, e - length(m) AS s, e FROM placed WHERE {keep}),
 base AS (SELECT doc_id, kind, s, e FROM good WHERE kind < {len(BASE)}),
-wins AS (SELECT doc_id, kind, s, m, CASE kind {widths} END AS w, CASE kind {bits} END AS bits, unnest(range(0, length(m) - CASE kind {widths} END + 1)) AS at0 FROM good WHERE kind >= {len(BASE)}),
+cuts AS (SELECT *, regexp_split_to_array(m, {_quote(CUT)}) AS parts, list_concat([''], regexp_extract_all(m, {_quote(CUT)})) AS before FROM good WHERE kind >= {len(BASE)}),
+parts AS (SELECT doc_id, kind, s AS s0, unnest(parts) AS m, unnest(before) AS gap, generate_subscripts(parts, 1) AS i FROM cuts),
+pieces AS (SELECT doc_id, kind, s0, m, CAST(s0 + sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, kind, s0 ORDER BY i) - length(m) AS BIGINT) AS s FROM parts),
+wins AS (SELECT doc_id, kind, s, m, CASE kind {widths} END AS w, CASE kind {bits} END AS bits, unnest(range(0, length(m) - CASE kind {widths} END + 1)) AS at0 FROM pieces WHERE {" OR ".join(held)}),
 hot AS (SELECT doc_id, kind, s + at0 AS a, s + at0 + w AS b, s FROM wins WHERE list_aggregate(string_split(substr(m, at0 + 1, w), ''), 'entropy') >= bits - 1e-9),
 more AS (SELECT doc_id, kind, min(a) AS s, max(b) AS e FROM hot GROUP BY doc_id, kind, hot.s),
 added AS (SELECT * FROM more WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = more.doc_id AND base.s <= more.s AND more.e <= base.e)),

@@ -1,174 +1,213 @@
 """Secret scan in built-in functions only: patterns, and sliding-window Shannon entropy per character class.
 
 Base kinds are patterns with a least length. The entropy kinds look at candidate strings, the maximal runs of a class of
-characters: a window slides over a candidate while an array of counts takes in one character and lets go of another;
-the sum of c*log2(c) follows each change, so a window costs the same at any width. A candidate's span runs from its
-first window at or over the threshold to its last one. An allow-list drops candidates; spans inside a base span are not
-told twice.
+characters: a window slides over a candidate while packed counts take in one character and let go of another; the sum
+of c*log2(c) follows each change, so a window costs the same at any width. A span reaches from the first window at or
+over the threshold to the last one. The allow-list drops whole candidates (UUIDs, paths of words) or cuts candidates at
+words of samples and manuals, so that no window reaches over these. Spans inside a base span are not told twice.
 
 Positions are code points, end exclusive. Java's matches are found by splitting: the lengths of matches and of what
-stands between them add up to their positions.
+stands between them add up to their positions. Everything is at most n*log(n) in a text's length and number of matches:
+running totals are taken in log2(n) passes over an array, and no array grows element by element.
 
 Defined results. Null text: as empty, no spans. Repeated rows and null doc_ids are scanned like any other. Extra columns
-are ignored by scan() and kept by redact(). An empty table gives an empty result.
+are ignored by scan() and kept by redact(), whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .base import fresh
+
 # The base kinds in their order; pattern, group that is measured, least length.
 BASE = {
     "assign": (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
     "hex": (r"[0-9a-f]+", 0, 24),
 }
+#: The same matches, without those that are too short anyway.
+_SEARCHED = {"access": r"AKIA[A-Z0-9]{16,}", "hex": r"(?<![0-9a-f])[0-9a-f]{24,}"}
 #: Class: alphabet, width of the window, bits a character from which a window counts, what else a candidate must hold.
 CLASSES = {
     "entropy_hex": ("0123456789abcdefABCDEF", 24, 3.0, (r"[0-9]", r"[a-fA-F]")),
-    "entropy_base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 32, 4.25, (r"[0-9]", r"[a-z]", r"[A-Z]")),
+    "entropy_base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 22, 3.9, (r"[0-9]", r"[a-z]", r"[A-Z]")),
 }
-#: Candidates that match one of these are no secrets: samples in manuals, alphabets, UUIDs, paths of words.
+#: Candidates that match one of these are no secrets: UUIDs, paths of words.
 ALLOWED = (
-    r"(?i)example|sample|placeholder|changeme|dummy",
-    r"(?i)abcdefghij|0123456789|1234567890",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^/?([a-z]+[/_-])+[a-z]+$",
 )
+#: Candidates are cut at these: words of manuals, alphabets.
+CUT = r"(?i)example|sample|placeholder|changeme|dummy|abcdefghij|0123456789|1234567890"
+
+#: Bits of a packed count, and counts in a long.
+_BITS, _PACKED = 6, 10
+#: Code points of a block of text from which redact() copies.
+_BLOCK = 4096
+_names = itertools.count()
 
 
 def _quoted(text: str) -> str:
     return "r'" + text + "'" if "'" not in text else 'r"""' + text + '"""' if '"' not in text else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _sure(text: str, guard: str, pattern: str) -> Column:
-    """(s, e, m, g) of the leftmost non-overlapping matches; none where the cheaper guard fails."""
-    p = _quoted(pattern)
-    return F.expr(
-        f"""
-        CASE WHEN {guard} THEN
-          aggregate(
-            arrays_zip(slice(split({text}, {p}, -1), 1, size(split({text}, {p}, -1)) - 1), regexp_extract_all({text}, {p}, 0)),
-            named_struct('at', 0, 'found', cast(array() AS array<struct<s:int,e:int,m:string>>)),
-            (acc, x) -> named_struct(
-              'at', acc.at + length(x.`0`) + length(x.`1`),
-              'found', array_append(acc.found, named_struct('s', acc.at + length(x.`0`), 'e', acc.at + length(x.`0`) + length(x.`1`), 'm', x.`1`))),
-            acc -> acc.found)
-        ELSE cast(array() AS array<struct<s:int,e:int,m:string>>) END
-        """
+def _let(value: str, body) -> str:
+    """SQL: body(name) with the value under a name."""
+    name = f"v{next(_names)}"
+    return f"transform(array({value}), {name} -> {body(name)})[0]"
+
+
+def _running(values: str, join) -> str:
+    """SQL: running totals of an array of ints, by doubling steps."""
+    a, k, x, i = (f"{c}{next(_names)}" for c in "akxi")
+    step = f"shiftleft(1, {k})"
+    return _let(
+        values,
+        lambda v: f"aggregate(sequence(0, cast(floor(log2(greatest(size({v}) - 1, 1))) AS int)), {v}, ({a}, {k}) -> transform({a}, ({x}, {i}) -> CASE WHEN {i} >= {step} THEN {join(x, f'{a}[{i} - {step}]')} ELSE {x} END))",
     )
 
 
-def _windows(match: str, alphabet: str, width: int, bits: float) -> str:
-    """SQL: the span in a candidate that windows at or over the threshold cover, or null."""
+def _sum(values: str) -> str:
+    return _running(values, lambda x, y: f"{x} + {y}")
+
+
+def _greatest(values: str) -> str:
+    return _running(values, lambda x, y: f"greatest({x}, {y})")
+
+
+def _places(text: str, pattern: str) -> str:
+    """SQL: (s, m) of the leftmost non-overlapping matches in a text."""
+    p = _quoted(pattern)
+
+    def between(parts: str, found: str) -> str:
+        ends = _sum(f"zip_with({found}, slice({parts}, 1, size({found})), (m, g) -> length(g) + length(m))")
+        return f"zip_with({found}, {ends}, (m, e) -> named_struct('s', e - length(m), 'm', m))"
+
+    return _let(f"split({text}, {p}, -1)", lambda parts: _let(f"regexp_extract_all({text}, {p}, 0)", lambda found: between(parts, found)))
+
+
+def _pieces(candidate: str, cut: str) -> str:
+    """SQL: (s, m) of what stands between the matches of `cut` in a candidate."""
+    p = _quoted(cut)
+
+    def between(parts: str) -> str:
+        lengths = f"transform(regexp_extract_all({candidate}, {p}, 0), m -> length(m))"
+        ends = _sum(f"zip_with({parts}, concat(array(0), {lengths}), (g, n) -> length(g) + n)")
+        return f"zip_with({parts}, {ends}, (g, e) -> named_struct('s', e - length(g), 'm', g))"
+
+    return f"CASE WHEN {candidate} RLIKE {p} THEN {_let(f'split({candidate}, {p}, -1)', between)} ELSE array(named_struct('s', 0, 'm', {candidate})) END"
+
+
+def _window(piece: str, alphabet: str, width: int, bits: float) -> str:
+    """SQL: (first, last), where the windows at or over the threshold begin and end, null without any."""
     gain = "array(" + ",".join(f"{c * math.log2(c) if c else 0.0!r}D" for c in range(width + 2)) + ")"
-    code = lambda i: f"(instr('{alphabet}', substring({match}, {i}, 1)) - 1)"
-    step = f"""
-      (acc, i) -> aggregate(
-        array({code("i")}, CASE WHEN i > {width} THEN {code(f"i - {width}")} ELSE -1 END),
-        named_struct('c', acc.c, 'sum', acc.sum, 'in', true),
-        (a, k) -> CASE WHEN k < 0 THEN a ELSE named_struct(
-          'c', transform(a.c, (n, at) -> CASE WHEN at = k THEN n + CASE WHEN a.in THEN 1 ELSE -1 END ELSE n END),
-          'sum', a.sum + element_at({gain}, element_at(a.c, k + 1) + CASE WHEN a.in THEN 2 ELSE 0 END) - element_at({gain}, element_at(a.c, k + 1) + 1),
-          'in', false) END,
-        a -> named_struct(
-          'c', a.c, 'sum', a.sum,
-          'first', CASE WHEN acc.first IS NULL AND i >= {width} AND {width_log(width)} - a.sum / {width} >= {bits}D THEN i - {width} ELSE acc.first END,
-          'last', CASE WHEN i >= {width} AND {width_log(width)} - a.sum / {width} >= {bits}D THEN i ELSE acc.last END))
-    """
-    return f"""
-      aggregate(sequence(1, length({match})),
-        named_struct('c', array_repeat(0, {len(alphabet)}), 'sum', 0.0D, 'first', cast(null AS int), 'last', cast(null AS int)),
-        {step}, acc -> named_struct('first', acc.first, 'last', acc.last))
-    """
-
-
-def width_log(width: int) -> str:
-    """log2 of a window's width, with room for the error of added and taken logarithms."""
-    return f"{math.log2(width) + 1e-9!r}D"
-
-
-def spans(text: str, allowed: tuple[str, ...] = ALLOWED) -> tuple[Column, dict[str, Column]]:
-    """The base spans of a column by kind, as columns, and SQL for the entropy kinds."""
-    guards = {
-        "assign": "(" + " OR ".join(f"contains(lower({text}), '{w}')" for w in ("password", "passwd", "secret", "token", "apikey", "api_key")) + ")",
-        "access": f"contains({text}, 'AKIA')",
-        "hex": f"{text} RLIKE '[0-9a-f]{{24}}'",
-    }
-    base = {}
-    for kind, (pattern, group, least) in BASE.items():
-        found = _sure(text, guards[kind], pattern)
-        base[kind] = F.filter(found, _longer(pattern, group, least))
-    added = {}
-    for kind, (alphabet, width, _, needs) in CLASSES.items():
-        inside = "".join("\\" + c if c in "+/-_" else c for c in alphabet)
-        pattern = f"[{inside}]{{{width},}}"
-        found = _sure(text, f"{text} RLIKE {_quoted(pattern[: pattern.rindex('{')] + '{' + str(width) + '}')}", pattern)
-        added[kind] = F.filter(found, _likely(needs, allowed))
-    return base, added
-
-
-def _longer(pattern: str, group: int, least: int):
-    return lambda x: F.length(F.regexp_extract(x["m"], pattern, group)) >= least
-
-
-def _likely(needs: tuple[str, ...], allowed: tuple[str, ...]):
-    def keep(x: Column) -> Column:
-        out = F.lit(True)
-        for p in needs:
-            out = out & x["m"].rlike(p)
-        for p in allowed:
-            out = out & ~x["m"].rlike(p)
-        return out
-
-    return keep
-
-
-def found(documents: DataFrame, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
-    """documents with _base and _spans, sorted arrays of (s, e, kind); kind counts BASE, then CLASSES."""
-    kinds = [*BASE, *CLASSES]
-    base, added = spans("_text", allowed)
-    rows = documents.withColumn("_text", F.coalesce("text", F.lit("")))
-    rows = rows.withColumns({f"_{k}": v for k, v in (base | added).items()})
-    for kind, (alphabet, width, bits, _) in CLASSES.items():
-        rows = rows.withColumn(f"_{kind}", F.expr(f"transform(_{kind}, x -> named_struct('s', x.s, 'w', {_windows('x.m', alphabet, width, bits)}))"))
-
-    def plain(kind: str, n: int) -> Column:
-        if kind in BASE:
-            return F.expr(f"transform(_{kind}, x -> named_struct('s', x.s, 'e', x.e, 'kind', {n}))")
-        return F.expr(f"transform(filter(_{kind}, x -> x.w.first IS NOT NULL), x -> named_struct('s', x.s + x.w.first, 'e', x.s + x.w.last, 'kind', {n}))")
-
-    order = "(a, b) -> CASE WHEN a.s < b.s THEN -1 WHEN a.s > b.s THEN 1 WHEN a.kind < b.kind THEN -1 WHEN a.kind > b.kind THEN 1 ELSE 0 END"
-    rows = rows.withColumn("_base", F.concat(*[plain(k, n) for n, k in enumerate(kinds) if k in BASE]))
-    rows = rows.withColumn("_added", F.concat(*[plain(k, n) for n, k in enumerate(kinds) if k in CLASSES]))
-    rows = rows.withColumn("_added", F.expr("filter(_added, x -> NOT exists(_base, b -> b.s <= x.s AND x.e <= b.e))"))
-    rows = rows.withColumn("_spans", F.expr(f"array_sort(concat(_base, _added), {order})")).withColumn("_base", F.expr(f"array_sort(_base, {order})"))
-    return rows.drop("_added", *[f"_{k}" for k in kinds])
-
-
-def _told(column: str) -> Column:
+    code = [0] * 128
+    for k, c in enumerate(alphabet):
+        code[ord(c)] = k // _PACKED << 6 | _BITS * (k % _PACKED)
+    codes = f"transform(split({piece}, ''), c -> array({','.join(map(str, code))})[ascii(c)])"
+    count = lambda p, c: f"cast(shiftright({p}[shiftright({c}, 6)], {c} & 63) & {(1 << _BITS) - 1} AS int)"
+    unit = lambda at, c: f"CASE WHEN {at} = shiftright({c}, 6) THEN shiftleft(1L, {c} & 63) ELSE 0L END"
+    enough = lambda total: f"{math.log2(width) + 1e-9!r}D - {total} / {width} >= {bits}D"  # noqa: E731  room for the error of added logarithms
+
+    def slide(codes: str) -> str:
+        def moved(c: str) -> str:  # in, out: codes, out negative at first; n, o: their counts without the one that leaves
+            total = f"acc.sum + {gain}[{c}.n + 1] - {gain}[{c}.n] - CASE WHEN {c}.out < 0 THEN 0D ELSE {gain}[{c}.o + 1] - {gain}[{c}.o] END"
+            packed = f"transform(acc.p, (x, at) -> x + {unit('at', f'{c}.in')} - CASE WHEN {c}.out < 0 THEN 0L ELSE {unit('at', f'{c}.out')} END)"
+            hot = lambda t: f"i >= {width - 1} AND {enough(t)}"
+            return _let(
+                total,
+                lambda t: f"named_struct('p', {packed}, 'sum', {t}, 'first', CASE WHEN acc.first IS NULL AND {hot(t)} THEN i - {width - 1} ELSE acc.first END, 'last', CASE WHEN {hot(t)} THEN i + 1 ELSE acc.last END)",
+            )
+
+        def counted(c: str) -> str:
+            own = f"{count('acc.p', f'{c}.in')} - CASE WHEN {c}.in = {c}.out THEN 1 ELSE 0 END"
+            left = f"CASE WHEN {c}.out < 0 THEN 0 ELSE {count('acc.p', f'{c}.out')} - 1 END"
+            return _let(f"named_struct('in', {c}.in, 'out', {c}.out, 'n', {own}, 'o', {left})", moved)
+
+        step = _let(f"named_struct('in', {codes}[i], 'out', CASE WHEN i < {width} THEN -1 ELSE {codes}[i - {width}] END)", counted)
+        zero = f"named_struct('p', array_repeat(0L, {-(-len(alphabet) // _PACKED)}), 'sum', 0D, 'first', cast(null AS int), 'last', cast(null AS int))"
+        return f"aggregate(sequence(0, size({codes}) - 1), {zero}, (acc, i) -> {step}, acc -> named_struct('first', acc.first, 'last', acc.last))"
+
+    return f"CASE WHEN length({piece}) >= {width} THEN {_let(codes, slide)} END"
+
+
+def _run(alphabet: str, least: int) -> str:
+    """The pattern of maximal runs of `least` or more characters."""
+    inside = "".join("\\" + c if c in "+/-_" else c for c in alphabet)
+    return f"(?<![{inside}])[{inside}]{{{least},}}"
+
+
+def found(documents: DataFrame, to: str, allowed: tuple[str, ...] = ALLOWED, cut: str = CUT) -> DataFrame:
+    """documents with a column `to` of base and spans, sorted arrays of (s, kind, e); kind counts BASE, then CLASSES."""
+    text = "coalesce(text, '')"
+    wide = max(CLASSES.values(), key=lambda c: len(c[0]))[0]
+    least = min(BASE["hex"][2], *(c[1] for c in CLASSES.values()))
+    long_run = f"{text} RLIKE {_quoted(_run(wide, least).replace(',}', '}'))}"  # hexadecimal runs are runs of the wide class too
+    words = " OR ".join(f"contains(w, '{w}')" for w in ("password", "passwd", "secret", "token", "apikey", "api_key"))
+    guards = {"assign": f"exists(array(lower({text})), w -> {words})", "access": f"contains({text}, 'AKIA')"}
+    none = "cast(array() AS array<struct<s:int,m:string>>)"
+    raw = [f"'{kind}', CASE WHEN {guards.get(kind, long_run)} THEN {_places(text, _SEARCHED.get(kind, pattern))} ELSE {none} END" for kind, (pattern, *_) in BASE.items()]
+    raw += [f"'{kind}', CASE WHEN {long_run} THEN {_places(text, _run(c[0], c[1]))} ELSE {none} END" for kind, c in CLASSES.items()]
+    rows = documents.withColumn(to, F.expr(f"named_struct({', '.join(raw)})"))
+
+    kinds = []
+    for n, (kind, (pattern, group, size)) in enumerate(BASE.items()):
+        kept = f"filter(`{to}`.{kind}, x -> length(regexp_extract(x.m, {_quoted(pattern)}, {group})) >= {size})"
+        kinds.append(f"'{kind}', transform({kept}, x -> named_struct('s', x.s, 'kind', {n}, 'e', x.s + length(x.m)))")
+    for n, (kind, (alphabet, width, bits, needs)) in enumerate(CLASSES.items(), len(BASE)):
+        likely = " AND ".join([f"NOT x.m RLIKE {_quoted(p)}" for p in allowed]) or "true"
+        pieces = f"flatten(transform(filter(`{to}`.{kind}, x -> {likely}), x -> transform({_pieces('x.m', cut)}, y -> named_struct('s', x.s + y.s, 'm', y.m))))"
+        held = " AND ".join(f"x.m RLIKE {_quoted(p)}" for p in needs)
+        hot = f"transform(filter({pieces}, x -> {held}), x -> named_struct('s', x.s, 'w', {_window('x.m', alphabet, width, bits)}))"
+        kinds.append(f"'{kind}', transform(filter({hot}, x -> x.w.first IS NOT NULL), x -> named_struct('s', x.s + x.w.first, 'kind', {n}, 'e', x.s + x.w.last))")
+    rows = rows.withColumn(to, F.expr(f"named_struct({', '.join(kinds)})"))
+
+    base, added = (f"concat({', '.join(f'`{to}`.{k}' for k in some)})" for some in (BASE, CLASSES))
+    rows = rows.withColumn(to, F.expr(f"named_struct('base', array_sort({base}), 'every', array_sort(concat({base}, {added})))"))
+    # an added span is told unless a base span that starts before or with it ends behind or with it
+    ends = _greatest(f"transform(`{to}`.every, x -> CASE WHEN x.kind < {len(BASE)} THEN x.e ELSE -1 END)")
+    told = _let(ends, lambda e: f"filter(`{to}`.every, (x, i) -> x.kind < {len(BASE)} OR {e}[i] < x.e)")
+    return rows.withColumn(to, F.expr(f"named_struct('base', `{to}`.base, 'spans', CASE WHEN size(`{to}`.base) IN (0, size(`{to}`.every)) THEN `{to}`.every ELSE {told} END)"))
+
+
+def _told(spans: str) -> Column:
     names = ",".join(f"'{k}'" for k in [*BASE, *CLASSES])
-    return F.expr(f"array_join(transform({column}, x -> concat(element_at(array({names}), x.kind + 1), ':', x.s, ':', x.e)), ',')")
+    return F.expr(f"array_join(transform({spans}, x -> concat(element_at(array({names}), x.kind + 1), ':', x.s, ':', x.e)), ',')")
 
 
-def scan(documents: DataFrame, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
+def scan(documents: DataFrame, allowed: tuple[str, ...] = ALLOWED, cut: str = CUT) -> DataFrame:
     """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_added."""
-    rows = found(documents.select("doc_id", "text"), allowed)
-    counts = [F.expr(f"cast(size(filter(_base, x -> x.kind = {n})) AS bigint)").alias(f"n_{k}") for n, k in enumerate(BASE)]
-    return rows.select("doc_id", *counts, F.sha2(_told("_base"), 256).alias("base_sha256"), _told("_spans").alias("spans"), (F.size("_spans") - F.size("_base")).cast("long").alias("n_added"))
+    rows = found(documents.select("doc_id", "text"), "f", allowed, cut)
+    counts = [F.expr(f"cast(size(filter(f.base, x -> x.kind = {n})) AS bigint)").alias(f"n_{k}") for n, k in enumerate(BASE)]
+    return rows.select("doc_id", *counts, F.sha2(_told("f.base"), 256).alias("base_sha256"), _told("f.spans").alias("spans"), (F.size("f.spans") - F.size("f.base")).cast("long").alias("n_added"))
 
 
-def redact(documents: DataFrame, mark: str = "[SECRET]", allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
+def redact(documents: DataFrame, mark: str = "[SECRET]", allowed: tuple[str, ...] = ALLOWED, cut: str = CUT) -> DataFrame:
     """documents with the mark in place of every span in text; overlapping spans become one mark. Other columns stay."""
-    rows = found(documents, allowed)
-    cut = f"""
-      CASE WHEN size(_spans) = 0 THEN text ELSE aggregate(_spans,
-        named_struct('at', 0, 'out', cast(array() AS array<string>)),
-        (acc, x) -> CASE WHEN x.e <= acc.at THEN acc WHEN x.s < acc.at THEN named_struct('at', x.e, 'out', acc.out)
-          ELSE named_struct('at', x.e, 'out', array_append(acc.out, concat(substring(text, acc.at + 1, x.s - acc.at), '{mark}'))) END,
-        acc -> concat(array_join(acc.out, ''), substring(text, acc.at + 1))) END
-    """
-    return rows.withColumn("text", F.expr(cut)).select(*documents.columns)
+    to = fresh(documents, "found")
+    rows = found(documents, to, allowed, cut)
+
+    def written(ends: str) -> str:  # ends: running maximum of the spans' ends
+        heads = f"filter(transform(`{to}`.spans, (x, i) -> CASE WHEN i = 0 OR x.s >= {ends}[i - 1] THEN i END), i -> i IS NOT NULL)"
+        return _let(heads, lambda h: _let(f"regexp_extract_all(text, '(?s).{{1,{_BLOCK}}}', 0)", lambda blocks: gaps(ends, h, blocks)))
+
+    def gaps(ends: str, heads: str, blocks: str) -> str:
+        begin = f"transform({heads}, (h, j) -> CASE WHEN j = 0 THEN 0 ELSE {ends}[h - 1] END)"
+        until = f"transform({heads}, h -> `{to}`.spans[h].s)"
+        all_gaps = f"zip_with(concat({begin}, array({ends}[size({ends}) - 1])), concat({until}, array(length(text))), (a, b) -> named_struct('a', a, 'b', b))"
+        block = lambda at: f"cast(floor({at} / {_BLOCK}) AS int)"
+        piece = f"""CASE WHEN g.a >= g.b THEN ''
+          WHEN {block("g.a")} = {block("(g.b - 1)")} THEN substring({blocks}[{block("g.a")}], g.a % {_BLOCK} + 1, g.b - g.a)
+          ELSE concat(substring({blocks}[{block("g.a")}], g.a % {_BLOCK} + 1),
+            array_join(slice({blocks}, {block("g.a")} + 2, {block("(g.b - 1)")} - {block("g.a")} - 1), ''),
+            substring({blocks}[{block("(g.b - 1)")}], 1, (g.b - 1) % {_BLOCK} + 1)) END"""
+        return f"array_join(transform({all_gaps}, g -> {piece}), {_quoted(mark)})"
+
+    ends = _greatest(f"transform(`{to}`.spans, x -> x.e)")
+    out = f"CASE WHEN size(`{to}`.spans) = 0 THEN text ELSE {_let(ends, written)} END"
+    return rows.withColumn("text", F.expr(out)).select(*[F.col(f"`{c}`") for c in documents.columns])

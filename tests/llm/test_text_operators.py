@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 import re
+import time
 from itertools import combinations
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from llm_helpers import told
 from sedimenta.llm import licenses, near_copies, secrets, simhash
@@ -157,25 +159,42 @@ def secret_spans(text):
         base += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text) if len(m.group(group)) >= least]
     for kind, (alphabet, width, bits, needs) in enumerate(secrets.CLASSES.values(), len(secrets.BASE)):
         for m in re.finditer("[" + re.escape(alphabet) + "]{%d,}" % width, text):
-            run = m.group()
-            if not all(re.search(p, run) for p in needs) or any(re.search(p, run) for p in secrets.ALLOWED):
+            if any(re.search(p, m.group()) for p in secrets.ALLOWED):
                 continue
-            good = []
-            for at in range(len(run) - width + 1):
-                part = run[at : at + width]
-                if -sum(part.count(c) / width * math.log2(part.count(c) / width) for c in set(part)) >= bits - 1e-9:
-                    good.append(at)
-            if good:
-                added.append((m.start() + good[0], kind, m.start() + good[-1] + width))
+            cuts = [(0, 0), *((c.start(), c.end()) for c in re.finditer(secrets.CUT, m.group())), (len(m.group()),) * 2]
+            for (_, begin), (end, _) in zip(cuts, cuts[1:]):
+                run = m.group()[begin:end]
+                if not all(re.search(p, run) for p in needs):
+                    continue
+                good = []
+                for at in range(len(run) - width + 1):
+                    part = run[at : at + width]
+                    if -sum(part.count(c) / width * math.log2(part.count(c) / width) for c in set(part)) >= bits - 1e-9:
+                        good.append(at)
+                if good:
+                    added.append((m.start() + begin + good[0], kind, m.start() + begin + good[-1] + width))
     added = [a for a in added if not any(b[0] <= a[0] and a[2] <= b[2] for b in base)]
     return sorted(base), sorted(base + added)
 
 
+def redacted(text):
+    if text is None:
+        return None
+    out, at = "", 0
+    for s, _, e in secret_spans(text)[1]:
+        if s >= at:
+            out += text[at:s] + "[SECRET]"
+        at = max(at, e)
+    return out + text[at:]
+
+
 def test_secrets(spark):
     draw = random.Random(3)
     make = lambda of, n: "".join(draw.choice(of) for _ in range(n))
     hexa, b64 = "0123456789abcdef", secrets.CLASSES["entropy_base64"][0]
     texts = [None, "", "token", "é😀 password: hunter22 API_key=\"abc.def=\" AKIA" + "Q" * 16 + " AKIA12 token=abc token = token=abcdef", make(b64, 300), "k=" + make(hexa, 41) + " " + make(hexa.upper(), 41), "a" * 40 + make(hexa + "ABCDEF", 50), "AbCdEfGhIj0123456789" * 4, "ToKeN:x" + make(b64, 40) + "\nSECRET = '" + make(b64, 20), "123e4567-e89b-12d3-a456-426614174000", "passwd=short", "a" * 100, make("ab1", 90)]
+    texts += ["/sample/config/" + make(b64, 40) + "/example", make(b64, 30) + "Example" + make(b64, 21) + "example" + make(b64, 25), make(b64, 22), make(hexa, 23) + "x token: " + make(b64, 60) + "é" + make(hexa, 30), "password=" + make(b64, 30) + " " + make(b64, 28)]
+    texts += [" ".join(draw.choice(["token=" + make(b64, 24), make(hexa, 26), make(b64, 24), "é" * draw.randint(1, 9), "AKIA" + make("ABC1", 16)]) for _ in range(n)) for n in (7, 64, 65, 700)]
     rows = [(k, t) for k, t in enumerate(texts)] + [(1, texts[3]), (None, texts[4])]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     names = [*secrets.BASE, *secrets.CLASSES]
@@ -185,15 +204,31 @@ def test_secrets(spark):
         base, every = secret_spans(t)
         want.append((i, *(sum(k == n for _, k, _ in base) for n in range(3)), hashlib.sha256(say(base).encode()).hexdigest(), say(every), len(every) - len(base)))
     assert told(secrets.scan(docs)) == sorted(want, key=repr)
-    for r in secrets.redact(docs).collect():
-        _, every = secret_spans(r.text)
-        assert r.text is None or not [s for s in every if s[1] < 3]
+    assert told(secrets.redact(docs)) == sorted(((i, redacted(t)) for i, t in rows), key=repr)
 
 
-def test_secrets_edges(clashing, empty):
+def test_secrets_edges(spark, clashing, empty):
     assert secrets.scan(empty).count() == 0
-    redacted = secrets.redact(clashing)
-    assert redacted.columns == clashing.columns and redacted.count() == clashing.count()
+    names = ["found", "found_", "FOUND__", "base", "spans", "_hex", "_base", "f", "m", "x", "acc", *secrets.BASE, *secrets.CLASSES]
+    docs = clashing.withColumns({c: F.lit(f"own {c}") for c in names})
+    out = secrets.redact(docs)
+    assert out.columns == docs.columns
+    assert told(out.drop("text")) == told(docs.drop("text"))
+    assert told(out.select("text")) == sorted(((redacted(r.text),) for r in docs.select("text").collect()), key=repr)
+
+
+def test_secrets_in_linear_time(spark):
+    """A candidate of a megabyte and 100,000 matches in one text."""
+    draw = random.Random(8)
+    long = "".join(draw.choices("GHIJKLMNOPQRSTUVWXYZghijklmnopqrstuvwxyz0123456789+/", k=1 << 20))
+    many = " ".join(f"token=é{k} token=abcdef{k:06}" for k in range(100_000))
+    began = time.time()
+    got = told(secrets.scan(spark.createDataFrame([(1, long), (2, many)], "doc_id long, text string")))
+    kind, first, last = got[0][5].split(":")
+    assert kind == "entropy_base64" and int(first) < 50 and int(last) > len(long) - 50 and got[1][1] == 100_000
+    out = told(secrets.redact(spark.createDataFrame([(1, long), (2, many)], "doc_id long, text string")))
+    assert out[0][1] == long[: int(first)] + "[SECRET]" + long[int(last) :] and out[1][1] == " ".join(f"token=é{k} [SECRET]" for k in range(100_000))
+    assert time.time() - began < 60
 
 
 def license_row(doc_id, text, order):
