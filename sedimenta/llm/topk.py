@@ -35,7 +35,7 @@ PIVOTS = 32
 #: Vectors from which pivots and the queries' first thresholds come.
 PIVOT_SAMPLE = 1024
 QUERY_BLOCK = 512
-CANDIDATE_BLOCK = 2048
+CANDIDATE_BLOCK = 1024
 #: Bytes of components in a block at most.
 BLOCK_BYTES = 4 << 20
 #: Cells of the grid for each shuffle partition: several, so that their load evens out.
@@ -44,7 +44,7 @@ CELLS = 4
 #: Distances are kept in single precision: their difference may be off by this share of their sum.
 _NEAR = 2.0**-22
 _LONG = 1 << 63
-_BLOCK = "d int, part long, n int, ids binary, kind string, vectors binary, near binary, low array<float>, high array<float>, most double"
+_BLOCK = "d int, place long, n int, ids binary, kind string, vectors binary, near binary, low array<float>, high array<float>, most double"
 _QUERIES = _BLOCK + ", keys binary, copies binary, floors binary, least double"
 _FOUND = "query_id long, key long, copies long, vec_id long, score long, over boolean"
 
@@ -91,9 +91,9 @@ def _squares(vectors: np.ndarray) -> np.ndarray:
         return (vectors * vectors).sum(1)
 
 
-def _small(vectors: np.ndarray, others: np.ndarray) -> bool:
-    """Whether all inner products are exact in double precision."""
-    return float(np.abs(vectors).max(initial=0)) * float(np.abs(others).max(initial=0)) * vectors.shape[1] < 2.0**53
+def _small(top: float, other: float, d: int) -> bool:
+    """Whether inner products of d components up to these are exact in double precision."""
+    return top * other * d < 2.0**53
 
 
 def products(vectors: np.ndarray, q: np.ndarray) -> list[int]:
@@ -106,7 +106,7 @@ def _floors(ids: np.ndarray, vectors: np.ndarray, sample: tuple[np.ndarray, np.n
     """For each query a score that at least k other rows of the sample reach; -inf if there are too few."""
     names, have = sample
     out = np.full(len(ids), -np.inf)
-    if len(names) > k and _small(have, vectors):
+    if len(names) > k and _small(np.abs(have).max(initial=0), np.abs(vectors).max(initial=0), have.shape[1]):
         scores = vectors @ have.T
         scores[ids[:, None] == names[None]] = -np.inf
         out = np.partition(scores, len(names) - k, axis=1)[:, len(names) - k]
@@ -142,12 +142,12 @@ def _pack(pivots: dict[int, np.ndarray], block: int, sample: dict[int, tuple] |
                     kind = "<i2" if top < 1 << 15 else "<i4" if top < 1 << 31 else "<f8"
                     columns = {
                         "d": pa.array([d], pa.int32()),
-                        "part": pa.array([part + n]),
+                        "place": pa.array([part << 32 | n]),
                         "n": pa.array([len(own)], pa.int32()),
                         "ids": pa.array([names.tobytes()], pa.binary()),
                         "kind": pa.array([kind]),
                         "vectors": pa.array([vectors.astype(kind).tobytes()], pa.binary()),
-                        "near": pa.array([near.tobytes()], pa.binary()),
+                        "near": pa.array([near.T.tobytes()], pa.binary()),
                         "low": pa.array([near.min(0)], pa.list_(pa.float32())),
                         "high": pa.array([near.max(0)], pa.list_(pa.float32())),
                         "most": pa.array([_squares(vectors).max()]),
@@ -168,23 +168,27 @@ class Block:
     def __init__(self, d: int, ids: bytes, kind: str, vectors: bytes, near: bytes):
         self.ids = np.frombuffer(ids, np.int64)
         self.vectors = np.frombuffer(vectors, kind).reshape(len(self.ids), d).astype(np.float64)
-        self.near = np.frombuffer(near, np.float32).reshape(len(self.ids), -1)
+        self.near = np.frombuffer(near, np.float32).reshape(-1, len(self.ids))  # a row a pivot
+        self.off = _NEAR * float(self.near.max(initial=0))
         self.squares = _squares(self.vectors)
+        self.top = float(np.abs(self.vectors).max(initial=0))
 
     def bounds(self, square: float, near: np.ndarray) -> np.ndarray:
         """Upper bounds, whole numbers, of the inner products with a query of this square and these distances."""
+        far = np.zeros(len(self.ids))
         with np.errstate(over="ignore", invalid="ignore"):
-            far = np.zeros(len(self.ids))
-            if self.near.shape[1]:
-                apart = np.abs(self.near - near) - np.float32(_NEAR) * (self.near + near)
-                far = np.nan_to_num(apart, nan=0.0, posinf=0.0).max(1, initial=0).astype(np.float64)
+            if len(self.near):
+                apart = self.near - near[:, None]
+                np.abs(apart, out=apart)
+                far = np.maximum(apart.max(0).astype(np.float64) - self.off - _NEAR * float(near.max()), 0)
+            far[~np.isfinite(far)] = 0
             total = square + self.squares
             bound = np.floor((total - far * far) / 2 + total * ((self.vectors.shape[1] + 8) * 2.0**-50))
         bound[np.isnan(bound)] = np.inf
         return bound
 
 
-def search(q: np.ndarray, query_id: int, square: float, near: np.ndarray, floor: float, block: Block, best: list[tuple[int, int]], k: int, step: int = 64) -> list[tuple[int, int]]:
+def search(q: np.ndarray, query_id: int, square: float, near: np.ndarray, floor: float, block: Block, best: list[tuple[int, int]], k: int, step: int = 128) -> list[tuple[int, int]]:
     """best with what these candidates better: (-score, id), in order, k at most."""
     bound = block.bounds(square, near)
     live = np.flatnonzero(bound >= (max(floor, -best[-1][0]) if len(best) == k else floor))
@@ -192,7 +196,7 @@ def search(q: np.ndarray, query_id: int, square: float, near: np.ndarray, floor:
     own = own[(block.vectors[own] == q).all(1)]  # the query's own row and its repetitions, which top_k adds
     live = np.setdiff1d(live, own, assume_unique=True) if len(own) else live
     live = live[np.argsort(-bound[live], kind="stable")]
-    small = _small(block.vectors, q[None])
+    small = _small(block.top, float(np.abs(q).max(initial=0)), len(q))
     at = 0
     while at < len(live):
         if len(best) == k:
@@ -201,13 +205,13 @@ def search(q: np.ndarray, query_id: int, square: float, near: np.ndarray, floor:
                 break
         own = live[at : at + step]
         if small:
-            scores = block.vectors[own] @ q
+            scores = block.vectors[own] @ q if 2 * len(own) < len(block.ids) else (block.vectors @ q)[own]  # gathering rows costs more
             order = np.lexsort((block.ids[own], -scores))[:k]
             scores, names = scores[order].astype(np.int64).tolist(), block.ids[own[order]].tolist()
         else:
             scores, names = products(block.vectors[own], q), block.ids[own].tolist()
         best = sorted([*best, *((-s, i) for s, i in zip(scores, names, strict=True))])[:k]
-        at, step = at + step, step * 2
+        at, step = at + step, step * 8
     return best
 
 
@@ -243,7 +247,7 @@ def _match(k: int):
                 block = Block(row["d"], row["ids"], row["kind"], row["vectors"], row["near"])
                 own, ids, _, _, floors = queries
                 for j in range(len(ids)):
-                    best[j] = search(own.vectors[j], int(ids[j]), float(own.squares[j]), own.near[j], float(floors[j]), block, best[j], k)
+                    best[j] = search(own.vectors[j], int(ids[j]), float(own.squares[j]), own.near[:, j], float(floors[j]), block, best[j], k)
         if held is not None:
             yield told()
 
@@ -296,9 +300,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
     rows = max(1, CELLS * parts // columns)
     numbers = lambda n: F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
     named = {c: f"q_{c}" for c in q_blocks.columns if c != "d"}
-    left = q_blocks.withColumnsRenamed(named).withColumn("column", F.pmod("q_part", F.lit(columns)))
+    left = q_blocks.withColumnsRenamed(named).withColumn("column", F.pmod(F.xxhash64("q_place"), F.lit(columns)))
     left = left.withColumn("row", F.explode(numbers(rows)))
-    right = blocks.withColumn("row", F.pmod("part", F.lit(rows))).withColumn("column", F.explode(numbers(columns)))
+    right = blocks.withColumn("row", F.pmod(F.xxhash64("place"), F.lit(rows))).withColumn("column", F.explode(numbers(columns)))
     cell = ["d", "row", "column"]
     pairs = left.repartition(parts, *cell).join(right.repartition(parts, *cell).hint("merge"), cell).where(_may_reach())
     found = pairs.mapInArrow(_match(k), _FOUND).unionByName(distinct.where("copies > 1").mapInArrow(_repeated(k), _FOUND))
