@@ -200,7 +200,7 @@ def docx_file(path: str, content: bytes, options: Options) -> tuple[str, dict]:
 # ---------------------------------------------------------------- vector tiles
 
 
-def _fields(data: bytes):
+def message_fields(data: bytes):
     """(field number, value) of a protocol buffer message: ints, or bytes."""
     at, n = 0, len(data)
 
@@ -235,7 +235,7 @@ def _fields(data: bytes):
 
 
 def _value(data: bytes):
-    for number, v in _fields(data):
+    for number, v in message_fields(data):
         if number == 1:
             return v.decode("utf-8")
         if number in (2, 3):
@@ -267,11 +267,11 @@ def tile_features(content: bytes) -> list[tuple[str, dict]]:
     if content[:2] == b"\x1f\x8b":
         content = gzip.decompress(content)
     out = []
-    for number, layer in _fields(content):
+    for number, layer in message_fields(content):
         if number != 3:
             continue
         name, keys, values, features = "", [], [], []
-        for k, v in _fields(layer):
+        for k, v in message_fields(layer):
             if k == 1:
                 name = v.decode("utf-8")
             elif k == 2:
@@ -281,7 +281,7 @@ def tile_features(content: bytes) -> list[tuple[str, dict]]:
             elif k == 4:
                 values.append(_value(v))
         for feature in features:
-            tags = [t for k, v in _fields(feature) if k == 2 for t in _packed(v)]
+            tags = [t for k, v in message_fields(feature) if k == 2 for t in _packed(v)]
             out.append((name, {keys[a]: values[b] for a, b in zip(tags[::2], tags[1::2], strict=True)}))
     return out
 
