@@ -5,8 +5,11 @@ and a unit that a batch repeats is indexed once. The batch's distinct new units
 sorted (prefix doubling over 8-byte words); a binary search finds every piece's range of occurrences; the occurrences
 are edges, sorted by where they end in their unit, and relaxed in that order: an edge extends the encoding that ends
 where it starts if the model would not have merged across the joint. A byte-pair encoding is the one path whose
-neighbours are all so compatible. Characters without a piece become edges of byte pieces. Units with two or more
-spaces, whose pieces share one score, are merged step by step.
+neighbours are all so compatible. Characters without a piece become edges of byte pieces. Pieces of several spaces are
+the last to be formed, so of a unit's leading spaces all but the last wait for the lattice of the rest, and then join
+from the left as far as there are pieces, in one pass.
+
+Only byte-pair models whose normaliser changes nothing but spaces are taken; others are an error.
 
 Defined results. Null and empty texts have no ids and decode to an empty text. Decoding gives back the text but for
 U+2581, which stands for a space. Repeated rows and null doc_ids are encoded like any other. Extra columns are ignored by
@@ -23,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.adapters import message_fields
 from .base import binary, chunks, ranges
 from .token_files import Pool, pieces_of
 
@@ -30,10 +34,23 @@ SPACE = "▁"
 _NEVER = float("inf")
 #: Bytes of new units that are indexed at once; a longer unit is indexed alone.
 INDEXED_BYTES = 128 << 10
+#: Units indexed together that are so few that their edges are relaxed one by one.
+FEW = 8
 #: Units and pairs of pieces that a worker remembers before it starts anew.
 UNITS, PAIRS = 250_000, 300_000
 
 
+def check(path: str) -> None:
+    """ValueError unless the file holds a byte-pair model that adds a space before a text and changes nothing else."""
+    with open(path, "rb") as f:
+        parts = dict(message_fields(f.read()))
+    trainer, normaliser = (dict(message_fields(parts.get(k, b""))) for k in (2, 3))
+    if trainer.get(3, 1) != 2:
+        raise ValueError("not a byte-pair model")
+    if normaliser.get(2) or normaliser.get(6) or not normaliser.get(3, 1) or normaliser.get(4, 1) or not normaliser.get(5, 1) or trainer.get(24):
+        raise ValueError("a normaliser that changes texts")
+
+
 class Model:
     """Pieces, scores and merges of a byte-pair model file; encodes lists of units."""
 
@@ -41,9 +58,12 @@ class Model:
         import sentencepiece
 
         own = sentencepiece.SentencePieceProcessor(model_file=path)
+        check(path)
         n = own.vocab_size()
         self.unknown = own.unk_id()
         self.byte = [own.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        if not all(map(own.is_byte, self.byte)):
+            raise ValueError("a model without byte pieces")
         plain = [i for i in range(n) if not (own.is_unknown(i) or own.is_control(i) or own.is_byte(i) or own.is_unused(i))]
         self.text = {i: own.id_to_piece(i) for i in plain}
         self.id = {t: i for i, t in self.text.items()}
@@ -56,6 +76,13 @@ class Model:
             if own.get_score(i) != last:
                 now, last = now + 1, own.get_score(i)
             self.formed[i] = now
+        #: Pieces of several spaces by length.
+        self.spaces = {len(self.text[i]): i for i in order if SPACE * 2 in self.text[i]}
+        if any(set(self.text[i]) != {SPACE} for i in self.spaces.values()) or len({self.formed[i] for i in self.spaces.values()}) > 1:
+            raise ValueError("pieces of several spaces hold something else, or differ in score")
+        if self.spaces and min(self.formed[i] for i in self.spaces.values()) < now:
+            raise ValueError("pieces of several spaces are not the last to be formed")
+        self.spaces[1] = self.id[SPACE]
         self.halves: dict[int, tuple[int, int]] = {}
         self.whole = [i for i in plain if len(self.text[i]) == 1]
         for i in order:
@@ -174,8 +201,19 @@ class Model:
         inside = at + self.size[piece] <= n
         return piece[inside], at[inside]
 
+    def joint(self, left: int, right: int) -> bool:
+        """compatible() of two ids; answers are kept. Byte pieces join with anything."""
+        key = left * self.n + right
+        v = self.known.get(key)
+        if v is None:
+            v = left not in self.text or right not in self.text or self.compatible(left, right)
+            if len(self.known) > PAIRS:
+                self.known.clear()
+            self.known[key] = v
+        return v
+
     def joins(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """compatible() of pairs of ids; answers are kept. Byte pieces join with anything."""
+        """joint() of pairs of ids, with the answers in a table."""
         key = left * self.n + right
         slot = (key * 0x9E3779B1 >> 7) & (self.slots - 1)
         out = self.value[slot]
@@ -184,24 +222,18 @@ class Model:
             asked, back = np.unique(key[missing], return_inverse=True)
             said = np.empty(len(asked), bool)
             for k, x in enumerate(asked.tolist()):
-                v = self.known.get(x)
-                if v is None:
-                    a, b = divmod(x, self.n)
-                    v = True if a not in self.text or b not in self.text else self.compatible(a, b)
-                    if len(self.known) > PAIRS:
-                        self.known.clear()
-                    self.known[x] = v
-                said[k] = v
+                said[k] = self.joint(*divmod(x, self.n))
             out[missing] = said[back]
             self.key[slot[missing]], self.value[slot[missing]] = key[missing], said[back]
         return out
 
     def encode(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all units, one after another, and how many each has. A unit starts with one space at most, as U+2581."""
-        odd = {k: self.stepwise(u) for k, u in enumerate(units) if u.startswith(b"\xe2\x96\x81\xe2\x96\x81")}
-        plain = [u for k, u in enumerate(units) if k not in odd]
+        """Ids of all units, one after another, and how many each has. A unit starts with spaces, as U+2581, and holds no others."""
+        mark = SPACE.encode()
+        leading = {k: (len(u) - len(u.lstrip(mark))) // len(mark) for k, u in enumerate(units) if u.startswith(mark * 2)}
         parts, group, held = [(np.empty(0, np.int32), np.empty(0, np.int64))], [], 0
-        for u in plain:
+        for k, u in enumerate(units):
+            u = u[(leading[k] - 1) * len(mark) :] if k in leading else u
             group.append(u)
             held += len(u)
             if held >= INDEXED_BYTES:
@@ -210,23 +242,23 @@ class Model:
         if group:
             parts.append(self._lattice(group))
         ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
-        if not odd:
+        if not leading:
             return ids, sizes
-        parts, out, k = np.split(ids, np.cumsum(sizes)[:-1]) if len(sizes) else [], [], 0
-        for j in range(len(units)):
-            if j in odd:
-                out.append(np.array(odd[j], np.int32))
-            else:
-                out.append(parts[k])
-                k += 1
+        out = np.split(ids, np.cumsum(sizes)[:-1])
+        for k, n in leading.items():
+            alone = out[k][0] == self.spaces[1]  # the last space joins the others, unless it has joined the word
+            out[k] = np.concatenate([self.joined_spaces(n if alone else n - 1), out[k][1:] if alone else out[k]])
         return np.concatenate(out), np.array([len(x) for x in out], np.int64)
 
-    def stepwise(self, unit: bytes) -> list[int]:
-        out = []
-        for part in self.merge(unit.decode()):
-            i = self.id.get(part)
-            out += [i] if i is not None else [self.byte[b] for b in part.encode()]
-        return out
+    def joined_spaces(self, n: int) -> np.ndarray:
+        """Ids of n spaces: the leftmost two neighbours that make a piece join first."""
+        stack: list[int] = []
+        for _ in range(n):
+            stack.append(1)
+            while len(stack) > 1 and stack[-2] + stack[-1] in self.spaces:
+                last = stack.pop()
+                stack[-1] += last
+        return np.array([self.spaces[x] for x in stack], np.int32)
 
     def _lattice(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         data = np.frombuffer(b"".join(units), np.uint8)
@@ -255,6 +287,12 @@ class Model:
         last, step = np.full(len(data) + 1, -1, np.int64), np.zeros(len(data) + 1, np.int64)
         # last[p]: the id that ends the encoding of the unit as far as p; each unit's start is also the one before's end
         cuts = np.r_[0, np.flatnonzero(np.diff(level)) + 1, len(level)]
+        if len(units) <= FEW:  # long units: levels of a few edges
+            last, step = last.tolist(), step.tolist()
+            for s, e, t, n, f in zip(*(x.tolist() for x in (start, end, token, size, first)), strict=True):
+                if f or last[s] >= 0 and self.joint(last[s], t):
+                    last[e], step[e] = t, n
+            return self._walked(last, step, begins.tolist(), ends.tolist())
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             s, t = start[a:b], token[a:b]
             before = last[s]
@@ -277,6 +315,21 @@ class Model:
         order = np.lexsort((-np.arange(len(unit)), unit))
         return np.concatenate(out_id)[order].astype(np.int32), np.bincount(unit, minlength=len(units))
 
+    @staticmethod
+    def _walked(last: list[int], step: list[int], begins: list[int], ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The encodings that end where the units do."""
+        out, sizes = [], []
+        for begin, at in zip(begins, ends, strict=True):
+            own = []
+            while at > begin:
+                if not step[at]:
+                    raise ValueError("a unit has no encoding")
+                own.append(last[at])
+                at -= step[at]
+            out += own[::-1]
+            sizes.append(len(own))
+        return np.array(out, np.int32), np.array(sizes, np.int64)
+
     def piece_bytes(self) -> tuple[np.ndarray, np.ndarray]:
         """The number of bytes of each id, and the bytes of all ids, where piece_at says."""
         if not hasattr(self, "piece_at"):
