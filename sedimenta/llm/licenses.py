@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import LETTERS, Words, binary, chunks
+from .base import LETTERS, Vocabulary, Words, binary, chunks
 
 THRESHOLD = 0.8
 #: Words of a block, and after how many the next one starts.
@@ -53,33 +53,6 @@ TEMPLATES = {
 }
 
 
-class Vocabulary:
-    """The words of templates and phrases by the hash of their bytes."""
-
-    def __init__(self, texts: list[str]):
-        self.words = sorted({w for t in texts for w in t.split()})
-        data = np.frombuffer(" ".join(self.words).encode(), np.uint8)
-        found = Words(data, np.array([0, len(data)]), LETTERS)
-        self.hash = found.hashes()
-        self.order = np.argsort(self.hash)
-        self.sorted = self.hash[self.order]
-        self.number = {w: k for k, w in enumerate(self.words)}
-
-    def of(self, words: Words) -> np.ndarray:
-        """The number of each word, -1 for those outside; equal hashes are checked by length and bytes."""
-        h = words.hashes()
-        at = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
-        hit = np.flatnonzero(self.sorted[at] == h)
-        out = np.full(len(words), -1, np.int32)
-        number = self.order[at[hit]]
-        known = [w.encode() for w in self.words]
-        raw = words.data.tobytes()
-        good = [raw[a:b] == known[k] for a, b, k in zip(words.start[hit].tolist(), words.end[hit].tolist(), number.tolist(), strict=True)]
-        keep = np.array(good, bool)
-        out[hit[keep]] = number[keep]
-        return out
-
-
 def frequencies(documents: DataFrame, vocabulary: Vocabulary) -> list[int]:
     """How often each word of the vocabulary stands in all documents."""
 
@@ -175,7 +148,7 @@ class Matcher:
 def license_scan(documents: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str, tuple[str, ...]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score (the largest share of a contained template, 0 if none)."""
     flat = [(label, t) for label, texts in templates.items() for t in texts]
-    vocabulary = Vocabulary([*phrases, *[t for _, t in flat]])
+    vocabulary = Vocabulary({w for t in [*phrases, *[t for _, t in flat]] for w in t.split()})
     matcher = Matcher(vocabulary, frequencies(documents, vocabulary), phrases, flat, threshold)
 
     def run(batches):

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -148,6 +149,35 @@ def test_pieces_equal_the_library(spark, tables):
         assert (r.n_tokens, r.ids_crc32, r.decoded_crc32, r.same) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), zlib.crc32((texts[r.doc_id] or "").encode()), True)
 
 
+def test_pieces_of_spaces_and_long_units():
+    import pyarrow as pa
+    import sentencepiece
+
+    own = sentencepiece.SentencePieceProcessor(model_file=public_tokenizer(PIECE_BPE))
+    draw = random.Random(2)
+    texts = [" " * k + w for k in range(40) for w in ("", "x", "the", "é", "1", " word", "ing's")]
+    texts += ["".join(draw.choice(["the", " ", "  ", "   ", "\n", "a", "日本", "é", "x1", "    "]) for _ in range(draw.randint(1, 25))) for _ in range(500)]
+    base64 = "".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=1 << 20))
+    texts += ["  " + base64, "日本語漢字" * 20000, " " * 200_000 + "x", "a" * 100_000]
+    began = time.time()
+    ids, offsets = pieces.model(public_tokenizer(PIECE_BPE)).texts(pa.array(texts))
+    assert time.time() - began < 30
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == own.encode(texts)
+
+
+def test_pieces_reject_other_models(tmp_path):
+    field = lambda n, content: bytes([n << 3 | 2, len(content)]) + content
+    flags = lambda **k: b"".join(bytes([int(n[1:]) << 3, v]) for n, v in k.items())
+    path = tmp_path / "model"
+    for trainer, normaliser, good in ((flags(f3=2), flags(f4=0), True), (flags(f3=1), flags(f4=0), False), (b"", flags(f4=0), False), (flags(f3=2), b"", False), (flags(f3=2), flags(f3=0, f4=0), False), (flags(f3=2), field(2, b"map") + flags(f4=0), False)):
+        path.write_bytes(field(2, trainer) + field(3, normaliser))
+        if good:
+            pieces.check(str(path))
+        else:
+            with pytest.raises(ValueError):
+                pieces.check(str(path))
+
+
 def test_pieces_edges(clashing, empty):
     got = pieces.encode(clashing, public_tokenizer(PIECE_BPE))
     assert sorted(got.columns) == sorted(clashing.columns) and got.count() == clashing.count()
@@ -165,27 +195,44 @@ def test_compatible_is_what_merging_leaves():
         assert own.compatible(a, b) == (own.merge(own.text[a] + own.text[b]) == [own.text[a], own.text[b]])
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
 def windows_within(words, item, most):
     n = len(item)
-    found = [(dc.edit_distance(item, words[s : s + n], most), s) for s in range(len(words) - n + 1)]
+    least = lambda part: n - sum(w in item for w in part)
+    found = [(edits(item, words[s : s + n]), s) for s in range(len(words) - n + 1) if least(words[s : s + n]) <= most]
     return min((f for f in found if f[0] <= most), default=None)
 
 
-def test_edit_distance():
-    draw = random.Random(4)
-
-    def plain(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        return row[-1]
-
-    for _ in range(500):
-        a, b = ([draw.randrange(3) for _ in range(draw.randint(0, 9))] for _ in range(2))
-        for most in (0, 2, 9):
-            assert dc.edit_distance(a, b, most) == min(plain(a, b), most + 1)
+def test_edit_distances():
+    draw = np.random.default_rng(4)
+    for n in (1, 2, 5, 9, 30):
+        a, b = draw.integers(-1, 4, (60, n)), draw.integers(0, 4, (60, n))
+        b[:30] = a[:30]
+        for most in (0, 1, 2, n):
+            want = [min(edits(x, y), most + 1) for x, y in zip(a.tolist(), b.tolist())]
+            assert dc.edit_distances(a, b, most).tolist() == want
+
+
+def test_decontamination_of_long_items(spark):
+    """Many copies of items of 1000 words, exact, edited and too far, in bounded time."""
+    draw = random.Random(3)
+    say = lambda n: [f"w{draw.randrange(5000)}" for _ in range(n)]
+    item, other = say(1000), say(600)
+    changed = lambda own, n: [f"x{draw.randrange(9)}" if k in at else w for at in [set(draw.sample(range(len(own)), n))] for k, w in enumerate(own)]
+    docs = [(1, say(50) + [w for _ in range(100) for w in item + say(3)]), (2, [w for k in range(20) for w in changed(other, 100 + k) + say(2)]), (3, changed(item, 230)), (4, say(3000)), (5, say(7) + changed(item, 200)), (6, ["the"] * 5000)]
+    bench = [(1, " ".join(item)), (2, " ".join(other)), (3, " ".join(["the"] * 40))]
+    began = time.time()
+    got = dc.leaks(spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    assert told(got.drop("similarity")) == [(1, 1, 50, 0), (2, 2, 0, 100), (5, 1, 7, 200), (6, 3, 0, 0)]
+    assert time.time() - began < 60
 
 
 def test_decontamination_recall(spark, rows):
