@@ -1,16 +1,17 @@
 """License scan: fixed phrases, and an exact set-similarity join of text blocks with license templates.
 
-Blocks are lines, cut into overlapping pieces where long. A template is contained if at least the threshold's share of
-its distinct words is in the block. Template words are ordered by their frequency over all documents, rarest first. With
-c words needed of n, one of the n-c+1 rarest (the prefix) must be in the block, so only blocks around such words are
-looked at; blocks with fewer than c words are passed over (length filter), and so are those whose first shared word in
-this order leaves fewer than c words behind it, in the template or in the block (positional filter). What remains is
-counted.
-
-Notices are often wrapped, so a template is also contained if at least the threshold's share of its distinct words is in
-as many consecutive words of the text as the template has, line feeds or not. These runs are looked for around prefix
-words too. Longer ones over line feeds do not count: words of neighbouring lines would add up to short templates. The
-SQL counterpart knows only the lines.
+Blocks of a text are its lines, cut into overlapping pieces where long, and, as notices are often wrapped, every run of
+as many consecutive words as the template has, line feeds or not. A template is contained if at least the threshold's
+share of its distinct words is in a block. (Longer runs over line feeds do not count: words of neighbouring lines would
+add up to short templates.)
+
+Template words are ordered by their frequency over all documents, rarest first. With c words needed of n, one of the
+n-c+1 rarest (the prefix) must be in the block, so an index from prefix words to templates gives the pairs to look at,
+around such words only. Of these, blocks with fewer than c words are passed over (length filter), and so are those whose
+first shared word in this order leaves fewer than c words behind it, in the template or in the block (positional
+filter). What remains is counted; in runs of words the count slides along.
+
+The templates are on every executor: they are a parameter, bounded by TEMPLATE_BYTES.
 
 Defined results. Null text: as empty, no words, score 0. Repeated rows and null doc_ids are scanned like any other. Extra
 columns are ignored. An empty table gives an empty result.
@@ -19,6 +20,7 @@ columns are ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 import math
+from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -28,26 +30,45 @@ from pyspark.sql import functions as F
 from .base import LETTERS, Vocabulary, Words, binary, chunks
 
 THRESHOLD = 0.8
-#: Words of a block, and after how many the next one starts.
+#: Words of a block of a line, and after how many the next one starts.
 BLOCK, STRIDE = 80, 40
+#: Bytes of all templates at most.
+TEMPLATE_BYTES = 8 << 20
 # Phrase and label.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
-#: Label and texts of short notices; letters, digits and single spaces only, in lower case.
+#: Label and texts of notices and licenses; letters, digits and single spaces only, in lower case.
 TEMPLATES = {
     "gpl": (
         "this work is licensed under the gnu general public license version 3",
         "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"
+        " either version 3 of the license or at your option any later version this program is distributed in the hope that it will be useful but without any warranty"
+        " without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details",
     ),
     "lgpl": ("this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license",),
     "apache": (
         "licensed under the apache license version 2 0",
         "you may not use this file except in compliance with the license you may obtain a copy of the license at",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at"
+        " http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"
+        " without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
     ),
     "mit": (
         "released under the mit license",
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"
+        " including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished"
+        " to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"
+        " the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"
+        " in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise"
+        " arising from out of or in connection with the software or the use or other dealings in the software",
+    ),
+    "bsd": (
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce"
+        " the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
     ),
-    "bsd": ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",),
+    "isc": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",),
     "cc-by": ("this work is licensed under a creative commons attribution license", "licensed under cc by 4 0"),
     "mpl": ("this source code form is subject to the terms of the mozilla public license v 2 0",),
 }
@@ -80,18 +101,16 @@ class Matcher:
         self.rank[order] = np.arange(len(counts))
         self.phrases = [([vocabulary.number[w] for w in p.split()], label) for p, label in phrases.items()]
         self.templates = []
-        for label, text in templates:
+        self.prefix = np.zeros(len(counts), bool)
+        #: The templates that a prefix word begins.
+        self.begun: dict[int, list[int]] = {}
+        for k, (label, text) in enumerate(templates):
             own = sorted({int(self.rank[vocabulary.number[w]]) for w in text.split()})
             need = math.ceil(threshold * len(own) - 1e-9)
-            self.templates.append((label, own, need))
-        self.prefix = np.zeros(len(counts), bool)
-        #: By prefix word: label, distinct words, how many are needed, and in how many words, of the templates it may begin.
-        self.runs: dict[int, list[tuple[str, frozenset[int], int, int]]] = {}
-        for (label, own, need), (_, text) in zip(self.templates, templates, strict=True):
-            self.prefix[own[: len(own) - need + 1]] = True
-            most = len(text.split())
+            self.templates.append((label, own, need, len(text.split()), frozenset(own)))
             for r in own[: len(own) - need + 1]:
-                self.runs.setdefault(r, []).append((label, frozenset(own), need, most))
+                self.prefix[r] = True
+                self.begun.setdefault(r, []).append(k)
 
     def places(self, numbers: np.ndarray, text_of: np.ndarray) -> list[tuple[int, str]]:
         out = []
@@ -120,34 +139,52 @@ class Matcher:
         have = np.unique(ranks[ranks >= 0]).tolist()
         found, place = set(have), {r: k for k, r in enumerate(have)}
         out = []
-        for label, own, need in self.templates:
+        for k in sorted({k for r in have for k in self.begun.get(r, ())}):
+            label, own, need, _, every = self.templates[k]
             if words < need:
                 continue
-            at = next((k for k, r in enumerate(own[: len(own) - need + 1]) if r in found), None)
-            if at is None or len(own) - at < need or len(have) - place[own[at]] < need:
+            at = next(j for j, r in enumerate(own) if r in found)
+            if len(own) - at < need or len(have) - place[own[at]] < need:
                 continue
-            shared = sum(r in found for r in own)
+            shared = len(every & found)
             if shared >= need:
                 out.append((label, shared / len(own)))
         return out
 
-
     def wrapped(self, ranks: np.ndarray, first: int, last: int, hits: np.ndarray):
         """Templates, with their share, that a text's runs of consecutive words around its prefix words contain."""
+        around: dict[int, list[int]] = {}
         for h in hits.tolist():
-            for label, own, need, most in self.runs[int(ranks[h])]:
-                a = max(first, h - most + 1)
-                here = ranks[a : min(last, h + most)].tolist()
-                if len(own.intersection(here)) < need:
-                    continue
-                shared = max(len(own.intersection(here[s : s + most])) for s in range(h - a + 1))
-                if shared >= need:
-                    yield label, shared / len(own)
+            for k in self.begun[int(ranks[h])]:
+                around.setdefault(k, []).append(h)
+        for k, places in around.items():
+            label, own, need, most, every = self.templates[k]
+            best = 0
+            ends = [j for j in range(1, len(places)) if places[j] - places[j - 1] >= 2 * most]
+            for i, j in zip([0, *ends], [*ends, len(places)], strict=True):  # stretches of places whose runs overlap
+                low, high = max(first, places[i] - most + 1), min(last, places[j - 1] + most)
+                held: deque[int] = deque()
+                counts: dict[int, int] = {}
+                for at, r in enumerate(ranks[low:high].tolist()):
+                    if r not in every:
+                        continue
+                    while held and held[0] <= at - most:
+                        gone = ranks[low + held.popleft()]
+                        counts[gone] -= 1
+                        if not counts[gone]:
+                            del counts[gone]
+                    held.append(at)
+                    counts[r] = counts.get(r, 0) + 1
+                    best = max(best, len(counts))
+            if best >= need:
+                yield label, best / len(own)
 
 
 def license_scan(documents: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str, tuple[str, ...]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score (the largest share of a contained template, 0 if none)."""
     flat = [(label, t) for label, texts in templates.items() for t in texts]
+    if sum(len(t) for _, t in flat) > TEMPLATE_BYTES:
+        raise ValueError(f"templates of more than {TEMPLATE_BYTES} bytes")
     vocabulary = Vocabulary({w for t in [*phrases, *[t for _, t in flat]] for w in t.split()})
     matcher = Matcher(vocabulary, frequencies(documents, vocabulary), phrases, flat, threshold)
 

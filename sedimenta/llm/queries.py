@@ -130,7 +130,7 @@ def _licenses_sql() -> str:
     places = " UNION ALL ".join(
         f"SELECT doc_id, {_quote(label)} AS label, unnest(list_filter(range(1, len(ws) + 1), lambda i: {' AND '.join(f'ws[i + {k}] = {_quote(w)}' for k, w in enumerate(p.split()))})) - 1 AS pos FROM d" for p, label in PHRASES.items()
     )
-    templates = ", ".join(f"({_quote(label)}, {sorted(set(t.split()))})" for label, texts in TEMPLATES.items() for t in texts)
+    templates = ", ".join(f"({k}, {_quote(label)}, {sorted(set(t.split()))}, {len(t.split())})" for k, (label, t) in enumerate((label, t) for label, texts in TEMPLATES.items() for t in texts))
     return f"""
 WITH l AS (SELECT doc_id, translate(coalesce(text, ''), '{upper}', '{upper.lower()}') AS t FROM documents),
 d AS (SELECT doc_id, regexp_extract_all(t, {word}) AS ws FROM l),
@@ -138,8 +138,14 @@ p AS ({places}),
 b AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p GROUP BY doc_id),
 lines AS (SELECT doc_id, regexp_extract_all(line, {word}) AS ws FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM l)),
 blocks AS (SELECT doc_id, ws[s + 1:s + {BLOCK}] AS ws FROM (SELECT doc_id, ws, unnest(range(0, greatest(1, len(ws) - {BLOCK - STRIDE}), {STRIDE})) AS s FROM lines)),
-templates(label, own) AS (VALUES {templates}),
-shares AS (SELECT doc_id, label, len(list_intersect(own, ws)) / len(own) AS share FROM blocks CROSS JOIN templates),
+templates(k, label, own, most) AS (VALUES {templates}),
+words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM d),
+marked AS (SELECT doc_id, k, w, pos, coalesce(lag(pos) OVER (PARTITION BY doc_id, k, w ORDER BY pos), -1) AS before FROM words JOIN (SELECT k, unnest(own) AS w FROM templates) USING (w)),
+enough AS (SELECT doc_id, k FROM marked JOIN templates USING (k) GROUP BY doc_id, k HAVING count(DISTINCT w) >= {THRESHOLD} * any_value(len(own)) - 1e-9),
+few AS (SELECT marked.* FROM marked JOIN enough USING (doc_id, k)),
+wrapped AS (SELECT a.doc_id, k, a.pos, count(*) AS n FROM few a JOIN templates USING (k) JOIN few b USING (doc_id, k) WHERE b.pos >= a.pos AND b.pos < a.pos + most AND b.before < a.pos GROUP BY a.doc_id, k, a.pos),
+shares AS (SELECT doc_id, label, len(list_intersect(own, ws)) / len(own) AS share FROM blocks CROSS JOIN templates
+  UNION ALL SELECT doc_id, label, n / len(own) FROM wrapped JOIN templates USING (k)),
 found AS (SELECT doc_id, label, max(share) AS share FROM shares WHERE share >= {THRESHOLD} - 1e-9 GROUP BY ALL),
 labels AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM found UNION ALL SELECT doc_id, label FROM p) GROUP BY doc_id),
 scores AS (SELECT doc_id, max(share) AS score FROM found GROUP BY doc_id)

@@ -251,6 +251,13 @@ def license_row(doc_id, text, order):
                     if share >= licenses.THRESHOLD - 1e-9:
                         found.add(label)
                         best = max(best, share)
+    for label, texts in licenses.TEMPLATES.items():
+        for t in texts:
+            own, most = set(t.split()), len(t.split())
+            shares = [len(own & set(words[s : s + most])) / len(own) for s in range(len(words)) if words[s] in own]
+            if max(shares, default=0) >= licenses.THRESHOLD - 1e-9:
+                found.add(label)
+                best = max(best, *shares)
     at = [p for p, _ in places]
     return doc_id, len(words), len(places), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(base | found)), best
 
@@ -264,6 +271,8 @@ def test_licenses(spark, rows):
         for _ in range(draw.randint(0, 5)):
             words[draw.randrange(len(words))] = draw.choice(["zzz", "the", "MIT", "license"])
         filler = ["word"] * draw.randint(0, 120)
+        if k % 3 == 0:
+            words = [w + draw.choice([" ", "\n", "\n# "]) for w in words]
         more.append((1000 + k, " ".join(filler + words) + draw.choice(["", "\n", ", "]) + "MIT License mit license; CC-BY"))
     every = [(r[0], r[1]) for r in rows] + more
     got = told(licenses.license_scan(spark.createDataFrame(every, "doc_id long, text string")))
@@ -283,6 +292,19 @@ def test_licenses_over_line_feeds(spark):
     for k in range(12):
         assert [*notices][k % 4] in got[k].labels.split(",") and got[k].score >= licenses.THRESHOLD
     assert (got[12].labels, got[12].score) == ("", 0.0)
+    for k, r in got.items():
+        assert tuple(r) == license_row(k, texts[k], None)
+
+
+def test_licenses_of_long_texts(spark):
+    """A megabyte of whole licenses, wrapped and one after another, and of their rarest words alone."""
+    mit = licenses.TEMPLATES["mit"][-1].split()
+    lines = "\n".join(" ".join(mit[k : k + 11]) for k in range(0, len(mit), 11))
+    texts = ["\n".join([lines] * 1000), "noninfringement sublicense merchantability\n" * 20_000, lines.replace("noninfringement", "x").replace("sublicense", "y")]
+    began = time.time()
+    got = told(licenses.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert [r[6] for r in got] == ["mit", "", "mit"] and [r[7] for r in got][:2] == [1.0, 0.0] and got[2][7] > 0.9
+    assert time.time() - began < 60
 
 
 def test_licenses_edges(clashing, empty, rows):
