@@ -2,17 +2,19 @@
 
 Heuristic labellers vote on each document: good, bad or no opinion. Expectation-maximisation (Dawid and Skene, 1979)
 over the counts of vote patterns estimates how often each labeller says what of good and of bad documents, and a
-posterior for each pattern. On a hash-drawn sample of about SAMPLE documents the posteriors train a linear scorer over
-hashed features: trigrams of character shapes, repeated words, variety. Every document is scored by it.
+posterior for each pattern. On a hash-drawn sample of SAMPLE documents the posteriors train a linear scorer over hashed
+features: trigrams of character shapes, repeated words, variety. Every document is scored by it.
 
 Repetition is measured in the same way at every length, over the whole text: the share of words that repeat one of the
 same stretch, over equal consecutive stretches of at most STRETCH words, or the share of PASSAGE-word runs that the text
 has had before, whichever is larger. The first does not grow with the text, the second sees passages of any length.
 
-The driver gets a row for each vote pattern (3**labellers at most) and the sample's features, nothing that grows.
+The driver gets a row for each vote pattern (3**labellers at most) and the features of SAMPLE documents at most, nothing
+that grows. Rows that repeat a doc_id and its text are one document of the sample, however many they are.
 
-Defined results. Documents on which no labeller has an opinion, null and empty texts among them, are scored but kept. Repeated rows score alike. Null doc_ids are scored like any other. Extra columns are ignored by score() and
-kept by keep_good(). An empty table gives an empty result.
+Defined results. Documents on which no labeller has an opinion, null and empty texts among them, are scored but kept.
+Repeated rows score alike. Null doc_ids are scored like any other. Extra columns are ignored by score() and kept by
+keep_good(). An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -195,7 +197,7 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> np.ndarray:
         for batch in chunks(batches, "text"):
             texts = Texts(*binary(batch.column("text")))
             rows = [r.tobytes() for r in texts.features().astype(np.float16)]
-            yield pa.RecordBatch.from_arrays([pa.array(patterns(texts.votes())), pa.array(rows, pa.binary())], names=["pattern", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("draw"), pa.array(patterns(texts.votes())), pa.array(rows, pa.binary())], names=["draw", "pattern", "x"])
 
     votes = documents.select("text").mapInArrow(vote, "pattern long, n long, labellers int").groupBy("pattern").agg(F.sum("n").alias("n"), F.max("labellers").alias("labellers")).orderBy("pattern").collect()
     if not votes:
@@ -204,8 +206,14 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     posterior, _ = em(pattern, counts, votes[0]["labellers"])
     label = dict(zip(pattern.tolist(), posterior.tolist(), strict=True))
     share = min(1.0, sample / counts.sum())
-    drawn = documents.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(_DRAW)) < int(share * _DRAW)) if share < 1 else documents
-    rows = sorted((r["pattern"], bytes(r["x"])) for r in drawn.select("text").mapInArrow(describe, "pattern long, x binary").collect())
+    # a little more than the share by hash, each document once, and of these the SAMPLE with the least hashes
+    draw = F.xxhash64("doc_id", "text")
+    some = documents.select("text", draw.alias("draw"))
+    if share < 1:
+        some = some.where(F.pmod(F.xxhash64("draw"), F.lit(_DRAW)) < int(min(1.0, 1.1 * share) * _DRAW))
+    once = some.groupBy("draw").agg(F.first("text").alias("text"))
+    told = once.mapInArrow(describe, "draw long, pattern long, x binary").orderBy("draw").limit(sample).collect()
+    rows = sorted((r["pattern"], bytes(r["x"])) for r in told)
     if not rows:
         return np.zeros(BUCKETS + 3)
     x = np.frombuffer(b"".join(r[1] for r in rows), np.float16).reshape(len(rows), -1)

@@ -70,6 +70,18 @@ def test_quality_votes_follow_their_texts():
     assert np.allclose(together.features(), np.concatenate([a.features() for a in alone]))
 
 
+def test_quality_sample_holds_each_document_once(spark, monkeypatch):
+    """A row that repeats without end comes to the driver once; the sample is bounded."""
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda x, y, **_: seen.append(len(x)) or np.zeros(quality.BUCKETS + 3))
+    one = spark.range(5000).selectExpr("1L AS doc_id", "'the same words again and again here.' AS text")
+    many = spark.range(3000).selectExpr("id AS doc_id", "concat('document ', id, ' has words of its own.') AS text")
+    quality.fit(one.unionByName(many), sample=8000)
+    quality.fit(one.unionByName(many), sample=100)
+    quality.fit(many, sample=500)
+    assert seen[0] == 3001 and seen[1] <= 100 and 300 < seen[2] <= 500
+
+
 @pytest.mark.parametrize("passage", [40, 700, 2500])
 def test_quality_sees_repetition_at_every_length(passage):
     import pyarrow as pa
