@@ -19,7 +19,7 @@ from .base import materialize
 #: Fixed values of the published generator: multiplier 2862933555777941757, split into 32-bit halves.
 _HIGH, _LOW = 2862933555777941757 >> 32, 2862933555777941757 & 0xFFFFFFFF
 _M32, _M16 = 0xFFFFFFFF, 0xFFFF
-#: Steps after which a walk has ended for any number of shards: it takes about ln(shards), and `shards` at most.
+#: Steps that a walk is given. It takes about ln(shards), so that more than this never happen; if they did, it is an error.
 _STEPS = 256
 
 
@@ -53,7 +53,8 @@ def jump_hash(key: Column, shards: int) -> Column:
         return F.when(s["j"] < shards, moved).otherwise(s)
 
     steps = F.sequence(F.lit(1), F.lit(min(shards + 1, _STEPS)))
-    return F.aggregate(steps, zero, step, lambda s: s["b"].cast("int"))
+    lost = F.raise_error(F.lit(f"a walk over {shards} shards takes more than {_STEPS} steps")).cast("int")
+    return F.aggregate(steps, zero, step, lambda s: F.when(s["j"] < shards, lost).otherwise(s["b"].cast("int")))
 
 
 def shard(documents: DataFrame, shards: int = 8, ranges: int | None = None) -> DataFrame:
