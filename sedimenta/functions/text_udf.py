@@ -6,6 +6,7 @@ import re
 import unicodedata
 from collections import Counter
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -63,36 +64,30 @@ HIDDEN = frozenset({"script", "style", "head", "noscript"})
 MARKS = {f"h{n}": "\n\n" + "#" * n + " " for n in range(1, 7)} | {"li": "\n- "} | dict.fromkeys(("p", "div", "tr", "section", "article", "br"), "\n\n")
 
 
-class _Outline(HTMLParser):
-    """Collects a page's visible text with marks for its structure."""
+_OPEN, _CLOSE, _SHOWN = 1, -1, 0
+#: How a token changes the number of hidden elements that are open.
+_DEEPER = {(way, tag): way for way in (_OPEN, _CLOSE) for tag in HIDDEN}
+_MARKED = {(_OPEN, tag): mark for tag, mark in MARKS.items() if tag not in HIDDEN}
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.out: list[str] = []
-        self.depth = 0
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in HIDDEN:
-            self.depth += 1
-        elif mark := MARKS.get(tag):
-            self.out.append(mark)
 
-    def handle_endtag(self, tag: str) -> None:
-        if tag in HIDDEN and self.depth:
-            self.depth -= 1
+class _Tokens(HTMLParser):
+    """A page as (way, tag or text)."""
 
-    def handle_data(self, data: str) -> None:
-        if not self.depth and (bare := data.strip()):
-            self.out.append(f"{bare} ")
+    def __init__(self, html: str) -> None:
+        super().__init__(convert_charrefs=True)
+        self.found: list[tuple[int, str]] = []
+        self.handle_starttag = lambda tag, _: self.found.append((_OPEN, tag))
+        self.handle_endtag = lambda tag: self.found.append((_CLOSE, tag))
+        self.handle_data = lambda text: self.found.append((_SHOWN, text))
+        self.feed(html)
 
 
 def outline(html: str | None) -> str:
     """A page as text with Markdown-like headings and lists. The parser isn't closed: an unfinished entity at the very end stays behind."""
-    if not html:
-        return ""
-    parser = _Outline()
-    parser.feed(html)
-    return "".join(parser.out)
+    tokens = _Tokens(html).found if html else []
+    hidden = accumulate((_DEEPER.get(token, 0) for token in tokens), lambda depth, change: max(depth + change, 0))
+    shown = (f"{token[1].strip()} " if token[0] == _SHOWN and not depth else _MARKED.get(token, "") for token, depth in zip(tokens, hidden, strict=True))
+    return "".join(piece for piece in shown if piece != " ")
 
 
 @F.pandas_udf(T.StringType())

@@ -130,3 +130,16 @@ def test_cleaning_on_random_texts(spark):
     assert column(spark, texts, tu.clean_text) == steps == [tu.clean(t) for t in texts]
     assert column(spark, texts, tx.word_count) == [len(t.split()) for t in texts]
     assert column(spark, texts, tx.strip) == [t.strip() for t in texts]
+
+
+@pytest.mark.parametrize("raw", ['{"a": ' + "9" * 5000 + "}", "[" * 100_000, '{"a": 1}\n{"a": ' + "9" * 5000 + "}"])
+def test_json_that_stops_the_parser_is_unreadable(spark, raw):
+    rows = spark.createDataFrame([(raw,)], "raw string").select(jh.harvest_json("raw").alias("h"))
+    assert rows.first().h.tier == 0
+
+
+def test_json_with_lone_surrogates(spark):
+    raw = '{"title": "a \\ud800 b", "k\\udfffey": "' + "words of prose " * 20 + '\\ud83d\\ude00", "author": "x\\udc00", "tags": ["\\ud801"]}'
+    h = spark.createDataFrame([(raw,)], "raw string").select(jh.harvest_json("raw").alias("h")).first().h
+    assert h.texto.startswith("a \ufffd b\n\nwords") and h.texto.endswith("\U0001f600")
+    assert h.meta == {"author": "x\ufffd", "tags": "\ufffd"} and h.claves_raiz == ["author", "k\ufffdey", "tags", "title"]
