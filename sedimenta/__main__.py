@@ -11,28 +11,17 @@ from pyspark.sql import functions as F
 def corpus(spark: SparkSession, a: argparse.Namespace) -> None:
     from .operators.corpus import summary
     from .operators.documents import generate
+    from .plans.durable import exists
     from .sources import adapters, files, sinks
 
-    def there(path: str | None) -> bool:
-        if not path:
-            return False
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-    registry = sinks.read_registry(spark, f"{a.registry}/now") if there(f"{a.registry}/now" if a.registry else None) else None
-    done = files.load_processed(spark, a.output) if a.resume and there(a.output) else None
+    registry = sinks.read_registry(spark, a.registry) if a.registry else None
+    done = files.load_processed(spark, a.output) if a.resume and exists(spark, a.output) else None
     got = generate(spark, a.input, registry, done, adapters.Options(delimiter=a.delimiter, sheet=a.sheet))
     sinks.write_jsonl(got.documents, a.output, "append" if a.resume else "overwrite")
     if a.errors:
-        sinks.write_jsonl(got.errors, a.errors)
-    if a.registry:  # never over what is being read: a new folder, then a change of names
-        fs = spark._jvm.org.apache.hadoop.fs.Path(a.registry).getFileSystem(spark._jsc.hadoopConfiguration())
-        path = spark._jvm.org.apache.hadoop.fs.Path
-        sinks.write_registry(got.registry, f"{a.registry}/next")
-        fs.delete(path(f"{a.registry}/before"), True)
-        if there(f"{a.registry}/now"):
-            fs.rename(path(f"{a.registry}/now"), path(f"{a.registry}/before"))
-        fs.rename(path(f"{a.registry}/next"), path(f"{a.registry}/now"))
+        sinks.write_errors(got.errors, a.errors)
+    if a.registry:
+        sinks.write_registry(got.registry, a.registry)
     summary(got.documents).show()
 
 

@@ -8,10 +8,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.durable import materialize
+
 QUERY_PREFIX, PASSAGE_PREFIX = "query: ", "passage: "
 MAX_TOKENS, DIMENSION, BATCH = 512, 1024, 8
 
@@ -53,73 +57,122 @@ def sparse_positive(v: Column) -> Column:
     return F.transform_keys(F.map_filter(v, lambda k, w: w > 0), lambda k, w: k.cast("int"))
 
 
-def _blocks(queries: DataFrame, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and vectors of the queries, in blocks of about `rows`, which bounds what goes to the driver and the executors at once."""
-    n = max(1, -(-queries.count() // rows))
-    for b in range(n):
-        own = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == b).orderBy("query_id").collect()
-        yield np.array([r["query_id"] for r in own], np.int64), np.array([r["q"] for r in own], np.float64)
+#: Rows and bytes of a block of vectors at most; cells of the grid for each shuffle partition.
+BLOCK_ROWS, BLOCK_BYTES, CELLS = 1024, 8 << 20, 2
+_BLOCK = "d int, place long, n int, ids binary, vectors binary"
 
 
-def _each_block(queries: DataFrame, vectors: DataFrame, rows: int, score: Callable) -> DataFrame:
-    found = None
-    for ids, q in _blocks(queries, rows):
-        part = vectors.select("vec_id", "embedding").where("embedding is not null").mapInPandas(score(ids, q), "query_id long, vec_id long, score double")
-        found = part if found is None else found.unionByName(part)
-    return found
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of (id, v) of one length."""
+    part, n = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        lists = batch.column("v")
+        lengths, flat = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy(zero_copy_only=False)
+        start = np.cumsum(lengths) - lengths
+        ids = batch.column("id").to_numpy().astype(np.int64)
+        for d in np.unique(lengths).tolist():
+            rows = np.flatnonzero(lengths == d)
+            step = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * max(d, 1))))
+            for at in range(0, len(rows), step):
+                own = rows[at : at + step]
+                vectors = flat[start[own][:, None] + np.arange(d)]
+                columns = {"d": pa.array([d], pa.int32()), "place": pa.array([part << 32 | n]), "n": pa.array([len(own)], pa.int32()), "ids": pa.array([ids[own].tobytes()], pa.binary()), "vectors": pa.array([vectors.tobytes()], pa.binary())}
+                n += 1
+                yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 
 
-def similarities(queries: DataFrame, vectors: DataFrame, block_rows: int = 4096) -> DataFrame:
-    """(query_id, vec_id, score): inner products of a stated set of queries (query_id, q) with all vectors (vec_id, embedding)."""
+def _packed(rows: DataFrame, name: str, vector: str) -> DataFrame:
+    v = F.col(vector)
+    whole = rows.where(F.col(name).isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull()))
+    return whole.select(F.col(name).cast("long").alias("id"), _double(v).alias("v")).mapInArrow(_pack, _BLOCK)
 
-    def score(ids: np.ndarray, q: np.ndarray) -> Callable:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for at in range(0, len(pdf), 512):
-                    part = pdf[at : at + 512]
-                    if len(ids):
-                        s = np.stack(part["embedding"].to_numpy()).astype(np.float64) @ q.T
-                        yield pd.DataFrame({"query_id": np.tile(ids, len(part)), "vec_id": np.repeat(part["vec_id"].to_numpy(), len(ids)), "score": s.ravel()})
 
-        return run
+def _meet(queries: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Each block of queries beside each block of vectors of the same length.
 
-    return _each_block(queries, vectors, block_rows, score)
+    Vectors are dealt into rows and queries into columns of a grid, and a cell is joined in one place: nothing passes
+    through the driver, and plan and passes stay the same however many queries there are.
+    """
+    spark = vectors.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    q, v = materialize(_packed(queries, "query_id", "q")), _packed(vectors, "vec_id", "embedding")
+    n_queries, n_vectors = q.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], vectors.count()
+    columns = max(1, round((CELLS * parts * n_queries / max(n_vectors, 1)) ** 0.5))
+    rows = max(1, CELLS * parts // columns)
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    left = q.select("d", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.pmod(F.xxhash64("place"), F.lit(columns)).alias("column"), numbers(rows).alias("row"))
+    right = v.select("d", "ids", "vectors", F.pmod(F.xxhash64("place"), F.lit(rows)).alias("row"), numbers(columns).alias("column"))
+    cell = ["d", "row", "column"]
+    return left.repartition(parts, *cell).join(right.repartition(parts, *cell).hint("merge"), cell)
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, k: int, by: str = "l2", block_rows: int = 4096) -> DataFrame:
-    """(query_id, vec_id, score, rank): each query's k nearest by squared distance ('l2') or inner product ('dot'). Ties: smaller vec_id.
+def _arrays(row: dict, ids: str, vectors: str) -> tuple[np.ndarray, np.ndarray]:
+    names = np.frombuffer(row[ids], np.int64)
+    return names, np.frombuffer(row[vectors], np.float64).reshape(len(names), row["d"])
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {c: batch.column(c)[i].as_py() for c in batch.schema.names}
 
-    Blocks of the stated queries meet all vectors, a pass for each block; every task keeps its own k best, which one
-    shuffle merges. Scores count to six digits.
+
+def similarities(queries: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(query_id, vec_id, score): inner products of a stated set of queries (query_id, q) with all vectors (vec_id, embedding).
+
+    Every pair is a row: for the few queries whose whole matrix is wanted. nearest() keeps the best alone.
     """
 
-    def score(ids: np.ndarray, q: np.ndarray) -> Callable:
-        squares = (q * q).sum(1) if len(ids) else None
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            best = [(np.empty(0), np.empty(0, np.int64))] * len(ids)
-            for pdf in batches:
-                for at in range(0, len(pdf) if len(ids) else 0, 2048):
-                    part = pdf[at : at + 2048]
-                    v, names = np.stack(part["embedding"].to_numpy()).astype(np.float64), part["vec_id"].to_numpy()
-                    dots = q @ v.T
-                    cost = np.round(squares[:, None] + (v * v).sum(1)[None] - 2 * dots if by == "l2" else -dots, 6)
-                    for i in range(len(ids)):
-                        near = np.flatnonzero(cost[i] <= np.partition(cost[i], k - 1)[k - 1]) if len(names) > k else np.arange(len(names))
-                        c, n = np.r_[best[i][0], cost[i][near]], np.r_[best[i][1], names[near]]
-                        order = np.lexsort((n, c))[:k]
-                        best[i] = c[order], n[order]
-            if len(ids):
-                cost = np.concatenate([b[0] for b in best])
-                yield pd.DataFrame({"query_id": np.repeat(ids, [len(b[0]) for b in best]), "vec_id": np.concatenate([b[1] for b in best]), "score": cost if by == "l2" else -cost})
-
-        return run
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            (q_ids, q), (ids, v) = _arrays(row, "q_ids", "q_vectors"), _arrays(row, "ids", "vectors")
+            for k, name in enumerate(q_ids.tolist()):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), name)), pa.array(ids), pa.array((v * q[k]).sum(1))], names=["query_id", "vec_id", "score"])
+
+    return _meet(queries, vectors).mapInArrow(run, "query_id long, vec_id long, score double")
+
 
+def nearest(queries: DataFrame, vectors: DataFrame, k: int, by: str = "l2") -> DataFrame:
+    """(query_id, vec_id, score, rank): each query's k nearest by squared distance ('l2') or inner product ('dot'). Ties: smaller vec_id.
+
+    A matrix product tells which candidates can be among the best, within its rounding; these are scored one by one, term
+    by term, so equal vectors score alike and large norms do not cancel. Each cell keeps its own k best, which one
+    shuffle merges. Rows with a null id, a null vector or a null component take no part.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            (q_ids, q), (ids, v) = _arrays(row, "q_ids", "q_vectors"), _arrays(row, "ids", "vectors")
+            squares, q_squares = (v * v).sum(1), (q * q).sum(1)
+            rough = -(q @ v.T)
+            if by == "l2":
+                rough = q_squares[:, None] + squares + 2 * rough
+            slack = (q_squares[:, None] + squares.max(initial=0)) * ((v.shape[1] + 8) * 2.0**-50)
+            least = np.partition(rough, k - 1, axis=1)[:, k - 1 : k] if len(ids) > k else np.full((len(q), 1), np.inf)
+            # where a number leaves its range, all candidates are scored
+            maybe = ~(rough > least + 2 * slack)
+            parts = []
+            for i in range(len(q_ids)):
+                near = np.flatnonzero(maybe[i])
+                cost = ((v[near] - q[i]) ** 2).sum(1) if by == "l2" else -(v[near] * q[i]).sum(1)
+                order = np.lexsort((ids[near], cost))[:k]
+                parts.append((np.full(len(order), q_ids[i]), ids[near[order]], cost[order]))
+            if parts:
+                names, found, cost = (np.concatenate(x) for x in zip(*parts, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(found), pa.array(cost if by == "l2" else -cost)], names=["query_id", "vec_id", "score"])
+
+    if by not in ("l2", "dot"):
+        raise ValueError(f"no such order: {by}")
     order = F.asc("score") if by == "l2" else F.desc("score")
-    found = _each_block(queries, vectors, block_rows, score)
+    found = _meet(queries, vectors).mapInArrow(run, "query_id long, vec_id long, score double")
     return found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(order, "vec_id"))).where(F.col("rank") <= k)
 
 
+def search_index(queries: DataFrame, index: DataFrame, k: int, by: str = "l2") -> DataFrame:
+    """nearest() over an index as sinks.write_index leaves it, with the metadata of what was found."""
+    return nearest(queries, index.select("vec_id", "embedding"), k, by).join(index.drop("embedding"), "vec_id")
+
+
 # ---------------------------------------------------------------- encoders
 
 _TOKEN = re.compile(r"\w+")
@@ -147,8 +200,59 @@ class HashEncoder:
         return dense / np.where(norms == 0, 1, norms), sparse
 
 
+def pick_device(wanted: str | None = None) -> str:
+    """Where a model runs: as wanted, else on the first GPU that the installed library sees, else on the CPU."""
+    if wanted:
+        return wanted
+    try:
+        import torch
+    except ImportError:
+        return "cpu"
+    return "cuda" if torch.cuda.is_available() else "cpu"
+
+
+class DenseEncoder:
+    """A trained sentence encoder, where its library and model are installed: unit vectors, no sparse head."""
+
+    def __init__(self, name: str, max_tokens: int = MAX_TOKENS, device: str | None = None):
+        from sentence_transformers import SentenceTransformer
+
+        self.model = SentenceTransformer(name, device=pick_device(device))
+        self.model.max_seq_length = max_tokens
+
+    def count_tokens(self, text: str) -> int:
+        return len(self.model.tokenizer(text, truncation=False)["input_ids"])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, list[dict[int, float]]]:
+        dense = self.model.encode(texts, batch_size=BATCH, normalize_embeddings=True, convert_to_numpy=True, show_progress_bar=False)
+        return np.asarray(dense, np.float32), [{} for _ in texts]
+
+
+class TwoHeadEncoder:
+    """A trained encoder with a dense and a lexical head, where its library and model are installed: both from one pass."""
+
+    def __init__(self, name: str, max_tokens: int = MAX_TOKENS, device: str | None = None):
+        from FlagEmbedding import BGEM3FlagModel
+
+        device = pick_device(device)
+        self.model, self.max_tokens = BGEM3FlagModel(name, use_fp16=device != "cpu", devices=[device]), max_tokens
+
+    def count_tokens(self, text: str) -> int:
+        return len(self.model.tokenizer(text, truncation=False)["input_ids"])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, list[dict[int, float]]]:
+        both = self.model.encode(texts, batch_size=BATCH, max_length=self.max_tokens, return_dense=True, return_sparse=True)
+        sparse = [{int(t): float(w) for t, w in weights.items() if w > 0} for weights in both["lexical_weights"]]
+        return np.asarray(both["dense_vecs"], np.float32), sparse
+
+
 #: Encoders by name: a function without arguments, called once for each Python worker.
-ENCODERS: dict[str, Callable[[], HashEncoder]] = {"hash": HashEncoder, "hash64": lambda: HashEncoder(64)}
+ENCODERS: dict[str, Callable[[], HashEncoder | DenseEncoder | TwoHeadEncoder]] = {
+    "hash": HashEncoder,
+    "hash64": lambda: HashEncoder(64),
+    "e5": lambda: DenseEncoder("intfloat/multilingual-e5-large"),
+    "bge-m3": lambda: TwoHeadEncoder("BAAI/bge-m3"),
+}
 _loaded: dict[str, HashEncoder] = {}
 
 ENCODED = T.StructType([T.StructField("dense", T.ArrayType(T.FloatType())), T.StructField("sparse", T.MapType(T.IntegerType(), T.DoubleType())), T.StructField("n_tokens", T.IntegerType())])

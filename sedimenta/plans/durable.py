@@ -1,22 +1,59 @@
-"""Intermediate results that survive lost executors: Parquet below the folder that spark.checkpoint.dir names."""
+"""Results that survive lost executors: Parquet below the folder that spark.checkpoint.dir names, and tables in versions."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+
+#: Folders that shared_dir has named within scratch(), innermost last.
+_scratch: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """A fresh path below spark.checkpoint.dir; a local folder stands in only where that is unset and Spark runs in one process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sedimenta-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate results that are written inside are removed at the end: what is to stay must have been written elsewhere by then."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove(spark, path)
+
+
+def _path(spark: SparkSession, path: str):
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark._jsc.hadoopConfiguration()), name
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, name = _path(spark, path)
+    return fs.exists(name)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, name = _path(spark, path)
+    fs.delete(name, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -26,6 +63,36 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def relieve(spark: SparkSession) -> None:
+    """Frees what finished jobs have left: plans, broadcasts and generated code on the driver, their shuffle files on executors."""
+    spark._jvm.System.gc()
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the whole versions of a table, oldest first."""
+    fs, name = _path(spark, path)
+    found = [x.getPath().getName() for x in fs.listStatus(name)] if fs.exists(name) else []
+    return sorted(int(x[2:]) for x in found if re.fullmatch(r"v=\d+", x) and exists(spark, f"{path}/{x}/_SUCCESS"))
+
+
+def write_version(df: DataFrame, path: str, keep: int = 2) -> str:
+    """Writes a table as its next version, v=N below path, and then removes all but the last `keep`. One that fails is never read."""
+    spark = df.sparkSession
+    before = versions(spark, path)
+    target = f"{path}/v={before[-1] + 1 if before else 1}"
+    df.write.mode("overwrite").parquet(target)  # what a failed attempt has left goes
+    for old in before[: len(before) + 1 - keep]:
+        remove(spark, f"{path}/v={old}")
+    return target
+
+
+def read_version(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame | None:
+    """The last whole version of a table; None if there is none."""
+    known = versions(spark, path)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{path}/v={known[-1]}") if known else None
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df dealt out to all cores if it comes in fewer pieces than there are; a table of some size stays as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -65,8 +65,7 @@ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY o) - 1 AS IN
 def json_harvest_nodes(spark, sf_dir):
     """The first tier's strings of every document: a table function in SQL."""
     spark.udtf.register("harvest_json_nodes", jh.HarvestNodes)
-    _articles(spark, sf_dir).createOrReplaceTempView("sedimenta_articles")
-    return spark.sql("SELECT a.doc_id, n.ord, n.role, n.path, n.text FROM sedimenta_articles a, LATERAL harvest_json_nodes(a.raw) n")
+    return spark.sql("SELECT a.doc_id, n.ord, n.role, n.path, n.text FROM {articles} a, LATERAL harvest_json_nodes(a.raw) n", articles=_articles(spark, sf_dir))
 
 
 @query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'error' WHEN 1 THEN 'json' ELSE 'ndjson' END AS carga FROM events")

@@ -8,6 +8,7 @@ from ..operators import corpus as op
 from ..plans.durable import shared_dir
 from ..sources import files, sinks
 from .registry import query, table
+from .text_queries import _VARIANTS, _variants, s_strip
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -114,16 +115,17 @@ def jsonl_roundtrip(spark, sf_dir):
 
 
 @query(
-    """
-WITH listed AS (SELECT doc_id FROM documents UNION SELECT doc_id + 1000000 FROM documents)
-SELECT l.doc_id AS fuente, CASE WHEN d.doc_id IS NULL THEN 'missing' WHEN b.toxic = 1 THEN 'error' WHEN length(trim(substr(d.text, 1, 60 - d.doc_id % 30))) >= 50 THEN 'ok' ELSE 'still_empty' END AS outcome
-FROM listed l LEFT JOIN documents d ON l.doc_id = d.doc_id LEFT JOIN labels b ON l.doc_id = b.doc_id
+    f"""
+WITH {_VARIANTS}, n AS (SELECT doc_id + variant * 1000000 AS fuente, doc_id, text FROM v),
+listed AS (SELECT fuente FROM n UNION SELECT fuente + 2000000 FROM n)
+SELECT l.fuente, CASE WHEN n.fuente IS NULL THEN 'missing' WHEN b.toxic = 1 THEN 'error' WHEN length({s_strip("n.text")}) >= 50 THEN 'ok' ELSE 'still_empty' END AS outcome
+FROM listed l LEFT JOIN n ON l.fuente = n.fuente LEFT JOIN labels b ON n.doc_id = b.doc_id
 """
 )
 def patch_log(spark, sf_dir):
-    """What became of each listed source when its text was read again."""
-    docs = table(spark, sf_dir, "documents")
-    text = F.substring("text", F.lit(1), (60 - F.col("doc_id") % 30).cast("int"))
-    changes = docs.join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id", "left").select(F.col("doc_id").alias("fuente"), F.trim(text).alias("texto"), F.when(F.col("toxic") == 1, "broken").alias("error"))
-    ids = docs.select(F.col("doc_id").alias("fuente"))
-    return op.patch_outcomes(ids.unionByName(ids.select((F.col("fuente") + 1000000).alias("fuente"))), changes)
+    """What became of each listed source when its text was read again: whole texts, short ones, and sources without any."""
+    docs = _variants(spark, sf_dir).select((F.col("doc_id") + F.col("variant") * 1000000).alias("fuente"), "doc_id", "text")
+    toxic = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    changes = docs.join(toxic, "doc_id", "left").select("fuente", F.col("text").alias("texto"), F.when(F.col("toxic") == 1, "broken").alias("error"))
+    ids = docs.select("fuente")
+    return op.patch_outcomes(ids.unionByName(ids.select((F.col("fuente") + 2000000).alias("fuente"))), changes)

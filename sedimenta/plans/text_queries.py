@@ -166,16 +166,28 @@ def signal_thresholds(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", (n < tx.PDF_SIGNAL).alias("pdf_empty"), (n < tx.IMAGE_SIGNAL).alias("image_empty"), (n >= tx.OCR_SIGNAL).alias("ocr_ok"), (tx.word_count_cjk(F.col("text")) >= tx.JSON_WORDS).alias("json_ok"))
 
 
-@query(f"SELECT doc_id, CASE WHEN length({s_strip('text')}) < 30 THEN '' ELSE text END AS text FROM (SELECT doc_id, substr(text, 1, 10 + doc_id % 40) AS text FROM documents)")
+_VARIANTS = "v AS (SELECT doc_id, 0 AS variant, text FROM documents UNION ALL SELECT doc_id, 1, substr(text, 1, 10 + doc_id % 80) FROM documents)"
+
+
+def _variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, and beside them short ones of lengths around the thresholds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    short = docs.select("doc_id", F.lit(1).alias("variant"), F.substring("text", F.lit(1), (10 + F.col("doc_id") % 80).cast("int")).alias("text"))
+    return docs.select("doc_id", F.lit(0).alias("variant"), "text").unionByName(short)
+
+
+@query(f"WITH {_VARIANTS} SELECT doc_id, variant, CASE WHEN length({s_strip('text')}) < 30 THEN '' ELSE text END AS text FROM v")
 def ocr_min_signal(spark, sf_dir):
-    cut = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", F.lit(1), (10 + F.col("doc_id") % 40).cast("int")).alias("text"))
-    return cut.select("doc_id", F.when(F.length(tx.strip(F.col("text"))) < tx.IMAGE_SIGNAL, "").otherwise(F.col("text")).alias("text"))
+    return _variants(spark, sf_dir).select("doc_id", "variant", F.when(F.length(tx.strip(F.col("text"))) < tx.IMAGE_SIGNAL, "").otherwise(F.col("text")).alias("text"))
 
 
-@query(f"WITH d AS (SELECT doc_id, substr(text, 1, doc_id % 90) AS t, substr(text, 1, doc_id % 70) AS ocr FROM documents) SELECT doc_id, CASE WHEN length({s_strip('t')}) < 50 AND length(ocr) > length(t) THEN ocr ELSE t END AS text FROM d")
+@query(
+    f"WITH {_VARIANTS}, o AS (SELECT *, CASE doc_id % 3 WHEN 0 THEN text || ' and more' WHEN 1 THEN text ELSE '' END AS ocr FROM v)"
+    f" SELECT doc_id, variant, CASE WHEN length({s_strip('text')}) < 50 AND length(ocr) > length(text) THEN ocr ELSE text END AS text FROM o"
+)
 def ocr_fallback_choice(spark, sf_dir):
-    cut = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", F.lit(1), (F.col("doc_id") % 90).cast("int")).alias("t"), F.substring("text", F.lit(1), (F.col("doc_id") % 70).cast("int")).alias("ocr"))
-    return cut.select("doc_id", ocr_choice(F.col("t"), F.col("ocr")).alias("text"))
+    ocr = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" and more"))).when(F.col("doc_id") % 3 == 1, F.col("text")).otherwise("")
+    return _variants(spark, sf_dir).select("doc_id", "variant", ocr_choice(F.col("text"), ocr).alias("text"))
 
 
 @query(

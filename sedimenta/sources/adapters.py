@@ -1,19 +1,23 @@
 """Bytes of a file to text, by format, with the standard library where it suffices.
 
 An adapter is a function (path, content, options) -> (text, meta). It raises where a file is broken; callers turn that
-into a row of errors. PDF layout, OCR and old Excel files need libraries that may be absent: `hooks` takes them.
+into a row of errors. PDF layout, OCR and old Excel files need libraries that may be absent: they are used where they are
+installed, and `hooks` takes others.
 """
 
 from __future__ import annotations
 
 import csv
 import gzip
+import importlib
 import io
+import re
 import struct
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 
 from ..functions.json_harvest import harvest
 from ..functions.text import IMAGE_SIGNAL, PDF_SIGNAL
@@ -24,12 +28,14 @@ SEPARATOR = " | "
 
 @dataclass
 class Options:
-    """What adapters can be told. hooks: 'pdf' (bytes -> list of pages of blocks (x0, y0, text)), 'pdf_ocr' and 'image_ocr' ((bytes, options) -> text)."""
+    """What adapters can be told. hooks: 'pdf' (bytes -> list of pages of blocks (x0, y0, text)), 'pdf_ocr' and 'image_ocr'
+    ((bytes, options) -> text); without them pdf_ocr() and image_ocr() below are tried. ocr: whether to try at all."""
 
     delimiter: str = ","
     sheet: int = 0
     ocr_languages: str = "spa+eng"
     ocr_dpi: int = 300
+    ocr: bool = True
     gpu: bool = False
     hooks: dict[str, Callable] = field(default_factory=dict)
 
@@ -87,6 +93,38 @@ def _tag(element: ET.Element) -> str:
     return element.tag.rpartition("}")[2]
 
 
+#: Formats of dates and times that workbooks need not spell out.
+DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
+_QUOTED = re.compile(r'"[^"]*"|\\.|\[[^\]]*\]')
+
+
+def _dates(parts: zipfile.ZipFile) -> list[bool]:
+    """For each style of a workbook's cells whether it shows a date."""
+    if "xl/styles.xml" not in parts.namelist():
+        return []
+    every = [*ET.fromstring(parts.read("xl/styles.xml")).iter()]
+    own = {int(e.get("numFmtId")): _QUOTED.sub("", e.get("formatCode", "")) for e in every if _tag(e) == "numFmt"}
+    styles = next(([*e] for e in every if _tag(e) == "cellXfs"), [])
+    kinds = [int(e.get("numFmtId", 0)) for e in styles]
+    return [k in DATE_FORMATS if k not in own else bool(set("ymdhs") & set(own[k].lower())) for k in kinds]
+
+
+def number_text(value: str, date: bool = False, from_1904: bool = False) -> str:
+    """A number of a workbook as Python shows it; a date or a time of day as such."""
+    try:
+        x = float(value)
+    except ValueError:
+        return value
+    if date and 0 <= x < 2_958_466:
+        days, rest = divmod(round(x * 86_400_000), 86_400_000)
+        if not from_1904 and days == 0 and rest:
+            return str((datetime.min + timedelta(milliseconds=rest)).time())
+        # there was no 29 February 1900, but workbooks count it
+        first = datetime(1904, 1, 1) if from_1904 else datetime(1899, 12, 30 if days > 59 else 31)
+        return str(first + timedelta(days, milliseconds=rest))
+    return str(int(x)) if x.is_integer() and "." not in value and "e" not in value.lower() else repr(x)
+
+
 def _column(reference: str) -> int:
     n = 0
     for c in reference:
@@ -96,14 +134,17 @@ def _column(reference: str) -> int:
 
 
 def sheet_rows(content: bytes, sheet: int = 0) -> list[list[str]]:
-    """Cells of a workbook's sheet (Office Open XML) as strings."""
+    """Cells of a workbook's sheet (Office Open XML) as strings, dates as dates."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
+        dates = _dates(z)
         shared = []
         if "xl/sharedStrings.xml" in z.namelist():
             for item in ET.fromstring(z.read("xl/sharedStrings.xml")):
                 shared.append("".join(t.text or "" for t in item.iter() if _tag(t) == "t"))
         relations = {r.get("Id"): r.get("Target") for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
-        sheets = [s for s in ET.fromstring(z.read("xl/workbook.xml")).iter() if _tag(s) == "sheet"]
+        book = [*ET.fromstring(z.read("xl/workbook.xml")).iter()]
+        sheets = [s for s in book if _tag(s) == "sheet"]
+        from_1904 = any(s.get("date1904") in ("1", "true") for s in book if _tag(s) == "workbookPr")
         target = relations[next(v for k, v in sheets[sheet].attrib.items() if k.endswith("}id"))]
         rows = []
         for row in ET.fromstring(z.read("xl/" + target.removeprefix("/xl/"))).iter():
@@ -117,6 +158,9 @@ def sheet_rows(content: bytes, sheet: int = 0) -> list[list[str]]:
                     value = shared[int(value)]
                 elif cell.get("t") == "b":
                     value = "True" if value == "1" else "False"
+                elif cell.get("t", "n") == "n" and value:
+                    style = int(cell.get("s", 0))
+                    value = number_text(value, style < len(dates) and dates[style], from_1904)
                 cells += [""] * (at + 1 - len(cells))
                 cells[at] = value
             rows.append(cells)
@@ -161,29 +205,76 @@ def page_text(blocks: list[tuple[float, float, str]]) -> str:
     return "\n".join(t for b in ordered if (t := b[2].strip()))
 
 
+def zoom_scale(dpi: int) -> float:
+    """How much larger than its own 72 points an inch a page is rendered."""
+    return dpi / 72
+
+
+def _library(name: str):
+    try:
+        return importlib.import_module(name)
+    except ImportError as why:
+        raise Missing(f"no {name}") from why
+
+
+def pdf_ocr(content: bytes, options: Options) -> str:
+    """Pages rendered and read, where PyMuPDF, Pillow and Tesseract are installed; words of a page by spaces, pages by empty lines."""
+    fitz, image, tesseract = (_library(x) for x in ("fitz", "PIL.Image", "pytesseract"))
+    scale = zoom_scale(options.ocr_dpi)
+    pages = []
+    with fitz.open(stream=content, filetype="pdf") as document:
+        for page in document:
+            png = page.get_pixmap(matrix=fitz.Matrix(scale, scale)).tobytes("png")
+            words = tesseract.image_to_data(image.open(io.BytesIO(png)), lang=options.ocr_languages, output_type=tesseract.Output.DICT)["text"]
+            pages.append(" ".join(w for w in words if w.strip()))
+    return "\n\n".join(pages)
+
+
+#: EasyOCR's names of Tesseract's languages, and its readers, one for each set of languages in a worker.
+LANGUAGE_CODES = {"spa": "es", "eng": "en", "fra": "fr", "deu": "de", "por": "pt", "ita": "it"}
+_readers: dict[tuple, object] = {}
+
+
+def image_ocr(content: bytes, options: Options) -> str:
+    """Paragraphs of an image by empty lines, with EasyOCR where it is installed, else Pillow and Tesseract."""
+    try:
+        easyocr = _library("easyocr")
+    except Missing:
+        image, tesseract = _library("PIL.Image"), _library("pytesseract")
+        return tesseract.image_to_string(image.open(io.BytesIO(content)), lang=options.ocr_languages)
+    key = options.ocr_languages, options.gpu
+    if key not in _readers:
+        _readers[key] = easyocr.Reader([LANGUAGE_CODES.get(x, x) for x in options.ocr_languages.split("+")], gpu=options.gpu)
+    return "\n\n".join(_readers[key].readtext(content, detail=0, paragraph=True))
+
+
+def _engine(name: str, own: Callable, options: Options) -> Callable:
+    return options.hooks.get(name) or (own if options.ocr else lambda *_: "")
+
+
 def pdf_file(path: str, content: bytes, options: Options) -> tuple[str, dict]:
-    """Pages in reading order; OCR where there is next to no text and a hook for it."""
+    """Pages in reading order; OCR where there is next to no text and OCR gives more."""
     if "pdf" in options.hooks:
         pages = options.hooks["pdf"](content)
     else:
-        try:
-            import fitz
-        except ImportError as why:
-            raise Missing("no PDF library") from why
+        fitz = _library("fitz")
         with fitz.open(stream=content, filetype="pdf") as document:
             pages = [[(b[0], b[1], b[4]) for b in page.get_text("blocks")] for page in document]
     text = "\n\n".join(map(page_text, pages))
-    if len(text.strip()) < PDF_SIGNAL and "pdf_ocr" in options.hooks:
-        read = options.hooks["pdf_ocr"](content, options) or ""
+    if len(text.strip()) < PDF_SIGNAL:
+        try:
+            read = _engine("pdf_ocr", pdf_ocr, options)(content, options) or ""
+        except Missing:
+            read = ""
         if len(read) > len(text):
             return read, {"num_paginas": len(pages), "ocr_aplicado": True, "ocr_dpi": options.ocr_dpi, "ocr_idiomas": options.ocr_languages}
     return text, {"num_paginas": len(pages)}
 
 
 def image_file(path: str, content: bytes, options: Options) -> tuple[str, dict]:
-    """OCR's text if a hook gives enough of it; any failure gives none."""
+    """OCR's text if there is enough of it; any failure gives none."""
     try:
-        text = options.hooks["image_ocr"](content, options) if "image_ocr" in options.hooks else ""
+        text = _engine("image_ocr", image_ocr, options)(content, options)
     except Exception:
         text = ""
     return (text, {}) if len((text or "").strip()) >= IMAGE_SIGNAL else ("", {})
@@ -301,9 +392,11 @@ ADAPTERS: dict[str, Callable[[str, bytes, Options], tuple[str, dict]]] = {
 
 
 def load_document(path: str, content: bytes, options: Options | None = None) -> str:
-    """Text of one .pdf, .docx, .doc or .txt; ValueError for others."""
+    """Text of one .pdf, .docx or .txt, and of a .doc that holds a .docx; ValueError for others."""
     ending = "." + path.rpartition(".")[2].lower()
     own = {".pdf": pdf_file, ".docx": docx_file, ".doc": docx_file, ".txt": text_file}.get(ending)
+    if ending == ".doc" and not zipfile.is_zipfile(io.BytesIO(content)):
+        raise ValueError("a .doc of the old binary format: save it as .docx")
     if own is None:
         raise ValueError(f"no loader for {ending}")
     return own(path, content, options or Options())[0]

@@ -5,6 +5,7 @@ import json
 import struct
 import zipfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,10 +121,110 @@ def test_sinks_and_lists(spark, tmp_path):
     assert {r.fuente for r in files.load_processed(spark, f"{tmp_path}/o.jsonl").collect()} == {"a/b.png", "c.png"}
     (tmp_path / "l.txt").write_text('"a\\\\b"\n\n  c  \n"a\\\\b"\n')
     assert {r.fuente for r in files.load_list(spark, f"{tmp_path}/l.txt").collect()} == {"a\\b", "c"}
-    sinks.write_texts(rows, f"{tmp_path}/t")
-    assert {r.folder or "" for r in spark.read.text(f"{tmp_path}/t").select("folder").distinct().collect()} == {"a", ""}
-    sinks.write_registry(rows.select("fuente", F.lit("DOC-0001").alias("doc_id")), f"{tmp_path}/r")
-    assert sinks.read_registry(spark, f"{tmp_path}/r").count() == 2
+
+
+def test_one_text_file_an_image(spark, tmp_path):
+    long = "texto " * 20
+    rows = spark.createDataFrame([("a/b.png", long), ("a/b.jpg", "other"), ("c.tar.gif", "dos"), ("a/d/.e", None), ("c.tar.gif", "dos ")], "fuente string, texto string")
+    got = sorted(tuple(r) for r in sinks.write_texts(rows, f"{tmp_path}/t").collect())
+    assert got == [("a/b.png", "a/b.txt", "ok"), ("a/d/.e", "a/d/.e.txt", "empty"), ("c.tar.gif", "c.tar.txt", "empty")]
+    there = {str(x.relative_to(tmp_path / "t")): x.read_text() for x in (tmp_path / "t").rglob("*") if x.is_file()}
+    assert there == {"a/b.txt": long.strip(), "a/d/.e.txt": "", "c.tar.txt": "dos"}
+
+
+def test_registry_survives_a_failed_write(spark, tmp_path):
+    path = f"{tmp_path}/r"
+    assert sinks.read_registry(spark, path).count() == 0
+    for n in (1, 2, 3):
+        sinks.write_registry(spark.createDataFrame([(f"f{k}", f"DOC-000{k}") for k in range(n)], "fuente string, doc_id string"), path)
+        assert sinks.read_registry(spark, path).count() == n
+    assert sorted(x.name for x in (tmp_path / "r").iterdir()) == ["v=2", "v=3"]
+    broken = sinks.read_registry(spark, path).select("fuente", F.raise_error(F.lit("stop")).cast("string").alias("doc_id"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.write_registry(broken, path)
+    assert sinks.read_registry(spark, path).count() == 3
+    sinks.write_registry(sinks.read_registry(spark, path).limit(1), path)  # from what it replaces, over what the failure left
+    assert sinks.read_registry(spark, path).count() == 1
+
+
+def test_vector_index(spark, tmp_path):
+    from sedimenta.functions import vectors as vx
+
+    rows = [(f"f{k:02}", "x" * k, [float(k), 1.0]) for k in range(30)] + [("none", None, None)]
+    path = f"{tmp_path}/i"
+    with pytest.raises(FileNotFoundError):
+        sinks.read_index(spark, path)
+    sinks.write_index(spark.createDataFrame(rows, "fuente string, texto string, dense array<float>").repartition(3), path, ["fuente"])
+    index = sinks.read_index(spark, path)
+    assert [(r.vec_id, r.fuente) for r in index.orderBy("vec_id").collect()] == [(k, r[0]) for k, r in enumerate(rows[:30])]
+    asked = spark.createDataFrame([(7, [11.2, 1.0])], "query_id long, q array<double>")
+    got = vx.search_index(asked, index, 3).orderBy("rank").collect()
+    assert [(r.rank, r.fuente, r.texto) for r in got] == [(1, "f11", "x" * 11), (2, "f12", "x" * 12), (3, "f10", "x" * 10)]
+
+
+@pytest.mark.parametrize("by", ["l2", "dot"])
+def test_nearest_is_exact(spark, by):
+    """Near ties, equal vectors, large norms, nulls, other lengths, fewer than k."""
+    import random
+
+    from sedimenta.functions import vectors as vx
+
+    draw = random.Random(5)
+    base = [1e6 + draw.random() for _ in range(5)]
+    rows = [(k, [x + draw.choice((0.0, 1e-9, 1e-7, 3.0)) for x in base]) for k in range(300)] + [(300 + k, [draw.uniform(-1, 1) for _ in range(5)]) for k in range(1500)]
+    rows += [(5000, [1.0]), (5001, None), (None, base), (5002, [None] * 5), (5003, [])]
+    asked = [(1, base), (2, rows[400][1]), (3, [0.5]), (4, [0.0] * 5), (5, None)]
+    term = (lambda a, b: (b - a) ** 2) if by == "l2" else (lambda a, b: -a * b)
+    want = []
+    for q, v in asked:
+        costs = sorted((float(np.array([term(a, b) for a, b in zip(v, w)]).sum()), i) for i, w in rows if i is not None and w is not None and None not in w and len(w) == len(v)) if v is not None else []
+        want += [(q, i, c if by == "l2" else -c, r) for r, (c, i) in enumerate(costs[:7], 1)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = vx.nearest(spark.createDataFrame(asked, "query_id long, q array<double>"), vectors, 7, by)
+    assert sorted(tuple(r) for r in got.select("query_id", "vec_id", "score", "rank").collect()) == sorted(want)
+
+
+def test_patch_takes_one_change(spark):
+    docs = spark.createDataFrame([("a", "old", 3, "es", {"p": "1"}), ("b", "old", 3, "es", None)], "fuente string, texto string, num_caracteres int, idioma string, meta_extra map<string,string>")
+    changes = spark.createDataFrame([("a", "zwei", 4, "de", {"o": "1"}, None), ("a", "eins", 4, "de", {"o": "2"}, None), ("a", "", 0, "und", None, "broken"), ("b", "", 0, "und", None, "broken")], "fuente string, texto string, num_caracteres int, idioma string, meta_extra map<string,string>, error string")
+    for c in (changes, changes.orderBy(F.desc("texto"))):
+        assert sorted((r.fuente, r.texto, r.meta_extra) for r in op.patch(docs, c).collect()) == [("a", "eins", {"p": "1", "o": "2"}), ("b", "old", None)]
+        assert sorted(tuple(r) for r in op.patch_outcomes(docs.select("fuente"), c, 2).collect()) == [("a", "ok"), ("b", "error")]
+
+
+def test_ocr_engines(monkeypatch):
+    """The adapters that are tried where libraries are installed, with stand-ins for these."""
+    import sys
+    from types import SimpleNamespace as N
+
+    scales = []
+    page = N(get_text=lambda _: [], get_pixmap=lambda matrix: N(tobytes=lambda kind: b"png"))
+
+    class Document(list):
+        __enter__ = lambda self: self
+        __exit__ = lambda self, *_: None
+
+    with pytest.raises(ad.Missing):
+        ad.pdf_ocr(b"", ad.Options())
+    monkeypatch.setitem(sys.modules, "fitz", N(open=lambda stream, filetype: Document([page, page]), Matrix=lambda x, y: scales.append((x, y))))
+    monkeypatch.setitem(sys.modules, "PIL.Image", N(open=lambda f: f.read()))
+    monkeypatch.setitem(sys.modules, "pytesseract", N(Output=N(DICT="d"), image_to_data=lambda png, lang, output_type: {"text": ["uno", " ", f"{lang}"]}, image_to_string=lambda png, lang: "palabras de la imagen leída aquí"))
+    assert ad.pdf_file("x.pdf", b"", ad.Options(ocr_dpi=144)) == ("uno spa+eng\n\nuno spa+eng", {"num_paginas": 2, "ocr_aplicado": True, "ocr_dpi": 144, "ocr_idiomas": "spa+eng"})
+    assert scales == [(2.0, 2.0)] * 2 and ad.zoom_scale(300) == 300 / 72
+    assert ad.pdf_file("x.pdf", b"", ad.Options(ocr=False)) == ("\n\n", {"num_paginas": 2})
+    assert ad.image_file("x.png", b"", ad.Options()) == ("palabras de la imagen leída aquí", {})
+    monkeypatch.setitem(sys.modules, "easyocr", N(Reader=lambda languages, gpu: N(readtext=lambda c, detail, paragraph: [f"{languages} {gpu} " + "x" * 30, "y"])))
+    assert ad.image_file("x.png", b"", ad.Options()) == ("['es', 'en'] False " + "x" * 30 + "\n\ny", {})
+
+
+def test_old_word_files():
+    with pytest.raises(ValueError, match="binary format"):
+        ad.load_document("a.doc", b"\xd0\xcf\x11\xe0")
+
+
+@pytest.mark.parametrize("value, date, text", [("1", False, "1"), ("1.5", False, "1.5"), ("0.30000000000000004", False, "0.30000000000000004"), ("1E3", False, "1000.0"), ("45296", True, "2024-01-05 00:00:00"), ("45296.75", True, "2024-01-05 18:00:00"), ("0.5", True, "12:00:00"), ("1", True, "1900-01-01 00:00:00"), ("61", True, "1900-03-01 00:00:00"), ("x", False, "x")])
+def test_workbook_numbers(value, date, text):
+    assert ad.number_text(value, date) == text
 
 
 def test_chunk_limits(spark):
@@ -185,7 +286,7 @@ def test_commands(spark, folder, tmp_path, capsys):
     assert spark.read.json(out).count() == 10 and spark.read.json(f"{tmp_path}/err").count() == 2
     main(["corpus", folder, out, "--registry", f"{tmp_path}/reg", "--resume"])
     assert spark.read.json(out).count() == 10
-    assert sinks.read_registry(spark, f"{tmp_path}/reg/now").count() == 10
+    assert sinks.read_registry(spark, f"{tmp_path}/reg").count() == 10
     main(["harvest", folder, f"{tmp_path}/log", "--texts", f"{tmp_path}/texts", "--catalog", "broken.json"])
     tiers = {r.archivo: r.tier for r in spark.read.json(f"{tmp_path}/log").collect()}
     assert tiers == {"a/y.json": 1, "a/broken.json": 0}

@@ -30,7 +30,7 @@ def test_only_needed_columns_are_read(spark, name, columns):
 
 def test_filters_reach_the_scan(spark):
     text = plan(QUERIES["dense_topk"](spark, SF))
-    assert "PushedFilters: [IsNotNull(embedding)]" in text
+    assert "PushedFilters: [IsNotNull(vec_id), IsNotNull(embedding)]" in text
 
 
 def test_text_functions_stay_in_the_jvm(spark):
