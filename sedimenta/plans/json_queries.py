@@ -75,10 +75,19 @@ def json_load_kind(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", jh.harvest_json(raw)["carga"].alias("carga"))
 
 
-@query("SELECT 3 AS tier, count(*) AS n, CAST(0 AS BIGINT) AS n_ndjson FROM events")
+@query(
+    """
+WITH k AS (SELECT event_id % 5 AS k FROM events)
+SELECT CASE k WHEN 0 THEN 3 WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 3 THEN 1 ELSE 2 END AS tier, count(*) AS n, CAST(count(*) FILTER (WHERE k = 3) AS BIGINT) AS n_ndjson FROM k GROUP BY 1
+"""
+)
 def census_tiers(spark, sf_dir):
-    """Events' properties hold no text: all are of tier 3."""
-    return op.census_tiers(table(spark, sf_dir, "events").select(jh.harvest_json("props").alias("h")).select("h.tier", "h.carga"))
+    """Events' properties hold no text (tier 3); beside them cut ones (0), prose as a body (1), in two lines (1) and under links (2)."""
+    prose = F.to_json(F.struct(F.concat(F.repeat(F.lit("some words "), 20), "event_type").alias("body")))
+    links = F.to_json(F.struct(F.array(F.concat(F.repeat(F.lit("some words "), 20), "event_type")).alias("links")))
+    k = F.col("event_id") % 5
+    raw = F.when(k == 0, F.col("props")).when(k == 1, F.expr("substring(props, 1, 4)")).when(k == 2, prose).when(k == 3, F.concat(prose, F.lit("\n"), F.col("props"))).otherwise(links)
+    return op.census_tiers(table(spark, sf_dir, "events").select(jh.harvest_json(raw).alias("h")).select("h.tier", "h.carga"))
 
 
 _CENSUS = f"""WITH {_S}, p AS (SELECT unnest(CASE WHEN k = 0 THEN ['title', 'body_text'] WHEN k = 1 THEN ['body_paragraphs[].text'] WHEN k = 2 THEN ['images[].alt'] ELSE ['[].content', '[].title'] END) AS path, * FROM o)"""

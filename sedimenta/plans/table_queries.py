@@ -88,10 +88,10 @@ def layout_reading_order(spark, sf_dir):
 
 
 def _csv_files(spark, sf_dir):
-    """One CSV file for each nation's suppliers, with an empty cell, a short, a long and an empty line."""
+    """One CSV file for each nation's suppliers, with an empty cell, short ones, a long and an empty line."""
     line = F.concat_ws(",", F.col("s_suppkey").cast("string"), F.concat(F.lit('"'), F.col("s_name"), F.lit(', SA"')), F.when(F.col("s_suppkey") % 3 == 0, "nan").otherwise(""), F.lit("x"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", line.alias("l")))), lambda s: s["l"]), "\n")
-    text = F.concat(F.lit("key,name,gap,flag\n"), body, F.lit("\nshort,row\n\na,b,c,d,e\n"))
+    text = F.concat(F.lit("key,name,gap,flag\n"), body, F.lit("\nshort,row\n\na,b,c,d,e\n"), F.repeat(F.lit("x,y\n"), (F.col("s_nationkey") % 4).cast("int")))
     return table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(text.alias("t")).select(F.concat(F.lit("n/"), F.col("s_nationkey").cast("string"), F.lit(".csv")).alias("fuente"), F.lit("csv").alias("formato"), F.encode("t", "UTF-8").alias("content"))
 
 
@@ -100,7 +100,7 @@ def csv_row_text(spark, sf_dir):
     return files.extract(_csv_files(spark, sf_dir)).select("fuente", "texto")
 
 
-@query("SELECT 'n/' || s_nationkey || '.csv' AS fuente, count(*) AS num_filas_validas, CAST(2 AS BIGINT) AS omitidas FROM supplier GROUP BY s_nationkey")
+@query("SELECT 'n/' || s_nationkey || '.csv' AS fuente, count(*) AS num_filas_validas, CAST(2 + s_nationkey % 4 AS BIGINT) AS omitidas FROM supplier GROUP BY s_nationkey")
 def csv_malformed_counts(spark, sf_dir):
     meta = files.extract(_csv_files(spark, sf_dir))
     return meta.select("fuente", F.col("meta")["num_filas_validas"].cast("long").alias("num_filas_validas"), F.col("meta")["filas_omitidas_por_formato_invalido"].cast("long").alias("omitidas"))
