@@ -60,7 +60,16 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="sedimenta", description=__doc__)
     commands = parser.add_subparsers(required=True)
     for run, extra in (
-        (corpus, [("--registry", {}), ("--errors", {}), ("--resume", {"action": "store_true"}), ("--delimiter", {"default": ","}), ("--sheet", {"type": int, "default": 0})]),
+        (
+            corpus,
+            [
+                ("--registry", {}),
+                ("--errors", {}),
+                ("--resume", {"action": "store_true"}),
+                ("--delimiter", {"default": ","}),
+                ("--sheet", {"type": int, "default": 0})
+            ]
+        ),
         (harvest, [("--texts", {}), ("--catalog", {"action": "append", "default": []})]),
         (census, None),
         (encode, [("--text-field", {}), ("--encoder", {"default": "hash"}), ("--mode", {"default": "passage", "choices": ["query", "passage"]})]),

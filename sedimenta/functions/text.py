@@ -48,12 +48,18 @@ def remove_repeated_lines(c: Column, least: int = REPEATS, longest: int = LINE_L
         """Lines that stand as far as `least` - 1 places on in sorted order as well."""
         n = F.size(s)
         ahead = F.slice(s, least, F.greatest(n - least + 1, F.lit(0)))
-        pairs = F.filter(F.zip_with(ahead, F.slice(s, 1, F.greatest(n - least + 1, F.lit(0))), lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull() & (x != "") & (F.length(x) <= longest))
+        pairs = F.filter(
+            F.zip_with(ahead, F.slice(s, 1, F.greatest(n - least + 1, F.lit(0))), lambda x, y: F.when(x == y, x)),
+            lambda x: x.isNotNull() & (x != "") & (F.length(x) <= longest)
+        )
         return F.array_distinct(pairs)
 
     def kept(lines: Column) -> Column:
         repeated = _let(F.array_sort(F.transform(lines, strip)), often)
-        return _let(repeated, lambda r: F.when(F.size(r) == 0, F.array_join(lines, "\n")).otherwise(F.array_join(F.filter(lines, lambda x: ~F.array_contains(r, strip(x))), "\n")))
+        return _let(
+            repeated,
+            lambda r: F.when(F.size(r) == 0, F.array_join(lines, "\n")).otherwise(F.array_join(F.filter(lines, lambda x: ~F.array_contains(r, strip(x))), "\n"))
+        )
 
     return _let(F.split(c, "\n", -1), kept)
 

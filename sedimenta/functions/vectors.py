@@ -76,7 +76,13 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for at in range(0, len(rows), step):
                 own = rows[at : at + step]
                 vectors = flat[start[own][:, None] + np.arange(d)]
-                columns = {"d": pa.array([d], pa.int32()), "place": pa.array([part << 32 | n]), "n": pa.array([len(own)], pa.int32()), "ids": pa.array([ids[own].tobytes()], pa.binary()), "vectors": pa.array([vectors.tobytes()], pa.binary())}
+                columns = {
+                    "d": pa.array([d], pa.int32()),
+                    "place": pa.array([part << 32 | n]),
+                    "n": pa.array([len(own)], pa.int32()),
+                    "ids": pa.array([ids[own].tobytes()], pa.binary()),
+                    "vectors": pa.array([vectors.tobytes()], pa.binary())
+                }
                 n += 1
                 yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 
@@ -100,7 +106,13 @@ def _meet(queries: DataFrame, vectors: DataFrame) -> DataFrame:
     columns = max(1, round((CELLS * parts * n_queries / max(n_vectors, 1)) ** 0.5))
     rows = max(1, CELLS * parts // columns)
     numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    left = q.select("d", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.pmod(F.xxhash64("place"), F.lit(columns)).alias("column"), numbers(rows).alias("row"))
+    left = q.select(
+        "d",
+        F.col("ids").alias("q_ids"),
+        F.col("vectors").alias("q_vectors"),
+        F.pmod(F.xxhash64("place"), F.lit(columns)).alias("column"),
+        numbers(rows).alias("row")
+    )
     right = v.select("d", "ids", "vectors", F.pmod(F.xxhash64("place"), F.lit(rows)).alias("row"), numbers(columns).alias("column"))
     cell = ["d", "row", "column"]
     return left.repartition(parts, *cell).join(right.repartition(parts, *cell).hint("merge"), cell)
@@ -127,7 +139,10 @@ def similarities(queries: DataFrame, vectors: DataFrame) -> DataFrame:
         for row in _rows(batches):
             (q_ids, q), (ids, v) = _arrays(row, "q_ids", "q_vectors"), _arrays(row, "ids", "vectors")
             for k, name in enumerate(q_ids.tolist()):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), name)), pa.array(ids), pa.array((v * q[k]).sum(1))], names=["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(ids), name)), pa.array(ids), pa.array((v * q[k]).sum(1))],
+                    names=["query_id", "vec_id", "score"]
+                )
 
     return _meet(queries, vectors).mapInArrow(run, "query_id long, vec_id long, score double")
 
@@ -255,7 +270,11 @@ ENCODERS: dict[str, Callable[[], HashEncoder | DenseEncoder | TwoHeadEncoder]] =
 }
 _loaded: dict[str, HashEncoder] = {}
 
-ENCODED = T.StructType([T.StructField("dense", T.ArrayType(T.FloatType())), T.StructField("sparse", T.MapType(T.IntegerType(), T.DoubleType())), T.StructField("n_tokens", T.IntegerType())])
+ENCODED = T.StructType([
+    T.StructField("dense", T.ArrayType(T.FloatType())),
+    T.StructField("sparse", T.MapType(T.IntegerType(), T.DoubleType())),
+    T.StructField("n_tokens", T.IntegerType())
+])
 
 
 def encode_texts(text: Column, encoder: str = "hash", mode: str = "passage", batch: int = 256) -> Column:

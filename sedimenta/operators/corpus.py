@@ -105,7 +105,11 @@ def one_change(changes: DataFrame, key: str = "fuente") -> DataFrame:
 def patch(documents: DataFrame, changes: DataFrame, key: str = "fuente") -> DataFrame:
     """Documents with the text, length, language and metadata of their change, if it has one without error; metadata keys of
     the change win. Of several changes for a source one_change() takes one, so no document is repeated."""
-    c = one_change(changes.where("error is null"), key).select(key, *[F.col(x).alias(f"_{x}") for x in ("texto", "num_caracteres", "idioma", "meta_extra")], F.lit(True).alias("_hit"))
+    c = one_change(changes.where("error is null"), key).select(
+        key,
+        *[F.col(x).alias(f"_{x}") for x in ("texto", "num_caracteres", "idioma", "meta_extra")],
+        F.lit(True).alias("_hit")
+    )
     joined = documents.join(c, key, "left")
     old = F.coalesce("meta_extra", F.create_map().cast("map<string,string>"))
     new = F.coalesce("_meta_extra", F.create_map().cast("map<string,string>"))
@@ -182,5 +186,8 @@ def patch_outcomes(listed: DataFrame, changes: DataFrame, least: int = 50) -> Da
 
     tried = one_change(changes.select("fuente", "texto", "error")).withColumn("_hit", F.lit(True))
     rows = listed.select("fuente").distinct().join(tried, "fuente", "left")
-    outcome = F.when(F.col("_hit").isNull(), "missing").when(F.col("error").isNotNull(), "error").when(F.length(strip(F.coalesce("texto", F.lit("")))) >= least, "ok").otherwise("still_empty")
+    outcome = F.when(F.col("_hit").isNull(), "missing").when(F.col("error").isNotNull(), "error").when(
+        F.length(strip(F.coalesce("texto", F.lit("")))) >= least,
+        "ok"
+    ).otherwise("still_empty")
     return rows.select("fuente", outcome.alias("outcome"))

@@ -28,4 +28,12 @@ def handoff(rows: DataFrame, catalogs: tuple[str, ...] = ()) -> DataFrame:
     name = F.element_at(F.split("archivo", "/"), -1)
     kept = rows.where((F.col("tier").between(1, 2)) & ~name.isin(*catalogs) if catalogs else F.col("tier").between(1, 2))
     n = numbered(kept.select("archivo", "texto"), path_order(F.col("archivo")), first=0)
-    return n.select(doc_name(F.col("n")).alias("doc_id"), F.col("archivo").alias("fuente"), F.lit("json").alias("formato"), category_top_folder(F.col("archivo")).alias("fenomeno"), source_org(F.col("archivo")).alias("org"), word_count(F.col("texto")).alias("n_palabras"), "texto")
+    return n.select(
+        doc_name(F.col("n")).alias("doc_id"),
+        F.col("archivo").alias("fuente"),
+        F.lit("json").alias("formato"),
+        category_top_folder(F.col("archivo")).alias("fenomeno"),
+        source_org(F.col("archivo")).alias("org"),
+        word_count(F.col("texto")).alias("n_palabras"),
+        "texto"
+    )

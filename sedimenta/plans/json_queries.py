@@ -15,7 +15,11 @@ from .text_queries import s_strip, s_words
 def _articles(spark, sf_dir):
     """Documents as JSON: by doc_id modulo 4 a flat article, paragraphs beside a body, text under links, and two lines of JSON."""
     k = F.col("doc_id") % 4
-    flat = F.to_json(F.struct(F.col("source").alias("author"), F.concat(F.lit("T"), F.col("doc_id").cast("string")).alias("title"), F.col("text").alias("body_text")))
+    flat = F.to_json(F.struct(
+        F.col("source").alias("author"),
+        F.concat(F.lit("T"), F.col("doc_id").cast("string")).alias("title"),
+        F.col("text").alias("body_text")
+    ))
     both = F.to_json(F.struct(F.col("text").alias("body"), F.array(F.struct(F.col("text").alias("text"))).alias("body_paragraphs"), F.col("lang").alias("idioma")))
     link = F.to_json(F.struct(F.array(F.struct(F.col("text").alias("alt"))).alias("images"), F.col("doc_id").alias("id")))
     lines = F.concat(F.to_json(F.struct(F.col("text").alias("content"))), F.lit("\n"), F.to_json(F.struct(F.lit("fin").alias("title"))))
@@ -86,7 +90,10 @@ def census_tiers(spark, sf_dir):
     prose = F.to_json(F.struct(F.concat(F.repeat(F.lit("some words "), 20), "event_type").alias("body")))
     links = F.to_json(F.struct(F.array(F.concat(F.repeat(F.lit("some words "), 20), "event_type")).alias("links")))
     k = F.col("event_id") % 5
-    raw = F.when(k == 0, F.col("props")).when(k == 1, F.expr("substring(props, 1, 4)")).when(k == 2, prose).when(k == 3, F.concat(prose, F.lit("\n"), F.col("props"))).otherwise(links)
+    raw = F.when(k == 0, F.col("props")).when(k == 1, F.expr("substring(props, 1, 4)")).when(k == 2, prose).when(
+        k == 3,
+        F.concat(prose, F.lit("\n"), F.col("props"))
+    ).otherwise(links)
     return op.census_tiers(table(spark, sf_dir, "events").select(jh.harvest_json(raw).alias("h")).select("h.tier", "h.carga"))
 
 

@@ -26,7 +26,13 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 )
 def ocr_patch(spark, sf_dir):
     """Rows with a change take its text and metadata; changes with an error leave them alone."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("fuente"), F.col("text").alias("texto"), F.col("n_chars").alias("num_caracteres"), F.col("lang").alias("idioma"), F.create_map(F.lit("pages"), F.lit("1"), F.lit("src"), F.lit("old")).alias("meta_extra"))
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("fuente"),
+        F.col("text").alias("texto"),
+        F.col("n_chars").alias("num_caracteres"),
+        F.col("lang").alias("idioma"),
+        F.create_map(F.lit("pages"), F.lit("1"), F.lit("src"), F.lit("old")).alias("meta_extra")
+    )
     changes = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("fuente"),
         F.concat(F.lit("patched "), F.col("quality").cast("string")).alias("texto"),
@@ -38,7 +44,14 @@ def ocr_patch(spark, sf_dir):
     out = op.patch(docs, changes)
     m = F.col("meta_extra")
     note = F.when(F.map_contains_key(m, "ocr"), F.concat(F.lit("ocr="), m["ocr"])).otherwise(F.concat(F.lit("pages="), m["pages"]))
-    return out.select(F.col("fuente").alias("doc_id"), "texto", "num_caracteres", "idioma", F.concat(note, F.lit(",src="), m["src"]).alias("note"), F.size(m).alias("n_meta"))
+    return out.select(
+        F.col("fuente").alias("doc_id"),
+        "texto",
+        "num_caracteres",
+        "idioma",
+        F.concat(note, F.lit(",src="), m["src"]).alias("note"),
+        F.size(m).alias("n_meta")
+    )
 
 
 _FEATURES = """f AS (SELECT p_partkey, p_brand AS layer, CASE WHEN p_partkey % 4 = 0 THEN NULL WHEN p_partkey % 4 = 1 THEN '0' ELSE CAST(p_partkey % 50 AS VARCHAR) END AS fid, p_size AS size,
@@ -49,7 +62,13 @@ def _features(spark, sf_dir):
     n = F.col("p_partkey")
     fid = F.when(n % 4 == 0, F.lit(None)).when(n % 4 == 1, "0").otherwise((n % 50).cast("string"))
     attrs = F.create_map(F.lit("fid"), fid, F.lit("size"), F.col("p_size").cast("string"))
-    return table(spark, sf_dir, "part").select(F.lit("r").alias("root"), F.concat(F.lit("z"), (n % 3).cast("string"), F.lit("/"), n.cast("string")).alias("path"), n.cast("int").alias("ordinal"), F.col("p_brand").alias("layer"), attrs.alias("attrs"))
+    return table(spark, sf_dir, "part").select(
+        F.lit("r").alias("root"),
+        F.concat(F.lit("z"), (n % 3).cast("string"), F.lit("/"), n.cast("string")).alias("path"),
+        n.cast("int").alias("ordinal"),
+        F.col("p_brand").alias("layer"),
+        attrs.alias("attrs")
+    )
 
 
 @query(f"WITH {_FEATURES}, k AS (SELECT *, row_number() OVER (PARTITION BY layer, CASE WHEN fid IS NULL OR fid = '0' THEN 'x' || coalesce(fid, 'null') || '/' || size ELSE fid END ORDER BY string_split(path, '/'), p_partkey) AS r FROM f) SELECT layer, path FROM k WHERE r = 1")
@@ -83,16 +102,33 @@ SELECT doc_id, string_agg(t, chr(10) || chr(10) ORDER BY page) AS text FROM p GR
 )
 def layout_reading_order(spark, sf_dir):
     text = F.when(F.col("l_linenumber") % 6 == 0, "  ").otherwise(F.concat(F.lit(" "), F.col("l_partkey").cast("string"), F.lit(" ")))
-    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), (F.col("l_linenumber") % 2).alias("page"), F.col("l_linenumber").alias("ordinal"), (F.col("l_quantity") % 7 + 0.04).alias("y0"), ((F.col("l_partkey") % 9).cast("double") + 0.03).alias("x0"), text.alias("text"))
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("doc_id"),
+        (F.col("l_linenumber") % 2).alias("page"),
+        F.col("l_linenumber").alias("ordinal"),
+        (F.col("l_quantity") % 7 + 0.04).alias("y0"),
+        ((F.col("l_partkey") % 9).cast("double") + 0.03).alias("x0"),
+        text.alias("text")
+    )
     return op.reading_order(rows)
 
 
 def _csv_files(spark, sf_dir):
     """One CSV file for each nation's suppliers, with an empty cell, short ones, a long and an empty line."""
-    line = F.concat_ws(",", F.col("s_suppkey").cast("string"), F.concat(F.lit('"'), F.col("s_name"), F.lit(', SA"')), F.when(F.col("s_suppkey") % 3 == 0, "nan").otherwise(""), F.lit("x"))
+    line = F.concat_ws(
+        ",",
+        F.col("s_suppkey").cast("string"),
+        F.concat(F.lit('"'), F.col("s_name"), F.lit(', SA"')),
+        F.when(F.col("s_suppkey") % 3 == 0, "nan").otherwise(""),
+        F.lit("x")
+    )
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", line.alias("l")))), lambda s: s["l"]), "\n")
     text = F.concat(F.lit("key,name,gap,flag\n"), body, F.lit("\nshort,row\n\na,b,c,d,e\n"), F.repeat(F.lit("x,y\n"), (F.col("s_nationkey") % 4).cast("int")))
-    return table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(text.alias("t")).select(F.concat(F.lit("n/"), F.col("s_nationkey").cast("string"), F.lit(".csv")).alias("fuente"), F.lit("csv").alias("formato"), F.encode("t", "UTF-8").alias("content"))
+    return table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(text.alias("t")).select(
+        F.concat(F.lit("n/"), F.col("s_nationkey").cast("string"), F.lit(".csv")).alias("fuente"),
+        F.lit("csv").alias("formato"),
+        F.encode("t", "UTF-8").alias("content")
+    )
 
 
 @query("SELECT 'n/' || s_nationkey || '.csv' AS fuente, string_agg('key: ' || s_suppkey || ' | name: ' || s_name || ', SA | flag: x', chr(10) ORDER BY s_suppkey) AS texto FROM supplier GROUP BY s_nationkey")
@@ -103,14 +139,21 @@ def csv_row_text(spark, sf_dir):
 @query("SELECT 'n/' || s_nationkey || '.csv' AS fuente, count(*) AS num_filas_validas, CAST(2 + s_nationkey % 4 AS BIGINT) AS omitidas FROM supplier GROUP BY s_nationkey")
 def csv_malformed_counts(spark, sf_dir):
     meta = files.extract(_csv_files(spark, sf_dir))
-    return meta.select("fuente", F.col("meta")["num_filas_validas"].cast("long").alias("num_filas_validas"), F.col("meta")["filas_omitidas_por_formato_invalido"].cast("long").alias("omitidas"))
+    return meta.select(
+        "fuente",
+        F.col("meta")["num_filas_validas"].cast("long").alias("num_filas_validas"),
+        F.col("meta")["filas_omitidas_por_formato_invalido"].cast("long").alias("omitidas")
+    )
 
 
 @query("SELECT doc_id, text AS texto, CASE WHEN doc_id % 2 = 0 THEN NULL ELSE lang END AS idioma FROM documents")
 def jsonl_roundtrip(spark, sf_dir):
     """JSON Lines written with their nulls, and read again."""
     where = f"{shared_dir(spark)}/out.jsonl"
-    sinks.write_jsonl(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto"), F.when(F.col("doc_id") % 2 != 0, F.col("lang")).alias("idioma")), where)
+    sinks.write_jsonl(
+        table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto"), F.when(F.col("doc_id") % 2 != 0, F.col("lang")).alias("idioma")),
+        where
+    )
     return files.load_records(spark, where).select("doc_id", "texto", "idioma")
 
 

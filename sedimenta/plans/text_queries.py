@@ -163,7 +163,13 @@ def lang_und_gate(spark, sf_dir):
 @query(f"SELECT doc_id, length({s_strip('text')}) < 50 AS pdf_empty, length({s_strip('text')}) < 30 AS image_empty, length({s_strip('text')}) >= 50 AS ocr_ok, len({s_words('text')}) >= 30 AS json_ok FROM documents")
 def signal_thresholds(spark, sf_dir):
     n = F.length(tx.strip(F.col("text")))
-    return table(spark, sf_dir, "documents").select("doc_id", (n < tx.PDF_SIGNAL).alias("pdf_empty"), (n < tx.IMAGE_SIGNAL).alias("image_empty"), (n >= tx.OCR_SIGNAL).alias("ocr_ok"), (tx.word_count_cjk(F.col("text")) >= tx.JSON_WORDS).alias("json_ok"))
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (n < tx.PDF_SIGNAL).alias("pdf_empty"),
+        (n < tx.IMAGE_SIGNAL).alias("image_empty"),
+        (n >= tx.OCR_SIGNAL).alias("ocr_ok"),
+        (tx.word_count_cjk(F.col("text")) >= tx.JSON_WORDS).alias("json_ok")
+    )
 
 
 _VARIANTS = "v AS (SELECT doc_id, 0 AS variant, text FROM documents UNION ALL SELECT doc_id, 1, substr(text, 1, 10 + doc_id % 80) FROM documents)"
@@ -178,7 +184,11 @@ def _variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_VARIANTS} SELECT doc_id, variant, CASE WHEN length({s_strip('text')}) < 30 THEN '' ELSE text END AS text FROM v")
 def ocr_min_signal(spark, sf_dir):
-    return _variants(spark, sf_dir).select("doc_id", "variant", F.when(F.length(tx.strip(F.col("text"))) < tx.IMAGE_SIGNAL, "").otherwise(F.col("text")).alias("text"))
+    return _variants(spark, sf_dir).select(
+        "doc_id",
+        "variant",
+        F.when(F.length(tx.strip(F.col("text"))) < tx.IMAGE_SIGNAL, "").otherwise(F.col("text")).alias("text")
+    )
 
 
 @query(
@@ -273,7 +283,10 @@ def html_to_text(spark, sf_dir):
 @query("SELECT c_custkey, 'c_custkey: ' || c_custkey || ' | c_name: ' || c_name || CASE WHEN c_custkey % 3 = 0 THEN '' ELSE ' | seg: ' || c_mktsegment END AS text FROM customer")
 def row_to_text(spark, sf_dir):
     blank = F.when(F.col("c_custkey") % 3 == 0, F.when(F.col("c_custkey") % 2 == 0, F.lit(" \t")).otherwise("NaN")).otherwise(F.col("c_mktsegment"))
-    return table(spark, sf_dir, "customer").select("c_custkey", tx.row_to_text([("c_custkey", F.col("c_custkey")), ("c_name", F.col("c_name")), ("seg", blank)]).alias("text"))
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        tx.row_to_text([("c_custkey", F.col("c_custkey")), ("c_name", F.col("c_name")), ("seg", blank)]).alias("text")
+    )
 
 
 @query("SELECT p_partkey, 'capa: ' || p_brand || ' | name: ' || p_name || CASE WHEN p_size > 10 THEN ' | size: ' || p_size ELSE '' END || ' | type: ' || p_type AS text FROM part")

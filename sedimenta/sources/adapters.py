@@ -86,7 +86,27 @@ def csv_file(path: str, content: bytes, options: Options) -> tuple[str, dict]:
 
 
 #: What table readers take for an empty cell.
-EMPTY_CELLS = frozenset(["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"])
+EMPTY_CELLS = frozenset([
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null"
+])
 
 
 def _tag(element: ET.Element) -> str:
@@ -378,7 +398,18 @@ def tile_features(content: bytes) -> list[tuple[str, dict]]:
 
 
 #: A file's ending, its format, and the format's adapter.
-FORMATS = {".pdf": "pdf", ".csv": "csv", ".xlsx": "xlsx", ".xls": "xlsx", ".txt": "txt", ".md": "md", ".html": "html", ".htm": "html", ".json": "json", ".pbf": "pbf"} | dict.fromkeys((".png", ".jpg", ".jpeg", ".tif", ".tiff", ".bmp", ".webp"), "imagen")
+FORMATS = {
+    ".pdf": "pdf",
+    ".csv": "csv",
+    ".xlsx": "xlsx",
+    ".xls": "xlsx",
+    ".txt": "txt",
+    ".md": "md",
+    ".html": "html",
+    ".htm": "html",
+    ".json": "json",
+    ".pbf": "pbf"
+} | dict.fromkeys((".png", ".jpg", ".jpeg", ".tif", ".tiff", ".bmp", ".webp"), "imagen")
 ADAPTERS: dict[str, Callable[[str, bytes, Options], tuple[str, dict]]] = {
     "pdf": pdf_file,
     "csv": csv_file,

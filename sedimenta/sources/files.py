@@ -82,7 +82,15 @@ def features(tiles: DataFrame) -> DataFrame:
                     continue
                 for k, (layer, attrs) in enumerate(found):
                     pairs = [f"{a}: {v}" for a, v in attrs.items() if v is not None and str(v).strip()]
-                    rows.append((root, path, k, layer, identity(attrs), {a: None if v is None else str(v) for a, v in attrs.items()}, " | ".join([f"capa: {layer}", *pairs])))
+                    rows.append((
+                        root,
+                        path,
+                        k,
+                        layer,
+                        identity(attrs),
+                        {a: None if v is None else str(v) for a, v in attrs.items()},
+                        " | ".join([f"capa: {layer}", *pairs])
+                    ))
             yield pd.DataFrame(rows, columns=["root", "path", "ordinal", "layer", "key", "attrs", "text"])
 
     return tiles.select(tileset_root(F.col("fuente")).alias("root"), "fuente", "content").mapInPandas(run, FEATURE)

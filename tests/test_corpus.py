@@ -99,7 +99,13 @@ def test_resume_keeps_ids(spark, folder):
 
 
 def test_hooks(spark):
-    options = ad.Options(hooks={"pdf": lambda c: [[(5.0, 20.0, "below"), (9.0, 1.02, "right"), (1.0, 1.04, " left ")], []], "pdf_ocr": lambda c, o: "read by eye " * 9, "image_ocr": lambda c, o: "x" * 29})
+    options = ad.Options(hooks={
+        "pdf": lambda c: [[(5.0, 20.0, "below"), (9.0, 1.02, "right"), (1.0, 1.04, " left ")], []],
+        "pdf_ocr": lambda c,
+        o: "read by eye " * 9,
+        "image_ocr": lambda c,
+        o: "x" * 29
+    })
     assert ad.pdf_file("a.pdf", b"", options)[0] == "read by eye " * 9
     assert ad.page_text([(5.0, 20.0, "below"), (9.0, 1.02, "right"), (1.0, 1.04, " left ")]) == "left\nright\nbelow"
     assert ad.image_file("a.png", b"", options) == ("", {})
@@ -125,7 +131,10 @@ def test_sinks_and_lists(spark, tmp_path):
 
 def test_one_text_file_an_image(spark, tmp_path):
     long = "texto " * 20
-    rows = spark.createDataFrame([("a/b.png", long), ("a/b.jpg", "other"), ("c.tar.gif", "dos"), ("a/d/.e", None), ("c.tar.gif", "dos ")], "fuente string, texto string")
+    rows = spark.createDataFrame(
+        [("a/b.png", long), ("a/b.jpg", "other"), ("c.tar.gif", "dos"), ("a/d/.e", None), ("c.tar.gif", "dos ")],
+        "fuente string, texto string"
+    )
     got = sorted(tuple(r) for r in sinks.write_texts(rows, f"{tmp_path}/t").collect())
     assert got == [("a/b.png", "a/b.txt", "ok"), ("a/d/.e", "a/d/.e.txt", "empty"), ("c.tar.gif", "c.tar.txt", "empty")]
     there = {str(x.relative_to(tmp_path / "t")): x.read_text() for x in (tmp_path / "t").rglob("*") if x.is_file()}
@@ -171,13 +180,19 @@ def test_nearest_is_exact(spark, by):
 
     draw = random.Random(5)
     base = [1e6 + draw.random() for _ in range(5)]
-    rows = [(k, [x + draw.choice((0.0, 1e-9, 1e-7, 3.0)) for x in base]) for k in range(300)] + [(300 + k, [draw.uniform(-1, 1) for _ in range(5)]) for k in range(1500)]
+    rows = [(
+        k,
+        [x + draw.choice((0.0, 1e-9, 1e-7, 3.0)) for x in base]
+    ) for k in range(300)] + [(300 + k, [draw.uniform(-1, 1) for _ in range(5)]) for k in range(1500)]
     rows += [(5000, [1.0]), (5001, None), (None, base), (5002, [None] * 5), (5003, [])]
     asked = [(1, base), (2, rows[400][1]), (3, [0.5]), (4, [0.0] * 5), (5, None)]
     term = (lambda a, b: (b - a) ** 2) if by == "l2" else (lambda a, b: -a * b)
     want = []
     for q, v in asked:
-        costs = sorted((float(np.array([term(a, b) for a, b in zip(v, w)]).sum()), i) for i, w in rows if i is not None and w is not None and None not in w and len(w) == len(v)) if v is not None else []
+        costs = sorted(
+            (float(np.array([term(a, b) for a, b in zip(v, w)]).sum()), i) for i,
+            w in rows if i is not None and w is not None and None not in w and len(w) == len(v)
+        ) if v is not None else []
         want += [(q, i, c if by == "l2" else -c, r) for r, (c, i) in enumerate(costs[:7], 1)]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     got = vx.nearest(spark.createDataFrame(asked, "query_id long, q array<double>"), vectors, 7, by)
@@ -185,8 +200,19 @@ def test_nearest_is_exact(spark, by):
 
 
 def test_patch_takes_one_change(spark):
-    docs = spark.createDataFrame([("a", "old", 3, "es", {"p": "1"}), ("b", "old", 3, "es", None)], "fuente string, texto string, num_caracteres int, idioma string, meta_extra map<string,string>")
-    changes = spark.createDataFrame([("a", "zwei", 4, "de", {"o": "1"}, None), ("a", "eins", 4, "de", {"o": "2"}, None), ("a", "", 0, "und", None, "broken"), ("b", "", 0, "und", None, "broken")], "fuente string, texto string, num_caracteres int, idioma string, meta_extra map<string,string>, error string")
+    docs = spark.createDataFrame(
+        [("a", "old", 3, "es", {"p": "1"}), ("b", "old", 3, "es", None)],
+        "fuente string, texto string, num_caracteres int, idioma string, meta_extra map<string,string>"
+    )
+    changes = spark.createDataFrame(
+        [
+            ("a", "zwei", 4, "de", {"o": "1"}, None),
+            ("a", "eins", 4, "de", {"o": "2"}, None),
+            ("a", "", 0, "und", None, "broken"),
+            ("b", "", 0, "und", None, "broken")
+        ],
+        "fuente string, texto string, num_caracteres int, idioma string, meta_extra map<string,string>, error string"
+    )
     for c in (changes, changes.orderBy(F.desc("texto"))):
         assert sorted((r.fuente, r.texto, r.meta_extra) for r in op.patch(docs, c).collect()) == [("a", "eins", {"p": "1", "o": "2"}), ("b", "old", None)]
         assert sorted(tuple(r) for r in op.patch_outcomes(docs.select("fuente"), c, 2).collect()) == [("a", "ok"), ("b", "error")]
@@ -208,8 +234,22 @@ def test_ocr_engines(monkeypatch):
         ad.pdf_ocr(b"", ad.Options())
     monkeypatch.setitem(sys.modules, "fitz", N(open=lambda stream, filetype: Document([page, page]), Matrix=lambda x, y: scales.append((x, y))))
     monkeypatch.setitem(sys.modules, "PIL.Image", N(open=lambda f: f.read()))
-    monkeypatch.setitem(sys.modules, "pytesseract", N(Output=N(DICT="d"), image_to_data=lambda png, lang, output_type: {"text": ["uno", " ", f"{lang}"]}, image_to_string=lambda png, lang: "palabras de la imagen leída aquí"))
-    assert ad.pdf_file("x.pdf", b"", ad.Options(ocr_dpi=144)) == ("uno spa+eng\n\nuno spa+eng", {"num_paginas": 2, "ocr_aplicado": True, "ocr_dpi": 144, "ocr_idiomas": "spa+eng"})
+    monkeypatch.setitem(
+        sys.modules,
+        "pytesseract",
+        N(
+            Output=N(DICT="d"),
+            image_to_data=lambda png,
+            lang,
+            output_type: {"text": ["uno", " ", f"{lang}"]},
+            image_to_string=lambda png,
+            lang: "palabras de la imagen leída aquí"
+        )
+    )
+    assert ad.pdf_file("x.pdf", b"", ad.Options(ocr_dpi=144)) == (
+        "uno spa+eng\n\nuno spa+eng",
+        {"num_paginas": 2, "ocr_aplicado": True, "ocr_dpi": 144, "ocr_idiomas": "spa+eng"}
+    )
     assert scales == [(2.0, 2.0)] * 2 and ad.zoom_scale(300) == 300 / 72
     assert ad.pdf_file("x.pdf", b"", ad.Options(ocr=False)) == ("\n\n", {"num_paginas": 2})
     assert ad.image_file("x.png", b"", ad.Options()) == ("palabras de la imagen leída aquí", {})
@@ -222,7 +262,21 @@ def test_old_word_files():
         ad.load_document("a.doc", b"\xd0\xcf\x11\xe0")
 
 
-@pytest.mark.parametrize("value, date, text", [("1", False, "1"), ("1.5", False, "1.5"), ("0.30000000000000004", False, "0.30000000000000004"), ("1E3", False, "1000.0"), ("45296", True, "2024-01-05 00:00:00"), ("45296.75", True, "2024-01-05 18:00:00"), ("0.5", True, "12:00:00"), ("1", True, "1900-01-01 00:00:00"), ("61", True, "1900-03-01 00:00:00"), ("x", False, "x")])
+@pytest.mark.parametrize(
+    "value, date, text",
+    [
+        ("1", False, "1"),
+        ("1.5", False, "1.5"),
+        ("0.30000000000000004", False, "0.30000000000000004"),
+        ("1E3", False, "1000.0"),
+        ("45296", True, "2024-01-05 00:00:00"),
+        ("45296.75", True, "2024-01-05 18:00:00"),
+        ("0.5", True, "12:00:00"),
+        ("1", True, "1900-01-01 00:00:00"),
+        ("61", True, "1900-03-01 00:00:00"),
+        ("x", False, "x")
+    ]
+)
 def test_workbook_numbers(value, date, text):
     assert ad.number_text(value, date) == text
 

@@ -13,7 +13,18 @@ from sedimenta.functions import vectors as vx
 P = " ".join(f"palabra{i}" for i in range(36))
 Q = " ".join(f"frase{i}" for i in range(26))
 
-ODD = ["", " ", "a\x00b\x0b c​d", "x\n\n\n\ny\n \n z ", "Menu\nMenu\n Menu\nbody", "a\nb\na\nb\n\n\n\na", "é　end", "line" * 30 + "\n" + ("line" * 30 + "\n") * 3, "one\ttwo  three\r\n", " lead\x85"]
+ODD = [
+    "",
+    " ",
+    "a\x00b\x0b c​d",
+    "x\n\n\n\ny\n \n z ",
+    "Menu\nMenu\n Menu\nbody",
+    "a\nb\na\nb\n\n\n\na",
+    "é　end",
+    "line" * 30 + "\n" + ("line" * 30 + "\n") * 3,
+    "one\ttwo  three\r\n",
+    " lead\x85"
+]
 
 
 def column(spark, values, f, kind="string"):
@@ -124,7 +135,32 @@ def test_cleaning_on_random_texts(spark):
     import random
 
     draw = random.Random(8)
-    parts = ["a", "B", "é", "e\u0301", " ", "  ", "\t", "\n", "\n\n\n", "\r", "\x00", "\x0b", "\x1c", "\x7f", "\x85", "\xa0", "\u200b", "\u3000", "\ufeff", "Menu\n", " Menu\n", "x" * 81 + "\n", "中", "😀"]
+    parts = [
+        "a",
+        "B",
+        "é",
+        "e\u0301",
+        " ",
+        "  ",
+        "\t",
+        "\n",
+        "\n\n\n",
+        "\r",
+        "\x00",
+        "\x0b",
+        "\x1c",
+        "\x7f",
+        "\x85",
+        "\xa0",
+        "\u200b",
+        "\u3000",
+        "\ufeff",
+        "Menu\n",
+        " Menu\n",
+        "x" * 81 + "\n",
+        "中",
+        "😀"
+    ]
     texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 60))) for _ in range(400)]
     steps = column(spark, texts, lambda c: tx.collapse_whitespace(tx.remove_repeated_lines(tu.normalize_nfc(tx.remove_control_chars(c)))))
     assert column(spark, texts, tu.clean_text) == steps == [tu.clean(t) for t in texts]

@@ -21,7 +21,15 @@ def test_no_cross_join_and_no_single_task(spark, name):
     assert "SinglePartition, ENSURE" not in text or "TakeOrderedAndProject" in text
 
 
-@pytest.mark.parametrize("name, columns", [("char_count", {"doc_id", "text"}), ("resume_anti_join", {"doc_id", "source"}), ("l2_norm", {"vec_id", "embedding"}), ("row_to_text", {"c_custkey", "c_name", "c_mktsegment"})])
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("char_count", {"doc_id", "text"}),
+        ("resume_anti_join", {"doc_id", "source"}),
+        ("l2_norm", {"vec_id", "embedding"}),
+        ("row_to_text", {"c_custkey", "c_name", "c_mktsegment"})
+    ]
+)
 def test_only_needed_columns_are_read(spark, name, columns):
     line = next(x for x in plan(QUERIES[name](spark, SF)).splitlines() if "FileScan" in x)
     schema = line.split("ReadSchema: struct<")[1].rstrip(">")
