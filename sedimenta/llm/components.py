@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import fresh, materialize
+from .base import fresh, materialize, relieve
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(node, root): each node that has an edge, with the smallest node that it reaches. Null ends are ignored.
 
-    Each round writes its edges to the shared folder. Nodes with many edges: their minimum is pre-aggregated before the
-    shuffle and written, so that the join that hands it out is one of two plain shuffles, which Spark splits where it
-    is skewed.
+    Each round writes its edges to the shared folder; the last one is that which leaves stars. Nodes with many edges: their
+    minimum is pre-aggregated before the shuffle and written, so that the join that hands it out is one of two plain
+    shuffles, which Spark splits where it is skewed.
     """
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct()
     now = materialize(now)
-    before = None
+    relieve(edges.sparkSession)
     for _ in range(rounds):
         # large star: each node's larger neighbours go to its smallest neighbour
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -27,12 +27,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         large = materialize(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
-        now = joined.select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        now = joined.select(F.explode(F.array(
+            F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
+            F.struct(F.col("v").alias("u"), F.col("m").alias("v"))
+        )).alias("e"))
         now = materialize(now.select("e.u", "e.v").where("u > v").distinct())
-        state = now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
-        if state == before:
+        # stars: no node has two smaller neighbours, or a smaller and a larger one
+        ends = now.select(
+            F.col("u").alias("node"),
+            F.lit(1).alias("up"),
+            F.lit(0).alias("down")
+        ).unionByName(now.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        degrees = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        relieve(edges.sparkSession)
+        if degrees.where("up > 1 OR up = 1 AND down = 1").isEmpty():
             break
-        before = state
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

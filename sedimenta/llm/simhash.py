@@ -4,7 +4,9 @@ Fingerprints: 64 bits, a bit is 1 if set in over half of the XXH64 values (seed
 bit position gets a random vector of r+1 bits; for each nonzero vector v of r+1 bits, a table masks the positions whose
 vector has an even product with v away. Any r positions span less than the r+1 dimensions, so some v is orthogonal to
 all of them: every pair within r bits agrees in some table (Pagh, CoveringLSH). Within a bucket an exact search gives
-the edges of a spanning forest, never all pairs; a bucket over BLOCK fingerprints is dealt out in pairs of blocks.
+the edges of a spanning forest, never all pairs; a bucket over BLOCK fingerprints is dealt out in pairs of blocks. Copies
+cannot make buckets grow without end: they hold distinct fingerprints that agree in about 32 bits, and of those within the
+radius of one of them there are 41,449 at most. Beyond come fingerprints that agree by chance, n / 2**32 a bucket.
 
 Defined results. Null and empty texts have fingerprint zero and link like any other. Fewer words than a shingle: the
 whole sequence is one shingle. A null doc_id is kept and never the smallest unless its component has no other. Repeated
@@ -163,7 +165,7 @@ def classes(documents: DataFrame, radius: int = RADIUS, width: int = SHINGLE, bl
     found = components(links(nodes, radius, block)).withColumnsRenamed({"node": "fp"})
     rooted = materialize(nodes.join(found, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
     smallest = materialize(rooted.groupBy("root").agg(F.min("least").alias("head")))  # a frequent root: a join that Spark can split
-    named = materialize(rooted.join(smallest, "root").select("fp", "head"))
+    named = rooted.join(smallest, "root").select("fp", "head")
     return prints.join(named, "fp").select("doc_id", "digest", "fp", "head")
 
 
@@ -173,7 +175,16 @@ def simhash_dedup(documents: DataFrame, radius: int = RADIUS, width: int = SHING
     return classes(documents, radius, width, block).select("doc_id", fingerprint, F.col("head.doc_id").alias("component_id"))
 
 
-def one_of_each(documents: DataFrame, radius: int = RADIUS, width: int = SHINGLE) -> DataFrame:
+def one_of_each(documents: DataFrame, radius: int = RADIUS, width: int = SHINGLE, similarity: float | None = None) -> DataFrame:
     """The documents, with all their columns, that are their component's head: the smallest doc_id, of several with that the
-    text with the least digest, of repetitions of that one row. Rows without a doc_id stay."""
+    text with the least digest, of repetitions of that one row. Rows without a doc_id stay.
+
+    With a similarity, what counts is that of the sets of shingles, not the bits of fingerprints: see near_copies.
+    """
+    if similarity is not None:
+        from . import near_copies
+
+        if (radius, width, round(100 * similarity)) != (RADIUS, near_copies.SHINGLE, near_copies.PERCENT):
+            raise ValueError("near copies are told at the radius, width and similarity of near_copies")
+        return near_copies.one_of_each(documents)
     return keep_heads(documents, heads(classes(documents, radius, width)))
