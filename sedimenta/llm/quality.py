@@ -61,9 +61,11 @@ class Texts:
         self.words = words = Words(data, offsets)
         self.data, self.offsets = words.data, offsets
         self.n = np.diff(words.first).astype(np.float64)
-        self.upper, self.lower, self.odd = (self._count(t) for t in (_UPPER, _LOWER, _ODD))
-        self.stops = self._count(_table("."))
-        self.solid = self._per_text(self.data != 32, self.offsets)
+        rows = len(offsets) - 1
+        self.text_of = np.repeat(np.arange(rows), np.diff(offsets))  # of each byte
+        bytes_of = np.bincount(self.text_of << 8 | self.data, minlength=rows << 8).reshape(rows, 256).astype(np.float64)
+        self.upper, self.lower, self.odd = (bytes_of[:, t].sum(1) for t in (_UPPER, _LOWER, _ODD))
+        self.stops, self.solid = bytes_of[:, ord(".")], bytes_of.sum(1) - bytes_of[:, 32]
         h = words.hashes()
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(words.first))
         same = np.zeros(len(h), bool)
@@ -83,9 +85,9 @@ class Texts:
 
     @staticmethod
     def _fresh(hashes: np.ndarray, group: np.ndarray) -> np.ndarray:
-        """Whether each hash is the first of its kind in its group."""
+        """Whether each hash is the one that stands for its kind in its group."""
         key = mixed(hashes ^ mixed(group.astype(np.uint64)))
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         out = np.ones(len(key), bool)
         out[order[1:]] = key[order[1:]] != key[order[:-1]]
         return out
@@ -95,9 +97,6 @@ class Texts:
         total = np.r_[0, np.cumsum(flags, dtype=np.int64)]
         return (total[at[1:]] - total[at[:-1]]).astype(np.float64)
 
-    def _count(self, chars: np.ndarray) -> np.ndarray:
-        return self._per_text(chars[self.data], self.offsets)
-
     def votes(self) -> np.ndarray:
         """(texts, labellers): 1 good, 0 bad, 2 no opinion."""
         n, one = np.maximum(self.n, 1), np.maximum(self.solid, 1)
@@ -122,7 +121,7 @@ class Texts:
         s = _SHAPE[self.data]
         if len(s) > 2:
             key = ((s[:-2] * np.uint32(31) + s[1:-1]) * np.uint32(31) + s[2:]) * np.uint32(2654435761) >> np.uint32(32 - BUCKETS.bit_length() + 1)
-            text = np.repeat(np.arange(rows), np.diff(self.offsets))
+            text = self.text_of
             inside = text[2:] == text[:-2]
             out[:, :BUCKETS] = np.bincount((text[2:] * BUCKETS + key)[inside], minlength=rows * BUCKETS).reshape(rows, BUCKETS)
             out[:, :BUCKETS] = np.sqrt(out[:, :BUCKETS] / np.maximum(out[:, :BUCKETS].sum(1, keepdims=True), 1))
@@ -191,7 +190,10 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> np.ndarray:
             labellers = votes.shape[1]
             for p, n in zip(*(x.tolist() for x in np.unique(patterns(votes), return_counts=True)), strict=True):
                 seen[p] = seen.get(p, 0) + n
-        yield pa.RecordBatch.from_arrays([pa.array([*seen], pa.int64()), pa.array([*seen.values()], pa.int64()), pa.array([labellers] * len(seen), pa.int32())], names=["pattern", "n", "labellers"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*seen], pa.int64()), pa.array([*seen.values()], pa.int64()), pa.array([labellers] * len(seen), pa.int32())],
+            names=["pattern", "n", "labellers"]
+        )
 
     def describe(batches):
         for batch in chunks(batches, "text"):
@@ -199,7 +201,10 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> np.ndarray:
             rows = [r.tobytes() for r in texts.features().astype(np.float16)]
             yield pa.RecordBatch.from_arrays([batch.column("draw"), pa.array(patterns(texts.votes())), pa.array(rows, pa.binary())], names=["draw", "pattern", "x"])
 
-    votes = documents.select("text").mapInArrow(vote, "pattern long, n long, labellers int").groupBy("pattern").agg(F.sum("n").alias("n"), F.max("labellers").alias("labellers")).orderBy("pattern").collect()
+    votes = documents.select("text").mapInArrow(vote, "pattern long, n long, labellers int").groupBy("pattern").agg(
+        F.sum("n").alias("n"),
+        F.max("labellers").alias("labellers")
+    ).orderBy("pattern").collect()
     if not votes:
         return np.zeros(BUCKETS + 3)
     pattern, counts = np.array([v["pattern"] for v in votes]), np.array([v["n"] for v in votes], np.float64)
@@ -234,7 +239,10 @@ def score(documents: DataFrame, sample: int = SAMPLE, threshold: float = THRESHO
     def run(batches):
         for batch in chunks(batches, "text"):
             p, keep, n = _scores(batch, weights, threshold)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(p), pa.array(keep)], names=["doc_id", "n_words", "score", "keep"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(p), pa.array(keep)],
+                names=["doc_id", "n_words", "score", "keep"]
+            )
 
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_words long, score double, keep boolean")
 
