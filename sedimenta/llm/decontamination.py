@@ -262,11 +262,23 @@ def _each_group(documents: DataFrame, benchmark: DataFrame, similarity: float, c
         numbered = materialize(numbered.repartition("g"))
     out = None
     for g in range(groups):
-        items = Items(sorted(((r["item_id"], r["text"]) for r in numbered.where(F.col("g") == g).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])), similarity)
+        items = Items(
+            sorted(((r["item_id"], r["text"]) for r in numbered.where(F.col("g") == g).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])),
+            similarity
+        )
         if clean:
             documents = documents.mapInArrow(_keep(spark.sparkContext.broadcast(items)), documents.schema)
         else:
-            found = documents.mapInArrow(_tell(spark.sparkContext.broadcast(items)), T.StructType([documents.schema["doc_id"], T.StructField("item_id", T.LongType()), T.StructField("start_word", T.LongType()), T.StructField("edits", T.LongType()), T.StructField("similarity", T.DoubleType())]))
+            found = documents.mapInArrow(
+                _tell(spark.sparkContext.broadcast(items)),
+                T.StructType([
+                    documents.schema["doc_id"],
+                    T.StructField("item_id", T.LongType()),
+                    T.StructField("start_word", T.LongType()),
+                    T.StructField("edits", T.LongType()),
+                    T.StructField("similarity", T.DoubleType())
+                ])
+            )
             out = found if out is None else out.unionByName(found)
     return documents if clean else out
 

@@ -68,7 +68,9 @@ TEMPLATES = {
         "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce"
         " the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
     ),
-    "isc": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",),
+    "isc": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    ),
     "cc-by": ("this work is licensed under a creative commons attribution license", "licensed under cc by 4 0"),
     "mpl": ("this source code form is subject to the terms of the mozilla public license v 2 0",),
 }
@@ -180,7 +182,12 @@ class Matcher:
                 yield label, best / len(own)
 
 
-def license_scan(documents: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str, tuple[str, ...]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def license_scan(
+    documents: DataFrame,
+    phrases: dict[str, str] = PHRASES,
+    templates: dict[str, tuple[str, ...]] = TEMPLATES,
+    threshold: float = THRESHOLD
+) -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score (the largest share of a contained template, 0 if none)."""
     flat = [(label, t) for label, texts in templates.items() for t in texts]
     if sum(len(t) for _, t in flat) > TEMPLATE_BYTES:
@@ -224,4 +231,7 @@ def license_scan(documents: DataFrame, phrases: dict[str, str] = PHRASES, templa
                 names=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
             )
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
+    return documents.select("doc_id", "text").mapInArrow(
+        run,
+        "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
+    )

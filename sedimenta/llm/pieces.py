@@ -396,7 +396,10 @@ def encode(documents: DataFrame, path: str, column: str = "text", to: str = "ids
     def run(batches):
         for batch in chunks(batches, column, TEXT_BYTES):
             ids, offsets = model(path).texts(batch.column(column))
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))], names=[*[f.name for f in kept], to])
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(f.name) for f in kept], pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))],
+                names=[*[f.name for f in kept], to]
+            )
 
     schema = T.StructType([*kept, T.StructField(to, T.ArrayType(T.IntegerType()))])
     return documents.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(run, schema)

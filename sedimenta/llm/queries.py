@@ -130,7 +130,10 @@ def _licenses_sql() -> str:
     places = " UNION ALL ".join(
         f"SELECT doc_id, {_quote(label)} AS label, unnest(list_filter(range(1, len(ws) + 1), lambda i: {' AND '.join(f'ws[i + {k}] = {_quote(w)}' for k, w in enumerate(p.split()))})) - 1 AS pos FROM d" for p, label in PHRASES.items()
     )
-    templates = ", ".join(f"({k}, {_quote(label)}, {sorted(set(t.split()))}, {len(t.split())})" for k, (label, t) in enumerate((label, t) for label, texts in TEMPLATES.items() for t in texts))
+    templates = ", ".join(
+        f"({k}, {_quote(label)}, {sorted(set(t.split()))}, {len(t.split())})" for k,
+        (label, t) in enumerate((label, t) for label, texts in TEMPLATES.items() for t in texts)
+    )
     return f"""
 WITH l AS (SELECT doc_id, translate(coalesce(text, ''), '{upper}', '{upper.lower()}') AS t FROM documents),
 d AS (SELECT doc_id, regexp_extract_all(t, {word}) AS ws FROM l),

@@ -151,7 +151,10 @@ def found(documents: DataFrame, to: str, allowed: tuple[str, ...] = ALLOWED, cut
     words = " OR ".join(f"contains(w, '{w}')" for w in ("password", "passwd", "secret", "token", "apikey", "api_key"))
     guards = {"assign": f"exists(array(lower({text})), w -> {words})", "access": f"contains({text}, 'AKIA')"}
     none = "cast(array() AS array<struct<s:int,m:string>>)"
-    raw = [f"'{kind}', CASE WHEN {guards.get(kind, long_run)} THEN {_places(text, _SEARCHED.get(kind, pattern))} ELSE {none} END" for kind, (pattern, *_) in BASE.items()]
+    raw = [
+        f"'{kind}', CASE WHEN {guards.get(kind, long_run)} THEN {_places(text, _SEARCHED.get(kind, pattern))} ELSE {none} END" for kind,
+        (pattern, *_) in BASE.items()
+    ]
     raw += [f"'{kind}', CASE WHEN {long_run} THEN {_places(text, _run(c[0], c[1]))} ELSE {none} END" for kind, c in CLASSES.items()]
     rows = documents.withColumn(to, F.expr(f"named_struct({', '.join(raw)})"))
 
@@ -172,7 +175,10 @@ def found(documents: DataFrame, to: str, allowed: tuple[str, ...] = ALLOWED, cut
     # an added span is told unless a base span that starts before or with it ends behind or with it
     ends = _greatest(f"transform(`{to}`.every, x -> CASE WHEN x.kind < {len(BASE)} THEN x.e ELSE -1 END)")
     told = _let(ends, lambda e: f"filter(`{to}`.every, (x, i) -> x.kind < {len(BASE)} OR {e}[i] < x.e)")
-    return rows.withColumn(to, F.expr(f"named_struct('base', `{to}`.base, 'spans', CASE WHEN size(`{to}`.base) IN (0, size(`{to}`.every)) THEN `{to}`.every ELSE {told} END)"))
+    return rows.withColumn(
+        to,
+        F.expr(f"named_struct('base', `{to}`.base, 'spans', CASE WHEN size(`{to}`.base) IN (0, size(`{to}`.every)) THEN `{to}`.every ELSE {told} END)")
+    )
 
 
 def _told(spans: str) -> Column:
@@ -184,7 +190,13 @@ def scan(documents: DataFrame, allowed: tuple[str, ...] = ALLOWED, cut: str = CU
     """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_added."""
     rows = found(documents.select("doc_id", "text"), "f", allowed, cut)
     counts = [F.expr(f"cast(size(filter(f.base, x -> x.kind = {n})) AS bigint)").alias(f"n_{k}") for n, k in enumerate(BASE)]
-    return rows.select("doc_id", *counts, F.sha2(_told("f.base"), 256).alias("base_sha256"), _told("f.spans").alias("spans"), (F.size("f.spans") - F.size("f.base")).cast("long").alias("n_added"))
+    return rows.select(
+        "doc_id",
+        *counts,
+        F.sha2(_told("f.base"), 256).alias("base_sha256"),
+        _told("f.spans").alias("spans"),
+        (F.size("f.spans") - F.size("f.base")).cast("long").alias("n_added")
+    )
 
 
 def redact(documents: DataFrame, mark: str = "[SECRET]", allowed: tuple[str, ...] = ALLOWED, cut: str = CUT) -> DataFrame:

@@ -44,7 +44,12 @@ def jump_hash(key: Column, shards: int) -> Column:
     if shards < 1:
         raise ValueError("shards must be 1 or more")
     key = key.cast("long")
-    zero = F.struct(_and(F.shiftrightunsigned(key, 32), _M32).alias("h"), _and(key, _M32).alias("l"), F.lit(-1).cast("long").alias("b"), F.lit(0).cast("long").alias("j"))
+    zero = F.struct(
+        _and(F.shiftrightunsigned(key, 32), _M32).alias("h"),
+        _and(key, _M32).alias("l"),
+        F.lit(-1).cast("long").alias("b"),
+        F.lit(0).cast("long").alias("j")
+    )
 
     def step(s: Column, _: Column) -> Column:
         high, low = _next(s["h"], s["l"])
@@ -71,4 +76,12 @@ def shard(documents: DataFrame, shards: int = 8, ranges: int | None = None) -> D
     offsets = counts.select("shard", "range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     within = Window.partitionBy("shard", "range").orderBy(*order)
     numbered = dealt.withColumn("n", F.row_number().over(within) - 1).join(offsets, ["shard", "range"])
-    return numbered.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("n") + F.col("offset")).cast("long").alias("slot"), "grown_shard")
+    return numbered.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("key").alias("law"),
+        "shard",
+        (F.col("n") + F.col("offset")).cast("long").alias("slot"),
+        "grown_shard"
+    )

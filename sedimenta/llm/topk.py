@@ -188,7 +188,17 @@ class Block:
         return bound
 
 
-def search(q: np.ndarray, query_id: int, square: float, near: np.ndarray, floor: float, block: Block, best: list[tuple[int, int]], k: int, step: int = 128) -> list[tuple[int, int]]:
+def search(
+    q: np.ndarray,
+    query_id: int,
+    square: float,
+    near: np.ndarray,
+    floor: float,
+    block: Block,
+    best: list[tuple[int, int]],
+    k: int,
+    step: int = 128
+) -> list[tuple[int, int]]:
     """best with what these candidates better: (-score, id), in order, k at most."""
     bound = block.bounds(square, near)
     live = np.flatnonzero(bound >= (max(floor, -best[-1][0]) if len(best) == k else floor))
@@ -281,7 +291,14 @@ def _may_reach() -> Column:
     return (total - gap * gap) / 2 + total * ((F.col("d") + 8) * F.lit(2.0**-50)) >= F.col("q_least") - 1
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVOTS, query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
+def top_k(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int = 5,
+    pivots: int = PIVOTS,
+    query_block: int = QUERY_BLOCK,
+    candidate_block: int = CANDIDATE_BLOCK
+) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's k highest inner products. Both inputs: vec_id long, v array<double> of whole numbers; queries are rows of vectors."""
     spark = vectors.sparkSession
     sample: dict[int, list] = {}
@@ -307,7 +324,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
     pairs = left.repartition(parts, *cell).join(right.repartition(parts, *cell).hint("merge"), cell).where(_may_reach())
     found = pairs.mapInArrow(_match(k), _FOUND).unionByName(distinct.where("copies > 1").mapInArrow(_repeated(k), _FOUND))
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
-    fits = F.when(F.col("over"), F.raise_error(F.concat(F.lit("a score of query "), F.col("query_id").cast("string"), F.lit(" doesn't fit a long"))).cast("long")).otherwise(F.col("score"))
+    fits = F.when(
+        F.col("over"),
+        F.raise_error(F.concat(F.lit("a score of query "), F.col("query_id").cast("string"), F.lit(" doesn't fit a long"))).cast("long")
+    ).otherwise(F.col("score"))
     return ranked.select("query_id", "rank", "vec_id", fits.alias("score"), F.explode(F.sequence(F.lit(1), "copies"))).select("query_id", "rank", "vec_id", "score")
 
 

@@ -20,7 +20,31 @@ def odd_documents() -> list[tuple]:
     base = say(260)
     words = base.split()
     near = [" ".join(words[:k] + ["changed"] + words[k + 1 :]) for k in (5, 100, 200)]
-    texts = [base, base, *near, say(30) + " " + passage + " " + say(40), passage + "\n" + say(5), say(12) + "\t" + passage, long, long[: len(long) // 2], "", None, " \n ", "one", "One", "one two", "ONE TWO three", passage.replace(" ", "  "), "the the " * 60, "x" * 5000, "日本語 \x00 😀 é", None, "", say(49), say(50)]
+    texts = [
+        base,
+        base,
+        *near,
+        say(30) + " " + passage + " " + say(40),
+        passage + "\n" + say(5),
+        say(12) + "\t" + passage,
+        long,
+        long[: len(long) // 2],
+        "",
+        None,
+        " \n ",
+        "one",
+        "One",
+        "one two",
+        "ONE TWO three",
+        passage.replace(" ", "  "),
+        "the the " * 60,
+        "x" * 5000,
+        "日本語 \x00 😀 é",
+        None,
+        "",
+        say(49),
+        say(50)
+    ]
     rows = [(k, t, "en", f"s{k % 3}", len(t or "")) for k, t in enumerate(texts)]
     return [*rows, rows[5], (None, passage, "en", "s0", 1), (None, None, None, None, None), (3, "another text under a used id " + passage, "en", "s1", 2)]
 

@@ -113,7 +113,18 @@ def best(rows, k):
 def test_top_k(spark, k, blocks):
     draw = random.Random(k)
     rows = [(i, [round(draw.uniform(-1, 1), 3) for _ in range(6)]) for i in range(180)]
-    rows += [(200 + i, rows[50][1]) for i in range(40)] + [(300, [0.0] * 6), (350, [1.0]), (351, [-1.0]), (352, []), (None, [0.5] * 6), (400, None), (401, [float("nan")] * 6), (402, [None, 1.0]), (403, [float("inf")] * 6), (450, [900.0, -900.0, 1e-9, 0.5, 0.25, 3.0])]
+    rows += [(200 + i, rows[50][1]) for i in range(40)] + [
+        (300, [0.0] * 6),
+        (350, [1.0]),
+        (351, [-1.0]),
+        (352, []),
+        (None, [0.5] * 6),
+        (400, None),
+        (401, [float("nan")] * 6),
+        (402, [None, 1.0]),
+        (403, [float("inf")] * 6),
+        (450, [900.0, -900.0, 1e-9, 0.5, 0.25, 3.0])
+    ]
     rows += [(50, rows[50][1]), (50, rows[50][1]), (50, [0.5] * 6), (100, [2.0] * 6), (101, [2.0] * 6), (101, [2.0] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("v", F.lit("x")).repartition(3)
     vectors = df.where(F.col("vec_id").isNotNull() & topk.usable(F.col("embedding"))).select("vec_id", topk.whole_numbers(F.col("embedding")).alias("v"))
@@ -142,7 +153,23 @@ def test_top_k_empty(spark):
     assert topk.embedding_top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-TEXTS = [None, "", " ", "  ", "a  b   c    d     e", " lead", "tail ", "日本語 abc日本.def", "tab\tx\n\n\ny", "aaaaaaaaaaaaaa aaaa", "\x00 é😀 ", "......... -------- ======== ____", "a" * 3000, "don't!!'s '''s a'b.c's 12's İ ΩΣ á ≠ <| <|endoftext|>x<|ENDOFTEXT|>", "The THE the. the,the;the"]
+TEXTS = [
+    None,
+    "",
+    " ",
+    "  ",
+    "a  b   c    d     e",
+    " lead",
+    "tail ",
+    "日本語 abc日本.def",
+    "tab\tx\n\n\ny",
+    "aaaaaaaaaaaaaa aaaa",
+    "\x00 é😀 ",
+    "......... -------- ======== ____",
+    "a" * 3000,
+    "don't!!'s '''s a'b.c's 12's İ ΩΣ á ≠ <| <|endoftext|>x<|ENDOFTEXT|>",
+    "The THE the. the,the;the"
+]
 
 
 def test_pieces_equal_the_library(spark, tables):
@@ -158,7 +185,12 @@ def test_pieces_equal_the_library(spark, tables):
         assert r.decoded == (texts[r.doc_id] or "")
     for r in pieces.digests(odd, public_tokenizer(PIECE_BPE)).collect():
         ids = own.encode(texts[r.doc_id] or "")
-        assert (r.n_tokens, r.ids_crc32, r.decoded_crc32, r.same) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), zlib.crc32((texts[r.doc_id] or "").encode()), True)
+        assert (r.n_tokens, r.ids_crc32, r.decoded_crc32, r.same) == (
+            len(ids),
+            zlib.crc32(np.array(ids, "<u4").tobytes()),
+            zlib.crc32((texts[r.doc_id] or "").encode()),
+            True
+        )
 
 
 def test_pieces_of_spaces_and_long_units():
@@ -181,7 +213,14 @@ def test_pieces_reject_other_models(tmp_path):
     field = lambda n, content: bytes([n << 3 | 2, len(content)]) + content
     flags = lambda **k: b"".join(bytes([int(n[1:]) << 3, v]) for n, v in k.items())
     path = tmp_path / "model"
-    for trainer, normaliser, good in ((flags(f3=2), flags(f4=0), True), (flags(f3=1), flags(f4=0), False), (b"", flags(f4=0), False), (flags(f3=2), b"", False), (flags(f3=2), flags(f3=0, f4=0), False), (flags(f3=2), field(2, b"map") + flags(f4=0), False)):
+    for trainer, normaliser, good in (
+        (flags(f3=2), flags(f4=0), True),
+        (flags(f3=1), flags(f4=0), False),
+        (b"", flags(f4=0), False),
+        (flags(f3=2), b"", False),
+        (flags(f3=2), flags(f3=0, f4=0), False),
+        (flags(f3=2), field(2, b"map") + flags(f4=0), False)
+    ):
         path.write_bytes(field(2, trainer) + field(3, normaliser))
         if good:
             pieces.check(str(path))
@@ -239,7 +278,14 @@ def test_decontamination_of_long_items(spark):
     say = lambda n: [f"w{draw.randrange(5000)}" for _ in range(n)]
     item, other = say(1000), say(600)
     changed = lambda own, n: [f"x{draw.randrange(9)}" if k in at else w for at in [set(draw.sample(range(len(own)), n))] for k, w in enumerate(own)]
-    docs = [(1, say(50) + [w for _ in range(100) for w in item + say(3)]), (2, [w for k in range(20) for w in changed(other, 100 + k) + say(2)]), (3, changed(item, 230)), (4, say(3000)), (5, say(7) + changed(item, 200)), (6, ["the"] * 5000)]
+    docs = [
+        (1, say(50) + [w for _ in range(100) for w in item + say(3)]),
+        (2, [w for k in range(20) for w in changed(other, 100 + k) + say(2)]),
+        (3, changed(item, 230)),
+        (4, say(3000)),
+        (5, say(7) + changed(item, 200)),
+        (6, ["the"] * 5000)
+    ]
     bench = [(1, " ".join(item)), (2, " ".join(other)), (3, " ".join(["the"] * 40))]
     began = time.time()
     got = dc.leaks(spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
@@ -362,7 +408,10 @@ def test_token_files_of_another_tokenizer(spark):
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(TEXTS)], "doc_id long, text string")
     where = shared_dir(spark)
     token_files.write_ids(docs, where, path, end_id=7)
-    assert {r.doc_id: r.ids for r in token_files.read_ids(spark, where).collect()} == {k: own.encode(t or "", add_special_tokens=False).ids + [7] for k, t in enumerate(TEXTS)}
+    assert {r.doc_id: r.ids for r in token_files.read_ids(spark, where).collect()} == {
+        k: own.encode(t or "", add_special_tokens=False).ids + [7] for k,
+        t in enumerate(TEXTS)
+    }
 
 
 def test_pipeline(spark):
@@ -384,6 +433,101 @@ def test_pipeline(spark):
     assert all(own.decode(np.array(r.ids, np.int64)) == clean[i] and r.n_tokens == len(r.ids) for i, r in out.items())
 
 
+def test_pipeline_edges(spark, clashing, empty, documents, rows, tmp_path):
+    """Every stage on nulls, empty and long texts, repeated rows, clashing names and an empty table; then all of them."""
+    import corpus_pipeline as cp
+
+    bench = spark.createDataFrame([(1, rows[7][1]), (None, None)], "item_id long, text string")
+    for name, docs in (("odd", clashing), ("empty", empty)):
+        bench.write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+        docs.select(*documents.columns).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        for k, (_, stage) in enumerate(cp.STAGES):
+            out = stage(spark, docs, f"{tmp_path}/{name}")
+            left = out.collect()
+            assert len(left) <= docs.count() and (name == "odd") == bool(left)
+            assert out.columns == (docs.columns if k < 4 else ["doc_id", "n_tokens", "ids"])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = cp.run(spark, f"{tmp_path}/odd").collect()
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+    assert sum(r.doc_id is None for r in got) == 2 and {r.doc_id for r in got if r.doc_id is not None} < {r[0] for r in rows}
+    assert cp.run(spark, f"{tmp_path}/empty").count() == 0
+
+
+def plain_votes(text):
+    """The labellers, one text at a time, in plain Python; and what the scorer sees of it."""
+    raw = (text or "").encode()
+    words = raw.split()
+    blank = b" \t\n\r\x0b\x0c"
+    point = lambda c: 33 <= c < 127 and not chr(c).isalnum()
+    odd = lambda c: point(c) and chr(c) not in ".,;:'\"-()?"
+    n, solid = len(words), sum(c not in blank for c in raw)
+    upper, lower = sum(65 <= c < 91 for c in raw), sum(97 <= c < 123 or c > 127 for c in raw)
+    again = sum(a == b for a, b in zip(words, words[1:]))
+    parts = max(-(-n // quality.STRETCH), 1)
+    fresh = len({(k * parts // max(n, 1), w) for k, w in enumerate(words)})
+    runs = [tuple(words[k : k + quality.PASSAGE]) for k in range(n - quality.PASSAGE + 1)]
+    repetition = max(1 - fresh / max(n, 1), (len(runs) - len(set(runs))) / max(n - quality.PASSAGE + 1, 1))
+    one = max(n, 1)
+    cases = [
+        (sum(map(odd, raw)) / max(solid, 1), 0.01, 0.06),
+        (upper / max(upper + lower, 1), 0.15, 0.5),
+        (again / one, 0.03, 0.2),
+        (sum(len(w) == 1 and point(w[0]) for w in words) / one, 0.02, 0.15),
+        (sum(len(w) > 1 and point(w[-1]) and (odd(w[-1]) or odd(w[-2])) for w in words) / one, 0.03, 0.25),
+        (repetition, 0.55, 0.8),
+        (n / max(raw.count(b"."), 1), 60, 150),
+        (solid / one, 10, 16),
+    ]
+    votes = [2 if n < 5 else 1 if x < good else 0 if x > bad else 2 for x, good, bad in cases]
+    shape = [65 if 65 <= c < 91 else 97 if 97 <= c < 123 or c > 127 else 48 if 48 <= c < 58 else 32 if c in blank else c for c in raw]
+    counts = np.zeros(quality.BUCKETS)
+    for a, b, c in zip(shape, shape[1:], shape[2:]):
+        counts[(((a * 31 + b) * 31 + c) * 2654435761 % (1 << 32)) >> (32 - 10)] += 1
+    return votes, [*np.sqrt(counts / max(counts.sum(), 1)), math.sqrt(again / one), math.sqrt(max(repetition, 0)), 1.0], n
+
+
+def plain_posteriors(votes, rounds=100):
+    """Dawid and Skene over documents, not over patterns of votes."""
+    good = [(v.count(1) + 1) / (v.count(1) + v.count(0) + 2) for v in votes]
+    for _ in range(rounds):
+        prior = [(len(good) - sum(good) + 1) / (len(good) + 2), (sum(good) + 1) / (len(good) + 2)]
+        told_ = [[[sum((p if c else 1 - p) for v, p in zip(votes, good) if v[j] == x) + 1 for x in range(3)] for c in range(2)] for j in range(8)]
+        weight = [len(good) - sum(good), sum(good)]
+        now = []
+        for v in votes:
+            log = [math.log(prior[c]) + sum(math.log(told_[j][c][v[j]] / (weight[c] + 3)) for j in range(8)) for c in range(2)]
+            now.append(1 / (1 + math.exp(min(max(log[0] - log[1], -700), 700))))
+        done = max(abs(a - b) for a, b in zip(now, good)) < 1e-9
+        good = now
+        if done:
+            break
+    return good
+
+
+def test_quality_against_a_plain_version(spark, rows, tables):
+    """score() as a whole: votes, posteriors and features in plain Python, the ridge regression by Newton's method."""
+    docs = [(r[0], r[1]) for r in rows] + [(r.doc_id + 1000, r.text) for r in tables("documents").orderBy("doc_id").limit(150).collect()]
+    seen = [plain_votes(t) for _, t in docs]
+    labels = plain_posteriors([v for v, *_ in seen])
+    once = [*{d: k for k, d in enumerate(docs)}.values()]  # each document once
+    x = np.array([seen[k][1] for k in once]).astype(np.float16).astype(float)
+    y = np.array([labels[k] for k in once])
+    w = np.zeros(x.shape[1])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x @ w))
+        slope = x.T @ (p - y) / len(x) + 1e-3 * w
+        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x / len(x) + 1e-3 * np.eye(len(w)), slope)
+    got = quality.score(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    text_of = sorted(
+        ((i, n, 1 / (1 + math.exp(-np.dot(f, w))), all(v == 2 for v in votes)) for (i, _), (votes, f, n) in zip(docs, seen)),
+        key=lambda r: (r[0] is None, r[0] or 0, r[1])
+    )
+    told_ = sorted(((r.doc_id, r.n_words, r.score, r.keep) for r in got), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    assert [r[:2] for r in told_] == [r[:2] for r in text_of]
+    assert max(abs(a[2] - b[2]) for a, b in zip(told_, text_of)) < 0.05
+    assert all(a[3] == (b[2] >= 0.5 or b[3]) for a, b in zip(told_, text_of) if abs(b[2] - 0.5) > 0.05)
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 

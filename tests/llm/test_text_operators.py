@@ -192,9 +192,35 @@ def test_secrets(spark):
     draw = random.Random(3)
     make = lambda of, n: "".join(draw.choice(of) for _ in range(n))
     hexa, b64 = "0123456789abcdef", secrets.CLASSES["entropy_base64"][0]
-    texts = [None, "", "token", "é😀 password: hunter22 API_key=\"abc.def=\" AKIA" + "Q" * 16 + " AKIA12 token=abc token = token=abcdef", make(b64, 300), "k=" + make(hexa, 41) + " " + make(hexa.upper(), 41), "a" * 40 + make(hexa + "ABCDEF", 50), "AbCdEfGhIj0123456789" * 4, "ToKeN:x" + make(b64, 40) + "\nSECRET = '" + make(b64, 20), "123e4567-e89b-12d3-a456-426614174000", "passwd=short", "a" * 100, make("ab1", 90)]
-    texts += ["/sample/config/" + make(b64, 40) + "/example", make(b64, 30) + "Example" + make(b64, 21) + "example" + make(b64, 25), make(b64, 22), make(hexa, 23) + "x token: " + make(b64, 60) + "é" + make(hexa, 30), "password=" + make(b64, 30) + " " + make(b64, 28)]
-    texts += [" ".join(draw.choice(["token=" + make(b64, 24), make(hexa, 26), make(b64, 24), "é" * draw.randint(1, 9), "AKIA" + make("ABC1", 16)]) for _ in range(n)) for n in (7, 64, 65, 700)]
+    texts = [
+        None,
+        "",
+        "token",
+        "é😀 password: hunter22 API_key=\"abc.def=\" AKIA" + "Q" * 16 + " AKIA12 token=abc token = token=abcdef",
+        make(b64, 300),
+        "k=" + make(hexa, 41) + " " + make(hexa.upper(), 41),
+        "a" * 40 + make(hexa + "ABCDEF", 50),
+        "AbCdEfGhIj0123456789" * 4,
+        "ToKeN:x" + make(b64, 40) + "\nSECRET = '" + make(b64, 20),
+        "123e4567-e89b-12d3-a456-426614174000",
+        "passwd=short",
+        "a" * 100,
+        make("ab1", 90)
+    ]
+    texts += [
+        "/sample/config/" + make(b64, 40) + "/example",
+        make(b64, 30) + "Example" + make(b64, 21) + "example" + make(b64, 25),
+        make(b64, 22),
+        make(hexa, 23) + "x token: " + make(b64, 60) + "é" + make(hexa, 30),
+        "password=" + make(b64, 30) + " " + make(b64, 28)
+    ]
+    texts += [" ".join(draw.choice([
+        "token=" + make(b64, 24),
+        make(hexa, 26),
+        make(b64, 24),
+        "é" * draw.randint(1, 9),
+        "AKIA" + make("ABC1", 16)
+    ]) for _ in range(n)) for n in (7, 64, 65, 700)]
     rows = [(k, t) for k, t in enumerate(texts)] + [(1, texts[3]), (None, texts[4])]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     names = [*secrets.BASE, *secrets.CLASSES]
