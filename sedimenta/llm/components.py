@@ -55,10 +55,10 @@ def dealt(keyed: DataFrame, keys: list[str], by: str, block: int) -> DataFrame:
     return split.select(*keyed.columns, F.explode(pairs).alias("b")).select(*keyed.columns, "b.i", "b.j")
 
 
-def heads(classed: DataFrame) -> DataFrame:
-    """(doc_id, digest, n) of each class's head, with its number of rows, of (doc_id, digest, head struct<doc_id, digest>); written."""
-    own = classed.where((F.col("doc_id") == F.col("head.doc_id")) & (F.col("digest") == F.col("head.digest")))
-    return materialize(own.groupBy("doc_id", "digest").agg(F.count("*").alias("n")))
+def heads(rows: DataFrame, smallest: DataFrame) -> DataFrame:
+    """(doc_id, digest, n): each group's head, of smallest.head, with its number of rows among (doc_id, digest); written."""
+    own = smallest.where("head is not null").select("head.doc_id", "head.digest")
+    return materialize(rows.select("doc_id", "digest").join(own, ["doc_id", "digest"]).groupBy("doc_id", "digest").agg(F.count("*").alias("n")))
 
 
 def keep_heads(documents: DataFrame, heads: DataFrame) -> DataFrame:

@@ -158,21 +158,21 @@ def least_row() -> Column:
     return F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "digest")))
 
 
-def classes(documents: DataFrame, radius: int = RADIUS, width: int = SHINGLE, block: int = BLOCK) -> DataFrame:
-    """Per document: doc_id, digest, fp and head, the (doc_id, digest) of the smallest doc_id that it reaches by links."""
+def _linked(documents: DataFrame, radius: int, width: int, block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, digest, fp) of each document; (fp, root); (root, head): the (doc_id, digest) of each component's smallest doc_id."""
     prints = materialize(fingerprints(documents, width))
     nodes = materialize(prints.groupBy("fp").agg(least_row().alias("least")))
     found = components(links(nodes, radius, block)).withColumnsRenamed({"node": "fp"})
     rooted = materialize(nodes.join(found, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
     smallest = materialize(rooted.groupBy("root").agg(F.min("least").alias("head")))  # a frequent root: a join that Spark can split
-    named = rooted.join(smallest, "root").select("fp", "head")
-    return prints.join(named, "fp").select("doc_id", "digest", "fp", "head")
+    return prints, rooted.select("fp", "root"), smallest
 
 
 def simhash_dedup(documents: DataFrame, radius: int = RADIUS, width: int = SHINGLE, block: int = BLOCK) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hexadecimal digits), component_id (the smallest doc_id that it reaches by links)."""
-    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return classes(documents, radius, width, block).select("doc_id", fingerprint, F.col("head.doc_id").alias("component_id"))
+    prints, rooted, smallest = _linked(documents, radius, width, block)
+    named = rooted.join(smallest, "root").select("fp", F.col("head.doc_id").alias("component_id"))
+    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(documents: DataFrame, radius: int = RADIUS, width: int = SHINGLE, similarity: float | None = None) -> DataFrame:
@@ -187,4 +187,5 @@ def one_of_each(documents: DataFrame, radius: int = RADIUS, width: int = SHINGLE
         if (radius, width, round(100 * similarity)) != (RADIUS, near_copies.SHINGLE, near_copies.PERCENT):
             raise ValueError("near copies are told at the radius, width and similarity of near_copies")
         return near_copies.one_of_each(documents)
-    return keep_heads(documents, heads(classes(documents, radius, width)))
+    prints, _, smallest = _linked(documents, radius, width, BLOCK)
+    return keep_heads(documents, heads(prints, smallest))
