@@ -200,7 +200,15 @@ def tokenise(column: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndar
     return out, np.r_[0, ends]
 
 
-def write_ids(documents: DataFrame, to: str, tokenizer: str, end_id: int = END_ID, partitions: int | None = None, stripe_bytes: int = 16 << 20, row_group: int = 10_000) -> None:
+def write_ids(
+    documents: DataFrame,
+    to: str,
+    tokenizer: str,
+    end_id: int = END_ID,
+    partitions: int | None = None,
+    stripe_bytes: int = 16 << 20,
+    row_group: int = 10_000
+) -> None:
     """Writes the token ids of all documents, in ascending doc_id order, as ORC files in the folder `to`."""
 
     def run(batches):
@@ -223,7 +231,13 @@ def write_ids(documents: DataFrame, to: str, tokenizer: str, end_id: int = END_I
     n = partitions or int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = documents.select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("crc"))
     ranged = rows.repartitionByRange(n, "doc_id", "crc").sortWithinPartitions("doc_id", "crc").select("doc_id", "text")
-    options = {"orc.compress": "ZSTD", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.stripe.size": str(stripe_bytes), "orc.row.index.stride": str(row_group)}
+    options = {
+        "orc.compress": "ZSTD",
+        "orc.bloom.filter.columns": "doc_id",
+        "orc.bloom.filter.fpp": "0.01",
+        "orc.stripe.size": str(stripe_bytes),
+        "orc.row.index.stride": str(row_group)
+    }
     ranged.mapInArrow(run, _SCHEMA).write.options(**options).orc(to)
 
 
@@ -246,7 +260,10 @@ def token_digests(documents: DataFrame, tokenizer: str, end_id: int = END_ID) ->
             column = batch.column("ids")
             offsets, values = column.offsets.to_numpy(), memoryview(column.values.to_numpy().astype("<u4", copy=False).view(np.uint8))
             crc = [zlib.crc32(values[4 * a : 4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("start"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crc, pa.int64())],
+                names=["doc_id", "start", "n_tokens", "ids_crc32"]
+            )
 
     where = shared_dir(documents.sparkSession)
     write_ids(documents, where, tokenizer, end_id)
