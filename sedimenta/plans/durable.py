@@ -7,13 +7,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-#: Folders that shared_dir has named within scratch(), innermost last.
-_scratch: list[list[str]] = []
+#: Folders that shared_dir has named within scratch() in this thread.
+_named: ContextVar[list[str] | None] = ContextVar("named", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,19 +26,20 @@ def shared_dir(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="sedimenta-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
-    if _scratch:
-        _scratch[-1].append(path)
+    if (named := _named.get()) is not None:
+        named.append(path)
     return path
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Intermediate results that are written inside are removed at the end: what is to stay must have been written elsewhere by then."""
-    _scratch.append([])
+    token = _named.set(named := [])
     try:
         yield
     finally:
-        for path in _scratch.pop():
+        _named.reset(token)
+        for path in named:
             remove(spark, path)
 
 

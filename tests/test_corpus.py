@@ -156,6 +156,20 @@ def test_registry_survives_a_failed_write(spark, tmp_path):
     assert sinks.read_registry(spark, path).count() == 1
 
 
+def test_scratch_removes_what_was_written_inside(spark):
+    from sedimenta.plans import durable
+
+    before = durable.materialize(spark.range(3))
+    with pytest.raises(ZeroDivisionError), durable.scratch(spark):
+        inside = durable.materialize(spark.range(4))
+        with durable.scratch(spark):
+            deeper = durable.materialize(spark.range(5))
+        paths = [df.inputFiles()[0].rsplit("/", 1)[0] for df in (before, inside, deeper)]
+        assert [durable.exists(spark, p) for p in paths] == [True, True, False]
+        raise ZeroDivisionError
+    assert [durable.exists(spark, p) for p in paths] == [True, False, False]
+
+
 def test_vector_index(spark, tmp_path):
     from sedimenta.functions import vectors as vx
 
