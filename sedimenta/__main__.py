@@ -22,6 +22,7 @@ def corpus(spark: SparkSession, a: argparse.Namespace) -> None:
         sinks.write_errors(got.errors, a.errors)
     if a.registry:
         sinks.write_registry(got.registry, a.registry)
+    print(", ".join(f"{k}: {v}" for k, v in got.figures.items()))
     summary(got.documents).show()
 
 

@@ -352,6 +352,7 @@ def test_commands(spark, folder, tmp_path, capsys):
     out = f"{tmp_path}/docs.jsonl"
     main(["corpus", folder, out, "--registry", f"{tmp_path}/reg", "--errors", f"{tmp_path}/err"])
     assert spark.read.json(out).count() == 10 and spark.read.json(f"{tmp_path}/err").count() == 2
+    assert "n: 10, n_empty: 3, n_errors: 2" in capsys.readouterr().out
     main(["corpus", folder, out, "--registry", f"{tmp_path}/reg", "--resume"])
     assert spark.read.json(out).count() == 10
     assert sinks.read_registry(spark, f"{tmp_path}/reg").count() == 10

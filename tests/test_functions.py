@@ -179,3 +179,28 @@ def test_json_with_lone_surrogates(spark):
     h = spark.createDataFrame([(raw,)], "raw string").select(jh.harvest_json("raw").alias("h")).first().h
     assert h.texto.startswith("a \ufffd b\n\nwords") and h.texto.endswith("\U0001f600")
     assert h.meta == {"author": "x\ufffd", "tags": "\ufffd"} and h.claves_raiz == ["author", "k\ufffdey", "tags", "title"]
+
+
+def test_trained_encoders(monkeypatch):
+    """The adapters of trained encoders, with stand-ins for their libraries."""
+    import sys
+    from types import SimpleNamespace as N
+
+    import numpy as np
+
+    monkeypatch.setitem(sys.modules, "torch", N(cuda=N(is_available=lambda: True)))
+    assert vx.pick_device() == "cuda" and vx.pick_device("cpu") == "cpu"
+    monkeypatch.setitem(sys.modules, "torch", None)
+    assert vx.pick_device() == "cpu"
+    told = []
+    tokens = lambda text, truncation: {"input_ids": text.split()}
+    dense = N(tokenizer=tokens, encode=lambda texts, **k: told.append(k) or np.ones((len(texts), 4)) / 2)
+    monkeypatch.setitem(sys.modules, "sentence_transformers", N(SentenceTransformer=lambda name, device: told.append((name, device)) or dense))
+    encoder = vx.ENCODERS["e5"]()
+    vectors, sparse = encoder.encode(["a b", "c"])
+    assert vectors.dtype == np.float32 and vectors.shape == (2, 4) and sparse == [{}, {}] and encoder.count_tokens("a b") == 2
+    assert dense.max_seq_length == 512 and told[0] == ("intfloat/multilingual-e5-large", "cpu") and told[1]["batch_size"] == 8
+    both = N(tokenizer=tokens, encode=lambda texts, **k: {"dense_vecs": np.ones((len(texts), 2)), "lexical_weights": [{"7": 0.5, "8": 0.0, "9": -1.0}] * len(texts)})
+    monkeypatch.setitem(sys.modules, "FlagEmbedding", N(BGEM3FlagModel=lambda name, use_fp16, devices: both))
+    vectors, sparse = vx.ENCODERS["bge-m3"]().encode(["x"])
+    assert vectors.shape == (1, 2) and sparse == [{7: 0.5}]
