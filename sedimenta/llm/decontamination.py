@@ -14,10 +14,10 @@ Windows are drawn only where the text shares enough runs of g words with an item
 most, so at least n - g + 1 - e * g of them start within a matching window. No match is lost by this.
 
 Items go to all executors in groups of about ITEM_GROUP items or ITEM_BYTES bytes at most, one pass over the documents
-for each group.
+for each GROUPS_AT_ONCE groups.
 
 Defined results. Null and empty texts and items without words match nothing. A null doc_id is reported as null; a null
-item_id too. Repeated documents are each reported; a repeated item is reported for each of its ids. Extra columns are
+item_id too. Repeated documents are each reported; a repeated item is reported once for each of its ids. Extra columns are
 ignored by leaks() and kept by decontaminate(). Empty tables give empty results (decontaminate: all documents).
 """
 
@@ -38,6 +38,7 @@ SIMILARITY = 0.8
 WALKS, TABLES, PLACES = 6, 8, 3
 ITEM_GROUP = 20_000
 ITEM_BYTES = 8 << 20
+GROUPS_AT_ONCE = 4
 #: Bytes of text that a worker searches at once.
 TEXT_BYTES = 2 << 20
 #: Windows that are embedded, and cells of edit tables that are filled, at once.
@@ -191,9 +192,8 @@ class Items:
                 found.append(np.stack([np.repeat(own[hit], counts), item[np.repeat(low[hit], counts) + ranges(counts)]]))
         return tuple(np.unique(np.concatenate(found, axis=1), axis=1)) if found else (np.empty(0, np.int64),) * 2
 
-    def find(self, words: Words) -> list[tuple[int, int, int, int]]:
-        """(text, item, start, edits): for each text and item the window with the fewest edits, then the first."""
-        h = words.hashes()
+    def find(self, words: Words, h: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(text, item, start, edits): for each text and item the window with the fewest edits, then the first. h: the words' hashes."""
         windows: dict[int, list[np.ndarray]] = {}
         for g in self.grams:
             for n, start in self._likely(words, h, g):
@@ -254,61 +254,69 @@ def leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
 
 def _each_group(documents: DataFrame, benchmark: DataFrame, similarity: float, clean: bool) -> DataFrame:
     spark = documents.sparkSession
-    rows = benchmark.select("item_id", "text").where("text is not null")
+    rows = benchmark.select("item_id", "text").where("text is not null").distinct()
     n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     groups = max(1, -(-n // ITEM_GROUP), -(-size // ITEM_BYTES))
     numbered = rows.withColumn("g", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)))
     if groups > 1:
         numbered = materialize(numbered.repartition("g"))
+
+    def loaded(g: int):
+        own = sorted(((r["item_id"], r["text"]) for r in numbered.where(F.col("g") == g).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        return spark.sparkContext.broadcast(Items(own, similarity))
+
+    found = T.StructType(
+        [
+            documents.schema["doc_id"],
+            T.StructField("item_id", T.LongType()),
+            T.StructField("start_word", T.LongType()),
+            T.StructField("edits", T.LongType()),
+            T.StructField("similarity", T.DoubleType()),
+        ]
+    )
     out = None
-    for g in range(groups):
-        items = Items(
-            sorted(((r["item_id"], r["text"]) for r in numbered.where(F.col("g") == g).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])),
-            similarity
-        )
+    for first in range(0, groups, GROUPS_AT_ONCE):
+        shared = [loaded(g) for g in range(first, min(first + GROUPS_AT_ONCE, groups))]
         if clean:
-            documents = documents.mapInArrow(_keep(spark.sparkContext.broadcast(items)), documents.schema)
+            documents = documents.mapInArrow(_keep(shared), documents.schema)
         else:
-            found = documents.mapInArrow(
-                _tell(spark.sparkContext.broadcast(items)),
-                T.StructType([
-                    documents.schema["doc_id"],
-                    T.StructField("item_id", T.LongType()),
-                    T.StructField("start_word", T.LongType()),
-                    T.StructField("edits", T.LongType()),
-                    T.StructField("similarity", T.DoubleType())
-                ])
-            )
-            out = found if out is None else out.unionByName(found)
+            part = documents.mapInArrow(_tell(shared), found)
+            out = part if out is None else out.unionByName(part)
     return documents if clean else out
 
 
-def _tell(shared):
+def _search(shared: list, batches):
+    """(batch, items, what Items.find says) for each piece of the batches and each group of items."""
+    for batch in chunks(batches, "text", TEXT_BYTES):
+        words = Words(*binary(batch.column("text")), LETTERS)
+        h = words.hashes()
+        yield batch, [(items.value, items.value.find(words, h) if items.value.id else []) for items in shared]
+
+
+def _tell(shared: list):
     def run(batches):
-        items = shared.value
-        for batch in chunks(batches, "text", TEXT_BYTES):
-            found = items.find(Words(*binary(batch.column("text")), LETTERS)) if items.id else []
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").take(pa.array([d for d, *_ in found], pa.int64())),
-                    pa.array([items.id[k] for _, k, *_ in found], pa.int64()),
-                    pa.array([s for *_, s, _ in found], pa.int64()),
-                    pa.array([x for *_, x in found], pa.int64()),
-                    pa.array([1 - x / int(items.length[k]) for _, k, _, x in found], pa.float64()),
-                ],
-                names=["doc_id", "item_id", "start_word", "edits", "similarity"],
-            )
+        for batch, every in _search(shared, batches):
+            for items, found in every:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").take(pa.array([d for d, *_ in found], pa.int64())),
+                        pa.array([items.id[k] for _, k, *_ in found], pa.int64()),
+                        pa.array([s for *_, s, _ in found], pa.int64()),
+                        pa.array([x for *_, x in found], pa.int64()),
+                        pa.array([1 - x / int(items.length[k]) for _, k, _, x in found], pa.float64()),
+                    ],
+                    names=["doc_id", "item_id", "start_word", "edits", "similarity"],
+                )
 
     return run
 
 
-def _keep(shared):
+def _keep(shared: list):
     def run(batches):
-        items = shared.value
-        for batch in chunks(batches, "text", TEXT_BYTES):
+        for batch, every in _search(shared, batches):
             keep = np.ones(batch.num_rows, bool)
-            if items.id:
-                keep[[d for d, *_ in items.find(Words(*binary(batch.column("text")), LETTERS))]] = False
+            for _, found in every:
+                keep[[d for d, *_ in found]] = False
             yield batch.filter(pa.array(keep))
 
     return run

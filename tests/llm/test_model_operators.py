@@ -331,6 +331,14 @@ def test_decontamination_recall(spark, rows):
     assert exact and all(key in found for key in exact)
 
 
+def test_decontamination_in_groups(spark, tables, monkeypatch):
+    """Benchmarks that go out in several groups and passes find the same."""
+    docs, bench = tables("documents").limit(300).cache(), tables("benchmark")
+    want, kept = told(dc.leaks(docs, bench)), told(dc.decontaminate(docs, bench).select("doc_id"))
+    monkeypatch.setattr(dc, "ITEM_GROUP", 6)
+    assert want and told(dc.leaks(docs, bench)) == want and told(dc.decontaminate(docs, bench).select("doc_id")) == kept
+
+
 def test_decontamination_edges(spark, clashing, empty, documents):
     bench = spark.createDataFrame([(1, documents.where("doc_id = 7").first().text)], "item_id long, text string").withColumn("doc_id", F.lit("x"))
     assert dc.leaks(empty, bench).count() == 0
