@@ -48,6 +48,12 @@ def _path(spark: SparkSession, path: str):
     return name.getFileSystem(spark._jsc.hadoopConfiguration()), name
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, that of the cluster where it names none."""
+    fs, name = _path(spark, path)
+    return re.sub("^file:/+", "file:///", fs.makeQualified(name).toString())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, name = _path(spark, path)
     return fs.exists(name)
