@@ -549,3 +549,22 @@ def test_oracles(spark, name):
     from sedimenta.llm.queries import ORACLES, QUERIES
 
     assert differences(spark, QUERIES[name], ORACLES[name], "/root/testdata/sf0.001") == ""
+
+
+def test_token_files_worker_memory():
+    """What a worker holds to tokenise a batch does not grow with the batch: two workers share an executor's limit."""
+    import tracemalloc
+
+    import pyarrow as pa
+    from sedimenta.llm import token_files
+    from sedimenta.llm.base import chunks
+
+    batch = pa.RecordBatch.from_pydict({"text": ["some words that stand again and again " * 50] * 4000})
+    path = public_tokenizer("word_bpe_49k.json")
+    token_files.tokenise(batch.column("text").slice(0, 1), path)
+    tracemalloc.start()
+    for part in chunks(iter([batch]), "text", token_files.TEXT_BYTES):
+        token_files.tokenise(part.column("text"), path)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
