@@ -75,6 +75,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
     return token_digests(table(spark, sf_dir, "documents"), tokenizer or public_tokenizer("word_bpe_49k.json"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .audit import filter_audit
+
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import manifest
+
+    return manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urls import rules, verdicts
+
+    return verdicts(table(spark, sf_dir, "pages"), rules(spark))
+
+
 # ---------------------------------------------------------------- SQL counterparts that are composed
 
 
@@ -174,6 +192,91 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITI
 """
 
 
+def _audit_sql() -> str:
+    from .audit import FILTERS, LEAST_DISTINCT, LEAST_WORDS, MOST_CAPITALS
+
+    fails = {
+        "A": f"len(ws) < {LEAST_WORDS}",
+        "B": f"100 * len(list_distinct(ws)) < {LEAST_DISTINCT} * len(ws)",
+        "C": f"100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {MOST_CAPITALS} * length(t)",
+        "D": "regexp_matches(t, '[#$%&*|]')",
+        "E": "coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)",
+    }
+    told = " || ".join(f"CASE WHEN {fails[x]} THEN '{x}' ELSE '' END" for x in FILTERS)
+    letters = ", ".join(f"('{x}')" for x in FILTERS)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws FROM d),
+f AS (SELECT doc_id, part, {told} AS fails FROM w),
+l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+g AS (SELECT part, fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n FROM f LEFT JOIN l ON f.doc_id = l.doc_id GROUP BY ALL),
+x(x) AS (VALUES {letters}),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = {len(FILTERS)}),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS own, filter_order[:step - 1] AS earlier FROM o, range(1, {len(FILTERS) + 1}) r(step)),
+h AS (SELECT part, filter_order, step, own, good, toxic, n, fails, contains(fails, own) AS hit, len(list_intersect(string_split(fails, ''), string_split(earlier, ''))) > 0 AND earlier <> '' AS gone FROM g, s),
+c AS (SELECT part, filter_order, step, own,
+  coalesce(sum(n) FILTER (WHERE NOT hit AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (WHERE hit AND NOT gone), 0) AS removed,
+  coalesce(sum(n) FILTER (WHERE hit AND gone), 0) AS redundant, coalesce(sum(n) FILTER (WHERE fails = own), 0) AS unique_fails,
+  coalesce(sum(n) FILTER (WHERE hit AND NOT gone AND good), 0) AS good_lost, coalesce(sum(n) FILTER (WHERE hit AND NOT gone AND toxic), 0) AS toxic_lost
+  FROM h GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, {", ".join(f"CAST({x} AS BIGINT) AS {x}" for x in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"))},
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM c
+"""
+
+
+def _merkle_sql() -> str:
+    from .merkle import FIELDS, WIDTH
+
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+    def leaf(text: str) -> str:
+        values = [text if c == "text" else f"CAST({c} AS VARCHAR)" for c in FIELDS]
+        return "sha256(" + " || ".join(f"CASE WHEN {v} IS NULL THEN '-' ELSE octet_length(encode({v})) || ':' || {v} END" for v in values) + ")"
+
+    crc = "xor(list_reduce(list_transform(regexp_extract_all(hex(encode(CAST(doc_id AS VARCHAR))), '..'), lambda x: CAST(CAST('0x' || x AS INTEGER) AS BIGINT)), lambda c, b: xor(c >> 8, t.crc[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295)"
+    tree = f"""SELECT level + 1, part, pos // {WIDTH}, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + {WIDTH - 1}) // {WIDTH}) FROM XX WHERE n > 1 GROUP BY level, part, pos // {WIDTH}"""
+    around = f"""SELECT level, part, pos, digest, n,
+  coalesce(string_agg(digest, '') OVER (PARTITION BY level, part, pos // {WIDTH} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+  coalesce(string_agg(digest, '') OVER (PARTITION BY level, part, pos // {WIDTH} ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM XX"""
+    return f"""
+WITH RECURSIVE t AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS crc),
+d AS (SELECT doc_id, coalesce('=' || source, '-') AS part, {leaf("text")} AS leaf,
+  CASE WHEN doc_id IS NOT NULL AND {crc} % 5 = 0 THEN {leaf(f"translate(text, '{upper}', '{upper.lower()}')")} END AS changed FROM documents, t),
+r AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY part) AS n FROM d),
+low(level, part, pos, digest, n) AS (SELECT 0, part, pos, leaf, n FROM r UNION ALL {tree.replace("XX", "low")}),
+subs AS (SELECT '' AS part, part AS name, digest, row_number() OVER (ORDER BY part) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+high(level, part, pos, digest, n) AS (SELECT 0, part, pos, digest, n FROM subs UNION ALL {tree.replace("XX", "high")}),
+nodes AS (SELECT 0 AS tree, * FROM ({around.replace("XX", "low")}) UNION ALL SELECT 1 AS tree, * FROM ({around.replace("XX", "high")})),
+walk(k, tree, level, part, pos, n, doc_id, leaf, own, proof, folded) AS (
+  SELECT row_number() OVER (), 0, 0, part, pos, n, doc_id, leaf, part, '', coalesce(changed, leaf) FROM r
+  UNION ALL
+  SELECT k, CASE WHEN w.n > 1 THEN w.tree ELSE 1 END, CASE WHEN w.n > 1 THEN w.level + 1 ELSE 0 END, CASE WHEN w.n > 1 THEN w.part ELSE '' END,
+    CASE WHEN w.n > 1 THEN w.pos // {WIDTH} ELSE s.pos END, CASE WHEN w.n > 1 THEN (w.n + {WIDTH - 1}) // {WIDTH} ELSE s.n END, doc_id, leaf, own,
+    CASE WHEN w.n > 1 THEN proof || x.a || x.b ELSE proof END, CASE WHEN w.n > 1 THEN sha256(x.a || folded || x.b) ELSE folded END
+  FROM walk w JOIN nodes x ON x.tree = w.tree AND x.level = w.level AND x.part = w.part AND x.pos = w.pos JOIN subs s ON s.name = w.own
+  WHERE w.tree = 0 OR w.n > 1)
+SELECT doc_id, leaf, s.digest AS subroot, h.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = h.digest AS verified
+FROM walk w JOIN subs s ON s.name = w.own JOIN high h ON h.n = 1 WHERE w.tree = 1 AND w.n = 1
+"""
+
+
+def _urls_sql() -> str:
+    from .urls import DOMAINS, RULES, SITES
+
+    listed = [(u, v, True) for u, v in RULES] + [(f"{s}.{d}/", "block", False) for s in SITES for d in DOMAINS]
+    values = ", ".join(f"({_quote(u.partition('/')[0])}, {_quote(u[u.index('/'):])}, {_quote(v)}, {r})" for u, v, r in listed)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{upper}', '{upper.lower()}') AS host,
+  regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+l(name, start, verdict, ruled) AS (VALUES {values}),
+m AS (SELECT r, max(struct_pack(ruled := ruled, long := length(name || start), wide := length(name), listed := name || start, verdict := verdict)) AS best
+  FROM p JOIN l ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start) GROUP BY r)
+SELECT page_id, host, path, CASE WHEN best.ruled THEN best.listed END AS rule, coalesce(best.verdict, 'allow') AS verdict, CASE WHEN NOT best.ruled THEN best.listed END AS listed
+FROM p LEFT JOIN m ON p.r = m.r
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -187,6 +290,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_licenses,
         op9_sharding,
         op10_token_files,
+        op11_filter_audit,
+        op12_merkle,
+        op13_url_filter,
     )
 }
 
@@ -212,4 +318,7 @@ SELECT query_id, CAST(n AS INTEGER) AS "rank", vec_id, score FROM r WHERE n <= 5
     "op6_secrets": _secrets_sql(),
     "op8_licenses": _licenses_sql(),
     "op9_sharding": _sharding_sql(),
+    "op11_filter_audit": _audit_sql(),
+    "op12_merkle": _merkle_sql(),
+    "op13_url_filter": _urls_sql(),
 }
