@@ -8,8 +8,8 @@ decide. Node hashes only bring candidates together: what is removed is verified
 coordinates, by a cryptographic digest (BLAKE2, 128 bits) of their bytes.
 
 Defined results. Null text: no words. A null doc_id is neither smaller nor larger than another: such a row loses
-nothing and takes nothing. Repeated rows with one doc_id don't take from each other. Fewer than 50 words: nothing is
-removed. Extra columns are ignored. An empty table gives an empty result.
+nothing and takes nothing. Repeated rows with one doc_id don't take from each other; equal ones are judged once, and
+their result stands for each. Fewer than 50 words: nothing is removed. Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -126,14 +126,28 @@ def _kept(window: int, with_text: bool):
             names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
             if with_text:
                 columns, names = [*columns, pa.array(texts, pa.string())], [*names, "kept_text"]
+            columns, names = [*columns, batch.column("n")], [*names, "n"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return cut
 
 
-def repeated_spans(documents: DataFrame, window: int = WINDOW, node: int = NODE) -> DataFrame:
-    """(doc_id, copy, at, n): windows at..at+n-1 of the document also start in one with a smaller doc_id. copy: the text's XXH64."""
-    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("copy")).where("doc_id is not null and text is not null")
+def once(documents: DataFrame) -> DataFrame:
+    """(doc_id, text, copy, n): one row for n rows that are equal in doc_id and text. copy: the text's XXH64.
+
+    Only texts of repeated rows are shuffled, combined before; the others stay where they are.
+    """
+    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("copy"))
+    key = ["doc_id", "copy"]
+    many = materialize(texts.where("doc_id is not null and text is not null").groupBy(*key).agg(F.count("*").alias("n")).where("n > 1"))
+    merged = texts.join(many.select(*key), key, "left_semi").groupBy(*key).agg(F.first("text").alias("text"), F.count("*").alias("n"))
+    rest = texts.join(many.select(*key), key, "left_anti").withColumn("n", F.lit(1).cast("long"))
+    return rest.unionByName(materialize(merged))
+
+
+def repeated_spans(texts: DataFrame, window: int = WINDOW, node: int = NODE) -> DataFrame:
+    """(doc_id, copy, at, n): windows at..at+n-1 of the document also start in one with a smaller doc_id. texts: as once() gives them."""
+    texts = texts.select("doc_id", "text", "copy").where("doc_id is not null and text is not null")
     paths = materialize(texts.mapInArrow(_paths(window, node), _PATHS))
     shared = paths.groupBy("node").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("node")
     shared = materialize(shared)  # joins of two plain shuffles are ones that Spark can split where a key is frequent
@@ -158,7 +172,9 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW, node: int = NODE)
 
 def substring_dedup(documents: DataFrame, window: int = WINDOW, node: int = NODE, with_text: bool = True) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text (kept words joined by one space)."""
-    found = repeated_spans(documents, window, node).groupBy("doc_id", "copy").agg(F.collect_list(F.struct("at", "n")).alias("found"))
-    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("copy"))
+    texts = once(documents)
+    found = repeated_spans(texts, window, node).groupBy("doc_id", "copy").agg(F.collect_list(F.struct("at", "n")).alias("found"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")
-    return texts.join(found, ["doc_id", "copy"], "left").select("doc_id", "text", "found").mapInArrow(_kept(window, with_text), schema)
+    judged = texts.join(found, ["doc_id", "copy"], "left").select("doc_id", "text", "found", "n")
+    out = judged.mapInArrow(_kept(window, with_text), f"{schema}, n long")
+    return out.withColumn("each", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n", "each")

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import time
+from collections import Counter
 from itertools import combinations
 
 import pytest
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from llm_helpers import told
 from sedimenta.llm import licenses, near_copies, secrets, simhash
 from sedimenta.llm.components import components
-from sedimenta.llm.substring_dedup import substring_dedup
+from sedimenta.llm.substring_dedup import once, repeated_spans, substring_dedup
 
 
 def removed(rows, window):
@@ -66,6 +67,20 @@ def test_substring_dedup_edges(clashing, empty, rows):
     assert substring_dedup(empty).count() == 0
 
 
+@pytest.mark.parametrize("copies", [100, 20000])
+def test_substring_dedup_of_one_row_many_times(spark, copies):
+    """Repetitions of a row are judged once: spans don't grow with them, and time only as rows do."""
+    words = [f"w{k}" for k in range(402)]
+    first, again = " ".join(words[:300]), " ".join(words)
+    rows = [(1, first)] + [(2, again)] * copies + [(2, first), (3, again), (None, again), (None, again)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    began = time.time()
+    got = Counter(tuple(r) for r in substring_dedup(table, with_text=False).collect())
+    assert time.time() - began < 60
+    assert got == Counter(removed([*rows[:2], *rows[copies + 1 :]], 50)) + Counter({removed(rows[:2], 50)[1]: copies - 1})
+    assert repeated_spans(once(table)).count() < 1000
+
+
 def print_of(text, width):
     words = (text or "").encode().lower().split()
     shingles = [b" ".join(words[k : k + width]) for k in range(max(1, len(words) - width + 1))] if words else []
