@@ -171,10 +171,11 @@ def ocr_words(words_table: DataFrame) -> DataFrame:
 
 
 def ocr_choice(text: Column, ocr: Column, least: int = 50) -> Column:
-    """OCR's text where the extracted one is too short and OCR gives more."""
+    """OCR's text where the extracted one is too short and OCR gives more, white space around both apart."""
     from ..functions.text import strip
 
-    return F.when((F.length(strip(text)) < least) & (F.length(ocr) > F.length(text)), ocr).otherwise(text)
+    own = F.length(strip(text))
+    return F.when((own < least) & (F.length(strip(ocr)) > own), ocr).otherwise(text)
 
 
 def patch_outcomes(listed: DataFrame, changes: DataFrame, least: int = 50) -> DataFrame:

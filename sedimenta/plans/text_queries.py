@@ -192,11 +192,14 @@ def ocr_min_signal(spark, sf_dir):
 
 
 @query(
-    f"WITH {_VARIANTS}, o AS (SELECT *, CASE doc_id % 3 WHEN 0 THEN text || ' and more' WHEN 1 THEN text ELSE '' END AS ocr FROM v)"
-    f" SELECT doc_id, variant, CASE WHEN length({s_strip('text')}) < 50 AND length(ocr) > length(text) THEN ocr ELSE text END AS text FROM o"
+    f"WITH {_VARIANTS}, o AS (SELECT *, CASE doc_id % 5 WHEN 0 THEN text || ' and more' WHEN 1 THEN text WHEN 2 THEN repeat(chr(10), 90) WHEN 3 THEN repeat(' ', 60) || 'y' || chr(9) END AS ocr FROM v)"
+    f" SELECT doc_id, variant, CASE WHEN length({s_strip('text')}) < 50 AND length({s_strip('ocr')}) > length({s_strip('text')}) THEN ocr ELSE text END AS text FROM o"
 )
 def ocr_fallback_choice(spark, sf_dir):
-    ocr = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" and more"))).when(F.col("doc_id") % 3 == 1, F.col("text")).otherwise("")
+    """OCR gives more, the same, white space only, next to nothing between white space, or fails."""
+    case = F.col("doc_id") % 5
+    ocr = F.when(case == 0, F.concat("text", F.lit(" and more"))).when(case == 1, F.col("text"))
+    ocr = ocr.when(case == 2, F.repeat(F.lit("\n"), 90)).when(case == 3, F.lit(" " * 60 + "y\t"))
     return _variants(spark, sf_dir).select("doc_id", "variant", ocr_choice(F.col("text"), ocr).alias("text"))
 
 

@@ -20,8 +20,9 @@ from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
 from ..functions.json_harvest import harvest
-from ..functions.text import IMAGE_SIGNAL, PDF_SIGNAL
+from ..functions.text import IMAGE_SIGNAL, OCR_LANGUAGES, PDF_SIGNAL
 from ..functions.text_udf import outline
+from . import pdf
 
 SEPARATOR = " | "
 
@@ -237,58 +238,99 @@ def _library(name: str):
         raise Missing(f"no {name}") from why
 
 
+#: EasyOCR's readers, one for each set of languages in a worker.
+_readers: dict[tuple, object] = {}
+
+
+def easyocr_languages(codes: str) -> list[str]:
+    """'spa+eng' as ['es', 'en']; unknown codes stay, none at all means ['es']."""
+    return [OCR_LANGUAGES.get(x, x) for part in codes.split("+") if (x := part.strip())] or ["es"]
+
+
+def _easyocr(options: Options):
+    easyocr = _library("easyocr")
+    languages = easyocr_languages(options.ocr_languages)
+    key = *languages, options.gpu
+    if key not in _readers:
+        _readers[key] = easyocr.Reader(languages, gpu=options.gpu)
+    return lambda png: "\n\n".join(_readers[key].readtext(png, detail=0, paragraph=True))
+
+
+def _page_reader(options: Options) -> Callable[[bytes], str]:
+    """What reads a page's image: EasyOCR where it is installed, else Tesseract, whose words are joined by spaces."""
+    try:
+        return _easyocr(options)
+    except Missing:
+        image, tesseract = _library("PIL.Image"), _library("pytesseract")
+
+    def read(png: bytes) -> str:
+        words = tesseract.image_to_data(image.open(io.BytesIO(png)), lang=options.ocr_languages, output_type=tesseract.Output.DICT)["text"]
+        return " ".join(w for w in words if w.strip())
+
+    return read
+
+
 def pdf_ocr(content: bytes, options: Options) -> str:
-    """Pages rendered and read, where PyMuPDF, Pillow and Tesseract are installed; words of a page by spaces, pages by empty lines."""
-    fitz, image, tesseract = (_library(x) for x in ("fitz", "PIL.Image", "pytesseract"))
+    """Pages rendered by PyMuPDF and read, by empty lines. A page that can't be read is empty; the others count."""
+    fitz, read = _library("fitz"), _page_reader(options)
     scale = zoom_scale(options.ocr_dpi)
     pages = []
     with fitz.open(stream=content, filetype="pdf") as document:
         for page in document:
-            png = page.get_pixmap(matrix=fitz.Matrix(scale, scale)).tobytes("png")
-            words = tesseract.image_to_data(image.open(io.BytesIO(png)), lang=options.ocr_languages, output_type=tesseract.Output.DICT)["text"]
-            pages.append(" ".join(w for w in words if w.strip()))
+            try:
+                pages.append(read(page.get_pixmap(matrix=fitz.Matrix(scale, scale)).tobytes("png")))
+            except Exception:
+                pages.append("")
     return "\n\n".join(pages)
 
 
-#: EasyOCR's names of Tesseract's languages, and its readers, one for each set of languages in a worker.
-LANGUAGE_CODES = {"spa": "es", "eng": "en", "fra": "fr", "deu": "de", "por": "pt", "ita": "it"}
-_readers: dict[tuple, object] = {}
-
-
 def image_ocr(content: bytes, options: Options) -> str:
     """Paragraphs of an image by empty lines, with EasyOCR where it is installed, else Pillow and Tesseract."""
     try:
-        easyocr = _library("easyocr")
+        read = _easyocr(options)
     except Missing:
         image, tesseract = _library("PIL.Image"), _library("pytesseract")
         return tesseract.image_to_string(image.open(io.BytesIO(content)), lang=options.ocr_languages)
-    key = options.ocr_languages, options.gpu
-    if key not in _readers:
-        _readers[key] = easyocr.Reader([LANGUAGE_CODES.get(x, x) for x in options.ocr_languages.split("+")], gpu=options.gpu)
-    return "\n\n".join(_readers[key].readtext(content, detail=0, paragraph=True))
+    return read(content)
 
 
 def _engine(name: str, own: Callable, options: Options) -> Callable:
     return options.hooks.get(name) or (own if options.ocr else lambda *_: "")
 
 
-def pdf_file(path: str, content: bytes, options: Options) -> tuple[str, dict]:
-    """Pages in reading order; OCR where there is next to no text and OCR gives more."""
+def pdf_pages(content: bytes, options: Options) -> list[list[tuple[float, float, str]]]:
+    """Blocks (x0, y0, text) of each page: by the hook, PyMuPDF where it is installed, else the package's own reader."""
     if "pdf" in options.hooks:
-        pages = options.hooks["pdf"](content)
-    else:
+        return options.hooks["pdf"](content)
+    try:
         fitz = _library("fitz")
-        with fitz.open(stream=content, filetype="pdf") as document:
-            pages = [[(b[0], b[1], b[4]) for b in page.get_text("blocks")] for page in document]
-    text = "\n\n".join(map(page_text, pages))
+    except Missing:
+        return pdf.blocks(content)
+    with fitz.open(stream=content, filetype="pdf") as document:
+        return [[(b[0], b[1], b[4]) for b in page.get_text("blocks")] for page in document]
+
+
+def ocr_choice(text: str, read: str) -> bool:
+    """Whether OCR's text takes the place of a file's own: there is next to none, and OCR gives more, white space apart."""
+    return len(text.strip()) < PDF_SIGNAL and len(read.strip()) > len(text.strip())
+
+
+def pdf_file(path: str, content: bytes, options: Options) -> tuple[str, dict]:
+    """Pages in reading order; OCR where there is next to no text and OCR gives more. OCR that fails takes nothing away."""
+    pages = pdf_pages(content, options)
+    text, meta = "\n\n".join(map(page_text, pages)), {"num_paginas": len(pages)}
+    if name := pdf.title(content):
+        meta["titulo_pdf"] = name
     if len(text.strip()) < PDF_SIGNAL:
         try:
             read = _engine("pdf_ocr", pdf_ocr, options)(content, options) or ""
         except Missing:
             read = ""
-        if len(read) > len(text):
-            return read, {"num_paginas": len(pages), "ocr_aplicado": True, "ocr_dpi": options.ocr_dpi, "ocr_idiomas": options.ocr_languages}
-    return text, {"num_paginas": len(pages)}
+        except Exception as why:
+            read, meta = "", meta | {"ocr_error": f"{type(why).__name__}: {why}"}
+        if ocr_choice(text, read):
+            return read, meta | {"ocr_aplicado": True, "ocr_dpi": options.ocr_dpi, "ocr_idiomas": options.ocr_languages}
+    return text, meta
 
 
 def image_file(path: str, content: bytes, options: Options) -> tuple[str, dict]:

@@ -13,9 +13,11 @@ from pyspark.sql import types as T
 
 from ..functions.text import normalise_listed, tileset_root
 from ..operators.corpus import dedupe_features, path_order
-from .adapters import ADAPTERS, FORMATS, Options, tile_features
+from .adapters import ADAPTERS, FORMATS, Options, pdf_pages, tile_features
 
 EXTRACTED = "fuente string, formato string, texto string, meta map<string,string>, error string, traceback string"
+BLOCK = "doc_id string, page int, ordinal int, x0 double, y0 double, text string, error string"
+BLOCK_NAMES = [c.split()[0] for c in BLOCK.split(", ")]
 FEATURE = "root string, path string, ordinal int, layer string, key string, attrs map<string,string>, text string"
 
 
@@ -61,6 +63,28 @@ def extract(files: DataFrame, options: Options | None = None) -> DataFrame:
     return files.select("fuente", "formato", "content").mapInPandas(run, EXTRACTED)
 
 
+def pdf_blocks(files: DataFrame, options: Options | None = None) -> DataFrame:
+    """(doc_id, page, ordinal, x0, y0, text, error) of (fuente, content): a row for each block of text, pages from 1; doc_id is the source.
+
+    A file that can't be read has one row with its error, a page without text one without text. A file's rows leave as its pages are read.
+    """
+    options = options or Options()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for fuente, content in zip(pdf["fuente"], pdf["content"], strict=True):
+                try:
+                    pages = pdf_pages(bytes(content), options)
+                except Exception as why:
+                    yield pd.DataFrame([(fuente, None, None, None, None, None, f"{type(why).__name__}: {why}")], columns=BLOCK_NAMES)
+                    continue
+                for number, found in enumerate(pages, 1):
+                    rows = [(fuente, number, k, x, y, text, None) for k, (x, y, text) in enumerate(found or [(0.0, 0.0, "")])]
+                    yield pd.DataFrame(rows, columns=BLOCK_NAMES).astype({"page": "Int32", "ordinal": "Int32"})
+
+    return files.select("fuente", "content").mapInPandas(run, BLOCK)
+
+
 def identity(attrs: dict) -> str:
     """What makes two features of a layer the same: the first of fid, id and FID that is set and neither zero, false nor empty, else all attributes."""
     given = next((v for name in ("fid", "id", "FID") if (v := attrs.get(name))), None)

@@ -113,6 +113,38 @@ def test_hooks(spark):
         ad.load_document("a.rtf", b"")
 
 
+@pytest.mark.parametrize("read", ["\n" * 18, " " * 60 + "Acta", "Acta 7", RuntimeError("no model"), None])
+def test_ocr_takes_no_text_away(read):
+    """White space is no text, and an engine that fails leaves what the file says."""
+
+    def engine(content, options):
+        if isinstance(read, Exception):
+            raise read
+        return read
+
+    options = ad.Options(hooks={"pdf": lambda c: [[(0.0, 0.0, "Acta 7")]], "pdf_ocr": engine})
+    text, meta = ad.pdf_file("a.pdf", b"", options)
+    assert text == "Acta 7" and meta.get("ocr_aplicado") is None
+    assert meta.get("ocr_error") == ("RuntimeError: no model" if isinstance(read, Exception) else None)
+
+
+def test_ocr_of_pages_that_fail(monkeypatch):
+    """A page that can't be read is empty, the others count; PDF files and images have the same reader."""
+    import sys
+    from types import SimpleNamespace as N
+
+    class Document(list):
+        __enter__ = lambda self: self
+        __exit__ = lambda self, *_: None
+
+    pages = [N(get_text=lambda _: [], get_pixmap=lambda matrix, k=k: N(tobytes=lambda kind: k)) for k in range(3)]
+    monkeypatch.setitem(sys.modules, "fitz", N(open=lambda stream, filetype: Document(pages), Matrix=lambda x, y: None))
+    monkeypatch.setitem(sys.modules, "easyocr", N(Reader=lambda names, gpu: N(readtext=lambda k, detail, paragraph: [f"{names} {k}", str(6 // k)])))
+    monkeypatch.setattr(ad, "_readers", {})
+    assert ad.pdf_file("x.pdf", b"", ad.Options(ocr_languages=" spa + xx+"))[0] == "\n\n['es', 'xx'] 1\n\n6\n\n['es', 'xx'] 2\n\n3"
+    assert ad.easyocr_languages(" + ") == ["es"]
+
+
 def test_csv_counts():
     text, meta = ad.csv_file("x.csv", b"a,b,a\n1,2,3\n1\n1,2,3,4\n,,\n\n", ad.Options())
     assert text == "a: 3 | b: 2"
