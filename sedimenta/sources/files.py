@@ -32,16 +32,20 @@ def format_of(path: Column, formats: dict[str, str] = FORMATS) -> Column:
     return F.try_element_at(table, extension(path))
 
 
+def relative_path(spark: SparkSession, root: str) -> Column:
+    """The column `path` of Spark's binary files, relative to root."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(root)
+    base = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toString().rstrip("/") + "/"
+    plain = base.split(":", 1)[-1].lstrip("/")
+    return F.substring(F.regexp_replace(F.col("path"), "^[a-z0-9]+:/*", ""), F.lit(len(plain) + 1), F.length("path"))
+
+
 def listing(spark: SparkSession, root: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
     """(fuente, length, content): all files below root, by path relative to it. Spark reads no content that isn't selected."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    base = spark._jvm.org.apache.hadoop.fs.Path(root)
-    base = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toString().rstrip("/") + "/"
-    plain = base.split(":", 1)[-1].lstrip("/")
-    relative = F.regexp_replace(F.col("path"), "^[a-z0-9]+:/*", "")
-    return reader.load(root).select(F.substring(relative, F.lit(len(plain) + 1), F.length("path")).alias("fuente"), "length", "content")
+    return reader.load(root).select(relative_path(spark, root).alias("fuente"), "length", "content")
 
 
 def extract(files: DataFrame, options: Options | None = None) -> DataFrame:

@@ -378,6 +378,58 @@ def test_stream_gives_lasting_ids(spark, tmp_path):
     assert spark.read.parquet(where[2]).count() == 4
 
 
+def test_a_new_checkpoint_overwrites_nothing(spark, tmp_path):
+    from sedimenta.streaming.ingest import ingest_with_ids
+
+    where = [f"{tmp_path}/{x}" for x in ("in", "out", "registry")]
+    for k, mark in enumerate(["m0", "m1", "m1", "m0"]):
+        rows = [(f"F1_a/{k}.txt", "txt", f"text {k}")]
+        spark.createDataFrame(rows, "fuente string, formato string, text string").coalesce(1).write.mode("append").parquet(where[0])
+        ingest_with_ids(spark, *where, f"{tmp_path}/{mark}", 1)
+    got = sorted((r.doc_id, r.fuente, r.texto_limpio) for r in spark.read.parquet(where[1]).collect())
+    assert got == [(f"DOC-000{k + 1}", f"F1_a/{k}.txt", f"text {k}") for k in range(4)]
+    assert sorted(r.doc_id for r in spark.read.parquet(where[2]).collect()) == [x[0] for x in got]
+
+
+def test_stream_of_a_folder(spark, folder, tmp_path):
+    """Files that come late, a replay of the last batch, and a second checkpoint give what one batch gives."""
+    import shutil
+    from pathlib import Path
+
+    from sedimenta.operators.documents import DOCUMENT
+    from sedimenta.streaming.ingest import REGISTERED, ingest_folder, read_ingested
+
+    late, where = tmp_path / "late", [f"{tmp_path}/{x}" for x in ("out", "registry", "errors")]
+    late.mkdir()
+    for name in ("a/x.html", "a/broken.json", "F1_sur/latin.md"):
+        shutil.move(f"{folder}/{name}", late / name.replace("/", "+"))
+
+    def told():
+        documents = read_ingested(spark, where[0], DOCUMENT).collect()
+        errors = read_ingested(spark, where[2], "fuente string, error string, traceback string").collect()
+        return sorted(tuple(r) for r in documents), sorted((r.fuente, r.error) for r in errors)
+
+    ingest_folder(spark, folder, *where, f"{tmp_path}/m0", files_per_batch=2)
+    first, _ = told()
+    for moved in sorted(late.iterdir()):
+        shutil.move(moved, Path(folder) / moved.name.replace("+", "/"))
+    ingest_folder(spark, folder, *where, f"{tmp_path}/m0", files_per_batch=2)
+    second = told()
+    assert set(first) < set(second[0])
+    newest = max(int(p.name) for p in (tmp_path / "m0" / "commits").iterdir() if p.name.isdigit())
+    for name in (f"{newest}", f".{newest}.crc"):
+        (tmp_path / "m0" / "commits" / name).unlink(missing_ok=True)  # as if stopped before the end of the last batch
+    ingest_folder(spark, folder, *where, f"{tmp_path}/m0", files_per_batch=2)
+    ingest_folder(spark, folder, *where, f"{tmp_path}/m1")
+    assert told() == second
+    batch = generate(spark, folder)
+    assert sorted(r[1:] for r in second[0]) == sorted(tuple(r)[1:] for r in batch.documents.where("formato <> 'pbf'").collect())
+    assert second[1] == sorted((r.fuente, r.error) for r in batch.errors.collect())
+    ids = [r[0] for r in second[0]]
+    assert sorted(ids) == [f"DOC-{k:04d}" for k in range(1, len(ids) + 1)]
+    assert {(r.fuente, r.doc_id) for r in read_ingested(spark, where[1], REGISTERED).collect()} == {(r[1], r[0]) for r in second[0]}
+
+
 def test_commands(spark, folder, tmp_path, capsys):
     from sedimenta.__main__ import main
 
