@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import LANGUAGE_LEAST, LANGUAGE_SAMPLE, LINE_LENGTH, REPEATS
+from .text import LINE_LENGTH, REPEATS
 
 _SPACES = {0xA0: " ", 0x200B: " ", 0x200C: " ", 0x200D: " ", 0xFEFF: " "}
 _GONE = {c: None for c in (*range(0x20), *range(0x7F, 0xA0)) if chr(c) not in "\t\n\r"}
@@ -93,32 +93,3 @@ def outline(html: str | None) -> str:
 @F.pandas_udf(T.StringType())
 def html_to_text(pages: pd.Series) -> pd.Series:
     return pages.map(outline)
-
-
-#: Frequent words of each language, for the scorer below (public stop-word lists, shortened).
-FREQUENT = {
-    "de": "der die und das den von mit ist nicht des auf für im dem ein eine als auch sich zu aus",
-    "en": "the of and to in is that for it was with as on be by this are from or an at",
-    "es": "el la de que y en los del las un por con una para su se al es lo como más",
-    "fr": "le la les des et est dans que pour qui sur une du au pas par avec il sont ce ne",
-    "it": "il di che la e per un in non una sono con del si da come le dei nel alla gli",
-    "pt": "o de que e do da em um para com não uma os no se na por mais as dos ao",
-}
-_FREQUENT = {k: frozenset(v.split()) for k, v in FREQUENT.items()}
-_WORD = re.compile(r"[^\W\d_]+")
-
-
-def language(text: str | None, sample: int = LANGUAGE_SAMPLE, least: int = LANGUAGE_LEAST) -> str:
-    """The language whose frequent words make up most of the first characters; 'und' if too short or without any. Ties: first by code."""
-    head = (text or "")[:sample].strip()
-    if len(head) < least:
-        return "und"
-    found = Counter(_WORD.findall(head.lower()))
-    score = {k: sum(n for w, n in found.items() if w in own) for k, own in _FREQUENT.items()}
-    best = max(sorted(score), key=score.__getitem__)
-    return best if score[best] else "und"
-
-
-@F.pandas_udf(T.StringType())
-def detect_language(texts: pd.Series) -> pd.Series:
-    return texts.map(language)

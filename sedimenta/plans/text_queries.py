@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import text_udf as tu
+from ..functions.language import LanguageModel, detect
+from ..operators import language
 from ..operators.corpus import chunk_words as chunks_of
 from ..operators.corpus import ocr_choice
 from .durable import spread
@@ -138,21 +140,40 @@ def line_frequency(spark, sf_dir):
     return lines.where("line <> ''").groupBy("doc_id", "line").agg(F.count("*").alias("n"))
 
 
-_LISTS = ", ".join(f"('{k}', string_split('{v}', ' '))" for k, v in tu.FREQUENT.items())
+#: The sample of the registered queries, so that there are texts outside it in small tables too.
+_LANG_SAMPLE, _LANG_GRAMS = 60, 3000
+_LANG = f"""
+sizes AS (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY lang),
+d AS (SELECT doc_id, d.lang, coalesce(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS HUGEINT) * n < CAST({_LANG_SAMPLE} AS HUGEINT) * 4294967296, false) AS own, {s_strip("substr(text, 1, 2000)")} AS head FROM documents d LEFT JOIN sizes USING (lang)),
+w AS (SELECT doc_id, lang, own, length(head) AS n, regexp_replace(' ' || lower(head) || ' ', '[^\\p{{L}}]+', ' ', 'g') AS t FROM d),
+g AS (SELECT doc_id, lang, own, g, count(*) AS n FROM (SELECT doc_id, lang, own, unnest(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) AS g FROM w) GROUP BY ALL),
+vocabulary AS (SELECT g, sum(n) AS total FROM g WHERE own GROUP BY g ORDER BY total DESC, g LIMIT {_LANG_GRAMS}),
+counts AS (SELECT lang, g, sum(n) AS c FROM g JOIN vocabulary USING (g) WHERE own GROUP BY lang, g),
+totals AS (SELECT lang, sum(c) AS t FROM counts GROUP BY lang),
+weights AS (SELECT v.g, t.lang AS code, ln((coalesce(c, 0) + 1) / (t + (SELECT count(*) FROM vocabulary))) AS weight FROM vocabulary v CROSS JOIN totals t LEFT JOIN counts c ON c.g = v.g AND c.lang = t.lang),
+scores AS (SELECT doc_id, code, sum(n * weight) AS score FROM g JOIN weights USING (g) GROUP BY doc_id, code),
+best AS (SELECT doc_id, arg_max(code, score) AS code FROM scores GROUP BY doc_id),
+told AS (SELECT w.doc_id, w.lang, w.own, CASE WHEN n < 20 OR code IS NULL THEN 'und' ELSE code END AS idioma FROM w LEFT JOIN best ON w.doc_id = best.doc_id)"""
 
 
-@query(
-    f"""
-WITH f(code, own) AS (VALUES {_LISTS}),
-d AS (SELECT doc_id, {s_strip("substr(text, 1, 2000)")} AS head FROM documents),
-w AS (SELECT doc_id, length(head) AS n, regexp_extract_all(lower(head), '\\p{{L}}+') AS ws FROM d),
-s AS (SELECT doc_id, n, code, len(list_filter(ws, lambda x: list_contains(own, x))) AS score FROM w CROSS JOIN f),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, code) AS k FROM s)
-SELECT doc_id, CASE WHEN n < 20 OR score = 0 THEN 'und' ELSE code END AS idioma FROM r WHERE k = 1
-"""
-)
+def _language_model(spark: SparkSession, sf_dir: str) -> LanguageModel:
+    return language.fit(table(spark, sf_dir, "documents"), _LANG_SAMPLE, _LANG_GRAMS)
+
+
+@query(f"WITH {_LANG} SELECT doc_id, idioma FROM told")
 def lang_detect(spark, sf_dir):
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", tu.detect_language("text").alias("idioma"))
+    """A model fitted to a sample of the labelled documents, and the language of all."""
+    model = _language_model(spark, sf_dir)
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", detect("text", model).alias("idioma"))
+
+
+@query(f"WITH {_LANG} SELECT lang, count(*) AS n, CAST(count(*) FILTER (WHERE idioma = lang) AS BIGINT) AS n_right FROM told WHERE NOT own GROUP BY lang")
+def lang_accuracy(spark, sf_dir):
+    """How many documents outside the sample the model tells right, by language."""
+    model, docs = _language_model(spark, sf_dir), table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    inside = language.sampled(docs, _LANG_SAMPLE).select("doc_id").distinct()
+    rest = spread(docs.join(inside, "doc_id", "left_anti")).select("lang", detect("text", model).alias("idioma"))
+    return rest.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.col("idioma") == F.col("lang")).alias("n_right"))
 
 
 @query(f"SELECT doc_id, length({s_strip('substr(text, 1, 2000)')}) < 20 AS und FROM documents")

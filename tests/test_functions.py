@@ -110,12 +110,6 @@ def test_outline():
     assert tu.outline(None) == "" and tu.outline("<head>x") == ""
 
 
-def test_language():
-    assert tu.language("the cat is in the house and it was on the roof") == "en"
-    assert tu.language("la casa de los perros en el campo y las flores") == "es"
-    assert tu.language("corto") == "und" and tu.language(None) == "und"
-
-
 def test_sparse_dot_is_symmetric(spark):
     rows = spark.sql("select map(1, 2.0D, 2, 1.0D) a, map(2, 3.0D, 3, 5.0D) b")
     assert rows.select(vx.sparse_dot(F.col("a"), F.col("b")), vx.sparse_dot(F.col("b"), F.col("a"))).first()[:] == (3.0, 3.0)
