@@ -25,7 +25,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
         # small star: each node and its smaller neighbours go to the smallest of them
         large = materialize(large)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")))
         joined = large.join(least, "u")
         now = joined.select(F.explode(F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
@@ -47,9 +47,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def dealt(keyed: DataFrame, keys: list[str], by: str, block: int) -> DataFrame:
-    """Rows of keyed whose key stands more than once, each with (i, j): a key of over `block` rows is dealt out in pairs of blocks."""
-    shared = materialize(keyed.groupBy(*keys).count().where("count > 1").select(*keys, F.ceil(F.col("count") / block).cast("int").alias("n")))
+def dealt(keyed: DataFrame, keys: list[str], by: str, block: int, counts: DataFrame | None = None) -> DataFrame:
+    """Rows of keyed whose key stands more than once, each with (i, j): a key of over `block` rows is dealt out in pairs of blocks.
+
+    counts: (key, count) of those keys, where they are known.
+    """
+    if counts is None:
+        counts = materialize(keyed.groupBy(*keys).count().where("count > 1"))
+    shared = counts.select(*keys, F.ceil(F.col("count") / block).cast("int").alias("n"))
     split = keyed.join(shared, keys).withColumn("p", F.pmod(F.xxhash64(by), F.col("n")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda x: F.struct(F.least(x, "p").alias("i"), F.greatest(x, "p").alias("j")))
     return split.select(*keyed.columns, F.explode(pairs).alias("b")).select(*keyed.columns, "b.i", "b.j")
