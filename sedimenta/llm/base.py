@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from ..plans.durable import materialize, relieve, scratch, shared_dir  # noqa: F401
+from ..plans.durable import materialize, scratch, shared_dir  # noqa: F401
 
 #: Bytes of text that a Python worker handles at once.
 CHUNK_BYTES = 1 << 20
