@@ -71,11 +71,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def relieve(spark: SparkSession) -> None:
-    """Frees what finished jobs have left: plans, broadcasts and generated code on the driver, their shuffle files on executors."""
-    spark._jvm.System.gc()
-
-
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the whole versions of a table, oldest first."""
     fs, name = _path(spark, path)
