@@ -277,17 +277,21 @@ ENCODED = T.StructType([
 ])
 
 
-def encode_texts(text: Column, encoder: str = "hash", mode: str = "passage", batch: int = 256) -> Column:
-    """A struct of dense vector, sparse vector and number of tokens. Every text gets the prefix of its mode; null counts as empty."""
-    prefix = {"query": QUERY_PREFIX, "passage": PASSAGE_PREFIX}[mode]
-    if encoder not in ENCODERS:
+def encode_texts(text: Column, encoder="hash", mode: str | None = "passage", batch: int = 256) -> Column:
+    """A struct of dense vector, sparse vector and number of tokens. Every text gets the prefix of its mode; null counts as empty.
+
+    encoder: a name in ENCODERS, or an encoder that is sent along, such as operators.latent.LatentModel. mode: None for no prefix.
+    """
+    prefix = {"query": QUERY_PREFIX, "passage": PASSAGE_PREFIX, None: ""}[mode]
+    named = isinstance(encoder, str)
+    if named and encoder not in ENCODERS:
         raise ValueError(f"no encoder named {encoder}")
 
     @F.pandas_udf(ENCODED)
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        if encoder not in _loaded:
+        if named and encoder not in _loaded:
             _loaded[encoder] = ENCODERS[encoder]()
-        model = _loaded[encoder]
+        model = _loaded[encoder] if named else encoder
         for part in parts:
             texts = [prefix + (t or "") for t in part]
             dense, sparse = [], []

@@ -1,0 +1,75 @@
+"""CSV files in byte ranges against the reader of whole files."""
+
+import csv
+import io
+import random
+
+import pytest
+
+from sedimenta.sources import adapters as ad
+from sedimenta.sources import csv_ranges as cr
+
+
+@pytest.mark.parametrize("size", [190, 1 << 20])
+def test_files_in_ranges(spark, tmp_path, size):
+    draw = random.Random(2)
+    pieces = ["a", "ñ", '"', '""', ",", "\n", "\r\n", "\r", " ", 'x"y', '"q"', '"a\nb"', '",\n"', "nan", "NaN", ""]
+    files = {f"random{k} +%20.csv": "k,v,k\n" + "".join(draw.choice(pieces) for _ in range(draw.randint(0, 70))) for k in range(8)}
+    files |= {
+        "plain.csv": "a,b\n" + "".join(f"{k},text {k}\n" for k in range(12)),
+        "cells.csv": 'a,"b\nb"\n' + "".join(f'{k},"line\n\n""quoted"", {k}\n"\n' for k in range(9)),
+        "open.csv": 'a,b\n1,2\n3,"never closed\n4,5\n',
+        "short.csv": "a,b\n1\n1,2,3\n,\n\n1,2",
+        "head.csv": "a,b",
+        "blank.csv": "\n\na,b\n1,2\n",
+    }
+    raw = {name: text.encode() for name, text in files.items()} | {"latin.csv": 'a,b\nni\xf1o,"x\ny"\n'.encode("latin-1") * 9}
+    if size > 1000:
+        raw["wide.csv"] = b'a,b\n1,"' + b"x" * 140000 + b'"\n2,3\n'
+    for name, content in raw.items():
+        (tmp_path / "in" / "sub").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / "sub" / name).write_bytes(content)
+    own = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        found = cr.csv_ranges(spark, f"{tmp_path}/in")
+        figures = {r.fuente: r for r in found.figures.collect()}
+        texts = {r.fuente: r.texto for r in cr.csv_documents(found).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", own)
+    for name, content in raw.items():
+        key = f"sub/{name}"
+        try:
+            text, meta = ad.csv_file(name, content, ad.Options())
+        except csv.Error as why:
+            assert figures[key].error == f"Error: {why}" and key not in texts
+            continue
+        # of a cell that is never closed the file's last line feed is lost
+        assert texts[key] in (text, text.removesuffix("\n")) and (texts[key] == text or content.count(b'"') % 2), name
+        got = figures[key]
+        assert got.error is None and (got.num_filas_validas, got.filas_omitidas_por_formato_invalido) == (
+            meta["num_filas_validas"],
+            meta["filas_omitidas_por_formato_invalido"],
+        )
+        assert (got.columnas, got.codificacion_detectada) == (meta["columnas"], meta["codificacion_detectada"])
+    assert size < 1000 or figures["sub/wide.csv"].error
+
+
+def test_state_at_the_end_of_a_line():
+    """Whatever the line, the state is that of the csv module: whether the next line still belongs to the record."""
+    draw = random.Random(4)
+    for _ in range(3000):
+        line = "".join(draw.choice('ab",  ') for _ in range(draw.randint(0, 9)))
+        for inside in (False, True):
+            text = ('"' if inside else "") + line
+            rows = [*csv.reader(io.StringIO(text + "\nNEXT\n", newline=""))]
+            assert cr.ends_open(line.encode(), inside) == (len(rows) == 1), (line, inside)
+
+
+def test_a_record_that_never_ends(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cr, "RECORD", 1000)
+    (tmp_path / "a.csv").write_text('a,b\n1,"' + "x\n" * 3000)
+    (tmp_path / "b.csv").write_text("a,b\n1,2\n")
+    found = cr.csv_ranges(spark, str(tmp_path))
+    assert {r.fuente: r.error for r in found.figures.collect()} == {"a.csv": "ValueError: a record of over 1000 bytes", "b.csv": None}
+    assert [(r.fuente, r.texto) for r in cr.csv_documents(found).collect()] == [("b.csv", "a: 1 | b: 2")]
