@@ -71,6 +71,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def relieve(spark: SparkSession) -> None:
+    """Lets Spark clear what large finished jobs have left: broadcasts in the executors' memory, their shuffle files on disk.
+
+    Spark clears these only once the driver's collector has found their plans unused, by itself perhaps half an hour
+    later, and offers no other call for it. For use after jobs that shuffle a multiple of their input, not within loops.
+    """
+    spark._jvm.System.gc()
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the whole versions of a table, oldest first."""
     fs, name = _path(spark, path)
