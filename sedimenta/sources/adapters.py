@@ -23,6 +23,7 @@ from ..functions.json_harvest import harvest
 from ..functions.text import IMAGE_SIGNAL, OCR_LANGUAGES, PDF_SIGNAL
 from ..functions.text_udf import outline
 from . import pdf
+from .compound import MAGIC, doc_text, xls_rows
 
 SEPARATOR = " | "
 
@@ -187,20 +188,11 @@ def sheet_rows(content: bytes, sheet: int = 0) -> list[list[str]]:
 
 def excel_file(path: str, content: bytes, options: Options) -> tuple[str, dict]:
     """The first sheet's rows as text, all cells as strings."""
-    if path.lower().endswith(".xls"):
-        try:
-            import pandas as pd
-
-            frame = pd.read_excel(io.BytesIO(content), sheet_name=options.sheet, dtype=str).fillna("")
-        except ImportError as why:
-            raise Missing(str(why)) from why
-        header, rows = [*map(str, frame.columns)], frame.to_numpy().tolist()
-    else:
-        table = sheet_rows(content, options.sheet)
-        header, rows = (table[0], table[1:]) if table else ([], [])
-        width = max([len(header), *map(len, rows)])
-        header = [h or f"Unnamed: {k}" for k, h in enumerate(header + [""] * (width - len(header)))]
-        rows = [["" if v in EMPTY_CELLS else v for v in r + [""] * (width - len(r))] for r in rows]
+    table = xls_rows(content, options.sheet) if content[:8] == MAGIC else sheet_rows(content, options.sheet)
+    header, rows = (table[0], table[1:]) if table else ([], [])
+    width = max([len(header), *map(len, rows)])
+    header = [h or f"Unnamed: {k}" for k, h in enumerate(header + [""] * (width - len(header)))]
+    rows = [["" if v in EMPTY_CELLS else v for v in r + [""] * (width - len(r))] for r in rows]
     lines = [line for r in rows if (line := cells_text(header, r))]
     return "\n".join(lines), {"num_filas": len(rows), "columnas": header}
 
@@ -461,12 +453,15 @@ ADAPTERS: dict[str, Callable[[str, bytes, Options], tuple[str, dict]]] = {
 }
 
 
+def doc_file(path: str, content: bytes, options: Options) -> tuple[str, dict]:
+    """A document of the old binary format, or a newer one under the old ending."""
+    return docx_file(path, content, options) if zipfile.is_zipfile(io.BytesIO(content)) else (doc_text(content), {})
+
+
 def load_document(path: str, content: bytes, options: Options | None = None) -> str:
-    """Text of one .pdf, .docx or .txt, and of a .doc that holds a .docx; ValueError for others."""
+    """Text of one .pdf, .docx, .doc or .txt; ValueError for others."""
     ending = "." + path.rpartition(".")[2].lower()
-    own = {".pdf": pdf_file, ".docx": docx_file, ".doc": docx_file, ".txt": text_file}.get(ending)
-    if ending == ".doc" and not zipfile.is_zipfile(io.BytesIO(content)):
-        raise ValueError("a .doc of the old binary format: save it as .docx")
+    own = {".pdf": pdf_file, ".docx": docx_file, ".doc": doc_file, ".txt": text_file}.get(ending)
     if own is None:
         raise ValueError(f"no loader for {ending}")
     return own(path, content, options or Options())[0]

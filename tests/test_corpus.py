@@ -303,11 +303,6 @@ def test_ocr_engines(monkeypatch):
     assert ad.image_file("x.png", b"", ad.Options()) == ("['es', 'en'] False " + "x" * 30 + "\n\ny", {})
 
 
-def test_old_word_files():
-    with pytest.raises(ValueError, match="binary format"):
-        ad.load_document("a.doc", b"\xd0\xcf\x11\xe0")
-
-
 @pytest.mark.parametrize(
     "value, date, text",
     [
