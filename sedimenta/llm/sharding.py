@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import materialize
+from .base import fresh, materialize
 
 #: Fixed values of the published generator: multiplier 2862933555777941757, split into 32-bit halves.
 _HIGH, _LOW = 2862933555777941757 >> 32, 2862933555777941757 & 0xFFFFFFFF
@@ -69,7 +69,8 @@ def shard(documents: DataFrame, shards: int = 8, ranges: int | None = None) -> D
     rows = documents.select("doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text).alias("text_crc32"))
     order = ["doc_id", "text_crc32", "size"]
     n = ranges or int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, *order).withColumn("range", F.spark_partition_id())
+    spread = fresh(rows, "spread")  # equal rows are dealt to several ranges too; which of them gets which slot makes no difference
+    dealt = rows.withColumn(spread, F.rand(1)).repartitionByRange(n, *order, spread).drop(spread).withColumn("range", F.spark_partition_id())
     dealt = materialize(dealt.withColumns({"shard": jump_hash(key, shards), "grown_shard": jump_hash(key, shards + 1)}))
     counts = dealt.groupBy("shard", "range").count()
     before = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

@@ -8,7 +8,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside.
-CLASHING = ("copy", "ids", "found", "_base", "_spans", "_text", "range", "salt", "fp", "score", "n", "k", "node", "root", "slot", "item_id", "batch")
+CLASHING = ("copy", "ids", "found", "_base", "_spans", "_text", "range", "salt", "fp", "score", "n", "k", "node", "root", "slot", "item_id", "batch", "digest", "key", "keys", "head", "least", "wide", "sketch", "spread", "copies")
 
 
 def odd_documents() -> list[tuple]:
