@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import buckets as bk
 from ..operators import corpus as op
 from ..plans.durable import shared_dir
 from ..sources import files, sinks
@@ -16,16 +18,15 @@ def resume_anti_join(spark, sf_dir):
     return op.resume(table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels"), "doc_id")
 
 
-@query(
-    """
+_PATCHED = """
 SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL AND l.toxic = 0 THEN 'patched ' || l.quality ELSE d.text END AS texto,
   CASE WHEN l.doc_id IS NOT NULL AND l.toxic = 0 THEN 9 ELSE d.n_chars END AS num_caracteres, CASE WHEN l.doc_id IS NOT NULL AND l.toxic = 0 THEN 'und' ELSE d.lang END AS idioma,
   CASE WHEN l.doc_id IS NOT NULL AND l.toxic = 0 THEN 'ocr=true,src=new' ELSE 'pages=1,src=old' END AS note, CASE WHEN l.doc_id IS NOT NULL AND l.toxic = 0 THEN 3 ELSE 2 END AS n_meta
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """
-)
-def ocr_patch(spark, sf_dir):
-    """Rows with a change take its text and metadata; changes with an error leave them alone."""
+
+
+def _patch_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("fuente"),
         F.col("text").alias("texto"),
@@ -41,7 +42,10 @@ def ocr_patch(spark, sf_dir):
         F.create_map(F.lit("ocr"), F.lit("true"), F.lit("src"), F.lit("new")).alias("meta_extra"),
         F.when(F.col("toxic") == 1, "broken").alias("error"),
     )
-    out = op.patch(docs, changes)
+    return docs, changes
+
+
+def _patch_rows(out: DataFrame) -> DataFrame:
     m = F.col("meta_extra")
     note = F.when(F.map_contains_key(m, "ocr"), F.concat(F.lit("ocr="), m["ocr"])).otherwise(F.concat(F.lit("pages="), m["pages"]))
     return out.select(
@@ -54,6 +58,23 @@ def ocr_patch(spark, sf_dir):
     )
 
 
+@query(_PATCHED)
+def ocr_patch(spark, sf_dir):
+    """Rows with a change take its text and metadata; changes with an error leave them alone."""
+    return _patch_rows(op.patch(*_patch_tables(spark, sf_dir)))
+
+
+@query(_PATCHED)
+def ocr_patch_in_place(spark, sf_dir):
+    """The same on a table in buckets, of which only those with a change are written again."""
+    where = shared_dir(spark)
+    docs, changes = _patch_tables(spark, sf_dir)
+    bk.append_new(spark, where, docs.where("fuente % 2 = 0"), 8)
+    bk.append_new(spark, where, docs, 8)
+    bk.patch_in_place(spark, where, docs.schema, changes, 8)
+    return _patch_rows(bk.read_buckets(spark, where, docs.schema))
+
+
 _FEATURES = """f AS (SELECT p_partkey, p_brand AS layer, CASE WHEN p_partkey % 4 = 0 THEN NULL WHEN p_partkey % 4 = 1 THEN '0' ELSE CAST(p_partkey % 50 AS VARCHAR) END AS fid, p_size AS size,
   'z' || (p_partkey % 3) || '/' || p_partkey AS path FROM part)"""
 
