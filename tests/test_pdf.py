@@ -5,7 +5,7 @@ import zlib
 import pytest
 
 from sedimenta.operators.corpus import reading_order
-from sedimenta.plans.pdf_queries import compose
+from sedimenta.plans.pdf_queries import LINE, PAGE, compose
 from sedimenta.sources import adapters as ad
 from sedimenta.sources import files, pdf
 
@@ -162,3 +162,20 @@ def test_blocks_as_rows(spark):
     named = spark.createDataFrame([(f, "pdf", c) for f, c in rows], "fuente string, formato string, content binary")
     got = {r.fuente: (r.texto, r.error) for r in files.extract(named).collect()}
     assert got["a.pdf"] == (told["a.pdf"], None) and got["b.pdf"] == ("", "ValueError: a PDF without pages")
+
+
+def test_long_ranges_are_looked_up_and_fonts_read_once(monkeypatch):
+    codes, sizes = pdf.character_map(
+        b"1 begincodespacerange <0000> <FFFF> endcodespacerange 1 beginbfchar <0041> <0058> endbfchar 2 beginbfrange <0000> <FFFF> <0000> "
+        b"<0061> <0062> <0031> endbfrange 1 beginbfchar <0043> <0059> endbfchar"
+    )
+    assert len(codes) == 3 and sizes == {2}
+    assert [codes[c.encode("utf-16-be")].decode("utf-16-be") for c in "ABCabcé"] == ["A", "B", "Y", "1", "2", "c", "é"]
+    with pytest.raises(KeyError):
+        codes[b"A"]
+    made, own = [], pdf.character_map
+    monkeypatch.setattr(pdf, "character_map", lambda data: made.append(1) or own(data))
+    words = [f"w{k}é" for k in range(3 * LINE * PAGE)]
+    pages = pdf.blocks(compose(" ".join(words), 1))
+    assert len(pages) == 3 and len(made) == 1
+    assert " ".join(b[2] for page in pages for b in page).split() == words
