@@ -194,7 +194,11 @@ _TOKEN = re.compile(r"\w+")
 
 
 class HashEncoder:
-    """A deterministic stand-in for a trained encoder: tokens hashed to signed dimensions and to weights. One pass gives both heads."""
+    """A deterministic stand-in for a trained encoder: tokens hashed to signed dimensions and to weights. One pass gives both heads.
+
+    A text with tokens always has a unit vector: where the signs cancel in every dimension, the tokens count without them.
+    Tokens are lower-cased one by one, so a letter that becomes several doesn't part them.
+    """
 
     def __init__(self, dimension: int = DIMENSION, max_tokens: int = MAX_TOKENS):
         self.dimension, self.max_tokens = dimension, max_tokens
@@ -206,10 +210,15 @@ class HashEncoder:
         dense, sparse = np.zeros((len(texts), self.dimension), np.float32), []
         for row, text in enumerate(texts):
             weights: dict[int, float] = {}
-            for token in _TOKEN.findall(text.lower())[: self.max_tokens]:
-                h = int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "little")
+            hashes = []
+            for token in _TOKEN.findall(text)[: self.max_tokens]:
+                h = int.from_bytes(hashlib.blake2b(token.lower().encode(), digest_size=8).digest(), "little")
                 dense[row, h % self.dimension] += 1.0 if h >> 63 else -1.0
                 weights[h % 30000] = weights.get(h % 30000, 0.0) + 1.0
+                hashes.append(h)
+            if hashes and not dense[row].any():
+                for h in hashes:
+                    dense[row, h % self.dimension] += 1.0
             sparse.append(weights)
         norms = np.linalg.norm(dense, axis=1, keepdims=True)
         return dense / np.where(norms == 0, 1, norms), sparse

@@ -198,3 +198,18 @@ def test_trained_encoders(monkeypatch):
     monkeypatch.setitem(sys.modules, "FlagEmbedding", N(BGEM3FlagModel=lambda name, use_fp16, devices: both))
     vectors, sparse = vx.ENCODERS["bge-m3"]().encode(["x"])
     assert vectors.shape == (1, 2) and sparse == [{7: 0.5}]
+
+
+def test_texts_whose_signs_cancel_have_unit_vectors():
+    from sedimenta.functions.vectors import HashEncoder
+
+    encoder = HashEncoder(64)
+    words = [f"w{k}" for k in range(3000)]
+    alone, _ = encoder.encode(words)
+    texts = [f"passage {w}" for w in words]
+    own = encoder.encode(["passage"])[0][0]
+    cancelled = [t for t, v in zip(texts, alone, strict=True) if not (v + own).any()]
+    assert len(cancelled) > 5
+    dense, sparse = encoder.encode([*cancelled, "", "x İstanbul"])
+    assert [round(float((v * v).sum()), 5) for v in dense] == [1.0] * len(cancelled) + [0.0, 1.0]
+    assert sum(sparse[-1].values()) == encoder.count_tokens("x İstanbul") == 2
