@@ -47,3 +47,30 @@ def test_text_functions_stay_in_the_jvm(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet")
     text = plan(rows.select(tx.collapse_whitespace(tx.remove_repeated_lines(tx.remove_control_chars(F.col("text"))))))
     assert "Python" not in text and "Exchange" not in text
+
+
+def test_batches_are_limited_by_bytes(spark):
+    import pyarrow as pa
+
+    import __spark_entry__ as entry
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    def largest():
+        texts = spark.range(4000, numPartitions=1).select(F.repeat(F.lit("x"), 10_000).alias("t"))
+        return texts.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
+
+    entry.queries()["clean_text"](spark, SF)
+    try:
+        assert largest() < 5 << 20
+        entry.queries()["op13_url_filter"](spark, SF)
+        assert key not in spark.conf.getAll
+        spark.conf.set(key, "1m")
+        entry.queries()["clean_text"](spark, SF)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
