@@ -19,12 +19,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
-from ..plans.durable import materialize
+from ..plans.durable import materialize, settings
 from .adapters import SEPARATOR
 from .files import relative_path
 
 #: Most bytes of a record of several lines; more is an error of its file, as a quote that is never closed makes one.
 RECORD = 16 << 20
+#: Bytes of ranges that a task reads, where ranges are smaller.
+TASK = 32 << 20
 _INSIDE = re.compile(rb'(?:[^"]|"")*+"')
 _LINES = "path string, block long, at long, line binary, s_open boolean, s_after boolean, s_owner long, q_open boolean, q_after boolean, q_owner long"
 _NAMES = [c.split()[0] for c in _LINES.split(", ")]
@@ -85,13 +87,17 @@ def _scanned(delimiter: bytes):
     return scan
 
 
-def lines(spark: SparkSession, root: str, delimiter: str = ",", glob: str = "*.csv") -> DataFrame:
-    """_LINES of the files below root, with fuente; written."""
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(root)
-    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
-    rows = reader.select(path.alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
-    found = rows.mapInArrow(_scanned(delimiter.encode()), _LINES)
-    return materialize(found.select(relative_path(spark, root).alias("fuente"), *[c for c in found.columns if c != "path"]))
+def lines(spark: SparkSession, root: str, delimiter: str = ",", glob: str = "*.csv", size: int | None = None) -> DataFrame:
+    """_LINES of the files below root, with fuente; written. size: bytes of a range, else as Spark splits files; a task reads many small ones."""
+    own = {} if size is None else {"spark__sql__files__maxPartitionBytes": str(size)}
+    with settings(spark, **own):
+        reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(root)
+        path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+        rows = reader.select(path.alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
+        if size is not None:
+            rows = rows.coalesce(max(spark.sparkContext.defaultParallelism, -(-rows.rdd.getNumPartitions() * size // TASK)))
+        found = rows.mapInArrow(_scanned(delimiter.encode()), _LINES)
+        return materialize(found.select(relative_path(spark, root).alias("fuente"), *[c for c in found.columns if c != "path"]))
 
 
 def _chosen(quoted: Column, name: str) -> Column:
@@ -185,13 +191,14 @@ def _last_names(batches):
         })
 
 
-def csv_ranges(spark: SparkSession, root: str, delimiter: str = ",", glob: str = "*.csv") -> CsvRanges:
+def csv_ranges(spark: SparkSession, root: str, delimiter: str = ",", glob: str = "*.csv", size: int | None = None) -> CsvRanges:
     """Rows and figures of the CSV files below root, as adapters.csv_file gives them of whole files; records are written once.
+    size: bytes of a range; what is written is read again as Spark splits it.
 
     A file with a record that can't be parsed has no rows but an error. Empty files have no figures, as they have no lines.
     Where a quoted cell is never closed, the file's last line feed is no part of it, as lines don't tell it.
     """
-    found = lines(spark, root, delimiter, glob)
+    found = lines(spark, root, delimiter, glob, size)
     states = materialize(ranges(found))
     parsed = materialize(records(found, states).mapInPandas(_parsed(delimiter), _PARSED))
     place = F.struct("block", "at")

@@ -73,3 +73,13 @@ def test_a_record_that_never_ends(spark, tmp_path, monkeypatch):
     found = cr.csv_ranges(spark, str(tmp_path))
     assert {r.fuente: r.error for r in found.figures.collect()} == {"a.csv": "ValueError: a record of over 1000 bytes", "b.csv": None}
     assert [(r.fuente, r.texto) for r in cr.csv_documents(found).collect()] == [("b.csv", "a: 1 | b: 2")]
+
+
+def test_a_task_reads_many_small_ranges(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\n" + "".join(f'{k},"text\n{k}"\n' for k in range(3000)))
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    found = cr.csv_ranges(spark, str(tmp_path), size=256)
+    assert sorted(int(r.texto.split()[1]) for r in found.rows.collect()) == [*range(3000)]
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in set(tracker.getJobIdsForGroup(None)) - set(before) for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) <= 16
