@@ -94,3 +94,17 @@ def test_latent_encoder(spark, tmp_path):
     assert not nothing.encode(["cat"])[0].any()
     got = docs.select(vx.encode_texts(F.col("text"), model, "passage").alias("e")).select(F.size("e.dense").alias("n")).distinct().collect()
     assert [r.n for r in got] == [2]
+
+
+def test_sparse_nearest_makes_no_row_for_a_pair_of_postings(spark):
+    draw = np.random.default_rng(3)
+    held = draw.random((3000, 60)) < np.concatenate([np.full(10, 0.6), np.full(20, 0.05), np.full(30, 0.004)])
+    dense = held * np.round(draw.random(held.shape) * 8 + 1)
+    postings = [(int(t), int(i), float(dense[i, t])) for i, t in zip(*np.nonzero(dense), strict=True)]
+    index = spark.createDataFrame(postings, "token int, vec_id long, weight double")
+    asked = index.where("vec_id % 10 = 0").select(F.col("vec_id").alias("query_id"), "token", F.col("weight").alias("q"))
+    found = lx.sparse_nearest(asked, index, 4)
+    assert found._jdf.queryExecution().toString().split("== Physical Plan ==")[1].count("Join") == 1  # of packed blocks
+    scores = dense[::10] @ dense.T
+    want = [(10 * q, int(i), float(scores[q, i])) for q in range(300) for i in np.lexsort((np.arange(3000), -scores[q]))[:4] if scores[q, i] > 0]
+    assert sorted((r.query_id, r.vec_id, r.score) for r in found.collect()) == sorted(want)
