@@ -443,3 +443,17 @@ def test_commands(spark, folder, tmp_path, capsys):
     assert "body" in capsys.readouterr().out
     main(["encode", f"{tmp_path}/texts", f"{tmp_path}/vec", "--encoder", "hash64", "--text-field", "texto"])
     assert len(spark.read.parquet(f"{tmp_path}/vec").first().dense) == 64
+
+
+def test_a_task_takes_in_many_small_files(spark, tmp_path, monkeypatch):
+    from sedimenta.streaming import ingest
+
+    (tmp_path / "in").mkdir()
+    for k in range(300):
+        (tmp_path / "in" / f"{k}.txt").write_text(f"text {k}")
+    seen, own, key = [], ingest.extract, "spark.sql.files.openCostInBytes"
+    monkeypatch.setattr(ingest, "extract", lambda rows, options: seen.append(rows.rdd.getNumPartitions()) or own(rows, options))
+    before = spark.conf.get(key)
+    ingest.ingest_folder(spark, f"{tmp_path}/in", *[f"{tmp_path}/{x}" for x in ("out", "registry", "errors", "mark")])
+    assert len(seen) == 1 and seen[0] <= 5 and spark.conf.get(key) == before
+    assert ingest.read_ingested(spark, f"{tmp_path}/registry", ingest.REGISTERED).count() == 300
