@@ -74,3 +74,11 @@ def test_batches_are_limited_by_bytes(spark):
         assert spark.conf.get(key) == "1m"
     finally:
         spark.conf.unset(key)
+
+
+def test_a_census_harvests_each_text_once(spark):
+    import __spark_entry__ as entry
+
+    for name in ("census_paths",):
+        text = plan(entry.queries()[name](spark, SF))
+        assert text.count("ArrowEvalPython [harvest_json") == 1, name
