@@ -79,6 +79,6 @@ def test_batches_are_limited_by_bytes(spark):
 def test_a_census_harvests_each_text_once(spark):
     import __spark_entry__ as entry
 
-    for name in ("census_paths",):
+    for name in ("census_paths", "census_meta"):
         text = plan(entry.queries()[name](spark, SF))
         assert text.count("ArrowEvalPython [harvest_json") == 1, name
