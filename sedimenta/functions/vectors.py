@@ -290,6 +290,7 @@ def encode_texts(text: Column, encoder="hash", mode: str | None = "passage", bat
     """A struct of dense vector, sparse vector and number of tokens. Every text gets the prefix of its mode; null counts as empty.
 
     encoder: a name in ENCODERS, or an encoder that is sent along, such as operators.latent.LatentModel. mode: None for no prefix.
+    batch: texts that a worker encodes and hands on at a time; it holds no more vectors than theirs.
     """
     prefix = {"query": QUERY_PREFIX, "passage": PASSAGE_PREFIX, None: ""}[mode]
     named = isinstance(encoder, str)
@@ -302,13 +303,10 @@ def encode_texts(text: Column, encoder="hash", mode: str | None = "passage", bat
             _loaded[encoder] = ENCODERS[encoder]()
         model = _loaded[encoder] if named else encoder
         for part in parts:
-            texts = [prefix + (t or "") for t in part]
-            dense, sparse = [], []
-            for at in range(0, len(texts), batch):
-                d, s = model.encode(texts[at : at + batch])
-                dense += [*d]
-                sparse += s
-            yield pd.DataFrame({"dense": dense, "sparse": sparse, "n_tokens": [model.count_tokens(t) for t in texts]})
+            for at in range(0, len(part), batch):
+                texts = [prefix + (t or "") for t in part.iloc[at : at + batch]]
+                dense, sparse = model.encode(texts)
+                yield pd.DataFrame({"dense": [*dense], "sparse": sparse, "n_tokens": [model.count_tokens(t) for t in texts]})
 
     return run(text)
 

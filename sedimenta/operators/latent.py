@@ -1,9 +1,9 @@
 """Dense vectors that carry meaning, learned from the corpus itself: latent semantic analysis.
 
 Tokens are hashed to BUCKETS columns and weighted by (1 + log n) * idf; rows have unit length. The leading right singular
-vectors of that matrix come from a randomised range finder with power rounds (Halko, Martinsson and Tropp, 2011): each
-pass adds up A'(AQ) in every task, and these small matrices are added by chunks in two steps, so that no task holds
-many of them. Only BUCKETS x (dimension + OVER) numbers reach the driver, whatever the corpus's size.
+vectors of that matrix come from a randomised range finder with power rounds (Halko, Martinsson and Tropp, 2011). Tokens
+are counted once; each pass over the counts adds up A'(AQ) in every task, and these small matrices are added by chunks
+in two steps, so that no task holds many of them. Only BUCKETS x (dimension + OVER) numbers reach the driver, whatever the corpus's size.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.durable import materialize, read_version, write_version
+from ..plans.durable import materialize, read_version, scratch, write_version
 
 BUCKETS, DIMENSION = 4096, 64
 #: Directions beside those wanted, and passes that sharpen them.
@@ -51,16 +51,20 @@ class LatentModel:
     def weighted(self, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, bucket, weight), each row at unit length."""
         row, column, n = counted(texts, len(self.idf))
+        return row, column, self.weights(len(texts), row, column, n)
+
+    def weights(self, texts: int, row: np.ndarray, column: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The weights of so many texts' counts."""
         value = (1 + np.log(n)) * self.idf[column] if len(n) else n
-        norm = np.sqrt(np.bincount(row, value * value, minlength=len(texts)))
-        return row, column, value / np.where(norm > 0, norm, 1)[row]
+        norm = np.sqrt(np.bincount(row, value * value, minlength=texts))
+        return value / np.where(norm > 0, norm, 1)[row]
 
     def count_tokens(self, text: str) -> int:
         return len(_TOKEN.findall(text))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, list[dict[int, float]]]:
         row, column, value = self.weighted(texts)
-        dense = rows_sum(row, value[:, None] * self.projection[column], len(texts))
+        dense = matrix(len(texts), row, column, value, len(self.idf)) @ self.projection
         norms = np.linalg.norm(dense, axis=1, keepdims=True)
         sparse: list[dict[int, float]] = [{} for _ in texts]
         for r, c, v in zip(row.tolist(), column.tolist(), value.tolist(), strict=True):
@@ -69,12 +73,10 @@ class LatentModel:
         return (dense / np.where(norms == 0, 1, norms)).astype(np.float32), sparse
 
 
-def rows_sum(row: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Sums of values with one row number; row ascends."""
-    out = np.zeros((n, values.shape[1]))
-    if len(row):
-        starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        out[row[starts]] = np.add.reduceat(values, starts)
+def matrix(texts: int, row: np.ndarray, column: np.ndarray, value: np.ndarray, buckets: int) -> np.ndarray:
+    """The weights of so many texts with their zeros: a few MB for a block of texts, however long these are."""
+    out = np.zeros((texts, buckets))
+    out[row, column] = value
     return out
 
 
@@ -88,26 +90,49 @@ def _added(chunks: DataFrame, *keys: str) -> DataFrame:
     return chunks.groupBy(*keys).applyInPandas(add, chunks.schema)
 
 
-def _gram(texts: DataFrame, model: LatentModel, basis: np.ndarray) -> np.ndarray:
+#: Texts of a block whose tokens are counted together.
+_TEXTS = 256
+
+
+def _blocks(texts: DataFrame, buckets: int) -> DataFrame:
+    """The token counts of all texts, a row for up to _TEXTS of them: how many buckets each text has, these, and their counts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            held = rows["text"].tolist()
+            for at in range(0, len(held), _TEXTS):
+                own = held[at : at + _TEXTS]
+                row, column, n = counted(own, buckets)
+                arrays = np.bincount(row, minlength=len(own)), column, n
+                yield pd.DataFrame([[x.astype(np.int32).tobytes() for x in arrays]], columns=["widths", "columns", "n"])
+
+    return texts.mapInPandas(run, "widths binary, columns binary, n binary")
+
+
+def _opened(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(texts, row, bucket, n) of each block."""
+    for rows in batches:
+        for block in zip(rows["widths"], rows["columns"], rows["n"], strict=True):
+            widths, column, n = (np.frombuffer(x, np.int32) for x in block)
+            yield len(widths), np.repeat(np.arange(len(widths)), widths), column.astype(np.int64), n.astype(np.float64)
+
+
+def _gram(blocks: DataFrame, model: LatentModel, basis: np.ndarray) -> np.ndarray:
     """A'(A basis), where A has the weighted texts as its rows."""
     width = basis.shape[1]
-    shared = texts.sparkSession.sparkContext.broadcast((model, basis))
+    shared = blocks.sparkSession.sparkContext.broadcast((model, basis))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, q = shared.value
         total, part = np.zeros((len(q), width)), TaskContext.get().partitionId() % _FAN
-        for rows in batches:
-            held = rows["text"].tolist()
-            for at in range(0, len(held), 256):
-                row, column, value = own.weighted(held[at : at + 256])
-                if len(row):
-                    projected = rows_sum(row, value[:, None] * q[column], len(held[at : at + 256]))
-                    order = np.argsort(column, kind="stable")
-                    total += rows_sum(column[order], value[order, None] * projected[row[order]], len(q))
+        for texts, row, column, n in _opened(batches):
+            if len(row):
+                a = matrix(texts, row, column, own.weights(texts, row, column, n), len(q))
+                total += a.T @ (a @ q)
         cut = [total[k : k + _CHUNK].tobytes() for k in range(0, len(total), _CHUNK)]
         yield pd.DataFrame({"chunk": np.arange(len(cut)), "part": part, "m": cut})
 
-    parts = texts.mapInPandas(run, "chunk long, part long, m binary")
+    parts = blocks.mapInPandas(run, "chunk long, part long, m binary")
     found = _added(_added(parts, "chunk", "part"), "chunk").collect()
     shared.destroy()
     out = np.zeros_like(basis)
@@ -118,17 +143,24 @@ def _gram(texts: DataFrame, model: LatentModel, basis: np.ndarray) -> np.ndarray
 
 
 def fit(documents: DataFrame, dimension: int = DIMENSION, buckets: int = BUCKETS, rounds: int = ROUNDS, text: str = "text", seed: int = 42) -> LatentModel:
-    """The model of all texts. Buckets that no text has stay zero; a corpus of few directions gives zeros for the rest."""
-    texts = documents.select(F.col(text).alias("text")).where("text is not null")
+    """The model of all texts. Buckets that no text has stay zero; a corpus of few directions gives zeros for the rest.
+
+    Texts are read once: each pass works on their counts, which are written by blocks and removed at the end.
+    """
+    with scratch(documents.sparkSession):
+        texts = documents.select(F.col(text).alias("text")).where("text is not null")
+        return _fitted(materialize(_blocks(texts, buckets)), dimension, buckets, rounds, seed)
 
+
+def _fitted(blocks: DataFrame, dimension: int, buckets: int, rounds: int, seed: int) -> LatentModel:
     def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = np.zeros(buckets, np.int64), 0
-        for rows in batches:
-            total += np.bincount(counted(rows["text"], buckets)[1], minlength=buckets)
-            n += len(rows)
+        for texts, _, column, _ in _opened(batches):
+            total += np.bincount(column, minlength=buckets)
+            n += texts
         yield pd.DataFrame({"bucket": np.r_[-1, np.flatnonzero(total)], "n": np.r_[n, total[total > 0]]})
 
-    found = {r["bucket"]: r["n"] for r in texts.mapInPandas(seen, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+    found = {r["bucket"]: r["n"] for r in blocks.mapInPandas(seen, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
     n = found.pop(-1, 0)
     idf = np.zeros(buckets)
     for b, df in found.items():
@@ -139,8 +171,8 @@ def fit(documents: DataFrame, dimension: int = DIMENSION, buckets: int = BUCKETS
     width = min(dimension + OVER, buckets)
     basis = np.random.default_rng(seed).standard_normal((buckets, width))
     for _ in range(rounds):
-        basis = np.linalg.qr(_gram(texts, model, basis))[0]
-    values, turned = np.linalg.eigh(basis.T @ _gram(texts, model, basis))
+        basis = np.linalg.qr(_gram(blocks, model, basis))[0]
+    values, turned = np.linalg.eigh(basis.T @ _gram(blocks, model, basis))
     best = np.argsort(-values, kind="stable")[:dimension]
     projection = basis @ turned[:, best] * (values[best] > 1e-9 * max(values.max(), 1e-300))
     sign = np.sign(projection[np.abs(projection).argmax(axis=0), np.arange(projection.shape[1])])

@@ -96,6 +96,40 @@ def test_latent_encoder(spark, tmp_path):
     assert [r.n for r in got] == [2]
 
 
+def test_latent_reads_texts_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for rows in batches:
+            read.add(len(rows))
+            yield rows
+
+    docs = spark.range(600, numPartitions=2).select(F.concat(F.lit("word"), (F.col("id") % 7).cast("string"), F.lit(" other")).alias("text"))
+    assert latent.fit(docs.mapInPandas(counting, "text string"), 2, 64).projection.any()
+    assert read.value == 600
+
+
+def test_an_encoder_hands_on_its_vectors_in_pieces(spark):
+    class Watching:
+        """Each vector tells how many arrays of vectors are held when it is made."""
+
+        def count_tokens(self, text):
+            return 1
+
+        def encode(self, texts):
+            import weakref
+
+            self.made = getattr(self, "made", [])
+            held = sum(r() is not None for r in self.made)
+            out = np.full((len(texts), 1), held, np.float32)
+            self.made.append(weakref.ref(out))
+            return out, [{} for _ in texts]
+
+    docs = spark.range(5000, numPartitions=1).select("id", F.col("id").cast("string").alias("text"))
+    rows = docs.select("id", vx.encode_texts(F.col("text"), Watching(), None).alias("e")).select("id", F.col("e.dense")[0].alias("held")).collect()
+    assert sorted(r.id for r in rows) == list(range(5000)) and max(r.held for r in rows) <= 3
+
+
 def test_sparse_nearest_makes_no_row_for_a_pair_of_postings(spark):
     draw = np.random.default_rng(3)
     held = draw.random((3000, 60)) < np.concatenate([np.full(10, 0.6), np.full(20, 0.05), np.full(30, 0.004)])
