@@ -7,6 +7,7 @@ import traceback
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,10 @@ from ..operators.corpus import dedupe_features, path_order
 from .adapters import ADAPTERS, FORMATS, Options, pdf_pages, tile_features
 
 EXTRACTED = "fuente string, formato string, texto string, meta map<string,string>, error string, traceback string"
+_TEXT = pa.string()
+_EXTRACTED = pa.schema([(c.split()[0], pa.map_(_TEXT, _TEXT) if "map" in c else _TEXT) for c in EXTRACTED.split(", ")])
+#: Extracted files, and the characters of their texts, that leave a task at once.
+EXTRACT_ROWS, EXTRACT_CHARS = 1024, 1 << 20
 BLOCK = "doc_id string, page int, ordinal int, x0 double, y0 double, text string, error string"
 BLOCK_NAMES = [c.split()[0] for c in BLOCK.split(", ")]
 #: Blocks of PDF text, and their characters, that leave a task at once.
@@ -50,23 +55,36 @@ def listing(spark: SparkSession, root: str, glob: str | None = None, recursive:
     return reader.load(root).select(relative_path(spark, root).alias("fuente"), "length", "content")
 
 
+def extracted(batches: Iterator[pa.RecordBatch], options: Options) -> Iterator[pa.RecordBatch]:
+    """EXTRACTED of batches of (fuente, formato, content), a file at a time. Rows leave by EXTRACT_ROWS, or by EXTRACT_CHARS of text:
+    no more than these and one file are held beside the batch that Spark has sent."""
+
+    def frame(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _EXTRACTED, strict=True)], schema=_EXTRACTED)
+
+    rows, held = [], 0
+    for batch in batches:
+        for file in zip(*(batch.column(c) for c in ("fuente", "formato", "content")), strict=True):
+            fuente, formato, content = (x.as_py() for x in file)
+            text, meta, error, trace = "", {}, None, None
+            try:
+                text, meta = ADAPTERS[formato](fuente, bytes(content), options)
+            except Exception as why:
+                error, trace = f"{type(why).__name__}: {why}", traceback.format_exc()
+            told = [(k, v if isinstance(v, str) else json.dumps(v, ensure_ascii=False)) for k, v in meta.items()]
+            rows.append((fuente, formato, text, told, error, trace))
+            held += len(text)
+            if len(rows) >= EXTRACT_ROWS or held >= EXTRACT_CHARS:
+                yield frame(rows)
+                rows, held = [], 0
+    if rows:
+        yield frame(rows)
+
+
 def extract(files: DataFrame, options: Options | None = None) -> DataFrame:
     """EXTRACTED of (fuente, formato, content). A file that can't be read has an empty text and says why."""
     options = options or Options()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for fuente, formato, content in zip(pdf["fuente"], pdf["formato"], pdf["content"], strict=True):
-                text, meta, error, trace = "", {}, None, None
-                try:
-                    text, meta = ADAPTERS[formato](fuente, bytes(content), options)
-                except Exception as why:
-                    error, trace = f"{type(why).__name__}: {why}", traceback.format_exc()
-                rows.append((fuente, formato, text, {k: v if isinstance(v, str) else json.dumps(v, ensure_ascii=False) for k, v in meta.items()}, error, trace))
-            yield pd.DataFrame(rows, columns=["fuente", "formato", "texto", "meta", "error", "traceback"])
-
-    return files.select("fuente", "formato", "content").mapInPandas(run, EXTRACTED)
+    return files.select("fuente", "formato", "content").mapInArrow(lambda batches: extracted(batches, options), EXTRACTED)
 
 
 def pdf_blocks(files: DataFrame, options: Options | None = None) -> DataFrame:

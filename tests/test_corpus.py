@@ -457,3 +457,22 @@ def test_a_task_takes_in_many_small_files(spark, tmp_path, monkeypatch):
     ingest.ingest_folder(spark, f"{tmp_path}/in", *[f"{tmp_path}/{x}" for x in ("out", "registry", "errors", "mark")])
     assert len(seen) == 1 and seen[0] <= 5 and spark.conf.get(key) == before
     assert ingest.read_ingested(spark, f"{tmp_path}/registry", ingest.REGISTERED).count() == 300
+
+
+def test_extracted_texts_leave_before_a_batch_ends():
+    import pyarrow as pa
+
+    n, size = 60, 100_000
+    batch = pa.RecordBatch.from_pydict({
+        "fuente": [f"{k}.txt" for k in range(n)] + ["none.json", "cut.json"],
+        "formato": ["txt"] * n + ["json"] * 2,
+        "content": pa.array([b"x" * size] * n + [None, b'{"cut'], pa.binary())
+    })
+    frames = list(files.extracted(iter([batch, batch]), ad.Options()))
+    assert max(f.num_rows for f in frames) <= files.EXTRACT_CHARS // size + 3
+    rows = [r for f in frames for r in f.to_pylist()]
+    assert [r["fuente"] for r in rows] == batch.column("fuente").to_pylist() * 2
+    assert all(r["texto"] == "x" * size and r["error"] is None for r in rows[:n])
+    assert [r["error"].split(":")[0] for r in rows[n : n + 2]] == ["TypeError", "ValueError"] and rows[n]["texto"] == ""
+    small = pa.RecordBatch.from_pydict({"fuente": ["a.txt"] * 3000, "formato": ["txt"] * 3000, "content": pa.array([b""] * 3000, pa.binary())})
+    assert [f.num_rows for f in files.extracted(iter([small]), ad.Options())] == [1024, 1024, 952]
