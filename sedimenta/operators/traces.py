@@ -24,7 +24,11 @@ def traces(rows: DataFrame) -> DataFrame:
 
 
 def handoff(rows: DataFrame, catalogs: tuple[str, ...] = ()) -> DataFrame:
-    """Texts for chunking: numbered from DOC-0000 by path, with category (0 if unknown), organisation and words. Catalog files stay out."""
+    """Texts for chunking: numbered from DOC-0000 by path, with category (0 if unknown), organisation and words. Catalog files stay out.
+
+    rows: (archivo, tier, texto), written ones. Rows that are still to be harvested would be harvested four times: by the filter and
+    for the text, and both again when numbering draws its ranges.
+    """
     name = F.element_at(F.split("archivo", "/"), -1)
     kept = rows.where((F.col("tier").between(1, 2)) & ~name.isin(*catalogs) if catalogs else F.col("tier").between(1, 2))
     n = numbered(kept.select("archivo", "texto"), path_order(F.col("archivo")), first=0)

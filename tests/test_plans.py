@@ -82,3 +82,24 @@ def test_a_census_harvests_each_text_once(spark):
     for name in ("census_paths", "census_meta"):
         text = plan(entry.queries()[name](spark, SF))
         assert text.count("ArrowEvalPython [harvest_json") == 1, name
+
+
+def test_a_handoff_harvests_each_text_once(spark, monkeypatch):
+    import __spark_entry__ as entry
+    from sedimenta.operators import corpus
+    from sedimenta.plans import file_queries
+
+    plans, own = [], corpus.materialize
+
+    def written(df):
+        plans.append(plan(df))
+        return own(df)
+
+    for module in (corpus, file_queries):
+        monkeypatch.setattr(module, "materialize", written, raising=False)
+    rows = entry.queries()["chunk_handoff"](spark, SF)
+    assert rows.count() > 0
+    harvests = [x.count("ArrowEvalPython [harvest_json") for x in plans]
+    assert sum(harvests) == 1, harvests
+    ranged = [n for x, n in zip(plans, harvests, strict=True) if "rangepartitioning" in x]
+    assert ranged == [0], "drawing the ranges computes what is dealt into them once more"
