@@ -213,3 +213,22 @@ def test_texts_whose_signs_cancel_have_unit_vectors():
     dense, sparse = encoder.encode([*cancelled, "", "x İstanbul"])
     assert [round(float((v * v).sum()), 5) for v in dense] == [1.0] * len(cancelled) + [0.0, 1.0]
     assert sum(sparse[-1].values()) == encoder.count_tokens("x İstanbul") == 2
+
+
+def test_cleaning_holds_few_texts_as_strings():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array([f"{k} " + "x" * 10_000 for k in range(4000)] + [None, ""])
+    tracemalloc.start()
+    try:
+        done = tu.clean_text.func(texts)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 4 << 20, most
+    assert done[1].as_py() == texts[1].as_py() and done.to_pylist()[-2:] == ["", ""] and len(done) == 4002
+    assert tu.clean_text.func(texts.slice(0, 0)).to_pylist() == []
+    odd = [*ODD, None] * 40
+    assert tu.clean_text.func(pa.array(odd, pa.string())[3:]).to_pylist() == [tu.clean(t) for t in odd[3:]]
