@@ -59,6 +59,8 @@ def sparse_positive(v: Column) -> Column:
 
 #: Rows and bytes of a block of vectors at most; cells of the grid for each shuffle partition.
 BLOCK_ROWS, BLOCK_BYTES, CELLS = 1024, 8 << 20, 2
+#: Where every pair is a row: pairs of a task on average at most, and how many of its first rows are put in order.
+TASK_PAIRS, HEAD_ROWS = 1 << 24, 1 << 16
 _BLOCK = "d int, place long, n int, ids binary, vectors binary"
 
 
@@ -93,16 +95,19 @@ def _packed(rows: DataFrame, name: str, vector: str) -> DataFrame:
     return whole.select(F.col(name).cast("long").alias("id"), _double(v).alias("v")).mapInArrow(_pack, _BLOCK)
 
 
-def _meet(queries: DataFrame, vectors: DataFrame) -> DataFrame:
+def _meet(queries: DataFrame, vectors: DataFrame, most: int | None = None) -> DataFrame:
     """Each block of queries beside each block of vectors of the same length.
 
     Vectors are dealt into rows and queries into columns of a grid, and a cell is joined in one place: nothing passes
-    through the driver, and plan and passes stay the same however many queries there are.
+    through the driver, and plan and passes stay the same however many queries there are. most: pairs of a task on
+    average, beyond which there are more tasks than the session's.
     """
     spark = vectors.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     q, v = materialize(_packed(queries, "query_id", "q")), _packed(vectors, "vec_id", "embedding")
     n_queries, n_vectors = q.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], vectors.count()
+    if most:
+        parts = max(parts, -(-n_queries * n_vectors // most))
     columns = max(1, round((CELLS * parts * n_queries / max(n_vectors, 1)) ** 0.5))
     rows = max(1, CELLS * parts // columns)
     numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
@@ -129,13 +134,26 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {c: batch.column(c)[i].as_py() for c in batch.schema.names}
 
 
+def _head_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, about the first HEAD_ROWS of a task by score, so that equal scores meet."""
+    head, n = [], 0
+    while n < HEAD_ROWS and (batch := next(batches, None)) is not None:
+        head.append(batch)
+        n += batch.num_rows
+    if head:
+        yield from pa.Table.from_batches(head).sort_by("score").to_batches(max_chunksize=BLOCK_ROWS)
+    yield from batches
+
+
 def similarities(queries: DataFrame, vectors: DataFrame) -> DataFrame:
     """(query_id, vec_id, score): inner products of a stated set of queries (query_id, q) with all vectors (vec_id, embedding).
 
-    Every pair is a row: for the few queries whose whole matrix is wanted. nearest() keeps the best alone.
+    Every pair is a row: for the few queries whose whole matrix is wanted. nearest() keeps the best alone. Rounded
+    scores are few, but Parquet writes each in full (8 bytes, not 2) unless a file's first 20,000 rows repeat them:
+    hence a task begins with rows in order of score, and is held to about one row group.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             (q_ids, q), (ids, v) = _arrays(row, "q_ids", "q_vectors"), _arrays(row, "ids", "vectors")
             for k, name in enumerate(q_ids.tolist()):
@@ -144,7 +162,10 @@ def similarities(queries: DataFrame, vectors: DataFrame) -> DataFrame:
                     names=["query_id", "vec_id", "score"]
                 )
 
-    return _meet(queries, vectors).mapInArrow(run, "query_id long, vec_id long, score double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _head_in_order(pairs(batches))
+
+    return _meet(queries, vectors, TASK_PAIRS).mapInArrow(run, "query_id long, vec_id long, score double")
 
 
 def nearest(queries: DataFrame, vectors: DataFrame, k: int, by: str = "l2") -> DataFrame:

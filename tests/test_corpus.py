@@ -245,6 +245,28 @@ def test_nearest_is_exact(spark, by):
     assert sorted(tuple(r) for r in got.select("query_id", "vec_id", "score", "rank").collect()) == sorted(want)
 
 
+def test_similarities_are_packed(spark, tmp_path, monkeypatch):
+    """Rounded scores take under 6 bytes in small files (over 7 where Parquet gives up its dictionary); many pairs make more tasks; none is lost."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from sedimenta.functions import vectors as vx
+
+    v = np.random.default_rng(5).normal(size=(6000, 64)) / 8
+    pq.write_table(pa.table({"vec_id": np.arange(6000), "embedding": list(v)}), tmp_path / "v.parquet")
+    vectors = spark.read.parquet(str(tmp_path / "v.parquet"))
+    asked = vectors.where("vec_id % 50 = 0").selectExpr("vec_id AS query_id", "embedding AS q")
+    vx.similarities(asked, vectors).select("query_id", "vec_id", F.round("score", 5).alias("score")).write.parquet(str(tmp_path / "found"))
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "found").glob("*.parquet")]
+    assert sum(m.row_group(g).column(2).total_compressed_size for m in files for g in range(m.num_row_groups)) < 6 * 120 * 6000
+    rows = pq.read_table(tmp_path / "found").sort_by([("query_id", "ascending"), ("vec_id", "ascending")])
+    assert np.array_equal(rows["query_id"], np.repeat(np.arange(0, 6000, 50), 6000))
+    assert np.array_equal(rows["vec_id"], np.tile(np.arange(6000), 120))
+    assert np.abs(rows["score"].to_numpy() - (v[::50] @ v.T).ravel()).max() < 0.00000501
+    monkeypatch.setattr(vx, "TASK_PAIRS", 100_000, raising=False)
+    assert vx.similarities(asked, vectors).rdd.getNumPartitions() == 8
+
+
 def test_patch_takes_one_change(spark):
     docs = spark.createDataFrame(
         [("a", "old", 3, "es", {"p": "1"}), ("b", "old", 3, "es", None)],
