@@ -127,6 +127,21 @@ def test_frequent_shingles_that_the_sample_misses(spark, monkeypatch):
     assert largest[0] > 100 and largest[1] <= 20
 
 
+def test_keys_follow_one_order_after_some_come_last(spark, monkeypatch):
+    """Short texts beside one with a shingle more that is frequent: if that one gets new keys, the other does too."""
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(5))
+    short = [[word() for _ in range(10)] for _ in range(60)]
+    spread = [w for own in short for w in own]
+    texts = [" ".join([*spread, *(word() for _ in range(600))]) for _ in range(25)]
+    texts += [" ".join(own[:n]) for own in short for n in (9, 10)]
+    rows = [*enumerate(texts)]
+    monkeypatch.setattr(near_copies, "SAMPLE", 0)
+    monkeypatch.setattr(near_copies, "HOT", 20)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((tuple(r) for r in near_copies.near_copies(docs).collect()), key=repr) == groups(rows)
+
+
 def test_pairs_at_the_similarity_share_a_key_and_are_near():
     """Sets of all sizes at the least similarity that links, and texts with other frequent shingles: none is lost before verification."""
     import numpy as np
