@@ -36,10 +36,12 @@ _PARSED = "fuente string, block long, at long, cells array<string>, error string
 @dataclass
 class CsvRanges:
     """rows: (fuente, block, at, texto), a row's text and its place, which orders the rows of a file. figures: (fuente,
-    num_filas_validas, filas_omitidas_por_formato_invalido, columnas, codificacion_detectada, error)."""
+    num_filas_validas, filas_omitidas_por_formato_invalido, columnas, codificacion_detectada, error). errors: (fuente, error),
+    the files that have no rows because of an error."""
 
     rows: DataFrame
     figures: DataFrame
+    errors: DataFrame
 
 
 def ends_open(line: bytes, inside: bool, delimiter: bytes = b",") -> bool:
@@ -87,11 +89,13 @@ def _scanned(delimiter: bytes):
     return scan
 
 
-def lines(spark: SparkSession, root: str, delimiter: str = ",", glob: str = "*.csv", size: int | None = None) -> DataFrame:
-    """_LINES of the files below root, with fuente; written. size: bytes of a range, else as Spark splits files; a task reads many small ones."""
+def lines(spark: SparkSession, root: str, delimiter: str = ",", glob: str = "*.csv", size: int | None = None, returns: bool = True) -> DataFrame:
+    """_LINES of the files below root, with fuente; written. size: bytes of a range, else as Spark splits files; a task reads many small ones.
+    returns: whether carriage returns end lines too."""
     own = {} if size is None else {"spark__sql__files__maxPartitionBytes": str(size)}
     with settings(spark, **own):
-        reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(root)
+        reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+        reader = (reader if returns else reader.option("lineSep", "\n")).text(root)
         path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
         rows = reader.select(path.alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
         if size is not None:
@@ -160,8 +164,15 @@ def records(found: DataFrame, states: DataFrame) -> DataFrame:
     return single.unionByName(joined)
 
 
-def _parsed(delimiter: str):
+def _parsed(delimiter: str, longest: int | None):
     def parse(batches):
+        before = csv.field_size_limit() if longest is None else csv.field_size_limit(longest)
+        try:
+            yield from parsed(batches)
+        finally:
+            csv.field_size_limit(before)  # a worker's next task may be another's
+
+    def parsed(batches):
         for rows in batches:
             cells, errors = [], []
             for held, latin, error in zip(rows["lines"], rows["latin"], rows["error"], strict=True):
@@ -191,16 +202,27 @@ def _last_names(batches):
         })
 
 
-def csv_ranges(spark: SparkSession, root: str, delimiter: str = ",", glob: str = "*.csv", size: int | None = None) -> CsvRanges:
+def csv_ranges(
+    spark: SparkSession,
+    root: str,
+    delimiter: str = ",",
+    glob: str = "*.csv",
+    size: int | None = None,
+    longest: int | None = None,
+    returns: bool = True,
+    told: tuple[str, ...] = (),
+) -> CsvRanges:
     """Rows and figures of the CSV files below root, as adapters.csv_file gives them of whole files; records are written once.
-    size: bytes of a range; what is written is read again as Spark splits it.
+    size: bytes of a range; what is written is read again as Spark splits it. Files can be read otherwise than that adapter does:
+    longest: characters of a cell at most, if not those of the csv module (131072); returns: False keeps carriage returns inside
+    cells as they are; told: columns whose cells are told even if they are blank or nan.
 
     A file with a record that can't be parsed has no rows but an error. Empty files have no figures, as they have no lines.
     Where a quoted cell is never closed, the file's last line feed is no part of it, as lines don't tell it.
     """
-    found = lines(spark, root, delimiter, glob, size)
+    found = lines(spark, root, delimiter, glob, size, returns)
     states = materialize(ranges(found))
-    parsed = materialize(records(found, states).mapInPandas(_parsed(delimiter), _PARSED))
+    parsed = materialize(records(found, states).mapInPandas(_parsed(delimiter, longest), _PARSED))
     place = F.struct("block", "at")
     heads = parsed.groupBy("fuente").agg(F.min_by("cells", place).alias("header"), F.min(place).alias("p"), F.min("error").alias("error"))
     errors = heads.select("fuente", "error")
@@ -210,7 +232,7 @@ def csv_ranges(spark: SparkSession, root: str, delimiter: str = ",", glob: str =
     fits = F.size("cells") == F.size("header")
     filled = F.filter(
         F.arrays_zip("names", F.transform("places", lambda k: F.get("cells", k)).alias("v")),
-        lambda x: (strip(x["v"]) != "") & (F.lower(x["v"]) != "nan")
+        lambda x: x["names"].isin(*told) | ((strip(x["v"]) != "") & (F.lower(x["v"]) != "nan"))
     )
     text = F.array_join(F.transform(filled, lambda x: F.concat(x["names"], F.lit(": "), x["v"])), SEPARATOR)
     rows = body.where(fits).select("fuente", "block", "at", text.alias("texto")).where("texto <> ''")
@@ -224,7 +246,7 @@ def csv_ranges(spark: SparkSession, root: str, delimiter: str = ",", glob: str =
         "codificacion_detectada",
         "error"
     )
-    return CsvRanges(rows, figures)
+    return CsvRanges(rows, figures, errors.where("error is not null"))
 
 
 def csv_documents(found: CsvRanges) -> DataFrame:

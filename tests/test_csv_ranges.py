@@ -83,3 +83,23 @@ def test_a_task_reads_many_small_ranges(spark, tmp_path):
     tracker = spark.sparkContext.statusTracker()
     stages = [tracker.getStageInfo(s) for j in set(tracker.getJobIdsForGroup(None)) - set(before) for s in tracker.getJobInfo(j).stageIds]
     assert max(s.numTasks for s in stages if s) <= 16
+
+
+def test_documents_of_all_kinds_come_back(spark, tmp_path):
+    """Long, blank and null texts, carriage returns, quotes, negative keys: as the SQL counterpart has them."""
+    from compare import differences
+    from sedimenta.plans.catalogue import ORACLES, QUERIES
+
+    texts = ["x" * 140_000, "word " * 40_000, "", " ", "nan", "NaN", "a\rb\r\nc", "\r", 'q"q', '"', "a,b\n\n", "ends \\", "\u2028 \x85 é", "z\x00z", None, "last"]
+    rows = [(k if k % 5 else -k, t, "s") for k, t in enumerate(texts)] + [(100, "no source", None), (101, "blank source", "")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert differences(spark, QUERIES["csv_in_ranges"], ORACLES["csv_in_ranges"], str(tmp_path)) == ""
+
+
+def test_a_file_that_cannot_be_read_is_no_result(spark, tmp_path, monkeypatch):
+    from sedimenta.plans import file_queries
+
+    monkeypatch.setattr(file_queries, "RECORD", 1000)
+    spark.createDataFrame([(1, "x" * 2000, "s"), (2, "y", "s")], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    with pytest.raises(ValueError, match="field larger than field limit"):
+        file_queries.csv_in_ranges(spark, str(tmp_path))
