@@ -142,3 +142,32 @@ def test_sparse_nearest_makes_no_row_for_a_pair_of_postings(spark):
     scores = dense[::10] @ dense.T
     want = [(10 * q, int(i), float(scores[q, i])) for q in range(300) for i in np.lexsort((np.arange(3000), -scores[q]))[:4] if scores[q, i] > 0]
     assert sorted((r.query_id, r.vec_id, r.score) for r in found.collect()) == sorted(want)
+
+
+def test_blocks_out_of_reach_are_not_scored(spark, monkeypatch):
+    """Many blocks in bands of norms: the results are those of all pairs, and a block whose norms can't reach a query's k-th score is passed over."""
+    import pyarrow as pa
+
+    draw = random.Random(6)
+    rows = [(str(t), i, float(draw.randint(1, 9) * (1 + i % 7))) for i in range(900) for t in draw.sample(range(20), draw.randint(1, 5))]
+    index = spark.createDataFrame(rows, "token string, vec_id long, weight double")
+    asked = index.where("vec_id % 9 = 0").selectExpr("vec_id as query_id", "token", "weight as q")
+    vectors = {}
+    for t, i, w in rows:
+        vectors.setdefault(i, {})[t] = w
+    want = []
+    for i in (i for i in vectors if i % 9 == 0):
+        scores = [(-sum(w * v.get(t, 0) for t, w in vectors[i].items()), j) for j, v in vectors.items()]
+        want += [(i, j, -s, n) for n, (s, j) in enumerate(sorted(x for x in scores if x[0])[:5], 1)]
+    got = lx.sparse_nearest(asked, index, 5, block=20).select("query_id", "vec_id", "score", "rank").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+    def packed(ids, weight):
+        table = pa.table({"block": pa.array([0] * len(ids), pa.int32()), "token": ["t"] * len(ids), "id": ids, "weight": [weight] * len(ids)})
+        return lx._pack(table).to_pylist()[0]
+
+    scored, own = [], lx._scores
+    monkeypatch.setattr(lx, "_scores", lambda q, d: scored.append(len(q.ids)) or own(q, d))
+    met = [{"q": packed([1, 2], 1.0), "d": packed(ids, w)} for ids, w in (([10, 11], 5.0), ([12, 13], 4.0), ([8, 9], 5.0))]
+    found = pa.Table.from_batches([*lx._nearest(2)([pa.RecordBatch.from_pylist(met)])])
+    assert scored == [2, 2] and sorted(found["vec_id"].to_pylist()) == [8, 8, 9, 9, 10, 10, 11, 11]
